@@ -6,9 +6,9 @@ failure rates are shrunk towards the corpus by a beta prior whose two
 parameters are fitted to the hosts' rates by moments (weighted by size), and
 each host's verdict joins back to its documents:
 
-* a host whose shrunk rate is over `host_reject` loses all its documents;
-* a document that fails `soft_needed` soft rules is rejected, and on a suspect
-  host (shrunk rate over `host_suspect`) one soft rule is enough.
+* a host whose shrunk rate is over `HOST_REJECT` loses all its documents;
+* a document that fails a rule at its full limit is rejected on any host, and
+  on a suspect host (shrunk rate over `HOST_SUSPECT`) at 0.6 of the limit.
 
 Nulls: a null text has no words and fails the base rule; null is a host of its
 own. Empty tables give no rows; repeated rows are judged each; extra columns
@@ -24,7 +24,7 @@ from placeflow.llm.common import BLANK_CHARS, checkpointed, columns, table, word
 
 #: Window of the repeated-words rule, in words.
 WINDOW = 5
-HOST_REJECT, HOST_SUSPECT, SOFT_NEEDED = 0.6, 0.3, 2
+HOST_REJECT, HOST_SUSPECT = 0.8, 0.4
 #: Hosts are broadcast up to this count (a name and a flag each); beyond it the join shuffles.
 BROADCAST_HOSTS = 50_000
 
@@ -80,15 +80,21 @@ def features(docs: DataFrame) -> DataFrame:
 
 
 def ruled(df: DataFrame) -> DataFrame:
-    """Rules over the counts: base_failed, the number of soft rules failed, and failed (any)."""
+    """Verdicts over the counts: base_failed, rules failed at the full and at the tightened limits, failed."""
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    soft = [
-        100 * F.col("n_symbols") > 10 * F.col("word_chars"),
-        100 * F.col("n_dup_lines") > 30 * F.col("n_lines"),
-        (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 15 * F.col("n_words")),
-    ]
-    count = sum((F.when(s, F.lit(1)).otherwise(F.lit(0)) for s in soft), F.lit(0))
-    return df.withColumn("base_failed", base).withColumn("n_soft", count).withColumn("failed", base | (F.col("n_soft") > 0))
+    def count(share: float) -> Column:
+        """Rules failed when only this share of each limit is allowed."""
+        rules = [
+            100 * F.col("n_symbols") > 10 * share * F.col("word_chars"),
+            100 * F.col("n_dup_lines") > 30 * share * F.col("n_lines"),
+            F.col("word_chars") > 20 * share * F.col("n_words"),
+        ]
+        return sum((F.when(r, F.lit(1)).otherwise(F.lit(0)) for r in rules), F.lit(0))
+
+    return (
+        df.withColumn("base_failed", base).withColumn("n_hard", count(1.0)).withColumn("n_soft", count(0.6))
+        .withColumn("failed", base | (F.col("n_hard") > 0))
+    )
 
 
 def host_rates(feats: DataFrame) -> DataFrame:
@@ -115,8 +121,8 @@ def verdict(feats: DataFrame, hosts: DataFrame, host_count: int) -> DataFrame:
     if host_count <= BROADCAST_HOSTS:
         side = F.broadcast(side)
     joined = feats.join(side, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
-    needed = F.when(F.col("host_rate") > HOST_SUSPECT, F.lit(1)).otherwise(F.lit(SOFT_NEEDED))
-    kept = ~F.col("base_failed") & ~((F.col("host_rate") > HOST_REJECT) | (F.col("n_soft") >= needed))
+    rejected = (F.col("n_hard") > 0) | (F.col("host_rate") > HOST_REJECT) | ((F.col("host_rate") > HOST_SUSPECT) & (F.col("n_soft") > 0))
+    kept = ~F.col("base_failed") & ~F.coalesce(rejected, F.lit(False))
     return joined.withColumn("kept", kept)
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from placeflow.llm import quality_rules, sharding
+from placeflow.llm import packing, quality_rules, sharding
 
 QUERIES = {
     "op2_host_rules": quality_rules.op2_host_rules,
     "op4_feistel_shards": sharding.op4_feistel_shards,
+    "op5_vector_packing": packing.op5_vector_packing,
 }
 
 ORACLES: dict[str, str] = {}
