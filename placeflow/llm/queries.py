@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from placeflow.llm import packing, quality_rules, sharding
+from placeflow.llm import media, packing, quality_rules, sharding
 
 QUERIES = {
     "op2_host_rules": quality_rules.op2_host_rules,
+    "op3_jpeg_media": media.op3_jpeg_media,
     "op4_feistel_shards": sharding.op4_feistel_shards,
     "op5_vector_packing": packing.op5_vector_packing,
 }
