@@ -20,8 +20,10 @@ gives no rows. Repeated rows are packed each. Extra columns are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +37,8 @@ TOKENS, SEGMENTS = 2048, 512
 END = 1
 #: Waiting remainders, and the smallest power of two that a task's last sequences are cut to.
 POOL, LEAST = 768, 32
-#: Distinct words whose ids a task keeps.
-MEMO = 600_000
+#: Distinct words whose ids a worker keeps.
+MEMO = 800_000
 
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 _ARROW = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
@@ -47,31 +49,79 @@ class WordIds:
 
     The tokenizer drops ASCII blanks and splits at them before merging, so a
     text's ids are its words' ids in a row; each distinct word is encoded once.
+    Words without the digit 0 are encoded in lines, parted by that digit's id.
     """
 
+    LINE = 400
+
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.ids: dict[bytes, list[int]] = {}
+        self.part = self.tokenizer.encode("0", add_special_tokens=False).ids
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[bytes, int] = {}
+        self.ids = np.empty(0, dtype="<u4")
+        self.first = np.zeros(1, dtype=np.int64)  # of each word in ids, and the end
+
+    def encode(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of each word."""
+        if len(self.part) != 1:
+            return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+        out: list[np.ndarray] = []
+        lines = [words[i : i + self.LINE] for i in range(0, len(words), self.LINE)]
+        whole = self.tokenizer.encode_batch_fast([b" 0 ".join(x).decode() for x in lines], add_special_tokens=False)
+        for line, e in zip(lines, whole, strict=True):
+            ids = np.array(e.ids, dtype="<u4")
+            at = np.flatnonzero(ids == self.part[0])
+            if len(at) != len(line) - 1:
+                raise ValueError("the tokenizer joins words")
+            out += [ids[a:b] for a, b in zip([0, *(at + 1).tolist()], [*at.tolist(), len(ids)], strict=True)]
+        return out
+
+    def learn(self, words: list[bytes]) -> None:
+        plain = [w for w in words if b"0" not in w]
+        rest = [w for w in words if b"0" in w]
+        got = self.encode(plain)
+        for i in range(0, len(rest), 20_000):
+            got += [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast([w.decode() for w in rest[i : i + 20_000]], add_special_tokens=False)]
+        self.place.update(zip(plain + rest, range(len(self.place), len(self.place) + len(words)), strict=True))
+        self.ids = np.concatenate([self.ids, *got])
+        sizes = np.fromiter(map(len, got), np.int64, len(got))
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
 
     def __call__(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         split = [t.split() for t in texts]
-        if len(self.ids) > MEMO:
-            self.ids.clear()
-        known = self.ids
-        new = list({w for ws in split for w in ws if w not in known})
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                known[w] = e.ids
-        for ws in split:
-            out: list[int] = []
-            for w in ws:
-                out += known[w]
-            out.append(END)
-            yield np.array(out, dtype="<u4")
+        if len(self.place) > MEMO:
+            self.clear()
+        new = set().union(*split).difference(self.place)
+        if new:
+            self.learn(sorted(new))
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        first, n = self.first[at], self.first[at + 1] - self.first[at]
+        ends = np.cumsum(n)
+        flat = self.ids[np.repeat(first - (ends - n), n) + np.arange(n.sum())]
+        stops = np.concatenate([[0], ends])[np.cumsum(counts)].tolist()
+        end = np.array([END], dtype="<u4")
+        start = 0
+        for stop in stops:
+            yield np.concatenate([flat[start:stop], end])
+            start = stop
+
+
+_ENCODERS: dict[str, WordIds] = {}
+
+
+def encoder(path: str) -> WordIds:
+    """One for each worker process; its memo outlives a task and is bounded by MEMO words and a batch."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordIds(path)
+    return _ENCODERS[path]
 
 
 class Packer:
@@ -168,7 +218,7 @@ class Packer:
 
 
 def packed(batches: Iterable[pa.RecordBatch], path: str, part: int, encode: Callable | None = None, **limits) -> Iterator[pa.RecordBatch]:
-    encode, packer, rows = encode or WordIds(path), Packer(**limits), []
+    encode, packer, rows = encode or encoder(path), Packer(**limits), []
     base = part << 40
 
     def row(p: tuple) -> tuple:
@@ -180,7 +230,7 @@ def packed(batches: Iterable[pa.RecordBatch], path: str, part: int, encode: Call
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=_ARROW)
             rows.clear()
 
-    for batch in chunks(iter(batches)):
+    for batch in chunks(iter(batches), limit=4_000_000):
         texts = [t or b"" for t in raw(batch.column("text"))]
         for key, ids in zip(batch.column("doc_id").to_pylist(), encode(texts), strict=True):
             rows.extend(row(p) for p in packer.add(key, ids))
