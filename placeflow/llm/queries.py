@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from placeflow.llm import media, packing, quality_rules, sharding
+from placeflow.llm import media, packing, quality_rules, sharding, substring_dedup
 
 QUERIES = {
+    "op10_debruijn_spans": substring_dedup.op10_debruijn_spans,
     "op2_host_rules": quality_rules.op2_host_rules,
     "op3_jpeg_media": media.op3_jpeg_media,
     "op4_feistel_shards": sharding.op4_feistel_shards,
