@@ -47,6 +47,8 @@ K, M = 13, 5
 #: Text bytes of a block, within which copies are settled before the shuffle.
 BLOCK = 2_500_000
 
+#: Windows of a path before the shuffle, at most (its count takes a byte).
+LONGEST = 255
 _RECORD = np.dtype([("mini", "<u8"), ("doc", "<i8"), ("tag", "<u4"), ("start", "<u4"), ("n", "u1")])
 PIECES = "kind int, bucket bigint, doc bigint, tag bigint, start int, n int, owner bigint, owner_start int, blob binary"
 _OUT = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("doc", pa.int64()), ("tag", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("owner", pa.int64()), ("owner_start", pa.int32()), ("blob", pa.binary())])
@@ -109,6 +111,9 @@ def edges(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
         new[1:] = (own[left][1:] != own[left][:-1]) | (start[left][1:] != start[left][:-1] + 1) | (mini[left][1:] != mini[left][:-1])
         head = np.flatnonzero(new)
         n = np.diff(np.append(head, len(left)))
+        new |= (np.arange(len(left)) - np.repeat(head, n)) % LONGEST == 0
+        head = np.flatnonzero(new)
+        n = np.diff(np.append(head, len(left)))
         rec = np.empty(len(head), dtype=_RECORD)
         f = left[head]
         rec["mini"], rec["doc"], rec["tag"], rec["start"], rec["n"] = mini[f], doc[f], tag[f], start[f], n
