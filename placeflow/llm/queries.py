@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from placeflow.llm import media, near_dedup, packing, quality_rules, sharding, substring_dedup
+from placeflow.llm import language, media, near_dedup, packing, quality_rules, sharding, substring_dedup
 
 QUERIES = {
+    "op1_byte_gru": language.op1_byte_gru,
     "op9_hyperminhash": near_dedup.op9_hyperminhash,
     "op10_debruijn_spans": substring_dedup.op10_debruijn_spans,
     "op2_host_rules": quality_rules.op2_host_rules,
