@@ -6,7 +6,7 @@ compressed, as its count of leading zeros and `MANTISSA` bits after them.
 An empty bucket borrows from the first filled one in a fixed random order, so
 short documents have full sketches too. `BANDS` bands of `ROWS` registers are
 the blocking keys: at similarity 0.8 a pair shares none of them with a
-probability below 1e-6.
+probability near 1e-5.
 
 1. Documents with equal sets form a class, seen through its smallest doc_id.
 2. In each band bucket the classes meet the smallest one (the pivot): a star,
@@ -35,14 +35,15 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+import zstandard
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placeflow.llm.common import checkpointed, chunks, columns, raw, table
 from placeflow.llm.tokens import mix, runs, word_hashes
 
-REGISTERS, MANTISSA, BANDS, ROWS = 256, 10, 64, 6
+REGISTERS, MANTISSA, BANDS, ROWS = 256, 10, 48, 6
 SIMILARITY = 80  # hundredths
 #: Estimates below this (hundredths) are hopeless: eight standard errors under 0.8.
 ESTIMATE = 58
@@ -108,43 +109,62 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip(((a == b).mean(axis=1) - chance) / (1 - chance), 0, 1)
 
 
-_FEATURES = {"doc_id": pa.int64(), "n_shingles": pa.int64(), "key": pa.binary(), "sketch": pa.binary(), "bands": pa.list_(pa.int64())}
-
-
 def features(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, key (of the set; null if empty), sketch and bands."""
+    """doc_id, n_shingles, key (of the set; null if empty) and sketch."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, limit=3_000_000):
-            sets = list(shingle_sets([t or b"" for t in raw(batch.column("text"))], k))
-            some = [i for i, s in enumerate(sets) if len(s)]
-            sketches = np.stack([sketch(sets[i]) for i in some]) if some else np.empty((0, REGISTERS), dtype=np.uint16)
-            keys = [None] * len(sets)
-            packed = [None] * len(sets)
-            for i, s in zip(some, sketches, strict=True):
-                keys[i], packed[i] = xxhash.xxh3_128_digest(sets[i].tobytes()), s.tobytes()
-            sizes = np.zeros(len(sets) + 1, dtype=np.int32)
-            sizes[np.array(some, dtype=np.int64) + 1] = BANDS
-            bands = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(band_keys(sketches).view(np.int64).ravel()))
+            sizes, keys, packed = [], [], []
+            for s in shingle_sets([t or b"" for t in raw(batch.column("text"))], k):
+                sizes.append(len(s))
+                keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
+                packed.append(sketch(s).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(packed, pa.binary()), bands], names=list(_FEATURES)
-            )
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(packed, pa.binary())],
+                names=["doc_id", "n_shingles", "key", "sketch"],
+            )
 
-    return columns(docs, "doc_id", "text").mapInArrow(task, "doc_id bigint, n_shingles bigint, key binary, sketch binary, bands array<bigint>")
+    return columns(docs, "doc_id", "text").mapInArrow(task, "doc_id bigint, n_shingles bigint, key binary, sketch binary")
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """doc (as in wanted) and its whole shingle set."""
+def banded(classes: DataFrame) -> DataFrame:
+    """doc and band: a row for each band of each class."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, limit=3_000_000):
-            sets = list(shingle_sets([t or b"" for t in raw(batch.column("text"))], k))
-            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-            flat = np.concatenate(sets).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["doc", "shingles"])
+        for batch in batches:
+            if batch.num_rows:
+                sketches = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+                docs = np.repeat(batch.column("doc").to_numpy(), BANDS)
+                yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(band_keys(sketches).view(np.int64).ravel())], names=["doc", "band"])
+
+    return classes.select("doc", "sketch").mapInArrow(task, "doc bigint, band bigint")
+
+
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The wanted documents' texts; all texts travel compressed to meet the wanted ids."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1)
+        for batch in chunks(batches):
+            blobs = [squeeze.compress(t or b"") for t in raw(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(blobs, pa.binary())], names=["doc", "blob"])
 
-    own = columns(docs, "doc_id", "text").join(wanted.select(F.col("doc").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi")
-    return own.mapInArrow(task, "doc bigint, shingles array<bigint>").filter(F.size("shingles") > 0)
+    small = columns(docs, "doc_id", "text").filter("doc_id IS NOT NULL").mapInArrow(task, "doc bigint, blob binary")
+    return small.join(wanted.hint("shuffle_hash"), "doc", "left_semi")
+
+
+def similar(pairs: DataFrame, k: int) -> DataFrame:
+    """The pairs (a, b, _a, _b: compressed texts) whose full shingle sets are similar enough."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grow = zstandard.ZstdDecompressor()
+        for batch in chunks(batches, "_a", limit=1_000_000):
+            left, right = (list(shingle_sets([grow.decompress(x) for x in batch.column(c).to_pylist()], k)) for c in ("_a", "_b"))
+            same = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right, strict=True)]
+            ok = [100 * i >= SIMILARITY * (len(x) + len(y) - i) and i > 0 for x, y, i in zip(left, right, same, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return pairs.select("a", "b", "_a", "_b").mapInArrow(task, "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -172,59 +192,51 @@ def _hopeful(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
     """Those pairs (a, b) of classes whose full sets are similar enough."""
+    pairs = checkpointed(pairs)
+    ends = F.explode(F.array("a", "b")).alias("doc")
+    known = checkpointed(classes.join(pairs.select(ends).distinct(), "doc").select("doc", "n_shingles", "sketch"))
+    side = lambda c: known.select(F.col("doc").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
     ratio = (100 * F.least("n_a", "n_b")) >= SIMILARITY * F.greatest("n_a", "n_b")
-    side = lambda c: classes.select(F.col("doc").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
     sized = pairs.join(side("a"), "a").join(side("b"), "b").filter(ratio)
     tried = checkpointed(sized.filter((F.least("n_a", "n_b") < SMALL) | _hopeful("s_a", "s_b")).select("a", "b"))
-    wanted = tried.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-    sets = checkpointed(full_sets(docs, wanted, k))
-    both = tried.join(sets.select(F.col("doc").alias("a"), F.col("shingles").alias("_a")), "a").join(sets.select(F.col("doc").alias("b"), F.col("shingles").alias("_b")), "b")
-    shared = F.size(F.array_intersect("_a", "_b"))
-    return checkpointed(both.withColumn("_i", shared).filter(100 * F.col("_i") >= SIMILARITY * (F.size("_a") + F.size("_b") - F.col("_i"))).select("a", "b"))
+    texts = checkpointed(texts_of(docs, tried.select(ends).distinct()))
+    both = tried.join(texts.select(F.col("doc").alias("a"), F.col("blob").alias("_a")), "a").join(texts.select(F.col("doc").alias("b"), F.col("blob").alias("_b")), "b")
+    return checkpointed(similar(both, k))
 
 
 def link(docs: DataFrame, k: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document."""
     feats = checkpointed(features(docs, k))
     linked = feats.filter("doc_id IS NOT NULL AND key IS NOT NULL")
-    reps = linked.groupBy("key").agg(F.min("doc_id").alias("doc"))
-    classes = checkpointed(
-        linked.join(reps.withColumnRenamed("key", "_key"), (F.col("doc_id") == F.col("doc")) & (F.col("key") == F.col("_key"))).select("doc", "n_shingles", "sketch", "bands", "key")
-    )
-    members = classes.select("doc", F.explode("bands").alias("band")).distinct()
+    reps = linked.groupBy("key").agg(F.min("doc_id").alias("doc")).withColumnRenamed("key", "_key")
+    classes = checkpointed(linked.join(reps, (F.col("doc_id") == F.col("doc")) & (F.col("key") == F.col("_key"))).select("doc", "n_shingles", "key", "sketch"))
+    members = banded(classes)
     shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("pivot")).filter("n > 1")
     met = checkpointed(members.join(shared, "band"))
     seen = met.filter("doc <> pivot").select(F.col("doc").alias("a"), F.col("pivot").alias("b")).distinct()
-    links = confirmed(docs, classes, seen, k)
-    parts = components(links)
+    parts = components(confirmed(docs, classes, seen, k))
     pivots, done = 2, 1
-    rest = met.filter("n > 2").select("band", "doc")
+    rest = met.filter("n > 2").select("band", "doc").distinct()
     while True:
         own = rest.join(parts.withColumnRenamed("node", "doc"), "doc", "left").select("band", "doc", F.coalesce("component", "doc").alias("part"))
         split = own.groupBy("band").agg(F.min("part").alias("_lo"), F.max("part").alias("_hi"), F.count(F.lit(1)).alias("_n")).filter(f"_lo <> _hi AND _n > {done}").select("band")
         own = checkpointed(own.join(split, "band"))
         if own.isEmpty():
             break
-        # the next pivots of each bucket, by doc; those before them are settled
-        order = own.select("band", "doc", "part", F.row_number().over(_by("band", "doc")).alias("_r"))
-        next_ones = order.filter((F.col("_r") > done) & (F.col("_r") <= done + pivots)).select("band", F.col("doc").alias("b"), F.col("part").alias("_p"), F.col("_r").alias("_rb"))
-        pairs = order.join(next_ones, "band").filter("_r > _rb AND part <> _p").select(F.col("doc").alias("a"), "b").distinct()
+        # the next pivots of each bucket, by doc; those before them have met every member
+        order = own.withColumn("_r", F.row_number().over(Window.partitionBy("band").orderBy("doc")))
+        turn = order.filter((F.col("_r") > done) & (F.col("_r") <= done + pivots)).select("band", F.col("doc").alias("b"), F.col("part").alias("_p"), F.col("_r").alias("_rb"))
+        pairs = order.join(turn, "band").filter("_r > _rb AND part <> _p").select(F.col("doc").alias("a"), "b").distinct()
         found = confirmed(docs, classes, pairs, k)
         if not found.isEmpty():
             parts = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(found))
         rest, done, pivots = own.select("band", "doc"), done + pivots, 2 * pivots
-    named = classes.select("key", "doc").join(parts.withColumnRenamed("node", "doc"), "doc", "left").select(F.col("key").alias("_key"), F.coalesce("component", "doc").alias("_c"))
+    named = classes.select("key", "doc").distinct().join(parts.withColumnRenamed("node", "doc"), "doc", "left").select(F.col("key").alias("_key"), F.coalesce("component", "doc").alias("_c"))
     out = feats.select("doc_id", "n_shingles", "key").join(named, F.col("key") == F.col("_key"), "left")
     part = F.when(F.col("doc_id").isNotNull(), F.coalesce("_c", "doc_id"))
     return out.select("doc_id", "n_shingles", part.alias("component_id"), F.coalesce(part == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def _by(group: str, order: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(group).orderBy(order)
-
-
 def keep(docs: DataFrame, k: int = 5) -> DataFrame:
     """docs without the rows whose document isn't the first of its component."""
     gone = link(docs, k).filter("NOT kept").select("doc_id").distinct()
