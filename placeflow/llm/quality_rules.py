@@ -45,7 +45,7 @@ def features(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, BLANK_CHARS, "")) > 0)
-    tagged = F.array_sort(F.transform(F.col("_x"), lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+    tagged = F.sort_array(F.transform(F.col("_x"), lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
     # the starts of windows whose hash is also that of a neighbour in sorted order
     same = F.filter(
         F.transform(
@@ -66,7 +66,7 @@ def features(docs: DataFrame) -> DataFrame:
     out = (
         docs.withColumn("_w", words(F.col("text"))).withColumn("_h", F.transform("_w", lambda x: F.xxhash64(x))).withColumn("_x", _window_hashes())
         .withColumn("_s", F.when(repeats, tagged))
-        .withColumn("_p", F.when(F.col("_s").isNotNull(), F.array_sort(same)))
+        .withColumn("_p", F.when(F.col("_s").isNotNull(), F.sort_array(same)))
         .withColumn("_l", lines)
         .withColumn("n_words", F.size("_w").cast("bigint"))
         .withColumn("word_chars", F.length(F.translate(text, BLANK_CHARS, "")).cast("bigint"))

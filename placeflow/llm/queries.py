@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from placeflow.llm import class_lm, language, media, near_dedup, packing, quality_crf, quality_rules, sharding, substring_dedup
+from placeflow.llm import class_lm, language, media, near_dedup, packing, pieces, quality_crf, quality_rules, sharding, substring_dedup
 
 QUERIES = {
     "op1_byte_gru": language.op1_byte_gru,
+    "op6_piece_lattice": pieces.op6_piece_lattice,
     "op7_line_crf": quality_crf.op7_line_crf,
     "op8_brown_classes": class_lm.op8_brown_classes,
     "op9_hyperminhash": near_dedup.op9_hyperminhash,

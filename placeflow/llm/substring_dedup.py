@@ -194,7 +194,7 @@ def compact(pieces: DataFrame) -> DataFrame:
     and the piece before each head is a tail.
     """
     piece = F.struct("owner", (F.col("start") - F.col("owner_start")).alias("diagonal"), "start", (F.col("start") + F.col("n")).alias("stop"))
-    gathered = pieces.groupBy("doc", "tag").agg(F.array_sort(F.collect_list(piece)).alias("_p"))
+    gathered = pieces.groupBy("doc", "tag").agg(F.sort_array(F.collect_list(piece)).alias("_p"))
 
     def breaks(x, y):  # y may be null, at either end
         return F.coalesce((x["owner"] != y["owner"]) | (x["diagonal"] != y["diagonal"]) | (x["stop"] != y["start"]), F.lit(True))
