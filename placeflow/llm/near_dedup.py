@@ -9,15 +9,17 @@ the blocking keys: at similarity 0.8 a pair shares none of them with a
 probability near 1e-5.
 
 1. Documents with equal sets form a class, seen through its smallest doc_id.
-2. In each band bucket the classes meet the smallest one (the pivot): a star,
-   not all pairs. Sizes and then the sketches' Jaccard estimate, corrected for
-   chance collisions of compressed registers, discard hopeless pairs.
+2. In each band bucket the classes meet the smallest one: a star, not all
+   pairs. Sizes and then the sketches' Jaccard estimate, corrected for chance
+   collisions of compressed registers, discard hopeless pairs.
 3. The rest is confirmed on the full sets, and confirmed links are contracted
    to components by large-star and small-star steps.
-4. Buckets whose members are still in several components get further pivots,
-   twice as many in each round, until every two members have been compared or
-   are connected. So no link that shares a bucket is lost, and a large group of
-   copies costs one comparison for each of its members.
+4. Buckets of at most `FEW` members that are still in several components are
+   compared to the end. Members of larger ones are banded anew with longer
+   bands, which part unlike documents that share a common passage, and get
+   further pivots there, twice as many in each round, until every two members
+   have been compared or are connected. So a large group of copies costs one
+   comparison for each of its members, and no bucket is left unfinished.
 
 A document with fewer words than a shingle has its whole sequence as its only
 shingle; without words (or with a null text) its set is empty and it is linked
@@ -53,6 +55,10 @@ SMALL = 128
 _RNG = np.random.default_rng(91)
 _BORROW = np.argsort(_RNG.random((REGISTERS, REGISTERS)), axis=1).argsort(axis=1).astype(np.int16)  # rank of each bucket in each order
 _BAND = np.stack([_RNG.permutation(REGISTERS)[:ROWS] for _ in range(BANDS)])
+#: The second banding, for crowded buckets of unlike documents: more and longer bands.
+_LONG_BAND = np.stack([_RNG.permutation(REGISTERS)[:12] for _ in range(256)])
+#: A bucket of up to so many members isn't dealt anew.
+FEW = 8
 
 
 def shingle_sets(texts: list[bytes], k: int) -> Iterator[np.ndarray]:
@@ -89,13 +95,13 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(sketches: np.ndarray) -> np.ndarray:
-    """A 64-bit key for each band of each sketch."""
-    r = sketches.astype(np.uint64)[:, _BAND]
+def band_keys(sketches: np.ndarray, bands: np.ndarray) -> np.ndarray:
+    """A 64-bit key for each band (the numbers of its registers) of each sketch."""
+    wide = sketches.astype(np.uint64)
     with np.errstate(over="ignore"):
-        key = np.broadcast_to(mix(np.arange(1, BANDS + 1, dtype=np.uint64)), r.shape[:2])
-        for j in range(ROWS):
-            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + r[:, :, j])
+        key = np.broadcast_to(mix(np.arange(1, len(bands) + 1, dtype=np.uint64)), (len(wide), len(bands)))
+        for j in range(bands.shape[1]):
+            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + wide[:, bands[:, j]])
     return key
 
 
@@ -127,17 +133,18 @@ def features(docs: DataFrame, k: int) -> DataFrame:
     return columns(docs, "doc_id", "text").mapInArrow(task, "doc_id bigint, n_shingles bigint, key binary, sketch binary")
 
 
-def banded(classes: DataFrame) -> DataFrame:
-    """doc and band: a row for each band of each class."""
+def banded(classes: DataFrame, bands: np.ndarray) -> DataFrame:
+    """band, doc and n_shingles: a row for each band of each class."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                sketches = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
-                docs = np.repeat(batch.column("doc").to_numpy(), BANDS)
-                yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(band_keys(sketches).view(np.int64).ravel())], names=["doc", "band"])
+            for i in range(0, batch.num_rows, 1000):
+                part = batch.slice(i, 1000)
+                sketches = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+                docs, sizes = (np.repeat(part.column(c).to_numpy(), len(bands)) for c in ("doc", "n_shingles"))
+                yield pa.RecordBatch.from_arrays([pa.array(band_keys(sketches, bands).view(np.int64).ravel()), pa.array(docs), pa.array(sizes)], names=["band", "doc", "n_shingles"])
 
-    return classes.select("doc", "sketch").mapInArrow(task, "doc bigint, band bigint")
+    return classes.select("doc", "n_shingles", "sketch").mapInArrow(task, "band bigint, doc bigint, n_shingles bigint")
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -190,18 +197,55 @@ def _hopeful(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(100 * estimate(left, right) >= ESTIMATE)
 
 
-def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
-    """Those pairs (a, b) of classes whose full sets are similar enough."""
-    pairs = checkpointed(pairs)
-    ends = F.explode(F.array("a", "b")).alias("doc")
-    known = checkpointed(classes.join(pairs.select(ends).distinct(), "doc").select("doc", "n_shingles", "sketch"))
-    side = lambda c: known.select(F.col("doc").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
-    ratio = (100 * F.least("n_a", "n_b")) >= SIMILARITY * F.greatest("n_a", "n_b")
-    sized = pairs.join(side("a"), "a").join(side("b"), "b").filter(ratio)
-    tried = checkpointed(sized.filter((F.least("n_a", "n_b") < SMALL) | _hopeful("s_a", "s_b")).select("a", "b"))
-    texts = checkpointed(texts_of(docs, tried.select(ends).distinct()))
-    both = tried.join(texts.select(F.col("doc").alias("a"), F.col("blob").alias("_a")), "a").join(texts.select(F.col("doc").alias("b"), F.col("blob").alias("_b")), "b")
-    return checkpointed(similar(both, k))
+def confirmed(known: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """Those pairs (a, b) whose full sets are similar enough; known: doc, n_shingles, sketch and blob."""
+    side = lambda c, *cols: known.select(F.col("doc").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in cols])
+    met = pairs.join(side("a", "n_shingles", "sketch"), "a").join(side("b", "n_shingles", "sketch"), "b")
+    sure = F.least("n_shingles_a", "n_shingles_b") < SMALL
+    tried = checkpointed(met.filter(_sized("n_shingles_a", "n_shingles_b")).filter(sure | _hopeful("sketch_a", "sketch_b")).select("a", "b"))
+    both = tried.join(side("a", "blob"), "a").join(side("b", "blob"), "b")
+    return checkpointed(similar(both.select("a", "b", F.col("blob_a").alias("_a"), F.col("blob_b").alias("_b")), k))
+
+
+def _sized(a: str, b: str):
+    """Whether two set sizes allow the similarity."""
+    return (100 * F.least(a, b)) >= SIMILARITY * F.greatest(a, b)
+
+
+def crowded(members: DataFrame, parts: DataFrame | None, done: int = 0) -> DataFrame:
+    """members (band, doc, n_shingles) of the buckets with over `done` + 1 members, in two components at least, with their component."""
+    part = F.coalesce("component", "doc") if parts is not None else F.col("doc")
+    own = members.join(parts.withColumnRenamed("node", "doc"), "doc", "left") if parts is not None else members
+    own = own.select("band", "doc", "n_shingles", part.alias("part"))
+    split = own.groupBy("band").agg(F.min("part").alias("_lo"), F.max("part").alias("_hi"), F.count(F.lit(1)).alias("size")).filter(f"_lo <> _hi AND size > {done + 1}")
+    return own.join(split.select("band", "size"), "band")
+
+
+def stars(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of every member with its bucket's smallest one."""
+    hubs = members.groupBy("band").agg(F.min("doc").alias("b"))
+    return members.join(hubs, "band").filter("doc <> b").select(F.col("doc").alias("a"), "b").distinct()
+
+
+def further(members: DataFrame, done: int, more: int) -> DataFrame:
+    """Pairs (a, b) of members with the next `more` pivots of their bucket, in other components; members come from `crowded`."""
+    order = members.withColumn("_r", F.row_number().over(Window.partitionBy("band").orderBy("doc")))
+    turn = order.filter((F.col("_r") > done) & (F.col("_r") <= done + more)).select("band", F.col("doc").alias("b"), F.col("n_shingles").alias("_n"), F.col("part").alias("_p"), F.col("_r").alias("_rb"))
+    met = order.join(turn, (order["band"] == turn["band"]) & (F.col("_r") > F.col("_rb")) & (F.col("part") != F.col("_p")) & _sized("n_shingles", "_n"))
+    return met.select(F.col("doc").alias("a"), "b").distinct()
+
+
+def joined(parts: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components with these links as well."""
+    old = [] if parts is None else [parts.select(F.col("node").alias("a"), F.col("component").alias("b"))]
+    return components(links.union(*old) if old else links)
+
+
+def buckets(classes: DataFrame, bands: np.ndarray) -> DataFrame:
+    """band, doc and n_shingles of the classes that share a bucket with another."""
+    members = banded(classes, bands)
+    shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("band")
+    return checkpointed(members.join(shared, "band").select("band", "doc", "n_shingles"))
 
 
 def link(docs: DataFrame, k: int = 5) -> DataFrame:
@@ -210,27 +254,24 @@ def link(docs: DataFrame, k: int = 5) -> DataFrame:
     linked = feats.filter("doc_id IS NOT NULL AND key IS NOT NULL")
     reps = linked.groupBy("key").agg(F.min("doc_id").alias("doc")).withColumnRenamed("key", "_key")
     classes = checkpointed(linked.join(reps, (F.col("doc_id") == F.col("doc")) & (F.col("key") == F.col("_key"))).select("doc", "n_shingles", "key", "sketch"))
-    members = banded(classes)
-    shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("pivot")).filter("n > 1")
-    met = checkpointed(members.join(shared, "band"))
-    seen = met.filter("doc <> pivot").select(F.col("doc").alias("a"), F.col("pivot").alias("b")).distinct()
-    parts = components(confirmed(docs, classes, seen, k))
-    pivots, done = 2, 1
-    rest = met.filter("n > 2").select("band", "doc").distinct()
+    met = buckets(classes, _BAND)
+    wanted = met.select("doc").distinct()
+    known = checkpointed(classes.drop("key").join(texts_of(docs, wanted), "doc"))
+    parts = joined(None, confirmed(known, checkpointed(stars(met)), k))
+    rest = checkpointed(crowded(met, parts, 1))
+    # small buckets: their members meet all earlier ones, a bounded number
+    parts = joined(parts, confirmed(known, checkpointed(further(rest.filter(f"size <= {FEW}"), 1, FEW - 2)), k))
+    # the others are dealt anew by longer bands, where unlike documents seldom meet
+    again = known.join(rest.filter(f"size > {FEW}").select("doc").distinct(), "doc", "left_semi")
+    finer = buckets(again, _LONG_BAND)
+    parts = joined(parts, confirmed(known, checkpointed(stars(finer)), k))
+    done, more = 1, 2
     while True:
-        own = rest.join(parts.withColumnRenamed("node", "doc"), "doc", "left").select("band", "doc", F.coalesce("component", "doc").alias("part"))
-        split = own.groupBy("band").agg(F.min("part").alias("_lo"), F.max("part").alias("_hi"), F.count(F.lit(1)).alias("_n")).filter(f"_lo <> _hi AND _n > {done}").select("band")
-        own = checkpointed(own.join(split, "band"))
-        if own.isEmpty():
+        rest = checkpointed(crowded(finer, parts, done))
+        if rest.isEmpty():
             break
-        # the next pivots of each bucket, by doc; those before them have met every member
-        order = own.withColumn("_r", F.row_number().over(Window.partitionBy("band").orderBy("doc")))
-        turn = order.filter((F.col("_r") > done) & (F.col("_r") <= done + pivots)).select("band", F.col("doc").alias("b"), F.col("part").alias("_p"), F.col("_r").alias("_rb"))
-        pairs = order.join(turn, "band").filter("_r > _rb AND part <> _p").select(F.col("doc").alias("a"), "b").distinct()
-        found = confirmed(docs, classes, pairs, k)
-        if not found.isEmpty():
-            parts = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(found))
-        rest, done, pivots = own.select("band", "doc"), done + pivots, 2 * pivots
+        parts = joined(parts, confirmed(known, checkpointed(further(rest, done, more)), k))
+        finer, done, more = rest.drop("part", "size"), done + more, 2 * more
     named = classes.select("key", "doc").distinct().join(parts.withColumnRenamed("node", "doc"), "doc", "left").select(F.col("key").alias("_key"), F.coalesce("component", "doc").alias("_c"))
     out = feats.select("doc_id", "n_shingles", "key").join(named, F.col("key") == F.col("_key"), "left")
     part = F.when(F.col("doc_id").isNotNull(), F.coalesce("_c", "doc_id"))
@@ -238,9 +279,9 @@ def link(docs: DataFrame, k: int = 5) -> DataFrame:
 
 
 def keep(docs: DataFrame, k: int = 5) -> DataFrame:
-    """docs without the rows whose document isn't the first of its component."""
+    """docs without the rows whose document isn't the first of its component (rows with one doc_id stay together)."""
     gone = link(docs, k).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op9_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
