@@ -48,17 +48,21 @@ HELD = 250_000
 PRIME = 2_147_483_647
 
 _SPACE = SPACE.encode()
-_SEGMENT = re.compile(rb"\n|(?:%s)*(?:(?!%s)[^\n])+|(?:%s)+" % (_SPACE, _SPACE, _SPACE))
-_SPLIT = re.compile(rb"\n| *[^ \n]+| +")
+_RUNS = re.compile(rb"\n| *[^ \n]+| +")
 
 
-def segments(text: bytes) -> list[bytes]:
-    """Segments of a text; they join to its normalised form."""
+def segments(text: bytes, whole_runs: bool = False) -> list[bytes]:
+    """Segments of a text, with a blank for U+2581; they join to the normalised text.
+
+    With whole_runs, spaces in a row stay together (for models with pieces of
+    several spaces); else each starts a segment.
+    """
     if not text:
         return []
-    if _SPACE in text:
-        return _SEGMENT.findall(b"\xe2\x96\x81" + text.replace(b" ", _SPACE))
-    return [s.replace(b" ", _SPACE) if s[0] == 32 else s for s in _SPLIT.findall(b" " + text)]
+    text = b" " + text.replace(_SPACE, b" ")
+    if whole_runs or b"\0" in text:
+        return _RUNS.findall(text) if whole_runs else [s for r in _RUNS.findall(text) for s in (r[: len(r) - len(r.lstrip(b" "))].replace(b" ", b"\0 ")[1:].split(b"\0")[:-1] + [b" " + r.lstrip(b" ")] if r.startswith(b"  ") else [r])]
+    return [s for s in text.replace(b" ", b"\0 ").replace(b"\n", b"\0\n\0").split(b"\0") if s]
 
 
 def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
@@ -72,13 +76,15 @@ def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
         "longest": max(len(p) for p, _, _ in rows),
         "unknown": min(s for _, _, s in rows) - 10.0,
         "byte": sp.piece_to_id("<0x00>"),
+        "runs": any(2 * SPACE in p for p, _, _ in rows),
     }
     frame = pa.table({"piece": [r[0] for r in rows], "id": pa.array([r[1] for r in rows], pa.int32()), "score": [r[2] for r in rows]})
     return spark.createDataFrame(frame), known
 
 
-def segment_counts(docs: DataFrame) -> DataFrame:
-    """segment and n over all texts."""
+def segment_counts(docs: DataFrame, whole_runs: bool = False) -> DataFrame:
+    """segment and n over all texts, in small partitions by segment (each segment will have a lattice)."""
+    parts = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -89,65 +95,65 @@ def segment_counts(docs: DataFrame) -> DataFrame:
             return rows
 
         for batch in chunks(batches, limit=4_000_000):
-            seen.update(chain.from_iterable(map(segments, (t for t in raw(batch.column("text")) if t))))
+            seen.update(chain.from_iterable(segments(t, whole_runs) for t in raw(batch.column("text")) if t))
             if len(seen) > HELD:
                 yield out()
         if seen:
             yield out()
 
-    return docs.select("text").mapInArrow(task, "segment string, n bigint").groupBy("segment").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(task, "segment string, n bigint").repartition(parts, "segment").groupBy("segment").agg(F.sum("n").alias("n"))
 
 
-def encode(words: DataFrame, pieces: DataFrame, known: dict) -> DataFrame:
-    """words (segment, and other columns) with ids, the best path's piece ids."""
+def encode(words: DataFrame, pieces: DataFrame, known: dict, *carried: str) -> DataFrame:
+    """segment, the carried columns and ids (the best path's piece ids) of words, whose segments are distinct."""
     longest, base = known["longest"], known["byte"]
-    starts = words.select("segment", F.explode(F.sequence(F.lit(0), F.length("segment") - 1)).alias("start"))
-    spans = starts.select("segment", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.length("segment") - F.col("start")))).alias("n"))
-    cut = spans.withColumn("piece", F.substring("segment", F.col("start") + 1, F.col("n")))
+    starts = words.select("segment", *carried, F.explode(F.sequence(F.lit(0), F.length("segment") - 1)).alias("start"))
+    spans = starts.select("segment", *carried, "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.length("segment") - F.col("start")))).alias("_n"))
+    cut = spans.withColumn("piece", F.translate(F.substring("segment", F.col("start") + 1, F.col("_n")), " ", SPACE))
     table_ = F.broadcast(pieces)  # the vocabulary
-    edges = cut.join(table_, "piece", "left").filter("id IS NOT NULL OR n = 1")
+    edges = cut.join(table_, "piece", "left").filter("id IS NOT NULL OR _n = 1")
     code = F.coalesce("id", F.lit(-1))
-    edge = F.struct((F.col("start") + F.col("n")).alias("stop"), "start", code.alias("id"), F.coalesce("score", F.lit(known["unknown"])).alias("score"))
-    lattice = edges.groupBy("segment").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-
-    def into(state, stop):
-        """Edges that end at this position; they follow those already used, at most one for each length."""
-        return F.filter(F.slice(F.col("edges"), state["used"] + 1, F.lit(longest)), lambda e: e["stop"] == stop)
-
-    def step(state, stop):
-        reach = F.transform(
-            into(state, stop),
-            lambda e: F.struct((F.get(state["best"], e["start"])["score"] + e["score"]).alias("score"), (-e["start"]).alias("back"), e["id"].alias("id")),
+    edge = F.struct((F.col("start") + F.col("_n")).alias("stop"), "start", code.alias("id"), F.coalesce("score", F.lit(known["unknown"])).alias("score"))
+    lattice = edges.groupBy("segment", *carried).agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+
+    def step(state, e):
+        """Takes the next edge, in the order of stop and start; `now` is the best way to the stop so far."""
+        now, done = state["now"], state["done"]
+        score = F.when(e["start"] < F.size(done), F.get(done, e["start"])["score"]).otherwise(now["score"]) + e["score"]
+        same = e["stop"] == now["stop"]
+        fresh = F.struct(e["stop"].alias("stop"), score.alias("score"), e["start"].alias("back"), e["id"].alias("id"))
+        return F.struct(
+            F.when(same, done).otherwise(F.concat(done, F.array(now))).alias("done"),
+            F.when(same & (now["score"] >= score), now).otherwise(fresh).alias("now"),
         )
-        return F.struct(F.concat(state["best"], F.array(F.array_max(reach))).alias("best"), (state["used"] + F.size(into(state, stop))).alias("used"))
 
-    begin = F.struct(F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(-2).alias("id"))).alias("best"), F.lit(0).alias("used"))
-    solved = lattice.withColumn("best", F.aggregate(F.sequence(F.lit(1), F.length("segment")), begin, step, lambda s: s["best"]))
+    node = F.struct(F.lit(0).alias("stop"), F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(-2).alias("id"))
+    begin = F.struct(F.slice(F.array(node), F.lit(1), F.lit(0)).alias("done"), node.alias("now"))
+    solved = lattice.select("segment", *carried, F.aggregate("edges", begin, step, lambda s: F.concat(s["done"], F.array(s["now"]))).alias("best"))
 
     def bytes_of(at):
         """Ids of the bytes of the character that ends at position `at`."""
-        code = F.hex(F.encode(F.substring(F.col("segment"), at, F.lit(1)), "UTF-8"))
-        return F.transform(F.sequence(F.lit(1), F.octet_length(F.substring(F.col("segment"), at, F.lit(1)))), lambda k: (F.lit(base) + F.conv(F.substring(code, (2 * k - 1).cast("int"), F.lit(2)), 16, 10).cast("int")).cast("int"))
+        char = F.translate(F.substring(F.col("segment"), at, F.lit(1)), " ", SPACE)
+        code = F.hex(F.encode(char, "UTF-8"))
+        return F.transform(F.sequence(F.lit(1), F.octet_length(char)), lambda k: (F.lit(base) + F.conv(F.substring(code, (2 * k - 1).cast("int"), F.lit(2)), 16, 10).cast("int")).cast("int"))
 
     def walk(state, _):
         at = state["at"]
         node = F.get(F.col("best"), at)
         ids = F.when(node["id"] >= 0, F.array(node["id"])).otherwise(bytes_of(at))
-        return F.when(at > 0, F.struct((-node["back"]).alias("at"), F.concat(ids, state["ids"]).alias("ids"))).otherwise(state)
+        return F.when(at > 0, F.struct(node["back"].alias("at"), F.concat(ids, state["ids"]).alias("ids"))).otherwise(state)
 
     end = F.struct((F.size("best") - 1).alias("at"), F.array().cast("array<int>").alias("ids"))
-    paths = solved.select("segment", F.aggregate(F.sequence(F.lit(1), F.length("segment")), end, walk, lambda s: s["ids"]).alias("ids"))
-    return paths
+    return solved.select("segment", *carried, F.aggregate(F.sequence(F.lit(1), F.length("segment")), end, walk, lambda s: s["ids"]).alias("ids"))
 
 
-def decode(coded: DataFrame, pieces: DataFrame, known: dict, key: str) -> DataFrame:
-    """key and text of coded (key, ids)."""
-    base = known["byte"]
-    steps = coded.select(key, F.posexplode("ids").alias("_at", "id"))
+def decode(coded: DataFrame, pieces: DataFrame, known: dict, key: str, *carried: str) -> DataFrame:
+    """key, the carried columns, ids and text (with blanks for U+2581) of coded, whose keys are distinct and ids not empty."""
+    steps = coded.select(key, *carried, F.posexplode("ids").alias("_at", "id"))
     found = steps.join(F.broadcast(pieces.select("id", "piece")), "id", "left")
-    code = F.coalesce(F.hex(F.encode("piece", "UTF-8")), F.lpad(F.hex(F.col("id") - F.lit(base)), 2, "0"))
-    parts = found.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_at", code.alias("c")))).alias("_c"))
-    return parts.select(key, F.decode(F.unhex(F.array_join(F.col("_c.c"), "")), "UTF-8").alias("text"))
+    code = F.coalesce(F.hex(F.encode("piece", "UTF-8")), F.lpad(F.hex(F.col("id") - F.lit(known["byte"])), 2, "0"))
+    parts = found.groupBy(key, *carried).agg(F.sort_array(F.collect_list(F.struct("_at", "id", code.alias("c")))).alias("_c"))
+    return parts.select(key, *carried, F.col("_c.id").alias("ids"), F.translate(F.decode(F.unhex(F.array_join(F.col("_c.c"), "")), "UTF-8"), SPACE, " ").alias("text"))
 
 
 def _digest(segment_code, at):
@@ -160,24 +166,22 @@ def documents(docs: DataFrame, path: str) -> DataFrame:
     spark = docs.sparkSession
     docs = columns(docs, "doc_id", "text")
     pieces, known = piece_table(spark, path)
-    counts = segment_counts(docs)
-    coded = checkpointed(encode(counts.select("segment"), pieces, known))
-    back = decode(coded, pieces, known, "segment")
+    counts = segment_counts(docs, known["runs"])
+    # one chain: lattice, ids and decoded text of a segment stay in its partition
+    coded = decode(encode(counts, pieces, known, "n"), pieces, known, "segment", "n")
     code = F.pmod(F.xxhash64("ids"), F.lit(PRIME))
-    words = checkpointed(
-        coded.join(back.withColumnRenamed("text", "_text"), "segment", "left")
-        .select("segment", F.size("ids").cast("bigint").alias("pieces"), code.cast("bigint").alias("code"), (F.col("segment") == F.coalesce("_text", F.lit(""))).alias("same"))
-        .join(counts, "segment")
-    )
+    words = checkpointed(coded.select("segment", "n", F.size("ids").cast("bigint").alias("pieces"), code.cast("bigint").alias("code"), (F.col("segment") == F.col("text")).alias("same")))
     top = words.orderBy(F.desc("n"), "segment").limit(KNOWN).toArrow()
     shared = spark.sparkContext.broadcast((raw(top.column("segment")), *(top.column(c).to_numpy() for c in ("pieces", "code")), np.array(top.column("same").to_pylist(), dtype=bool)))
 
+    runs = known["runs"]
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed, size, codes, same = shared.value
         places = dict(zip(listed, range(len(listed)), strict=True))
         size, codes, same = np.append(size, 0), np.append(codes, 0), np.append(same, True)
         for batch in chunks(batches, limit=4_000_000):
-            split = [segments(t) if t else [] for t in raw(batch.column("text"))]
+            split = [segments(t, runs) if t else [] for t in raw(batch.column("text"))]
             n = np.fromiter(map(len, split), np.int64, len(split))
             words_ = list(chain.from_iterable(split))
             at = np.fromiter((places.get(w, -1) for w in words_), np.int64, len(words_))
