@@ -17,7 +17,7 @@ probability near 1e-5.
 4. Buckets of at most `FEW` members that are still in several components are
    compared to the end. Members of larger ones are banded anew with longer
    bands, which part unlike documents that share a common passage, and get
-   further pivots there, twice as many in each round, until every two members
+   further pivots there, four times as many in each round, until every two members
    have been compared or are connected. So a large group of copies costs one
    comparison for each of its members, and no bucket is left unfinished.
 
@@ -174,17 +174,23 @@ def similar(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.select("a", "b", "_a", "_b").mapInArrow(task, "a bigint, b bigint")
 
 
+def narrow(df: DataFrame) -> DataFrame:
+    """df checkpointed in a sixteenth of the shuffle's partitions: for tables of a few numbers for each linked document."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return checkpointed(df.coalesce(max(4, parts // 16)))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node and component (least node reachable) for the nodes of edges (a, b); rounds of large-star and small-star."""
-    now = checkpointed(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    now = narrow(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = None
     while True:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        least = both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"))
+        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         near = large.join(least, "a")
-        now = checkpointed(near.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(near.select("a", F.col("m").alias("b"))).distinct())
+        now = narrow(near.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(near.select("a", F.col("m").alias("b"))).distinct())
         got = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
         if tuple(got) == state:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
@@ -257,21 +263,21 @@ def link(docs: DataFrame, k: int = 5) -> DataFrame:
     met = buckets(classes, _BAND)
     wanted = met.select("doc").distinct()
     known = checkpointed(classes.drop("key").join(texts_of(docs, wanted), "doc"))
-    parts = joined(None, confirmed(known, checkpointed(stars(met)), k))
-    rest = checkpointed(crowded(met, parts, 1))
+    parts = joined(None, confirmed(known, narrow(stars(met)), k))
+    rest = narrow(crowded(met, parts, 1))
     # small buckets: their members meet all earlier ones, a bounded number
-    parts = joined(parts, confirmed(known, checkpointed(further(rest.filter(f"size <= {FEW}"), 1, FEW - 2)), k))
+    parts = joined(parts, confirmed(known, narrow(further(rest.filter(f"size <= {FEW}"), 1, FEW - 2)), k))
     # the others are dealt anew by longer bands, where unlike documents seldom meet
     again = known.join(rest.filter(f"size > {FEW}").select("doc").distinct(), "doc", "left_semi")
     finer = buckets(again, _LONG_BAND)
-    parts = joined(parts, confirmed(known, checkpointed(stars(finer)), k))
-    done, more = 1, 2
+    parts = joined(parts, confirmed(known, narrow(stars(finer)), k))
+    done, more = 1, 8
     while True:
-        rest = checkpointed(crowded(finer, parts, done))
+        rest = narrow(crowded(finer, parts, done))
         if rest.isEmpty():
             break
-        parts = joined(parts, confirmed(known, checkpointed(further(rest, done, more)), k))
-        finer, done, more = rest.drop("part", "size"), done + more, 2 * more
+        parts = joined(parts, confirmed(known, narrow(further(rest, done, more)), k))
+        finer, done, more = rest.drop("part", "size"), done + more, 4 * more
     named = classes.select("key", "doc").distinct().join(parts.withColumnRenamed("node", "doc"), "doc", "left").select(F.col("key").alias("_key"), F.coalesce("component", "doc").alias("_c"))
     out = feats.select("doc_id", "n_shingles", "key").join(named, F.col("key") == F.col("_key"), "left")
     part = F.when(F.col("doc_id").isNotNull(), F.coalesce("_c", "doc_id"))
