@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,15 +36,27 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the folder that the cluster shares."""
-    jsc = df.sparkSession.sparkContext._jsc.sc()
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster shares; where none is named, a temporary one."""
+    jsc = spark.sparkContext._jsc.sc()
     if not jsc.getCheckpointDir().isDefined():
-        where = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        df.sparkSession.sparkContext.setCheckpointDir(where or tempfile.mkdtemp(prefix="placeflow-"))
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="placeflow-"))
+    return jsc.getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df, computed once and kept in the shared folder."""
+    _shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df, computed once and kept as a Parquet table in the shared folder: for wide rows, which a checkpoint keeps unpacked."""
+    path = f"{_shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def raw(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     """UTF-8 bytes of a string column, without decoding it."""
     return column.cast(pa.binary()).to_pylist()

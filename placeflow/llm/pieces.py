@@ -1,8 +1,8 @@
 """Operator 6: SentencePiece encoding and decoding as a relational lattice.
 
 Text is normalised as the piece model does (a dummy space in front, spaces as
-U+2581) and cut into segments at line ends and before runs of spaces, which no
-piece crosses. Distinct segments are counted over all documents, and only they
+U+2581) and cut into segments where no piece reaches across: at line ends, before
+spaces, and between letters and most marks. Distinct segments are counted over all documents, and only they
 are encoded:
 
 1. explode all substrings of at most the longest piece's length,
@@ -38,31 +38,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeflow.llm.common import checkpointed, chunks, columns, raw, table
+from placeflow.llm.common import chunks, columns, raw, table, written
 
 SPACE = "▁"
 NEVER = -1e8
 #: Segments whose encoding is broadcast to the tasks; rarer ones meet theirs in a join.
-KNOWN = 100_000
+KNOWN = 300_000
 HELD = 250_000
 PRIME = 2_147_483_647
 
 _SPACE = SPACE.encode()
-_RUNS = re.compile(rb"\n| *[^ \n]+| +")
+_RUN = re.compile(rb" +")
 
 
-def segments(text: bytes, whole_runs: bool = False) -> list[bytes]:
+def segments(text: bytes, known: dict) -> list[bytes]:
     """Segments of a text, with a blank for U+2581; they join to the normalised text.
 
-    With whole_runs, spaces in a row stay together (for models with pieces of
-    several spaces); else each starts a segment.
+    Cuts fall where no piece reaches across: at line ends, between a letter and
+    the marks in known["cuts"], and before spaces (before runs of spaces if the
+    model has pieces of several).
     """
     if not text:
         return []
     text = b" " + text.replace(_SPACE, b" ")
-    if whole_runs or b"\0" in text:
-        return _RUNS.findall(text) if whole_runs else [s for r in _RUNS.findall(text) for s in (r[: len(r) - len(r.lstrip(b" "))].replace(b" ", b"\0 ")[1:].split(b"\0")[:-1] + [b" " + r.lstrip(b" ")] if r.startswith(b"  ") else [r])]
-    return [s for s in text.replace(b" ", b"\0 ").replace(b"\n", b"\0\n\0").split(b"\0") if s]
+    if b"\0" in text:  # used as the cut below
+        return list(chain.from_iterable([b"\0"] * (i > 0) + _cut(part, known) for i, part in enumerate(text.split(b"\0"))))
+    return _cut(text, known)
+
+
+def _cut(text: bytes, known: dict) -> list[bytes]:
+    if known["runs"]:
+        text = _RUN.sub(rb"\0\g<0>", text)
+    else:
+        text = text.replace(b" ", b"\0 ")
+    if known["cuts"]:
+        text = re.sub(known["cuts"], rb"\0\g<0>", text)
+    return [s for s in text.replace(b"\n", b"\0\n\0").split(b"\0") if s]
 
 
 def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
@@ -72,7 +83,11 @@ def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     plain = [i for i in range(sp.get_piece_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
     rows = [(sp.id_to_piece(i), i, float(sp.get_score(i))) for i in plain if sp.get_score(i) > NEVER]
+    pairs = {p[i : i + 2] for p, _, _ in rows for i in range(len(p) - 1)}
+    # marks that no piece has after a letter (a letter: ASCII, or any character beyond it)
+    marks = [m for m in map(chr, range(33, 127)) if not m.isalnum() and not any(b == m and (a.isalpha() or ord(a) > 127) and a != SPACE for a, b in pairs)]
     known = {
+        "cuts": b"(?<=[A-Za-z\x80-\xff])[" + re.escape("".join(marks)).encode() + b"]" if marks else b"",
         "longest": max(len(p) for p, _, _ in rows),
         "unknown": min(s for _, _, s in rows) - 10.0,
         "byte": sp.piece_to_id("<0x00>"),
@@ -82,7 +97,7 @@ def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
     return spark.createDataFrame(frame), known
 
 
-def segment_counts(docs: DataFrame, whole_runs: bool = False) -> DataFrame:
+def segment_counts(docs: DataFrame, known: dict) -> DataFrame:
     """segment and n over all texts, in small partitions by segment (each segment will have a lattice)."""
     parts = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -95,7 +110,7 @@ def segment_counts(docs: DataFrame, whole_runs: bool = False) -> DataFrame:
             return rows
 
         for batch in chunks(batches, limit=4_000_000):
-            seen.update(chain.from_iterable(segments(t, whole_runs) for t in raw(batch.column("text")) if t))
+            seen.update(chain.from_iterable(segments(t, known) for t in raw(batch.column("text")) if t))
             if len(seen) > HELD:
                 yield out()
         if seen:
@@ -166,22 +181,20 @@ def documents(docs: DataFrame, path: str) -> DataFrame:
     spark = docs.sparkSession
     docs = columns(docs, "doc_id", "text")
     pieces, known = piece_table(spark, path)
-    counts = segment_counts(docs, known["runs"])
+    counts = segment_counts(docs, known)
     # one chain: lattice, ids and decoded text of a segment stay in its partition
     coded = decode(encode(counts, pieces, known, "n"), pieces, known, "segment", "n")
     code = F.pmod(F.xxhash64("ids"), F.lit(PRIME))
-    words = checkpointed(coded.select("segment", "n", F.size("ids").cast("bigint").alias("pieces"), code.cast("bigint").alias("code"), (F.col("segment") == F.col("text")).alias("same")))
+    words = written(coded.select("segment", "n", F.size("ids").cast("bigint").alias("pieces"), code.cast("bigint").alias("code"), (F.col("segment") == F.col("text")).alias("same")))
     top = words.orderBy(F.desc("n"), "segment").limit(KNOWN).toArrow()
     shared = spark.sparkContext.broadcast((raw(top.column("segment")), *(top.column(c).to_numpy() for c in ("pieces", "code")), np.array(top.column("same").to_pylist(), dtype=bool)))
 
-    runs = known["runs"]
-
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed, size, codes, same = shared.value
         places = dict(zip(listed, range(len(listed)), strict=True))
         size, codes, same = np.append(size, 0), np.append(codes, 0), np.append(same, True)
         for batch in chunks(batches, limit=4_000_000):
-            split = [segments(t, runs) if t else [] for t in raw(batch.column("text"))]
+            split = [segments(t, known) if t else [] for t in raw(batch.column("text"))]
             n = np.fromiter(map(len, split), np.int64, len(split))
             words_ = list(chain.from_iterable(split))
             at = np.fromiter((places.get(w, -1) for w in words_), np.int64, len(words_))
@@ -199,7 +212,7 @@ def documents(docs: DataFrame, path: str) -> DataFrame:
 
     kinds = "doc_id bigint, n_segments bigint, pieces bigint, digest bigint, same boolean, tail array<struct<at: bigint, segment: string>>"
     # the row numbers hold once they are written
-    rows = checkpointed(docs.mapInArrow(task, kinds).withColumn("_row", F.monotonically_increasing_id()))
+    rows = written(docs.mapInArrow(task, kinds).withColumn("_row", F.monotonically_increasing_id()))
     rare = rows.select("_row", F.explode("tail").alias("_t")).select("_row", "_t.at", "_t.segment")
     met = rare.join(words.drop("n"), "segment", "left").groupBy("_row").agg(
         F.sum("pieces").alias("_pieces"), F.sum(_digest(F.col("code"), F.col("at"))).alias("_digest"), F.min(F.coalesce("same", F.lit(False))).alias("_same")
