@@ -1,4 +1,513 @@
-"""Named queries over the driver's tables, each with an equivalent SQL text."""
+"""Named queries over the driver's tables, each with an equivalent SQL text (DuckDB) where SQL can say it.
 
-QUERIES: dict = {}
+The tables hold no nulls, so queries about them put some in with NULLIF, and
+the SQL does the same.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from placeflow.functions import html, text
+from placeflow.operators import dedup, joins, partition, sampling, stats
+from placeflow.streaming import incremental
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def read(spark: SparkSession, d: str, name: str, *cols: str) -> DataFrame:
+    df = spark.read.parquet(f"{d}/{name}.parquet")
+    return df.select(*cols) if cols else df
+
+
+def _nulled(orders: DataFrame) -> DataFrame:
+    return orders.select(
+        "o_orderkey", "o_custkey", F.nullif("o_orderstatus", F.lit("F")).alias("status"), F.nullif("o_orderpriority", F.lit("5-LOW")).alias("priority"),
+        F.when(F.col("o_totalprice") >= 100000, F.col("o_totalprice")).alias("price"),
+    )
+
+
+_NULLED = """(SELECT o_orderkey, o_custkey, NULLIF(o_orderstatus,'F') AS status, NULLIF(o_orderpriority,'5-LOW') AS priority,
+  CASE WHEN o_totalprice >= 100000 THEN o_totalprice END AS price FROM orders)"""
+
+
+# deduplication and merging
+
+
+@query(f"""SELECT o_orderkey, o_custkey, status, priority, price FROM {_NULLED} QUALIFY row_number() OVER (PARTITION BY o_custkey
+  ORDER BY (status IS NOT NULL)::INT + (priority IS NOT NULL)::INT + (price IS NOT NULL)::INT DESC, o_orderkey) = 1""")
+def completeness_dedup(spark, d):
+    return dedup.most_complete(_nulled(read(spark, d, "orders")), "o_custkey", ["o_orderkey"])
+
+
+@query(f"""SELECT k, o_orderkey, status, priority FROM (SELECT NULLIF(o_custkey % 7, 0) AS k, * FROM {_NULLED})
+  QUALIFY row_number() OVER (PARTITION BY k ORDER BY (status IS NOT NULL)::INT + (priority IS NOT NULL)::INT DESC, o_orderkey) = 1""")
+def completeness_dedup_nullkey(spark, d):
+    rows = _nulled(read(spark, d, "orders")).select(F.nullif(F.col("o_custkey") % 7, F.lit(0)).alias("k"), "o_orderkey", "status", "priority")
+    return dedup.most_complete(rows, "k", ["o_orderkey"])
+
+
+@query(f"""WITH t AS (SELECT CASE WHEN o_custkey % 7 = 0 THEN 'N/A' ELSE CAST(o_custkey % 7 AS VARCHAR) END AS k, o_orderkey, COALESCE(status, 'N/A') AS status, priority FROM {_NULLED})
+  SELECT k, o_orderkey, status, priority FROM t WHERE k <> 'N/A' QUALIFY row_number() OVER (PARTITION BY k ORDER BY (status <> 'N/A')::INT + (priority IS NOT NULL)::INT DESC, o_orderkey) = 1
+  UNION ALL SELECT k, o_orderkey, status, priority FROM t WHERE k = 'N/A'""")
+def completeness_dedup_sentinel(spark, d):
+    rows = _nulled(read(spark, d, "orders")).select(
+        F.when(F.col("o_custkey") % 7 == 0, "N/A").otherwise((F.col("o_custkey") % 7).cast("string")).alias("k"), "o_orderkey", F.coalesce("status", F.lit("N/A")).alias("status"), "priority"
+    )
+    return dedup.most_complete(rows, "k", ["o_orderkey"], sentinels=("N/A",), keep_unidentified=True)
+
+
+@query("SELECT doc_id, lang, text FROM documents QUALIFY row_number() OVER (PARTITION BY lang, text ORDER BY doc_id) = 1")
+def keep_first_dedup(spark, d):
+    return dedup.keep_first(read(spark, d, "documents", "doc_id", "lang", "text"), ["lang", "text"], ["doc_id"])
+
+
+@query("""SELECT user_id, event_type, max(event_id) AS event_id, arg_max(value, event_id) AS value FROM events GROUP BY ALL""")
+def lww_merge(spark, d):
+    return dedup.last_writer(read(spark, d, "events", "user_id", "event_type", "event_id", "value"), ["user_id", "event_type"], ["event_id"])
+
+
+@query("""SELECT count(*) - count(DISTINCT k) AS reported, CAST(count(*) - count(DISTINCT k) - max((k IS NULL)::INT) AS BIGINT) AS removed
+  FROM (SELECT NULLIF(o_custkey % 50, 0) AS k FROM orders)""")
+def duplicate_count(spark, d):
+    return dedup.duplicates(read(spark, d, "orders").select(F.nullif(F.col("o_custkey") % 50, F.lit(0)).alias("k")), "k")
+
+
+@query("SELECT text, count(*) AS n FROM documents GROUP BY text HAVING count(*) > 1")
+def uniqueness_check(spark, d):
+    return dedup.violations(read(spark, d, "documents", "text"), "text")
+
+
+@query("SELECT doc_id, count(*) AS n FROM documents GROUP BY doc_id HAVING count(*) > 1")
+def uniqueness_holds(spark, d):
+    return dedup.violations(read(spark, d, "documents", "doc_id"), "doc_id")
+
+
+# joins
+
+
+@query("""SELECT d.doc_id, COALESCE(l.quality, 0) AS quality, l.quality IS NOT NULL AS has_label FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
+def left_join_defaults(spark, d):
+    docs, labels = read(spark, d, "documents", "doc_id"), read(spark, d, "labels", "doc_id", "quality").withColumn("has_label", F.lit(True))
+    return joins.left_defaults(docs, labels, "doc_id", {"quality": 0, "has_label": False})
+
+
+@query("""SELECT o.o_orderkey, o.o_custkey, COALESCE(c.c_name, 'Unknown') AS c_name FROM orders o LEFT JOIN
+  (SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'BUILDING') c ON o.o_custkey = c.c_custkey""")
+def first_match_lookup(spark, d):
+    names = read(spark, d, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    return joins.first_match(read(spark, d, "orders", "o_orderkey", "o_custkey"), names, "o_custkey", "c_name", ["c_name"])
+
+
+@query("SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def pending_anti_join(spark, d):
+    return joins.pending(read(spark, d, "documents", "doc_id", "lang"), read(spark, d, "labels"), "doc_id")
+
+
+@query("SELECT count(*) AS n FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)")
+def membership_semi_join(spark, d):
+    orders = read(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return joins.members(read(spark, d, "customer", "c_custkey"), orders, "c_custkey").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT c_custkey, n_orders FROM customer LEFT JOIN (SELECT o_custkey, count(status) AS n_orders FROM (SELECT o_custkey, NULLIF(o_orderstatus,'F') AS status FROM orders) GROUP BY 1)
+  ON c_custkey = o_custkey""")
+def agg_then_left_join(spark, d):
+    orders = read(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), F.nullif("o_orderstatus", F.lit("F")).alias("status"))
+    return joins.counted(read(spark, d, "customer", "c_custkey"), orders, "c_custkey", "status", "n_orders")
+
+
+@query("SELECT n_name AS gu, r_name AS dong, k AS keyword FROM nation JOIN region ON n_regionkey = r_regionkey, (VALUES ('a'), ('b'), ('c')) t(k)")
+def task_cross_product(spark, d):
+    from placeflow.sources.files import tasks
+
+    dim = read(spark, d, "nation").join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("gu"), F.col("r_name").alias("dong"))
+    return tasks(dim, ["a", "b", "c"])
+
+
+# pages
+
+
+@query("""WITH n AS (SELECT page_id, regexp_extract(html, '(?s)<nav.*?</nav>') AS nav FROM pages),
+  l AS (SELECT page_id, unnest(regexp_extract_all(nav, 'href="([^"]*)"', 1)) AS href, generate_subscripts(regexp_extract_all(nav, 'href="([^"]*)"', 1), 1) AS i FROM n)
+  SELECT p.page_id, l.i::INT AS ordinal, l.href FROM pages p LEFT JOIN l ON p.page_id = l.page_id""")
+def explode_outer_links(spark, d):
+    links = read(spark, d, "pages").select("page_id", F.posexplode_outer(html.read_links("html", "nav")["value"]).alias("_p", "href"))
+    return links.select("page_id", (F.col("_p") + 1).alias("ordinal"), "href")
+
+
+@query("""SELECT page_id, replace(trim(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)), '&amp;', '&') AS title FROM pages""")
+def html_title(spark, d):
+    return read(spark, d, "pages").select("page_id", F.get(html.read_texts("html", "title")["value"], F.lit(0)).alias("title"))
+
+
+@query("""SELECT page_id, len(regexp_extract_all(html, '<a [^>]*href=')) AS n_links FROM pages""")
+def html_link_count(spark, d):
+    return read(spark, d, "pages").select("page_id", F.size(html.read_links("html")["value"]).cast("bigint").alias("n_links"))
+
+
+@query("""WITH i AS (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<li>(.*?)</li>', 1)) AS t FROM pages)
+  SELECT page_id, replace(trim(regexp_replace(t, '<[^>]*>', '', 'g')), '&amp;', '&') AS item FROM i WHERE trim(regexp_replace(t, '<[^>]*>', '', 'g')) <> ''""")
+def html_list_items(spark, d):
+    return read(spark, d, "pages").select("page_id", F.explode(html.read_texts("html", "li")["value"]).alias("item"))
+
+
+@query("SELECT page_id, NULLIF(regexp_extract(replace(url, '://', '/place/1'), '/place/(\\d+)', 1), '') AS place FROM pages")
+def url_id_extract(spark, d):
+    return read(spark, d, "pages").select("page_id", text.place_id(F.replace("url", F.lit("://"), F.lit("/place/1"))).alias("place"))
+
+
+@query("SELECT page_id, NULLIF(regexp_extract(concat(url, '/place/', page_id, '?x=1'), '^(.*?/place/\\d+)', 1), '') AS clean FROM pages")
+def url_clean(spark, d):
+    return read(spark, d, "pages").select("page_id", text.place_url(F.concat("url", F.lit("/place/"), F.col("page_id").cast("string"), F.lit("?x=1"))).alias("clean"))
+
+
+@query("SELECT doc_id, replace(url_encode(text), '%2F', '/') AS quoted FROM documents")
+def url_quote(spark, d):
+    return read(spark, d, "documents").select("doc_id", text.quote("text").alias("quoted"))
+
+
+@query("""SELECT page_id, CASE WHEN html LIKE '%<nav%' AND html LIKE '%<table%' THEN 'dual' WHEN html LIKE '%<nav%' THEN 'single' ELSE 'none' END AS frames FROM pages""")
+def frame_structure(spark, d):
+    return read(spark, d, "pages").select("page_id", html.frame_structure(F.contains("html", F.lit("<nav")), F.contains("html", F.lit("<table"))).alias("frames"))
+
+
+# partitions
+
+
+@query("SELECT c_custkey, i AS row_index FROM (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS i FROM customer) WHERE i % 4 = 1")
+def modulo_partition(spark, d):
+    return partition.modulo(read(spark, d, "customer", "c_custkey"), ["c_custkey"], 1, 4)
+
+
+@query("SELECT c_custkey, i AS row_index FROM (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS i FROM customer) WHERE i % 5 = 1")
+def stride_partition(spark, d):
+    return partition.stride(read(spark, d, "customer", "c_custkey"), ["c_custkey"], 2, 5)
+
+
+@query("""SELECT c_custkey, c_mktsegment, i AS row_index FROM (SELECT *, row_number() OVER (ORDER BY c_custkey) - 1 AS i FROM customer) WHERE i % 3 = 0 AND c_mktsegment = 'BUILDING'""")
+def partition_then_filter(spark, d):
+    return partition.slice_then_filter(read(spark, d, "customer", "c_custkey", "c_mktsegment"), ["c_custkey"], 0, 3, F.col("c_mktsegment") == "BUILDING")
+
+
+@query("""SELECT c_custkey, c_mktsegment, i AS row_index FROM (SELECT *, row_number() OVER (ORDER BY c_custkey) - 1 AS i FROM customer WHERE c_mktsegment = 'BUILDING') WHERE i % 3 = 0""")
+def filter_then_partition(spark, d):
+    return partition.filter_then_slice(read(spark, d, "customer", "c_custkey", "c_mktsegment"), ["c_custkey"], 1, 3, F.col("c_mktsegment") == "BUILDING")
+
+
+@query("SELECT i % 4 AS part, count(*) AS n FROM (SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS i FROM customer) GROUP BY 1")
+def partition_cover(spark, d):
+    return partition.row_index(read(spark, d, "customer", "c_custkey"), ["c_custkey"]).groupBy((F.col("row_index") % 4).alias("part")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT worker, count(*) AS n FROM (SELECT CAST((row_number() OVER (ORDER BY s_suppkey) - 1) % 3 AS INT) AS worker FROM supplier) GROUP BY 1")
+def round_robin(spark, d):
+    return partition.round_robin(read(spark, d, "supplier", "s_suppkey"), ["s_suppkey"], 3).groupBy("worker").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT o_orderkey, i AS row_index FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders) WHERE i >= 10 AND i < 60")
+def row_range(spark, d):
+    return partition.row_range(read(spark, d, "orders", "o_orderkey"), ["o_orderkey"], 10, 60)
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (c_mktsegment = 'BUILDING') AS part, 100.0 * count(*) FILTER (c_mktsegment = 'BUILDING') / count(*) AS percent FROM customer")
+def partition_share(spark, d):
+    return partition.share(read(spark, d, "customer"), F.col("c_mktsegment") == "BUILDING")
+
+
+@query("SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber)::INT AS position FROM lineitem")
+def running_position(spark, d):
+    return read(spark, d, "lineitem", "l_orderkey", "l_linenumber").withColumn("position", partition.ordinal(["l_orderkey"], ["l_linenumber"]))
+
+
+@query("""SELECT conv_id, role, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn)::INT AS position FROM
+  (SELECT conv_id, role, min(turn) AS turn FROM conversations GROUP BY 1, 2)""")
+def name_dedup_position(spark, d):
+    first = dedup.keep_first(read(spark, d, "conversations", "conv_id", "role", "turn"), ["conv_id", "role"], ["turn"])
+    return first.withColumn("position", partition.ordinal(["conv_id"], ["turn"]))
+
+
+# statistics
+
+
+@query("""SELECT count(*) AS processed, count(*) FILTER (l.doc_id IS NOT NULL) AS with_info, count(*) FILTER (l.quality = 1) AS parsed,
+  count(*) FILTER (d.source <> '' AND l.doc_id IS NOT NULL) AS verified FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
+def checkpoint_stats(spark, d):
+    both = read(spark, d, "documents", "doc_id", "source").join(read(spark, d, "labels", "doc_id", "quality"), "doc_id", "left")
+    return stats.checkpoint_stats(both.select(F.col("quality").isNotNull().alias("has_medical_info"), (F.col("quality") == 1).alias("parsing_success"), F.when(F.col("quality").isNotNull(), F.col("source")).alias("verified_place_id")))
+
+
+@query("""SELECT count(*) AS total, count(*) FILTER (n > 0) AS with_reviews, CAST(sum(n) AS BIGINT) AS total_reviews, sum(n) / NULLIF(count(*) FILTER (n > 0), 0) AS per_place
+  FROM (SELECT c_custkey, count(o_orderkey) AS n FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1)""")
+def guarded_ratio(spark, d):
+    n = joins.counted(read(spark, d, "customer", "c_custkey"), read(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey"), "c_custkey", "o_orderkey", "review_count")
+    return stats.review_stats(n.withColumn("has_reviews", F.col("review_count") > 0))
+
+
+@query("SELECT count(*) AS n_rows, count(DISTINCT doc_id) AS n_places, count(*) FILTER (t IS NULL) AS without_reviews FROM (SELECT doc_id, NULLIF(lang, 'en') AS t FROM documents)")
+def merge_stats(spark, d):
+    return stats.merge_stats(read(spark, d, "documents").select(F.col("doc_id").alias("place_id"), F.nullif("lang", F.lit("en")).alias("review_text")))
+
+
+@query(f"""SELECT field, n FROM (SELECT 'status' AS field, count(status) AS n FROM {_NULLED} UNION ALL SELECT 'priority', count(priority) FROM {_NULLED}
+  UNION ALL SELECT 'price', count(price) FROM {_NULLED}) WHERE n > 0""")
+def presence_histogram(spark, d):
+    return stats.presence(_nulled(read(spark, d, "orders")), ["status", "priority", "price"])
+
+
+@query("SELECT count(*) AS n_rows, count(DISTINCT lang) AS n_lang, count(DISTINCT source) AS n_source, count(DISTINCT text) AS n_text, CAST(NULL AS BIGINT) AS n_missing FROM documents")
+def distinct_profile(spark, d):
+    return stats.profile(read(spark, d, "documents"), "lang", "source", "text", "missing")
+
+
+@query("SELECT strftime(min(ts), '%Y-%m-%d') AS first_day, strftime(max(ts), '%Y-%m-%d') AS last_day FROM events")
+def date_range(spark, d):
+    return stats.date_range(read(spark, d, "events"), "ts")
+
+
+@query("""WITH c AS (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1 HAVING count(*) >= 50)
+  SELECT count(c.n) AS done, count(*) AS total, 100.0 * count(c.n) / count(*) AS percent FROM nation LEFT JOIN c ON n_nationkey = c_nationkey""")
+def threshold_completion(spark, d):
+    return stats.completion(read(spark, d, "customer").select(F.col("c_nationkey").alias("n_nationkey")), ["n_nationkey"], read(spark, d, "nation"), 50)
+
+
+@query("SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1 HAVING count(*) >= 50")
+def threshold_filter(spark, d):
+    return stats.over_threshold(read(spark, d, "customer"), ["c_nationkey"], 50)
+
+
+_RUNS = "(SELECT user_id, list(DISTINCT event_type) AS words, count(*) AS n FROM events GROUP BY 1)"
+
+
+@query(f"SELECT keyword, CAST(sum(p) AS BIGINT) AS credit FROM (SELECT unnest(words) AS keyword, n // greatest(len(words), 1) AS p FROM {_RUNS}) GROUP BY 1")
+def keyword_credit(spark, d):
+    runs = read(spark, d, "events").groupBy("user_id").agg(F.collect_set("event_type").alias("completed_keywords"), F.count(F.lit(1)).alias("total_facilities"))
+    return stats.credit(runs)
+
+
+@query("SELECT event_type AS keyword, count(*) AS credit FROM events GROUP BY 1")
+def keyword_credit_actual(spark, d):
+    return stats.credit(read(spark, d, "events").select(F.col("event_type").alias("keyword"), F.lit(1).cast("bigint").alias("hits")), "actual")
+
+
+@query("""SELECT count(*) AS n_rows, count(*) FILTER (p IS NULL OR p <> 'N/A') AS with_phone, count(*) FILTER (p IS NULL) AS missing FROM
+  (SELECT CASE WHEN c_custkey % 3 = 0 THEN 'N/A' WHEN c_custkey % 5 = 0 THEN NULL ELSE c_name END AS p FROM customer)""")
+def sentinel_counts(spark, d):
+    p = F.when(F.col("c_custkey") % 3 == 0, "N/A").when(F.col("c_custkey") % 5 == 0, None).otherwise(F.col("c_name"))
+    return read(spark, d, "customer").select(p.alias("p")).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(joins.not_same(F.col("p"), "N/A")).alias("with_phone"), F.count_if(F.col("p").isNull()).alias("missing"))
+
+
+@query("SELECT o_orderpriority, count(*) AS n, 100.0 * count(*) / sum(count(*)) OVER () AS percent FROM orders GROUP BY 1")
+def category_breakdown(spark, d):
+    return stats.breakdown(read(spark, d, "orders"), "o_orderpriority")
+
+
+@query("SELECT p_brand, count(p_size) AS n, round(avg(p_size), 6) AS mean, min(p_size) AS least, max(p_size) AS most FROM part GROUP BY 1")
+def rating_summary(spark, d):
+    return stats.rating(read(spark, d, "part"), "p_size", "p_brand").withColumn("mean", F.round("mean", 6))
+
+
+@query("SELECT CAST(sum(n) AS BIGINT) AS total, count(*) AS groups FROM (SELECT len(list(n_name)) AS n FROM nation GROUP BY n_regionkey)")
+def sum_of_lengths(spark, d):
+    lists = read(spark, d, "nation").groupBy("n_regionkey").agg(F.collect_list("n_name").alias("names"))
+    return lists.agg(F.sum(F.size("names")).alias("total"), F.count(F.lit(1)).alias("groups"))
+
+
+# samples, order, limits
+
+
+@query("""WITH t AS (SELECT d.doc_id, l.doc_id IS NOT NULL AS stratum FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+  r AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY md5(concat(doc_id, ':42')), doc_id) AS n FROM t)
+  SELECT doc_id, stratum FROM r WHERE n <= CASE WHEN stratum THEN 6 ELSE 4 END""")
+def stratified_sample(spark, d):
+    both = read(spark, d, "documents", "doc_id").join(read(spark, d, "labels").select("doc_id", F.lit(True).alias("_l")), "doc_id", "left")
+    return sampling.stratified(both, 10, F.col("_l"), "doc_id").drop("_l")
+
+
+@query("SELECT doc_id FROM documents ORDER BY md5(concat(doc_id, ':42')), doc_id LIMIT 10")
+def plain_sample(spark, d):
+    return sampling.plain(read(spark, d, "documents", "doc_id"), 10, "doc_id")
+
+
+@query("SELECT p_type, count(*) AS n FROM part GROUP BY 1 ORDER BY n DESC, p_type LIMIT 10")
+def top_k_fields(spark, d):
+    return read(spark, d, "part").groupBy("p_type").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "p_type").limit(10)
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_linenumber <= 2")
+def page_cutoff(spark, d):
+    return read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_quantity").filter("l_linenumber <= 2")
+
+
+@query("SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 20")
+def head_rows(spark, d):
+    return read(spark, d, "customer", "c_custkey", "c_name").orderBy("c_custkey").limit(20)
+
+
+# filters
+
+
+@query("SELECT doc_id, t FROM (SELECT doc_id, NULLIF(lang, 'en') AS t, NULLIF(source, 'src0') AS s FROM documents) WHERE t IS NOT NULL AND s IS NOT NULL")
+def not_null_filter(spark, d):
+    rows = read(spark, d, "documents").select("doc_id", F.nullif("lang", F.lit("en")).alias("t"), F.nullif("source", F.lit("src0")).alias("s"))
+    return rows.filter("t IS NOT NULL AND s IS NOT NULL").drop("s")
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE regexp_matches(p_name, 'bolt|gear|red')")
+def regex_keyword_filter(spark, d):
+    return read(spark, d, "part", "p_partkey", "p_name").filter(text.has_pattern("p_name", "bolt|gear|red"))
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE contains(p_name, 'bolt') OR contains(p_name, 'gear') OR contains(p_name, 'red')")
+def any_keyword_filter(spark, d):
+    return read(spark, d, "part", "p_partkey", "p_name").filter(text.has_any("p_name", ["bolt", "gear", "red"]))
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority = '1-URGENT'")
+def equality_filter(spark, d):
+    return read(spark, d, "orders").filter("o_orderstatus = 'O' AND o_orderpriority = '1-URGENT'").select("o_orderkey")
+
+
+@query("""SELECT doc_id, s IS NOT NULL AND s <> '' AS filled FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 3 = 1 THEN '' ELSE source END AS s FROM documents)""")
+def filled_flag(spark, d):
+    s = F.when(F.col("doc_id") % 3 == 0, None).when(F.col("doc_id") % 3 == 1, "").otherwise(F.col("source"))
+    return read(spark, d, "documents").select("doc_id", F.coalesce(s != "", F.lit(False)).alias("filled"))
+
+
+@query("SELECT p_partkey, CASE WHEN contains(p_type, 'STEEL') THEN 1 WHEN contains(p_type, 'BRASS') THEN 2 WHEN contains(p_type, 'STANDARD') THEN 3 ELSE 0 END AS section FROM part")
+def section_router(spark, d):
+    t = lambda w: F.contains("p_type", F.lit(w))
+    return read(spark, d, "part").select("p_partkey", F.when(t("STEEL"), 1).when(t("BRASS"), 2).when(t("STANDARD"), 3).otherwise(0).alias("section"))
+
+
+# scalar functions
+
+
+@query("""SELECT doc_id, CASE WHEN s IS NULL OR s = '' THEN 'N/A' WHEN length(s) > 20 THEN concat(left(s, 20), '...') ELSE s END AS short FROM
+  (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 5 = 1 THEN '' ELSE text END AS s FROM documents)""")
+def safe_str_truncate(spark, d):
+    s = F.when(F.col("doc_id") % 5 == 0, None).when(F.col("doc_id") % 5 == 1, "").otherwise(F.col("text"))
+    return read(spark, d, "documents").select("doc_id", text.safe_str(s, longest=20).alias("short"))
+
+
+@query("SELECT o_orderkey, regexp_replace(concat(o_custkey, CASE WHEN o_orderkey % 2 = 0 THEN '.0' ELSE '' END), '\\.0$', '') AS id FROM orders")
+def clean_id(spark, d):
+    return read(spark, d, "orders").select("o_orderkey", text.clean_id(F.concat(F.col("o_custkey").cast("string"), F.when(F.col("o_orderkey") % 2 == 0, ".0").otherwise(""))).alias("id"))
+
+
+@query("SELECT doc_id, regexp_replace(concat(chr(160), ' ', lang, chr(9), chr(12288)), '^[\\s\\x{A0}\\x{3000}]+|[\\s\\x{A0}\\x{3000}]+$', '', 'g') AS s FROM documents")
+def strip_normalise(spark, d):
+    return read(spark, d, "documents").select("doc_id", text.strip(F.concat(F.lit("  "), F.col("lang"), F.lit("\t　"))).alias("s"))
+
+
+@query("SELECT conv_id, COALESCE(NULLIF(string_agg(NULLIF(role, 'user'), ', ' ORDER BY turn), ''), 'N/A') AS roles FROM conversations GROUP BY 1")
+def join_or_na(spark, d):
+    rows = F.array_compact(F.transform(F.sort_array(F.collect_list(F.struct("turn", "role"))), lambda x: F.nullif(x["role"], F.lit("user"))))
+    return read(spark, d, "conversations").groupBy("conv_id").agg(text.join_or_na(rows).alias("roles"))
+
+
+@query("SELECT doc_id, split_part(text, chr(10), 1) AS line FROM documents")
+def split_first_line(spark, d):
+    return read(spark, d, "documents").select("doc_id", text.first_line("text").alias("line"))
+
+
+@query("SELECT doc_id, trim(replace(concat(lang, ' ', source), lang, '')) AS rest FROM documents")
+def replace_header(spark, d):
+    return read(spark, d, "documents").select("doc_id", text.without(F.concat("lang", F.lit(" "), F.col("source")), "lang").alias("rest"))
+
+
+@query("SELECT doc_id, concat(left(text, 50), '...') AS preview, starts_with(source, 'src1') AS a, ends_with(source, '9') AS b FROM documents")
+def text_edges(spark, d):
+    return read(spark, d, "documents").select("doc_id", text.preview("text", 50).alias("preview"), F.startswith("source", F.lit("src1")).alias("a"), F.endswith("source", F.lit("9")).alias("b"))
+
+
+@query("SELECT n_nationkey, concat_ws('_', r_name, n_name) AS key, concat(r_name, ' ', n_name) AS term FROM nation JOIN region ON n_regionkey = r_regionkey")
+def dong_keys(spark, d):
+    both = read(spark, d, "nation").join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return both.select("n_nationkey", text.dong_key("r_name", "n_name").alias("key"), text.search_term("r_name", "n_name").alias("term"))
+
+
+@query("SELECT p_partkey, TRY_CAST(NULLIF(regexp_replace(concat(p_size, '명'), '[^0-9]', '', 'g'), '') AS BIGINT) AS n, lpad(CAST(p_size AS VARCHAR), 3, '0') AS padded, p_retailprice / 1048576 AS mib FROM part")
+def counts_as_text(spark, d):
+    return read(spark, d, "part").select("p_partkey", text.number(F.concat(F.col("p_size").cast("string"), F.lit("명"))).alias("n"), text.padded("p_size").alias("padded"), text.mebibytes("p_retailprice").alias("mib"))
+
+
+@query("""SELECT conv_id, concat('[', string_agg(CAST(to_json(concat(role, ' "', turn, '"')) AS VARCHAR), ', ' ORDER BY turn), ']') AS roles FROM conversations GROUP BY 1""")
+def json_stringify(spark, d):
+    role = F.concat("role", F.lit(' "'), F.col("turn").cast("string"), F.lit('"'))
+    items = F.transform(F.sort_array(F.collect_list(F.struct("turn", role.alias("v")))), lambda x: x["v"])
+    return read(spark, d, "conversations").groupBy("conv_id").agg(items.alias("v")).select("conv_id", text.json_array("v").alias("roles"))
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def json_props(spark, d):
+    return read(spark, d, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+
+
+@query("SELECT event_id, ts AS event_time, concat('x', event_id) AS bad_date FROM events")
+def datetime_coerce(spark, d):
+    from placeflow.sinks.files import coerce_times
+
+    return coerce_times(read(spark, d, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_time"), F.concat(F.lit("x"), F.col("event_id").cast("string")).alias("bad_date")))
+
+
+@query("""SELECT event_id, CASE WHEN event_type = 'click' THEN value END AS clicked, CASE WHEN event_type <> 'click' THEN event_type END AS kind FROM events""")
+def schema_union(spark, d):
+    e = read(spark, d, "events", "event_id", "event_type", "value")
+    a = e.filter("event_type = 'click'").select("event_id", F.col("value").alias("clicked"))
+    b = e.filter("event_type <> 'click'").select("event_id", F.col("event_type").alias("kind"))
+    return a.unionByName(b, allowMissingColumns=True)
+
+
+@query("SELECT k, count(*) AS n FROM (SELECT unnest(json_keys(props)) AS k FROM events) GROUP BY 1")
+def key_union(spark, d):
+    return read(spark, d, "events").select(F.explode(F.json_object_keys("props")).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT user_id, len(list(event_type)) AS n, CAST(len(list(DISTINCT event_type)) AS INT) AS kinds, list_contains(list(event_type), 'click') AS clicked FROM events GROUP BY 1")
+def array_functions(spark, d):
+    g = read(spark, d, "events").groupBy("user_id").agg(F.collect_list("event_type").alias("a"))
+    return g.select("user_id", F.size("a").cast("bigint").alias("n"), F.size(F.array_distinct("a")).alias("kinds"), F.array_contains("a", "click").alias("clicked"))
+
+
+@query("SELECT user_id, event_type AS k, count(*) AS n FROM events GROUP BY 1, 2")
+def map_explode(spark, d):
+    per = read(spark, d, "events").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    maps = per.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "n"))).alias("m"))
+    return maps.select("user_id", F.explode("m").alias("k", "n"))
+
+
+@query("SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') AS stamp, strftime(ts, '%Y-%m-%d') AS day FROM events")
+def time_stamps(spark, d):
+    return read(spark, d, "events").select("event_id", text.stamp(F.col("ts"), "yyyyMMdd_HHmmss").alias("stamp"), text.stamp(F.col("ts"), "yyyy-MM-dd").alias("day"))
+
+
+# beyond the batch flows
+
+
+@query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS stop, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
+def event_windows(spark, d):
+    w = incremental.windowed(read(spark, d, "events"), "ts", "value", "1 hour", None, "1 hour", "event_type")
+    return w.withColumn("total", F.round("total", 4))
+
+
+@query("""WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS s FROM events),
+  h AS (SELECT user_id, ts, sum(s) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM g)
+  SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS stop, count(*) AS n FROM h GROUP BY user_id, k""")
+def event_sessions(spark, d):
+    return incremental.sessions(read(spark, d, "events"), "ts", "user_id")
+
