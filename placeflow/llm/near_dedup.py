@@ -9,8 +9,8 @@ the blocking keys: at similarity 0.8 a pair shares none of them with a
 probability near 1e-5.
 
 1. Documents with equal sets form a class, seen through its smallest doc_id.
-2. In each band bucket the classes meet the smallest one: a star, not all
-   pairs. Sizes and then the sketches' Jaccard estimate, corrected for chance
+2. In each band bucket the classes meet one of them, the pivot: a star, not all
+   pairs. It is the one that shares most buckets with others. Sizes and then the sketches' Jaccard estimate, corrected for chance
    collisions of compressed registers, discard hopeless pairs.
 3. The rest is confirmed on the full sets, and confirmed links are contracted
    to components by large-star and small-star steps.
@@ -218,40 +218,40 @@ def _sized(a: str, b: str):
     return (100 * F.least(a, b)) >= SIMILARITY * F.greatest(a, b)
 
 
-def crowded(members: DataFrame, parts: DataFrame | None, done: int = 0) -> DataFrame:
-    """members (band, doc, n_shingles) of the buckets with over `done` + 1 members, in two components at least, with their component."""
-    part = F.coalesce("component", "doc") if parts is not None else F.col("doc")
-    own = members.join(parts.withColumnRenamed("node", "doc"), "doc", "left") if parts is not None else members
-    own = own.select("band", "doc", "n_shingles", part.alias("part"))
+def crowded(members: DataFrame, parts: DataFrame, done: int) -> DataFrame:
+    """members of the buckets with over `done` + 1 members, in two components at least, with their component and the bucket's size."""
+    own = members.join(parts.withColumnRenamed("node", "doc"), "doc", "left").withColumn("part", F.coalesce("component", "doc")).drop("component")
     split = own.groupBy("band").agg(F.min("part").alias("_lo"), F.max("part").alias("_hi"), F.count(F.lit(1)).alias("size")).filter(f"_lo <> _hi AND size > {done + 1}")
     return own.join(split.select("band", "size"), "band")
 
 
-def stars(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of every member with its bucket's smallest one."""
-    hubs = members.groupBy("band").agg(F.min("doc").alias("b"))
-    return members.join(hubs, "band").filter("doc <> b").select(F.col("doc").alias("a"), "b").distinct()
+def meetings(members: DataFrame, done: int, more: int) -> DataFrame:
+    """Pairs (a, b) of members with those pivots of their bucket that come after the first `done`, `more` of them, in other components.
 
-
-def further(members: DataFrame, done: int, more: int) -> DataFrame:
-    """Pairs (a, b) of members with the next `more` pivots of their bucket, in other components; members come from `crowded`."""
-    order = members.withColumn("_r", F.row_number().over(Window.partitionBy("band").orderBy("doc")))
-    turn = order.filter((F.col("_r") > done) & (F.col("_r") <= done + more)).select("band", F.col("doc").alias("b"), F.col("n_shingles").alias("_n"), F.col("part").alias("_p"), F.col("_r").alias("_rb"))
-    met = order.join(turn, (order["band"] == turn["band"]) & (F.col("_r") > F.col("_rb")) & (F.col("part") != F.col("_p")) & _sized("n_shingles", "_n"))
-    return met.select(F.col("doc").alias("a"), "b").distinct()
+    Pivots are the members that share most buckets with others: the text that
+    others are copies of comes before the copies. Only pivots are ranked, and
+    the limit on ranks holds in each task before rows meet.
+    """
+    order = Window.partitionBy("band").orderBy(F.desc("shared"), "doc")
+    top = members.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= done + more).filter(F.col("_r") > done)
+    pivots = top.select(F.col("band").alias("_band"), F.col("doc").alias("b"), F.col("shared").alias("_s"), F.col("n_shingles").alias("_n"), F.col("part").alias("_p"))
+    later = (F.col("shared") < F.col("_s")) | ((F.col("shared") == F.col("_s")) & (F.col("doc") > F.col("b")))
+    met = members.join(pivots, (F.col("band") == F.col("_band")) & later & (F.col("part") != F.col("_p")) & _sized("n_shingles", "_n"))
+    return narrow(met.select(F.col("doc").alias("a"), "b").distinct())
 
 
 def joined(parts: DataFrame | None, links: DataFrame) -> DataFrame:
     """Components with these links as well."""
-    old = [] if parts is None else [parts.select(F.col("node").alias("a"), F.col("component").alias("b"))]
-    return components(links.union(*old) if old else links)
+    return components(links if parts is None else links.union(parts.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
 
 def buckets(classes: DataFrame, bands: np.ndarray) -> DataFrame:
-    """band, doc and n_shingles of the classes that share a bucket with another."""
+    """band, doc, n_shingles and shared (the sum of the sizes of its buckets) of the classes that share a bucket with another; part is doc."""
     members = banded(classes, bands)
-    shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("band")
-    return checkpointed(members.join(shared, "band").select("band", "doc", "n_shingles"))
+    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    met = checkpointed(members.join(sizes, "band"))
+    totals = met.groupBy("doc").agg(F.sum("_n").alias("shared"))
+    return checkpointed(met.drop("_n").join(totals, "doc").withColumn("part", F.col("doc")))
 
 
 def link(docs: DataFrame, k: int = 5) -> DataFrame:
@@ -263,21 +263,17 @@ def link(docs: DataFrame, k: int = 5) -> DataFrame:
     met = buckets(classes, _BAND)
     wanted = met.select("doc").distinct()
     known = checkpointed(classes.drop("key").join(texts_of(docs, wanted), "doc"))
-    parts = joined(None, confirmed(known, narrow(stars(met)), k))
-    rest = narrow(crowded(met, parts, 1))
+    parts = joined(None, confirmed(known, meetings(met, 0, 1), k))
+    rest = narrow(crowded(met.drop("part"), parts, 1))
     # small buckets: their members meet all earlier ones, a bounded number
-    parts = joined(parts, confirmed(known, narrow(further(rest.filter(f"size <= {FEW}"), 1, FEW - 2)), k))
+    parts = joined(parts, confirmed(known, meetings(rest.filter(f"size <= {FEW}"), 1, FEW - 2), k))
     # the others are dealt anew by longer bands, where unlike documents seldom meet
     again = known.join(rest.filter(f"size > {FEW}").select("doc").distinct(), "doc", "left_semi")
-    finer = buckets(again, _LONG_BAND)
-    parts = joined(parts, confirmed(known, narrow(stars(finer)), k))
-    done, more = 1, 8
-    while True:
-        rest = narrow(crowded(finer, parts, done))
-        if rest.isEmpty():
-            break
-        parts = joined(parts, confirmed(known, narrow(further(rest, done, more)), k))
-        finer, done, more = rest.drop("part", "size"), done + more, 4 * more
+    rest, done, more = narrow(crowded(buckets(again, _LONG_BAND).drop("part"), parts, 0)), 0, 1
+    while not rest.isEmpty():
+        parts = joined(parts, confirmed(known, meetings(rest, done, more), k))
+        done, more = done + more, 4 * more
+        rest = narrow(crowded(rest.drop("part", "size"), parts, done))
     named = classes.select("key", "doc").distinct().join(parts.withColumnRenamed("node", "doc"), "doc", "left").select(F.col("key").alias("_key"), F.coalesce("component", "doc").alias("_c"))
     out = feats.select("doc_id", "n_shingles", "key").join(named, F.col("key") == F.col("_key"), "left")
     part = F.when(F.col("doc_id").isNotNull(), F.coalesce("_c", "doc_id"))

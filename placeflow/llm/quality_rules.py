@@ -76,7 +76,9 @@ def features(docs: DataFrame) -> DataFrame:
         .withColumn("n_repeat_words", F.when(F.col("_p").isNull(), F.lit(0)).otherwise(covered).cast("bigint"))
         .drop("_w", "_h", "_x", "_s", "_p", "_l")
     )
-    return ruled(out)
+    made = [c for c in ruled(out).columns if c not in docs.columns]
+    # a generated row is a barrier: filters on the counts aren't rewritten into filters on the text, which would count many times
+    return ruled(out).select(*docs.columns, F.inline(F.array(F.struct(*made))))
 
 
 def ruled(df: DataFrame) -> DataFrame:
