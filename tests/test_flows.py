@@ -1,0 +1,260 @@
+"""Sources, sinks, state and the four flows on temporary folders."""
+
+import json
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from placeflow.operators import dedup, flatten, partition, sampling, state, stats
+from placeflow.plans import pipelines
+from placeflow.schemas import BUNDLE, ENRICHMENT, FACILITY_KEYS, FLAT_REVIEW
+from placeflow.sinks import files as sinks
+from placeflow.sources import connector, files, pages
+
+
+def put(path, value):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(value if isinstance(value, str) else json.dumps(value, ensure_ascii=False), encoding="utf-8")
+
+
+@pytest.fixture
+def tree(tmp_path):
+    full = {k: "x" for k in FACILITY_KEYS if k != "error"} | {"search_query": "병원", "search_location": "개포1동", "preview_name": "x", "page_number": 1, "position": 1, "scraped_at": "2026-01-02T03:04:05"}
+    b1 = full | {"place_id": "1001", "business_hours": "N/A"}
+    b2 = {k: v for k, v in full.items() if k != "business_hours"} | {"place_id": "1002"}
+    bad = {"error": "boom", "search_query": "병원", "search_location": "개포1동", "preview_name": "x", "page_number": 1, "position": 2}
+    put(tmp_path / "Gangnam-gu/개포1동/병원.json", [b1, b2, bad])
+    put(tmp_path / "Gangnam-gu/개포1동/의원.json", [full | {"place_id": "1002", "business_hours": "월: 09:00"}, {k: "N/A" for k in full if k not in ("page_number", "position")} | {"place_id": "1001", "page_number": 1, "position": 1}])
+    put(tmp_path / "Gwanak-gu/신사동/병원.json", [bad])
+    put(tmp_path / "Gwanak-gu/신사동/의원.json", [])
+    put(tmp_path / "Gwanak-gu/신사동/클리닉.json", "{oops")
+    put(tmp_path / "progress.json", {"completed_dongs": []})
+    put(tmp_path / "_merged_all_x.json", [b1])
+    return str(tmp_path)
+
+
+def test_json_tree_and_publish(spark, tree, tmp_path):
+    rows = files.json_tree(spark, tree)
+    assert rows.count() == 6
+    assert {tuple(r) for r in rows.select("file_district", "file_dong", "file_keyword").distinct().collect()} == {("Gangnam-gu", "개포1동", "병원"), ("Gangnam-gu", "개포1동", "의원"), ("Gwanak-gu", "신사동", "병원")}
+    best = {r.place_id: r for r in pipelines.published(rows).collect()}
+    assert set(best) == {"1001", "1002", None}
+    assert best["1002"].business_hours == "월: 09:00" and best["1001"].name == "x"
+    figures = pipelines.publish(spark, tree, str(tmp_path / "out"))
+    assert (figures["reported"], figures["removed"]) == (4, 3) and figures["n_rows"] == 3
+    written = spark.read.parquet(str(tmp_path / "out/places.parquet"))
+    assert dict(written.dtypes)["scraped_at"] in ("timestamp", "string")
+    assert "| n_rows | 3 |" in (tmp_path / "out/README.md").read_text()
+    report = {r.file_path.rsplit("/", 1)[1]: r.n_rows for r in files.file_report(spark, tree).collect()}
+    assert sorted(report.values(), key=str) == sorted([3, 2, None, 0, 1][:0] + [r for r in report.values()], key=str) and 0 in report.values() and None in report.values()
+
+
+def test_dedup_is_idempotent(spark, tree):
+    once = pipelines.published(files.json_tree(spark, tree))
+    assert pipelines.published(once).exceptAll(once).isEmpty() and once.count() == 3
+
+
+def test_checkpoints_merge(spark, tmp_path):
+    ok = {"has_medical_info": True, "parsing_success": True, "enriched_at": "a"}
+    put(tmp_path / "enrichment_progress_partition_000_of_002.json", {"1001": ok, "1006": ok | {"enrichment_error": "Page load timeout", "parsing_success": False}})
+    put(tmp_path / "enrichment_progress_partition_001_of_002.json", {"1006": ok | {"enriched_at": "b"}, "1002": ok | {"medical_info_parsed": {"parking": ["무료", "발렛"]}}})
+    put(tmp_path / "enrichment_progress_partition_broken_of_002.json", "{oops")
+    merged = pipelines.merge_checkpoints(spark, f"{tmp_path}/enrichment_progress_partition_*.json", "enrichment")
+    got = {r.place_id: r for r in merged.collect()}
+    assert set(got) == {"1001", "1002", "1006"} and got["1006"].enriched_at == "b" and got["1006"].enrichment_error is None
+    assert got["1002"].medical_info_parsed.parking == ["무료", "발렛"]
+    assert tuple(stats.checkpoint_stats(merged).first())[:3] == (3, 3, 3)
+    places = spark.createDataFrame([("1001", "a"), ("1002.0", "b"), (None, "c"), ("1005", None), ("1006", "d"), ("1006", "e")], "place_id string, name string")
+    out = pipelines.enriched(places, merged)
+    assert out.count() == 6 and out.filter("has_medical_info").count() == 4 and out.filter("NOT has_medical_info AND NOT parsing_success").count() == 2
+    assert stats.field_presence(merged, "medical_info_parsed").collect()[0].asDict() == {"field": "parking", "n": 1}
+    put(tmp_path / "enrichment_progress_partition_000_of_003.json", {"1": ok})
+    with pytest.raises(ValueError):
+        pipelines.merge_checkpoints(spark, f"{tmp_path}/enrichment_progress_partition_*.json", "enrichment")
+    assert files.checkpoint_map(spark, [f"{tmp_path}/none.json"]).count() == 0
+
+
+def bundle(**kw):
+    return {"has_reviews": True, "review_count": 0, "reviews": [], "scraped_at": "t"} | kw
+
+
+def test_flatten(spark, tmp_path):
+    full = {"scraped_at": "s", "reviewer_info": {"reviewer_name": "가"}, "review_text": "좋아요", "visit_info": {"visit_date": "1.2.월"}, "visit_keywords": ["예약", '대기 "10"분'], "images": ["a", "b"], "owner_response": {"response_text": "감사"}, "reactions": {"reaction_count": "2"}, "review_index": 1}
+    bare = {"scraped_at": "s", "review_text": "", "visit_keywords": [], "images": [], "owner_response": None, "review_index": 2}
+    put(tmp_path / "r_p1_of_1.json", {"1001": bundle(reviews=[full, bare], review_count=2), "1002": bundle(has_reviews=False, scrape_error="Could not click review tab"), "1006": bundle(), "9999": bundle(reviews=[full | {"owner_response": {}}], review_count=1)})
+    bundles = files.checkpoint_map(spark, f"{tmp_path}/r_p1_of_1.json", BUNDLE)
+    places = spark.createDataFrame([("1001", "가온의원"), ("1006", "마루병원"), ("1006", "마루병원 별관")], "place_id string, name string")
+    flat = flatten.flat_reviews(bundles, places)
+    assert flat.columns == FLAT_REVIEW.names
+    rows = {(r.place_id, r.review_index): r for r in flat.collect()}
+    assert len(rows) == 5
+    r = rows["1001", 1]
+    assert r.visit_keywords == '["예약", "대기 \\"10\\"분"]' and r.image_count == 2 and r.has_owner_response and r.owner_response_text == "감사"
+    r = rows["1001", 2]
+    assert r.review_text == "" and r.image_urls == "[]" and r.image_count == 0 and not r.has_owner_response
+    r = rows["1002", None]
+    assert r.review_text is None and r.visit_keywords is None and r.image_count == 0 and r.scraped_at == "t" and r.facility_name == "Unknown"
+    assert rows["1006", None].facility_name == "마루병원"
+    assert rows["9999", 1].has_owner_response and rows["9999", 1].owner_response_text is None
+    assert tuple(stats.review_stats(bundles).first()) == (4, 3, 3, 1.0)
+
+
+def test_merge_parquet_parts(spark, tmp_path):
+    def part(i, rows):
+        df = spark.createDataFrame(rows, "place_id string, review_index double, review_text string")
+        df.coalesce(1).write.parquet(f"{tmp_path}/p{i}")
+
+    part(1, [("1001", 1.0, "a"), ("1001", 2.0, "b"), ("1002", None, None)])
+    part(2, [("1001", 2.0, "B"), ("1002", None, None), ("1006", 1.0, "")])
+    merged = pipelines.merge_reviews(spark, [f"{tmp_path}/p{i}" for i in (1, 2, 3)])
+    assert sorted(tuple(r) for r in merged.select("place_id", "review_index", F.coalesce("review_text", F.lit("-"))).collect() if r[1]) == [("1001", 1, "a"), ("1001", 2, "b"), ("1006", 1, "")]
+    assert tuple(stats.merge_stats(merged).first()) == (4, 3, 1)
+    assert pipelines.merge_reviews(spark, [f"{tmp_path}/none"]).count() == 0
+
+
+PAGE = '<div class="DAQTB"><h3 class="fr6Pj">진료과목</h3><ul class="xrrcZ"><li class="zxtJF">내과</li></ul></div><ul id="_review_list"><li class="place_apply_pui"></li></ul>'
+
+
+def test_resume_changes_nothing(spark, tmp_path):
+    places = spark.createDataFrame([("1", "가의원"), ("2.0", "나병원"), ("3", "다클리닉"), ("4", "라의원")], "place_id string, name string")
+    captured = spark.createDataFrame([("http://x/place/1", PAGE), ("http://x/place/2", "<p>"), ("http://x/place/1", PAGE)], "url string, html string")
+    log = state.Log(spark, str(tmp_path / "log"), ENRICHMENT, error="enrichment_error")
+    first = pipelines.enrich(places, captured, log, now="t").collect()
+    again = pipelines.enrich(places, captured, log, now="u").collect()
+    assert sorted(first, key=str) == sorted(again, key=str) and len(first) == 3
+    got = {r.place_id: r for r in first}
+    assert got["1"].medical_info_parsed.medical_departments == ["내과"] and got["1"].parsing_success
+    assert got["2"].has_medical_info and not got["2"].parsing_success
+    assert got["4"].enrichment_error == state.ERRORS[0] and not got["4"].has_medical_info
+    assert log.pending(places.select(F.expr("regexp_replace(place_id, '[.]0$', '')").alias("place_id")), retry_errors=True).count() == 2
+    log.compact()
+    assert log.current().count() == 3
+    flat = pipelines.reviews(places, captured, state.Log(spark, str(tmp_path / "rlog"), BUNDLE, error="scrape_error"), now="t")
+    assert sorted((r.place_id, r.review_index) for r in flat.collect() if r.review_index) == [("1", 1)] and flat.count() == 3
+
+
+@settings(max_examples=8, deadline=None)
+@given(n=st.integers(0, 40), y=st.integers(1, 5))
+def test_slices_are_disjoint_and_cover(spark, n, y):
+    df = spark.range(n).select(F.col("id"))
+    got = [r.id for x in range(y) for r in partition.modulo(df, ["id"], x, y).collect()]
+    assert sorted(got) == list(range(n))
+    got = [r.id for x in range(1, y + 1) for r in partition.stride(df, ["id"], x, y).collect()]
+    assert sorted(got) == list(range(n))
+
+
+def test_partition_arguments():
+    for x, y in ((0, 2), (3, 2), (1, 0)):
+        with pytest.raises(ValueError):
+            partition.check(x, y)
+
+
+def test_two_ways_of_slicing_differ(spark):
+    places = spark.createDataFrame([(0, "의원"), (1, "병원"), (2, "클리닉"), (3, "의원")], "i int, name string")
+    named = F.col("name") != "클리닉"
+    assert [r.i for r in partition.slice_then_filter(places, ["i"], 0, 2, named).collect()] == [0]
+    assert sorted(r.i for r in partition.filter_then_slice(places, ["i"], 1, 2, named).collect()) == [0, 3]
+
+
+def test_sample_quotas(spark):
+    def quotas(a, b):
+        df = spark.range(a + b).select("id", (F.col("id") < a).alias("s"))
+        rows = sampling.stratified(df, 5, F.col("s"), "id").collect()
+        return sum(r.stratum for r in rows), sum(not r.stratum for r in rows)
+
+    assert quotas(10, 10) == (3, 2) and quotas(1, 10) == (1, 2) and quotas(0, 3) == (0, 2) and quotas(0, 0) == (0, 0)
+
+
+def test_sinks(spark, tmp_path):
+    df = spark.createDataFrame([("가,나", 1, ["x"]), ('q"\n', None, [])], "b string, a int, c array<string>")
+    assert json.loads((tmp_path / "x.json").read_text() if sinks.json_array(df, str(tmp_path / "x.json")) else "")[0] == {"b": "가,나", "a": 1, "c": ["x"]}
+    sinks.csv_with_mark(df.drop("c"), str(tmp_path / "x.csv"))
+    body = (tmp_path / "x.csv").read_bytes()
+    assert body.startswith(b"\xef\xbb\xbfa,b\r\n")
+    back = files.csv_table(spark, str(tmp_path / "x.csv"))
+    assert back.columns == ["a", "b"] and {r.b for r in back.collect()} == {"가,나", 'q"\n'}
+    assert files.csv_rows(spark, str(tmp_path / "x.csv")) == 2 and files.csv_rows(spark, str(tmp_path / "none.csv")) == 0
+    assert sinks.csv_with_mark(df.drop("c").limit(0), str(tmp_path / "y.csv")) is None and not (tmp_path / "y.csv").exists()
+    sinks.csv(df, str(tmp_path / "z"))
+    assert files.csv_table(spark, str(tmp_path / "z")).columns == ["a", "b", "c"]
+    sinks.json_lines(df, str(tmp_path / "lines"))
+    assert spark.read.json(str(tmp_path / "lines")).count() == 2
+    with pytest.raises(NotImplementedError):
+        sinks.Publisher().publish("x", [])
+
+
+def test_time_coercion_is_all_or_nothing(spark):
+    df = spark.createDataFrame([("2026-01-02T03:04:05", "x", None), (None, "2026-01-02", None)], "a_time string, b_date string, scraped_at string")
+    assert dict(sinks.coerce_times(df).dtypes) == {"a_time": "timestamp", "b_date": "string", "scraped_at": "timestamp"}
+
+
+def test_fallback_chain_and_cache(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "p"))
+    assert files.first_readable(spark, [("csv", str(tmp_path / "none.csv")), ("parquet", str(tmp_path / "p"))]).count() == 3
+    for chain in ([("zip", "x")], [("pickle", "x")], [("csv", str(tmp_path / "none.csv"))]):
+        with pytest.raises(ValueError):
+            files.first_readable(spark, chain)
+    calls = []
+    fetch = lambda: calls.append(1) or spark.range(5)
+    assert [files.cached(spark, str(tmp_path / "c"), fetch, f).count() for f in (False, False, True)] == [5, 5, 5] and len(calls) == 2
+    with pytest.raises(ValueError):
+        files.required(spark.range(1), "place_id")
+    assert files.part_names("p", 2, ".json", 3) == ["p001_of_002.json", "p002_of_002.json"]
+
+
+def test_search_pages_and_connector(spark):
+    page = '<li><span class="TYaxT">{}</span></li>'
+    p1, p2 = page.format("a") + page.format("b"), page.format("a") + page.format("c")
+    df = spark.createDataFrame([("병원", "x", 1, p1), ("병원", "x", 2, p2)], "search_query string, search_location string, page_number int, html string")
+    got = sorted((r.position, r.preview_name, r.page_number) for r in pages.search_hits(df).collect())
+    assert got == [(1, "a", 1), (2, "b", 1), (3, "c", 2)] and pages.search_hits(df, 1).count() == 2
+    spark.dataSource.register(connector.CapturedSearch)
+    src = spark.read.format("captured_search").option("tasks", json.dumps([["x", "병원"]])).option("pages", json.dumps({"x 병원": [p1, p2]}))
+    assert sorted((r.position, r.preview_name) for r in src.load().collect()) == [(1, "a"), (2, "b"), (3, "c")]
+    assert src.option("max_pages", 1).load().count() == 2
+
+
+def test_task_runner_progress_and_status(spark):
+    def search(gu, dong, word):
+        if word == "bad":
+            raise RuntimeError("no page")
+        return 0 if word == "none" else 7
+
+    dim = files.dimension(spark, {"g": ["d1", "d2"]})
+    tasks = dim.withColumn("keywords", F.when(F.col("dong") == "d1", F.array(F.lit("a"), F.lit("bad"))).otherwise(F.array(F.lit("none"))))
+    done = state.run_tasks(tasks, search).cache()
+    assert {(r.dong, r.total_facilities, r.error) for r in done.collect()} == {("d1", 7, "no page"), ("d2", 0, None)}
+    assert {(r.dong, r.keyword, r.status) for r in sinks.task_status(done).collect()} == {("d1", "a", "done"), ("d1", "bad", "failed"), ("d2", "none", "empty")}
+    p = stats.progress(done, 4).first()
+    assert p.completed_dongs == ["g_d1", "g_d2"] and p.total_facilities == 7 and p.completion_percentage == 50.0 and p.by_keyword == {"a": 7, "none": 0}
+    assert stats.progress(done, 4, complete_on_error=False).first().total_dongs_completed == 1
+    hits = spark.range(40).select(F.lit("g").alias("gu"), F.lit("d2").alias("dong"))
+    none = spark.createDataFrame([], "gu string, dong string")
+    assert [r.dong for r in state.incomplete_tasks(tasks, none, hits).collect()] == ["d1"]
+    assert state.incomplete_tasks(tasks, none, hits.limit(39)).count() == 2
+
+
+def test_credit(spark):
+    df = spark.createDataFrame([(["a", "b", "c"], 10), ([], 5)], "completed_keywords array<string>, total_facilities bigint")
+    assert {tuple(r) for r in stats.credit(df).collect()} == {("a", 3), ("b", 3), ("c", 3)}
+
+
+def test_last_writer_needs_no_row_order(spark):
+    rows = [("k", 1, "a"), ("k", 3, "c"), ("k", 2, "b"), (None, 1, "n")]
+    for r in (rows, rows[::-1]):
+        got = dedup.last_writer(spark.createDataFrame(r, "k string, part int, v string"), ["k"], ["part"]).collect()
+        assert {(x.k, x.v) for x in got} == {("k", "c"), (None, "n")}
+
+
+def test_stream_upsert(spark, tmp_path):
+    from placeflow.streaming import incremental
+
+    src = str(tmp_path / "in")
+    kind = "place_id string, has_reviews boolean, scraped_at string"
+    spark.createDataFrame([("1", True, "a"), ("1", False, "b"), ("2", True, "a")], kind).coalesce(1).write.parquet(src)
+    log = state.Log(spark, str(tmp_path / "log"), BUNDLE)
+    for _ in range(2):
+        incremental.upsert(incremental.arriving(spark, src, spark.read.parquet(src).schema), log, ["scraped_at"], str(tmp_path / "cp")).awaitTermination()
+    assert {(r.place_id, r.scraped_at) for r in log.current().collect()} == {("1", "b"), ("2", "a")} and log.all().count() == 2
