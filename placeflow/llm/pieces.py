@@ -1,8 +1,8 @@
 """Operator 6: SentencePiece encoding and decoding as a relational lattice.
 
 Text is normalised as the piece model does (a dummy space in front, spaces as
-U+2581) and cut into segments where no piece reaches across: at line ends, before
-spaces, and between letters and most marks. Distinct segments are counted over all documents, and only they
+U+2581) and cut into segments where no piece reaches across: at line ends and
+before spaces. Distinct segments are counted over all documents, and only they
 are encoded:
 
 1. explode all substrings of at most the longest piece's length,
@@ -54,9 +54,8 @@ _RUN = re.compile(rb" +")
 def segments(text: bytes, known: dict) -> list[bytes]:
     """Segments of a text, with a blank for U+2581; they join to the normalised text.
 
-    Cuts fall where no piece reaches across: at line ends, between a letter and
-    the marks in known["cuts"], and before spaces (before runs of spaces if the
-    model has pieces of several).
+    Cuts fall where no piece reaches across: at line ends and before spaces
+    (before runs of spaces if the model has pieces of several).
     """
     if not text:
         return []
@@ -71,8 +70,6 @@ def _cut(text: bytes, known: dict) -> list[bytes]:
         text = _RUN.sub(rb"\0\g<0>", text)
     else:
         text = text.replace(b" ", b"\0 ")
-    if known["cuts"]:
-        text = re.sub(known["cuts"], rb"\0\g<0>", text)
     return [s for s in text.replace(b"\n", b"\0\n\0").split(b"\0") if s]
 
 
@@ -84,10 +81,7 @@ def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
     plain = [i for i in range(sp.get_piece_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
     rows = [(sp.id_to_piece(i), i, float(sp.get_score(i))) for i in plain if sp.get_score(i) > NEVER]
     pairs = {p[i : i + 2] for p, _, _ in rows for i in range(len(p) - 1)}
-    # marks that no piece has after a letter (a letter: ASCII, or any character beyond it)
-    marks = [m for m in map(chr, range(33, 127)) if not m.isalnum() and not any(b == m and (a.isalpha() or ord(a) > 127) and a != SPACE for a, b in pairs)]
     known = {
-        "cuts": b"(?<=[A-Za-z\x80-\xff])[" + re.escape("".join(marks)).encode() + b"]" if marks else b"",
         "longest": max(len(p) for p, _, _ in rows),
         "unknown": min(s for _, _, s in rows) - 10.0,
         "byte": sp.piece_to_id("<0x00>"),

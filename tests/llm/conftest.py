@@ -19,9 +19,10 @@ def corpus(n=120, seed=1):
             body[len(body) // 2 : 0] = passage.split()
         text = " ".join(w + ("\n" if r.random() < 0.08 else "") for w in body)
         if i % 10 == 4 and rows:
-            text = r.choice(rows)[1]
+            _, text, lang, *_ = r.choice(rows)
         if i % 10 == 6 and rows:
-            old = r.choice(rows)[1].split(" ")
+            _, old, lang, *_ = r.choice(rows)
+            old = old.split(" ")
             old[r.randrange(len(old))] = "changed"
             text = " ".join(old)
         if i % 12 == 5:
