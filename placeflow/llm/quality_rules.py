@@ -159,5 +159,5 @@ def columns_of(docs: DataFrame) -> list[Column]:
 def op2_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge(table(spark, sf_dir, "documents"))
     return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rate"
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("host_rate", 6).alias("host_rate")
     )
