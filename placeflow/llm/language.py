@@ -35,7 +35,7 @@ SAMPLE, DRAWN = 2000, 120
 STEPS, BATCH, RATE = 900, 384, 0.01
 UNKNOWN = "und"
 #: Distinct words whose answer a worker keeps.
-MEMO = 800_000
+MEMO = 400_000
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:

@@ -9,7 +9,7 @@ import xxhash
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 #: Distinct words whose hash a worker keeps.
-MEMO = 1_000_000
+MEMO = 200_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
