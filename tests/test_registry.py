@@ -3,6 +3,7 @@
 import math
 import os
 
+import pandas as pd
 import pytest
 
 DATA = "/root/testdata/sf0.001"
@@ -11,7 +12,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 def cells(frame):
     def cell(v):
-        if v is None or v != v:
+        if v is None or v is pd.NA or v != v:
             return ""
         if isinstance(v, bool):
             return str(v)
