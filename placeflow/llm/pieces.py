@@ -8,7 +8,7 @@ are encoded:
 1. explode all substrings of at most the longest piece's length,
 2. equi-join them to the piece table (broadcast: its size is the vocabulary's),
 3. group the edges by segment,
-4. fold Viterbi over the segment's positions with the higher-order `aggregate`.
+4. fold Viterbi over the segment's stops with the higher-order `aggregate`.
 
 The path with the largest sum of piece scores wins; ties go to the longer last
 piece. A character without a piece of its own becomes its UTF-8 bytes, at a
@@ -43,8 +43,8 @@ from placeflow.llm.common import chunks, columns, raw, table, written
 SPACE = "▁"
 NEVER = -1e8
 #: Segments whose encoding is broadcast to the tasks; rarer ones meet theirs in a join.
-KNOWN = 300_000
-HELD = 250_000
+KNOWN = 400_000
+HELD = 500_000
 PRIME = 2_147_483_647
 
 _SPACE = SPACE.encode()
@@ -74,7 +74,7 @@ def _cut(text: bytes, known: dict) -> list[bytes]:
 
 
 def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
-    """piece, id and score of the ordinary pieces; and what the lattice needs to know of the model."""
+    """piece (with a blank for U+2581), id, score and code (hex of its bytes) of the ordinary pieces; and what the lattice needs to know of the model."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -87,7 +87,10 @@ def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
         "byte": sp.piece_to_id("<0x00>"),
         "runs": any(2 * SPACE in p for p, _, _ in rows),
     }
-    frame = pa.table({"piece": [r[0] for r in rows], "id": pa.array([r[1] for r in rows], pa.int32()), "score": [r[2] for r in rows]})
+    frame = pa.table({
+        "piece": [r[0].replace(SPACE, " ") for r in rows], "id": pa.array([r[1] for r in rows], pa.int32()), "score": [r[2] for r in rows],
+        "code": [r[0].encode().hex() for r in rows],
+    })
     return spark.createDataFrame(frame), known
 
 
@@ -118,27 +121,20 @@ def encode(words: DataFrame, pieces: DataFrame, known: dict, *carried: str) -> D
     longest, base = known["longest"], known["byte"]
     starts = words.select("segment", *carried, F.explode(F.sequence(F.lit(0), F.length("segment") - 1)).alias("start"))
     spans = starts.select("segment", *carried, "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.length("segment") - F.col("start")))).alias("_n"))
-    cut = spans.withColumn("piece", F.translate(F.substring("segment", F.col("start") + 1, F.col("_n")), " ", SPACE))
-    table_ = F.broadcast(pieces)  # the vocabulary
+    cut = spans.withColumn("piece", F.substring("segment", F.col("start") + 1, F.col("_n")))
+    table_ = F.broadcast(pieces.select("piece", "id", "score"))  # the vocabulary
     edges = cut.join(table_, "piece", "left").filter("id IS NOT NULL OR _n = 1")
-    code = F.coalesce("id", F.lit(-1))
-    edge = F.struct((F.col("start") + F.col("_n")).alias("stop"), "start", code.alias("id"), F.coalesce("score", F.lit(known["unknown"])).alias("score"))
-    lattice = edges.groupBy("segment", *carried).agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-
-    def step(state, e):
-        """Takes the next edge, in the order of stop and start; `now` is the best way to the stop so far."""
-        now, done = state["now"], state["done"]
-        score = F.when(e["start"] < F.size(done), F.get(done, e["start"])["score"]).otherwise(now["score"]) + e["score"]
-        same = e["stop"] == now["stop"]
-        fresh = F.struct(e["stop"].alias("stop"), score.alias("score"), e["start"].alias("back"), e["id"].alias("id"))
-        return F.struct(
-            F.when(same, done).otherwise(F.concat(done, F.array(now))).alias("done"),
-            F.when(same & (now["score"] >= score), now).otherwise(fresh).alias("now"),
-        )
-
-    node = F.struct(F.lit(0).alias("stop"), F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(-2).alias("id"))
-    begin = F.struct(F.slice(F.array(node), F.lit(1), F.lit(0)).alias("done"), node.alias("now"))
-    solved = lattice.select("segment", *carried, F.aggregate("edges", begin, step, lambda s: F.concat(s["done"], F.array(s["now"]))).alias("best"))
+    edge = F.struct("start", F.coalesce("score", F.lit(known["unknown"])).alias("score"), F.coalesce("id", F.lit(-1)).alias("id"))
+    stops = edges.groupBy("segment", *carried, (F.col("start") + F.col("_n")).alias("stop")).agg(F.collect_list(edge).alias("edges"))
+    lattice = stops.groupBy("segment", *carried).agg(F.sort_array(F.collect_list(F.struct("stop", "edges"))).alias("stops"))
+
+    def step(best, node):
+        """Adds the best way to the next stop: the largest sum, then the earliest start."""
+        ways = F.transform(node["edges"], lambda e: F.struct((F.get(best, e["start"])["score"] + e["score"]).alias("score"), (-e["start"]).alias("back"), e["id"].alias("id")))
+        return F.concat(best, F.array(F.array_max(ways)))
+
+    begin = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(-2).alias("id")))
+    solved = lattice.select("segment", *carried, F.aggregate("stops", begin, step).alias("best"))
 
     def bytes_of(at):
         """Ids of the bytes of the character that ends at position `at`."""
@@ -150,7 +146,7 @@ def encode(words: DataFrame, pieces: DataFrame, known: dict, *carried: str) -> D
         at = state["at"]
         node = F.get(F.col("best"), at)
         ids = F.when(node["id"] >= 0, F.array(node["id"])).otherwise(bytes_of(at))
-        return F.when(at > 0, F.struct(node["back"].alias("at"), F.concat(ids, state["ids"]).alias("ids"))).otherwise(state)
+        return F.when(at > 0, F.struct((-node["back"]).alias("at"), F.concat(ids, state["ids"]).alias("ids"))).otherwise(state)
 
     end = F.struct((F.size("best") - 1).alias("at"), F.array().cast("array<int>").alias("ids"))
     return solved.select("segment", *carried, F.aggregate(F.sequence(F.lit(1), F.length("segment")), end, walk, lambda s: s["ids"]).alias("ids"))
@@ -159,8 +155,8 @@ def encode(words: DataFrame, pieces: DataFrame, known: dict, *carried: str) -> D
 def decode(coded: DataFrame, pieces: DataFrame, known: dict, key: str, *carried: str) -> DataFrame:
     """key, the carried columns, ids and text (with blanks for U+2581) of coded, whose keys are distinct and ids not empty."""
     steps = coded.select(key, *carried, F.posexplode("ids").alias("_at", "id"))
-    found = steps.join(F.broadcast(pieces.select("id", "piece")), "id", "left")
-    code = F.coalesce(F.hex(F.encode("piece", "UTF-8")), F.lpad(F.hex(F.col("id") - F.lit(known["byte"])), 2, "0"))
+    found = steps.join(F.broadcast(pieces.select("id", "code")), "id", "left")
+    code = F.coalesce("code", F.lpad(F.hex(F.col("id") - F.lit(known["byte"])), 2, "0"))
     parts = found.groupBy(key, *carried).agg(F.sort_array(F.collect_list(F.struct("_at", "id", code.alias("c")))).alias("_c"))
     return parts.select(key, *carried, F.col("_c.id").alias("ids"), F.translate(F.decode(F.unhex(F.array_join(F.col("_c.c"), "")), "UTF-8"), SPACE, " ").alias("text"))
 
