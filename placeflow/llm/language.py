@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -200,10 +200,13 @@ class Labeller:
         split = [t.split() for t in texts]
         if len(self.place) > MEMO:
             self.clear()
-        if new := set().union(*split).difference(self.place):
-            self.learn(sorted(new))
         counts = np.fromiter(map(len, split), np.int64, len(split))
-        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        words = list(chain.from_iterable(split))
+        at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(at < 0).tolist()
+        if missing:
+            self.learn(sorted({words[i] for i in missing}))
+            at[missing] = [self.place[words[i]] for i in missing]
         total = np.zeros((len(texts), self.sums.shape[1]))
         full = np.flatnonzero(counts)
         if len(full):

@@ -23,7 +23,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -98,11 +98,13 @@ class WordIds:
         split = [t.split() for t in texts]
         if len(self.place) > MEMO:
             self.clear()
-        new = set().union(*split).difference(self.place)
-        if new:
-            self.learn(sorted(new))
         counts = np.fromiter(map(len, split), np.int64, len(split))
-        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        words = list(chain.from_iterable(split))
+        at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(at < 0).tolist()
+        if missing:
+            self.learn(list({words[i] for i in missing}))
+            at[missing] = [self.place[words[i]] for i in missing]
         first, n = self.first[at], self.first[at + 1] - self.first[at]
         ends = np.cumsum(n)
         flat = self.ids[np.repeat(first - (ends - n), n) + np.arange(n.sum())]
