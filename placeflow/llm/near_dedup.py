@@ -175,7 +175,7 @@ def similar(pairs: DataFrame, k: int) -> DataFrame:
 
 
 def narrow(df: DataFrame) -> DataFrame:
-    """df checkpointed in a sixteenth of the shuffle's partitions: for tables of a few numbers for each linked document."""
+    """df checkpointed in a sixteenth of the shuffle's partitions: for tables that hold only the documents that share a bucket."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return checkpointed(df.coalesce(max(4, parts // 16)))
 
@@ -208,7 +208,7 @@ def confirmed(known: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
     side = lambda c, *cols: known.select(F.col("doc").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in cols])
     met = pairs.join(side("a", "n_shingles", "sketch"), "a").join(side("b", "n_shingles", "sketch"), "b")
     sure = F.least("n_shingles_a", "n_shingles_b") < SMALL
-    tried = checkpointed(met.filter(_sized("n_shingles_a", "n_shingles_b")).filter(sure | _hopeful("sketch_a", "sketch_b")).select("a", "b"))
+    tried = narrow(met.filter(_sized("n_shingles_a", "n_shingles_b")).filter(sure | _hopeful("sketch_a", "sketch_b")).select("a", "b"))
     both = tried.join(side("a", "blob"), "a").join(side("b", "blob"), "b")
     return checkpointed(similar(both.select("a", "b", F.col("blob_a").alias("_a"), F.col("blob_b").alias("_b")), k))
 
@@ -225,19 +225,21 @@ def crowded(members: DataFrame, parts: DataFrame, done: int) -> DataFrame:
     return own.join(split.select("band", "size"), "band")
 
 
-def meetings(members: DataFrame, done: int, more: int) -> DataFrame:
+def meetings(members: DataFrame, done: int, more: int, best: bool = False) -> DataFrame:
     """Pairs (a, b) of members with those pivots of their bucket that come after the first `done`, `more` of them, in other components.
 
     Pivots are the members that share most buckets with others: the text that
     others are copies of comes before the copies. Only pivots are ranked, and
-    the limit on ranks holds in each task before rows meet.
+    the limit on ranks holds in each task before rows meet. With `best`, each
+    member meets just one pivot, the one that shares most.
     """
     order = Window.partitionBy("band").orderBy(F.desc("shared"), "doc")
     top = members.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= done + more).filter(F.col("_r") > done)
     pivots = top.select(F.col("band").alias("_band"), F.col("doc").alias("b"), F.col("shared").alias("_s"), F.col("n_shingles").alias("_n"), F.col("part").alias("_p"))
     later = (F.col("shared") < F.col("_s")) | ((F.col("shared") == F.col("_s")) & (F.col("doc") > F.col("b")))
     met = members.join(pivots, (F.col("band") == F.col("_band")) & later & (F.col("part") != F.col("_p")) & _sized("n_shingles", "_n"))
-    return narrow(met.select(F.col("doc").alias("a"), "b").distinct())
+    pairs = met.groupBy(F.col("doc").alias("a")).agg(F.max_by("b", "_s").alias("b")) if best else met.select(F.col("doc").alias("a"), "b").distinct()
+    return narrow(pairs)
 
 
 def joined(parts: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -249,9 +251,9 @@ def buckets(classes: DataFrame, bands: np.ndarray) -> DataFrame:
     """band, doc, n_shingles and shared (the sum of the sizes of its buckets) of the classes that share a bucket with another; part is doc."""
     members = banded(classes, bands)
     sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    met = checkpointed(members.join(sizes, "band"))
+    met = narrow(members.join(sizes, "band"))
     totals = met.groupBy("doc").agg(F.sum("_n").alias("shared"))
-    return checkpointed(met.drop("_n").join(totals, "doc").withColumn("part", F.col("doc")))
+    return narrow(met.drop("_n").join(totals, "doc").withColumn("part", F.col("doc")))
 
 
 def link(docs: DataFrame, k: int = 5) -> DataFrame:
@@ -262,9 +264,12 @@ def link(docs: DataFrame, k: int = 5) -> DataFrame:
     classes = checkpointed(linked.join(reps, (F.col("doc_id") == F.col("doc")) & (F.col("key") == F.col("_key"))).select("doc", "n_shingles", "key", "sketch"))
     met = buckets(classes, _BAND)
     wanted = met.select("doc").distinct()
-    known = checkpointed(classes.drop("key").join(texts_of(docs, wanted), "doc"))
-    parts = joined(None, confirmed(known, meetings(met, 0, 1), k))
-    rest = narrow(crowded(met.drop("part"), parts, 1))
+    known = narrow(classes.drop("key").join(texts_of(docs, wanted), "doc"))
+    # copies join their text at once, by one comparison each; then all pivots in other components
+    parts = joined(None, confirmed(known, meetings(met, 0, 1, best=True), k))
+    rest = narrow(crowded(met.drop("part"), parts, 0))
+    parts = joined(parts, confirmed(known, meetings(rest, 0, 1), k))
+    rest = narrow(crowded(rest.drop("part", "size"), parts, 1))
     # small buckets: their members meet all earlier ones, a bounded number
     parts = joined(parts, confirmed(known, meetings(rest.filter(f"size <= {FEW}"), 1, FEW - 2), k))
     # the others are dealt anew by longer bands, where unlike documents seldom meet
