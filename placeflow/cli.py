@@ -31,7 +31,7 @@ def parser() -> argparse.ArgumentParser:
     command("publish", "--data-dir", "--output", title="Places")
     command("enrich", "--places", "--pages", "--state", partition=0, total=1)
     command("reviews", "--places", "--pages", "--state", "--output", partition_x=1, partition_y=1)
-    command("merge", "--data-dir", "--output", partitions=1, stem="seoul_medical_reviews_p", suffix=".parquet")
+    command("merge", "--data-dir", "--output", partitions=1, stem="reviews_p", suffix=".parquet")
     command("progress", "--summaries", total=1)
     command("sample", "--places", num=5, seed=42)
     return p
