@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeflow.llm.common import chunks, columns, fold, raw, table
+from placeflow.llm.common import chunks, columns, fold, raw, sampled, table
 
 HIDDEN, LONGEST = 20, 40
 SAMPLE, DRAWN = 2000, 120
@@ -216,7 +216,7 @@ class Labeller:
 
 def fit(docs: DataFrame, sample: int = SAMPLE, drawn: int = DRAWN) -> Network | None:
     """A network for the labels of docs (doc_id, text, lang); None without labels."""
-    some = docs.filter("lang IS NOT NULL AND text IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    some = sampled(docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang"), "doc_id", sample)
     words, labels = [], []
     for row in some.select("text", "lang").toArrow().to_pylist():
         ws = list(chain.from_iterable(map(pieces, row["text"].encode().split())))

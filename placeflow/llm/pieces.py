@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeflow.llm.common import chunks, columns, raw, table, written
+from placeflow.llm.common import chunks, columns, commonest, raw, table, written
 
 SPACE = "▁"
 NEVER = -1e8
@@ -176,7 +176,7 @@ def documents(docs: DataFrame, path: str) -> DataFrame:
     coded = decode(encode(counts, pieces, known, "n"), pieces, known, "segment", "n")
     code = F.pmod(F.xxhash64("ids"), F.lit(PRIME))
     words = written(coded.select("segment", "n", F.size("ids").cast("bigint").alias("pieces"), code.cast("bigint").alias("code"), (F.col("segment") == F.col("text")).alias("same")))
-    top = words.orderBy(F.desc("n"), "segment").limit(KNOWN).toArrow()
+    top = commonest(words, "segment", KNOWN).toArrow()
     shared = spark.sparkContext.broadcast((raw(top.column("segment")), *(top.column(c).to_numpy() for c in ("pieces", "code")), np.array(top.column("same").to_pylist(), dtype=bool)))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

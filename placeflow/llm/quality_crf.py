@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from placeflow.llm.common import chunks, columns, fold, raw, table
+from placeflow.llm.common import chunks, columns, fold, raw, sampled, table
 
 SAMPLE, DRAWN = 3000, 48
 STEPS, RATE, PENALTY = 250, 0.1, 1e-3
@@ -203,7 +203,7 @@ def middle(text: bytes, drawn: int = DRAWN) -> bytes:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
     """A field from labels (doc_id, quality) and the texts of docs."""
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    some = sampled(known, "doc_id", sample)
     # at most `sample` rows of two numbers
     rows = docs.join(F.broadcast(some), "doc_id").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.min("text").alias("text")).orderBy("doc_id").toArrow()
     texts = [middle(t or b"") for t in raw(rows.column("text"))]
