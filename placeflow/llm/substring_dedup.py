@@ -37,6 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,6 +83,7 @@ def _owners(order: np.ndarray, same: np.ndarray, doc: np.ndarray, start: np.ndar
 
 def edges(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """Settled pieces (kind 1) and packed paths for the buckets (kind 0)."""
+    squeeze = zstandard.ZstdCompressor(level=1)
     for batch in chunks(batches, limit=BLOCK):
         keys = batch.column("doc_id")
         texts = [t if t and k is not None else b"" for t, k in zip(raw(batch.column("text")), keys.to_pylist(), strict=True)]
@@ -129,11 +131,12 @@ def edges(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
         for a, b in zip(cut, np.append(cut[1:], len(rec)), strict=True):
             part = rec[a:b]
             body = b"".join(np.ascontiguousarray(part[c]).tobytes() for c in _RECORD.names) + five[ends[a] - n[a] : ends[b - 1]].tobytes()
-            blobs.append(len(part).to_bytes(4, "little") + body)
+            blobs.append(squeeze.compress(len(part).to_bytes(4, "little") + body))
         yield _batch(len(cut), kind=np.zeros(len(cut), np.int32), bucket=bucket[cut], blob=blobs)
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, ...]:
+    blob = zstandard.decompress(blob)
     m, at, cols = int.from_bytes(blob[:4], "little"), 4, []
     for name in _RECORD.names:
         kind = _RECORD[name]
