@@ -174,10 +174,16 @@ def similar(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.select("a", "b", "_a", "_b").mapInArrow(task, "a bigint, b bigint")
 
 
+def few(df: DataFrame) -> DataFrame:
+    """df in a sixteenth of the shuffle's partitions, without a shuffle: for rows of the documents that share a bucket only.
+
+    What is shuffled next then leaves as many fewer files.
+    """
+    return df.coalesce(max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16))
+
+
 def narrow(df: DataFrame) -> DataFrame:
-    """df checkpointed in a sixteenth of the shuffle's partitions: for tables that hold only the documents that share a bucket."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return checkpointed(df.coalesce(max(4, parts // 16)))
+    return checkpointed(few(df))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -187,10 +193,10 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
+        large = few(both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        near = large.join(least, "a")
-        now = narrow(near.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(near.select("a", F.col("m").alias("b"))).distinct())
+        near = few(large.join(least, "a"))
+        now = narrow(near.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").filter("a <> b").distinct())
         got = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
         if tuple(got) == state:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
@@ -206,7 +212,7 @@ def _hopeful(a: pd.Series, b: pd.Series) -> pd.Series:
 def confirmed(known: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
     """Those pairs (a, b) whose full sets are similar enough; known: doc, n_shingles, sketch and blob."""
     side = lambda c, *cols: known.select(F.col("doc").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in cols])
-    met = pairs.join(side("a", "n_shingles", "sketch"), "a").join(side("b", "n_shingles", "sketch"), "b")
+    met = few(pairs.join(side("a", "n_shingles", "sketch"), "a")).join(side("b", "n_shingles", "sketch"), "b")
     sure = F.least("n_shingles_a", "n_shingles_b") < SMALL
     tried = narrow(met.filter(_sized("n_shingles_a", "n_shingles_b")).filter(sure | _hopeful("sketch_a", "sketch_b")).select("a", "b"))
     both = tried.join(side("a", "blob"), "a").join(side("b", "blob"), "b")
@@ -220,7 +226,7 @@ def _sized(a: str, b: str):
 
 def crowded(members: DataFrame, parts: DataFrame, done: int) -> DataFrame:
     """members of the buckets with over `done` + 1 members, in two components at least, with their component and the bucket's size."""
-    own = members.join(parts.withColumnRenamed("node", "doc"), "doc", "left").withColumn("part", F.coalesce("component", "doc")).drop("component")
+    own = few(members.join(parts.withColumnRenamed("node", "doc"), "doc", "left").withColumn("part", F.coalesce("component", "doc")).drop("component"))
     split = own.groupBy("band").agg(F.min("part").alias("_lo"), F.max("part").alias("_hi"), F.count(F.lit(1)).alias("size")).filter(f"_lo <> _hi AND size > {done + 1}")
     return own.join(split.select("band", "size"), "band")
 
@@ -237,7 +243,7 @@ def meetings(members: DataFrame, done: int, more: int, best: bool = False) -> Da
     top = members.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= done + more).filter(F.col("_r") > done)
     pivots = top.select(F.col("band").alias("_band"), F.col("doc").alias("b"), F.col("shared").alias("_s"), F.col("n_shingles").alias("_n"), F.col("part").alias("_p"))
     later = (F.col("shared") < F.col("_s")) | ((F.col("shared") == F.col("_s")) & (F.col("doc") > F.col("b")))
-    met = members.join(pivots, (F.col("band") == F.col("_band")) & later & (F.col("part") != F.col("_p")) & _sized("n_shingles", "_n"))
+    met = few(members.join(pivots, (F.col("band") == F.col("_band")) & later & (F.col("part") != F.col("_p")) & _sized("n_shingles", "_n")))
     pairs = met.groupBy(F.col("doc").alias("a")).agg(F.max_by("b", "_s").alias("b")) if best else met.select(F.col("doc").alias("a"), "b").distinct()
     return narrow(pairs)
 
