@@ -15,7 +15,8 @@ probability near 1e-5.
 3. The rest is confirmed on the full sets, and confirmed links are contracted
    to components by large-star and small-star steps.
 4. Buckets of at most `FEW` members that are still in several components are
-   compared to the end. Members of larger ones are banded anew with longer
+   compared to the end. In larger ones, documents whose shingles that any other
+   member has are too few for a link are let go; the rest is banded anew with longer
    bands, which part unlike documents that share a common passage, and get
    further pivots there, four times as many in each round, until every two members
    have been compared or are connected. So a large group of copies costs one
@@ -59,6 +60,8 @@ _BAND = np.stack([_RNG.permutation(REGISTERS)[:ROWS] for _ in range(BANDS)])
 _LONG_BAND = np.stack([_RNG.permutation(REGISTERS)[:12] for _ in range(256)])
 #: A bucket of up to so many members isn't dealt anew.
 FEW = 8
+#: Hash groups of the shingles that crowded documents share.
+GROUPS = 64
 
 
 def shingle_sets(texts: list[bytes], k: int) -> Iterator[np.ndarray]:
@@ -241,13 +244,41 @@ def meetings(members: DataFrame, done: int, more: int, best: bool = False) -> Da
     """
     order = Window.partitionBy("band").orderBy(F.desc("shared"), "doc")
     top = members.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= done + more).filter(F.col("_r") > done)
-    pivots = top.select(F.col("band").alias("_band"), F.col("doc").alias("b"), F.col("shared").alias("_s"), F.col("n_shingles").alias("_n"), F.col("part").alias("_p"))
+    possible = F.lit(True)
+    if "common" in members.columns:  # in each group, an intersection is within what either shares with anyone
+        shared = _sum(F.zip_with("common", "_c", lambda x, y: F.least(x, y)))
+        possible = (100 + SIMILARITY) * shared >= SIMILARITY * (F.col("n_shingles") + F.col("_n"))
+    else:
+        top = top.withColumn("common", F.lit(None))
+    pivots = top.select(F.col("band").alias("_band"), F.col("doc").alias("b"), F.col("shared").alias("_s"), F.col("n_shingles").alias("_n"), F.col("part").alias("_p"), F.col("common").alias("_c"))
     later = (F.col("shared") < F.col("_s")) | ((F.col("shared") == F.col("_s")) & (F.col("doc") > F.col("b")))
-    met = few(members.join(pivots, (F.col("band") == F.col("_band")) & later & (F.col("part") != F.col("_p")) & _sized("n_shingles", "_n")))
+    met = few(members.join(pivots, (F.col("band") == F.col("_band")) & later & (F.col("part") != F.col("_p")) & _sized("n_shingles", "_n") & possible))
     pairs = met.groupBy(F.col("doc").alias("a")).agg(F.max_by("b", "_s").alias("b")) if best else met.select(F.col("doc").alias("a"), "b").distinct()
     return narrow(pairs)
 
 
+def common_counts(known: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """doc and common: how many of its shingles are in another one of docs (doc) as well, for each of GROUPS hash groups."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grow = zstandard.ZstdDecompressor()
+        for batch in chunks(batches, "blob", limit=300_000):
+            sets = list(shingle_sets([grow.decompress(x) for x in batch.column("blob").to_pylist()], k))
+            owners = np.repeat(batch.column("doc").to_numpy(), [len(x) for x in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array(np.concatenate(sets).view(np.int64))], names=["doc", "shingle"])
+
+    rows = known.join(docs.select("doc").distinct(), "doc", "left_semi").select("doc", "blob").mapInArrow(task, "doc bigint, shingle bigint").distinct()
+    # a shingle's first and last document differ if it has two; only those rows go on
+    twice = rows.groupBy("shingle").agg(F.min("doc").alias("_lo"), F.max("doc").alias("_hi")).filter("_lo <> _hi").select("shingle")
+    group = F.pmod("shingle", F.lit(GROUPS))
+    counts = F.array(*[F.count_if(group == g).cast("int") for g in range(GROUPS)])
+    return narrow(rows.join(twice, "shingle").groupBy("doc").agg(counts.alias("common")))
+
+
+def _sum(counts):
+    return F.aggregate(counts, F.lit(0), lambda a, x: a + x)
+
+
 def joined(parts: DataFrame | None, links: DataFrame) -> DataFrame:
     """Components with these links as well."""
     return components(links if parts is None else links.union(parts.select(F.col("node").alias("a"), F.col("component").alias("b"))))
@@ -279,8 +310,11 @@ def link(docs: DataFrame, k: int = 5) -> DataFrame:
     # small buckets: their members meet all earlier ones, a bounded number
     parts = joined(parts, confirmed(known, meetings(rest.filter(f"size <= {FEW}"), 1, FEW - 2), k))
     # the others are dealt anew by longer bands, where unlike documents seldom meet
-    again = known.join(rest.filter(f"size > {FEW}").select("doc").distinct(), "doc", "left_semi")
-    rest, done, more = narrow(crowded(buckets(again, _LONG_BAND).drop("part"), parts, 0)), 0, 1
+    # those that share too little with all the others together can't be linked
+    shares = common_counts(known, rest.filter(f"size > {FEW}"), k)
+    again = known.join(shares, "doc").filter(100 * _sum("common") >= SIMILARITY * F.col("n_shingles"))
+    finer = buckets(again, _LONG_BAND).drop("part").join(shares, "doc")
+    rest, done, more = narrow(crowded(finer, parts, 0)), 0, 1
     while not rest.isEmpty():
         parts = joined(parts, confirmed(known, meetings(rest, done, more), k))
         done, more = done + more, 4 * more
