@@ -18,7 +18,7 @@ probability near 1e-5.
    compared to the end. In larger ones, documents whose shingles that any other
    member has are too few for a link are let go; the rest is banded anew with longer
    bands, which part unlike documents that share a common passage, and get
-   further pivots there, four times as many in each round, until every two members
+   further pivots there, sixteen times as many in each round, until every two members
    have been compared or are connected. So a large group of copies costs one
    comparison for each of its members, and no bucket is left unfinished.
 
@@ -227,11 +227,11 @@ def _sized(a: str, b: str):
     return (100 * F.least(a, b)) >= SIMILARITY * F.greatest(a, b)
 
 
-def crowded(members: DataFrame, parts: DataFrame, done: int) -> DataFrame:
-    """members of the buckets with over `done` + 1 members, in two components at least, with their component and the bucket's size."""
+def crowded(members: DataFrame, parts: DataFrame, done: int, sized: bool = True) -> DataFrame:
+    """members of the buckets with over `done` + 1 members, in two components at least, with their component (and the bucket's size)."""
     own = few(members.join(parts.withColumnRenamed("node", "doc"), "doc", "left").withColumn("part", F.coalesce("component", "doc")).drop("component"))
     split = own.groupBy("band").agg(F.min("part").alias("_lo"), F.max("part").alias("_hi"), F.count(F.lit(1)).alias("size")).filter(f"_lo <> _hi AND size > {done + 1}")
-    return own.join(split.select("band", "size"), "band")
+    return own.join(split.select("band", "size"), "band") if sized else own.join(split, "band", "left_semi")
 
 
 def meetings(members: DataFrame, done: int, more: int, best: bool = False) -> DataFrame:
@@ -314,11 +314,11 @@ def link(docs: DataFrame, k: int = 5) -> DataFrame:
     shares = common_counts(known, rest.filter(f"size > {FEW}"), k)
     again = known.join(shares, "doc").filter(100 * _sum("common") >= SIMILARITY * F.col("n_shingles"))
     finer = buckets(again, _LONG_BAND).drop("part").join(shares, "doc")
-    rest, done, more = narrow(crowded(finer, parts, 0)), 0, 1
+    rest, done, more = narrow(crowded(finer, parts, 0, sized=False)), 0, 1
     while not rest.isEmpty():
         parts = joined(parts, confirmed(known, meetings(rest, done, more), k))
-        done, more = done + more, 4 * more
-        rest = narrow(crowded(rest.drop("part", "size"), parts, done))
+        done, more = done + more, 16 * more
+        rest = narrow(crowded(rest.drop("part"), parts, done, sized=False))
     named = classes.select("key", "doc").distinct().join(parts.withColumnRenamed("node", "doc"), "doc", "left").select(F.col("key").alias("_key"), F.coalesce("component", "doc").alias("_c"))
     out = feats.select("doc_id", "n_shingles", "key").join(named, F.col("key") == F.col("_key"), "left")
     part = F.when(F.col("doc_id").isNotNull(), F.coalesce("_c", "doc_id"))
