@@ -38,7 +38,7 @@ END = 1
 #: Waiting remainders, and the smallest power of two that a task's last sequences are cut to.
 POOL, LEAST = 768, 32
 #: Distinct words whose ids a worker keeps.
-MEMO = 450_000
+MEMO = 800_000
 
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 _ARROW = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
