@@ -177,6 +177,68 @@ def test_exchange_finds_the_classes():
     assert len(set(own.tolist())) == 4
 
 
+def likelihood(pairs, own, classes):
+    g = np.zeros((classes + 1, classes + 1))
+    np.add.at(g, (own[:, None], own[None, :]), pairs)
+    return class_lm._h(g).sum() - class_lm._h(g.sum(axis=0)).sum() - class_lm._h(g.sum(axis=1)).sum()
+
+
+def balanced(pairs):
+    """Pair counts in which each word follows as often as it is followed, by the end's share."""
+    pairs[-1] += np.maximum(pairs.sum(axis=1) - pairs.sum(axis=0), 0)
+    pairs[:, -1] += np.maximum(pairs.sum(axis=0) - pairs.sum(axis=1), 0)
+    return pairs
+
+
+def test_words_choose_the_class_of_the_greatest_likelihood():
+    r = np.random.default_rng(6)
+    n, classes = 40, 5
+    pairs = balanced(np.floor(r.exponential(0.7, (n, n))) * r.integers(0, 30, (n, n)) * (r.random((n, n)) < 0.3))
+    pairs[3, 3] = 7
+    own = np.append(r.integers(0, classes, n - 1), classes)
+    hot = np.eye(classes + 1)[own]
+    got = class_lm.chooser(hot.T @ pairs @ hot)(own[:-1], (pairs @ hot)[:-1], (pairs.T @ hot)[:-1], np.diagonal(pairs)[:-1])
+    for w in range(n - 1):
+        all_of = [likelihood(pairs, np.where(np.arange(n) == w, b, own), classes) for b in range(classes)]
+        assert all_of[got[w]] > max(all_of) - 1e-6
+
+
+def test_exchange_goes_on_until_no_word_moves():
+    r = np.random.default_rng(8)
+    pairs = balanced(np.floor(r.exponential(1.0, (300, 300)) * 3))
+    own = class_lm.exchange(pairs, classes=12)
+    for w in range(0, 299, 7):
+        all_of = [likelihood(pairs, np.where(np.arange(300) == w, b, own), 12) for b in range(12)]
+        assert all_of[own[w]] > max(all_of) - 1e-6
+
+
+def test_rare_words_take_the_class_of_their_neighbours(spark, monkeypatch):
+    """Two kinds of rare words with the same last bytes, one in the places of names and one in those of verbs."""
+    monkeypatch.setattr(class_lm, "WORDS", 10)
+    monkeypatch.setattr(class_lm, "HELD", 50)
+    r = np.random.default_rng(2)
+    texts = []
+    for i in range(600):
+        name, verb = (f"n{i % 60}xyz", f"v{i % 60}xyz") if i % 2 else (r.choice(["anna", "bob"]), r.choice(["run", "go"]))
+        texts.append(f"{r.choice(['the', 'a'])} {name} {r.choice(['can', 'may'])} {verb} {r.choice(['now', 'soon'])}")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    model, classed = class_lm.fit(docs)
+    got = {w.word: (w["n"], w["class"]) for w in classed.collect()}
+    counts = Counter(w for t in texts for w in t.split())
+    assert {w: n for w, (n, _) in got.items() if w} == dict(counts)
+    of = {kind: {c for w, (_, c) in got.items() if w.startswith(kind) and w.endswith("xyz")} for kind in "nv"}
+    assert not of["n"] & of["v"]
+    # the class table counts the rare words where they now are
+    n = np.zeros(class_lm.CLASSES + 1)
+    for _, (k, c) in got.items():
+        n[c] += k
+    monkeypatch.setattr(class_lm, "KNOWN", 3)
+    few, _ = class_lm.fit(docs)
+    assert np.allclose(few.moves, model.moves) and np.allclose(n.sum(), model.tokens)
+    a, b = ({x.doc_id: x.score for x in class_lm.scored(docs, m, classed).collect()} for m in (model, few))
+    assert all(abs(a[k] - b[k]) < 1e-6 for k in a)
+
+
 def test_no_training_text(none, docs):
     model, counts = class_lm.fit(none)
     out = class_lm.scored(docs, model, counts).collect()
