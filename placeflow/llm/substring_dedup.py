@@ -19,7 +19,7 @@ bytes, so edges travel compacted:
    other in both documents compact into one span. The spans of a document are
    then joined to its text.
 
-Windows are compared by 64 bits of minimizer and 40 bits of window hash.
+Windows are compared by 64 bits of minimizer and 64 bits of window hash.
 
 Nulls: a null text has no words. A null doc_id is not smaller than any id and
 loses nothing. Rows are told apart by doc_id and crc32 of the text; repeated
@@ -122,15 +122,15 @@ def edges(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
         bucket = (mini[f] % np.uint64(buckets)).astype(np.int64)
         by = np.lexsort((rec["mini"], bucket))
         rec, bucket, n = rec[by], bucket[by], n[by]
-        # the paths' window hashes, five bytes each, in the records' new order
+        # the paths' window hashes, whole, in the records' new order
         pos = np.repeat(head[by], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        five = np.ascontiguousarray(wide[left[pos]].astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :5]
+        hashes = wide[left[pos]].astype("<u8")
         cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
         ends = np.cumsum(n)
         blobs = []
         for a, b in zip(cut, np.append(cut[1:], len(rec)), strict=True):
             part = rec[a:b]
-            body = b"".join(np.ascontiguousarray(part[c]).tobytes() for c in _RECORD.names) + five[ends[a] - n[a] : ends[b - 1]].tobytes()
+            body = b"".join(np.ascontiguousarray(part[c]).tobytes() for c in _RECORD.names) + hashes[ends[a] - n[a] : ends[b - 1]].tobytes()
             blobs.append(squeeze.compress(len(part).to_bytes(4, "little") + body))
         yield _batch(len(cut), kind=np.zeros(len(cut), np.int32), bucket=bucket[cut], blob=blobs)
 
@@ -143,11 +143,10 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, ...]:
         cols.append(np.frombuffer(blob, kind, m, at))
         at += m * kind.itemsize
     n = cols[-1].astype(np.int64)
-    wide = np.zeros((int(n.sum()), 8), dtype=np.uint8)
-    wide[:, :5] = np.frombuffer(blob, np.uint8, int(n.sum()) * 5, at).reshape(-1, 5)
+    wide = np.frombuffer(blob, "<u8", int(n.sum()), at)
     inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     mini, doc, tag, start = (np.repeat(c, n) for c in cols[:4])
-    return mini, wide.view("<u8").ravel(), doc, tag, start.astype(np.int64) + inside
+    return mini, wide, doc, tag, start.astype(np.int64) + inside
 
 
 def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

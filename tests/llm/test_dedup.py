@@ -2,10 +2,11 @@ import hashlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from placeflow.llm import near_dedup, substring_dedup
-from placeflow.llm.tokens import word_hashes
+from placeflow.llm.tokens import runs, word_hashes
 
 
 def shingles(text, k):
@@ -137,6 +138,21 @@ def test_blocks_meet_in_buckets(spark, monkeypatch):
     assert digests(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)) == brute_spans(rows)
 
 
+def test_windows_of_blocks_are_told_apart_by_their_whole_hashes(monkeypatch):
+    """Unlike windows around one phrase, whose hashes differ in the upper bits only."""
+    monkeypatch.setattr(substring_dedup, "runs", lambda h, k: runs(h, k) if k < substring_dedup.K else (runs(h, k) << np.uint64(40)) | np.uint64(1))
+    phrase = [f"p{j}" for j in range(5)]
+    rows = [(i, " ".join([f"a{i}_{j}" for j in range(8)] + phrase + [f"z{i}_{j}" for j in range(8)]).encode()) for i in range(30)]
+    kind = pa.schema([("doc_id", pa.int64()), ("text", pa.binary())])
+    blocks = [pa.RecordBatch.from_pylist([{"doc_id": i, "text": t}], schema=kind) for i, t in rows]
+    out = list(substring_dedup.settle(substring_dedup.edges(iter(blocks), 1)))
+    assert sum(b.num_rows for b in out) == 0
+    # and copies are still met
+    copies = [pa.RecordBatch.from_pylist([{"doc_id": i, "text": rows[0][1]}], schema=kind) for i in range(3)]
+    out = pa.Table.from_batches(substring_dedup.settle(substring_dedup.edges(iter(copies), 1))).to_pylist()
+    assert sorted((r["doc"], r["owner"], r["start"], r["n"]) for r in out) == [(1, 0, 0, 9), (2, 0, 0, 9)]
+
+
 def test_strip_keeps_columns(none, clashing, docs):
     assert substring_dedup.strip(none).count() == 0
     out = substring_dedup.strip(clashing)
