@@ -8,25 +8,29 @@ short documents have full sketches too. `BANDS` bands of `ROWS` registers are
 the blocking keys: at similarity 0.8 a pair shares none of them with a
 probability near 1e-5.
 
-1. Documents with equal sets form a class, seen through its smallest doc_id.
+1. Documents with equal sets form a class, a single row seen through its
+   smallest doc_id.
 2. In each band bucket the classes meet one of them, the pivot: a star, not all
-   pairs. It is the one that shares most buckets with others. Sizes and then the sketches' Jaccard estimate, corrected for chance
-   collisions of compressed registers, discard hopeless pairs.
+   pairs. It is the one that shares most buckets with others. Sizes and then the
+   sketches' Jaccard estimate, corrected for chance collisions of compressed
+   registers, discard hopeless pairs.
 3. The rest is confirmed on the full sets, and confirmed links are contracted
    to components by large-star and small-star steps.
-4. Buckets of at most `FEW` members that are still in several components are
-   compared to the end. In larger ones, documents whose shingles that any other
-   member has are too few for a link are let go; the rest is banded anew with longer
-   bands, which part unlike documents that share a common passage, and get
-   further pivots there, sixteen times as many in each round, until every two members
-   have been compared or are connected. So a large group of copies costs one
-   comparison for each of its members, and no bucket is left unfinished.
+4. In buckets that still hold several components, members meet further pivots
+   and at last all members, so that every two have met or are connected. A pair of different components goes on only if two bounds allow
+   the similarity: the sets' sizes, and the parities of the sets' hash cells,
+   which never differ in more cells than the sets differ in shingles. So a large
+   group of copies costs a comparison for each of its members, unlike texts
+   around a common passage cost next to none, and no bucket is left unfinished.
 
 A document with fewer words than a shingle has its whole sequence as its only
 shingle; without words (or with a null text) its set is empty and it is linked
 with nothing. Rows with one doc_id are one document. A row without doc_id is
 linked with nothing, its component is null and it is kept. Repeated rows get
-the same result. Empty tables give no rows; extra columns are ignored by
+the same result and cost no comparison; a doc_id with several texts is linked
+wherever one of them is. Ties between pivots go to the smaller doc_id. A very
+long text is one row of a batch, whose shingle hashes (8 bytes a word, a few
+times over) are held at once. Empty tables give no rows; extra columns are ignored by
 `link` and kept by `keep`.
 """
 
@@ -39,7 +43,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,12 +60,10 @@ SMALL = 128
 _RNG = np.random.default_rng(91)
 _BORROW = np.argsort(_RNG.random((REGISTERS, REGISTERS)), axis=1).argsort(axis=1).astype(np.int16)  # rank of each bucket in each order
 _BAND = np.stack([_RNG.permutation(REGISTERS)[:ROWS] for _ in range(BANDS)])
-#: The second banding, for crowded buckets of unlike documents: more and longer bands.
-_LONG_BAND = np.stack([_RNG.permutation(REGISTERS)[:12] for _ in range(256)])
-#: A bucket of up to so many members isn't dealt anew.
-FEW = 8
-#: Hash groups of the shingles that crowded documents share.
-GROUPS = 64
+#: Hash cells whose parities bound how much two sets differ.
+CELLS = 1024
+#: Pivots that the members of a bucket have met after each round; in the last one they meet all members.
+PIVOTS = (2, 66)
 
 
 def shingle_sets(texts: list[bytes], k: int) -> Iterator[np.ndarray]:
@@ -98,6 +100,11 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Parity of the number of hashes in each of `CELLS` cells, packed."""
+    return np.packbits((np.bincount((hashes & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS) & 1).astype(np.uint8))
+
+
 def band_keys(sketches: np.ndarray, bands: np.ndarray) -> np.ndarray:
     """A 64-bit key for each band (the numbers of its registers) of each sketch."""
     wide = sketches.astype(np.uint64)
@@ -119,7 +126,7 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def features(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, key (of the set; null if empty) and sketch."""
+    """doc_id, tag (of the text), n_shingles, key (of the set; null if empty) and sketch (registers, then parities)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, limit=3_000_000):
@@ -127,13 +134,22 @@ def features(docs: DataFrame, k: int) -> DataFrame:
             for s in shingle_sets([t or b"" for t in raw(batch.column("text"))], k):
                 sizes.append(len(s))
                 keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                packed.append(sketch(s).tobytes() if len(s) else None)
+                packed.append(sketch(s).tobytes() + parities(s).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(packed, pa.binary())],
-                names=["doc_id", "n_shingles", "key", "sketch"],
+                [batch.column("doc_id"), batch.column("tag"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(packed, pa.binary())],
+                names=["doc_id", "tag", "n_shingles", "key", "sketch"],
             )
 
-    return columns(docs, "doc_id", "text").mapInArrow(task, "doc_id bigint, n_shingles bigint, key binary, sketch binary")
+    return tagged(docs).mapInArrow(task, "doc_id bigint, tag bigint, n_shingles bigint, key binary, sketch binary")
+
+
+def tagged(docs: DataFrame) -> DataFrame:
+    return columns(docs, "doc_id", "text").withColumn("tag", F.xxhash64("text"))
+
+
+def registers(sketches: list[bytes]) -> np.ndarray:
+    """Registers [rows, REGISTERS] of packed sketches."""
+    return np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1)[:, : 2 * REGISTERS].copy().view(np.uint16)
 
 
 def banded(classes: DataFrame, bands: np.ndarray) -> DataFrame:
@@ -143,7 +159,7 @@ def banded(classes: DataFrame, bands: np.ndarray) -> DataFrame:
         for batch in batches:
             for i in range(0, batch.num_rows, 1000):
                 part = batch.slice(i, 1000)
-                sketches = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+                sketches = registers(part.column("sketch").to_pylist())
                 docs, sizes = (np.repeat(part.column(c).to_numpy(), len(bands)) for c in ("doc", "n_shingles"))
                 yield pa.RecordBatch.from_arrays([pa.array(band_keys(sketches, bands).view(np.int64).ravel()), pa.array(docs), pa.array(sizes)], names=["band", "doc", "n_shingles"])
 
@@ -151,16 +167,17 @@ def banded(classes: DataFrame, bands: np.ndarray) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The wanted documents' texts; all texts travel compressed to meet the wanted ids."""
+    """doc, tag and blob (the text, compressed) of the wanted (doc, tag), a row for each; all texts travel compressed to meet them."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1)
         for batch in chunks(batches):
             blobs = [squeeze.compress(t or b"") for t in raw(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(blobs, pa.binary())], names=["doc", "blob"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tag"), pa.array(blobs, pa.binary())], names=["doc", "tag", "blob"])
 
-    small = columns(docs, "doc_id", "text").filter("doc_id IS NOT NULL").mapInArrow(task, "doc bigint, blob binary")
-    return small.join(wanted.hint("shuffle_hash"), "doc", "left_semi")
+    small = tagged(docs).filter("doc_id IS NOT NULL").mapInArrow(task, "doc bigint, tag bigint, blob binary")
+    met = small.join(wanted.hint("shuffle_hash"), ["doc", "tag"], "left_semi")
+    return met.groupBy("doc", "tag").agg(F.first("blob").alias("blob"))  # repeated rows; the join has brought them together
 
 
 def similar(pairs: DataFrame, k: int) -> DataFrame:
@@ -178,7 +195,7 @@ def similar(pairs: DataFrame, k: int) -> DataFrame:
 
 
 def few(df: DataFrame) -> DataFrame:
-    """df in a sixteenth of the shuffle's partitions, without a shuffle: for rows of the documents that share a bucket only.
+    """df in a sixteenth of the shuffle's partitions, without a shuffle: for confirmed links and their components only, which are few and narrow.
 
     What is shuffled next then leaves as many fewer files.
     """
@@ -208,118 +225,119 @@ def components(edges: DataFrame) -> DataFrame:
 
 @F.pandas_udf(T.BooleanType())
 def _hopeful(a: pd.Series, b: pd.Series) -> pd.Series:
-    left, right = (np.frombuffer(b"".join(x), np.uint16).reshape(-1, REGISTERS) for x in (a, b))
-    return pd.Series(100 * estimate(left, right) >= ESTIMATE)
+    return pd.Series(100 * estimate(registers(list(a)), registers(list(b))) >= ESTIMATE)
+
+
+def _sized(a: str, b: str) -> Column:
+    """Whether two set sizes allow the similarity."""
+    return (100 * F.least(a, b)) >= SIMILARITY * F.greatest(a, b)
 
 
 def confirmed(known: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
     """Those pairs (a, b) whose full sets are similar enough; known: doc, n_shingles, sketch and blob."""
     side = lambda c, *cols: known.select(F.col("doc").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in cols])
-    met = few(pairs.join(side("a", "n_shingles", "sketch"), "a")).join(side("b", "n_shingles", "sketch"), "b")
+    met = pairs.join(side("a", "n_shingles", "sketch"), "a").join(side("b", "n_shingles", "sketch"), "b")
     sure = F.least("n_shingles_a", "n_shingles_b") < SMALL
-    tried = narrow(met.filter(_sized("n_shingles_a", "n_shingles_b")).filter(sure | _hopeful("sketch_a", "sketch_b")).select("a", "b"))
+    tried = checkpointed(met.filter(_sized("n_shingles_a", "n_shingles_b")).filter(sure | _hopeful("sketch_a", "sketch_b")).select("a", "b").distinct())
     both = tried.join(side("a", "blob"), "a").join(side("b", "blob"), "b")
     return checkpointed(similar(both.select("a", "b", F.col("blob_a").alias("_a"), F.col("blob_b").alias("_b")), k))
 
 
-def _sized(a: str, b: str):
-    """Whether two set sizes allow the similarity."""
-    return (100 * F.least(a, b)) >= SIMILARITY * F.greatest(a, b)
-
-
-def crowded(members: DataFrame, parts: DataFrame, done: int, sized: bool = True) -> DataFrame:
-    """members of the buckets with over `done` + 1 members, in two components at least, with their component (and the bucket's size)."""
-    own = few(members.join(parts.withColumnRenamed("node", "doc"), "doc", "left").withColumn("part", F.coalesce("component", "doc")).drop("component"))
-    split = own.groupBy("band").agg(F.min("part").alias("_lo"), F.max("part").alias("_hi"), F.count(F.lit(1)).alias("size")).filter(f"_lo <> _hi AND size > {done + 1}")
-    return own.join(split.select("band", "size"), "band") if sized else own.join(split, "band", "left_semi")
+def buckets(classes: DataFrame, bands: np.ndarray) -> DataFrame:
+    """band, doc, n_shingles and shared (the sum of the sizes of its buckets) of the classes that share a bucket with another."""
+    members = banded(classes, bands)
+    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    met = checkpointed(members.join(sizes, "band"))
+    totals = met.groupBy("doc").agg(F.sum("_n").alias("shared"))
+    return checkpointed(met.drop("_n").join(totals, "doc"))
 
 
-def meetings(members: DataFrame, done: int, more: int, best: bool = False) -> DataFrame:
-    """Pairs (a, b) of members with those pivots of their bucket that come after the first `done`, `more` of them, in other components.
+def stars(members: DataFrame) -> DataFrame:
+    """Pairs (a, b): each member and, of the pivots of its buckets, the one that shares most.
 
     Pivots are the members that share most buckets with others: the text that
-    others are copies of comes before the copies. Only pivots are ranked, and
-    the limit on ranks holds in each task before rows meet. With `best`, each
-    member meets just one pivot, the one that shares most.
+    others are copies of comes before the copies.
     """
-    order = Window.partitionBy("band").orderBy(F.desc("shared"), "doc")
-    top = members.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= done + more).filter(F.col("_r") > done)
-    possible = F.lit(True)
-    if "common" in members.columns:  # in each group, an intersection is within what either shares with anyone
-        shared = _sum(F.zip_with("common", "_c", lambda x, y: F.least(x, y)))
-        possible = (100 + SIMILARITY) * shared >= SIMILARITY * (F.col("n_shingles") + F.col("_n"))
-    else:
-        top = top.withColumn("common", F.lit(None))
-    pivots = top.select(F.col("band").alias("_band"), F.col("doc").alias("b"), F.col("shared").alias("_s"), F.col("n_shingles").alias("_n"), F.col("part").alias("_p"), F.col("common").alias("_c"))
-    later = (F.col("shared") < F.col("_s")) | ((F.col("shared") == F.col("_s")) & (F.col("doc") > F.col("b")))
-    met = few(members.join(pivots, (F.col("band") == F.col("_band")) & later & (F.col("part") != F.col("_p")) & _sized("n_shingles", "_n") & possible))
-    pairs = met.groupBy(F.col("doc").alias("a")).agg(F.max_by("b", "_s").alias("b")) if best else met.select(F.col("doc").alias("a"), "b").distinct()
-    return narrow(pairs)
+    top = members.groupBy("band").agg(F.max(F.struct("shared", (-F.col("doc")).alias("least"), F.col("n_shingles").alias("n"))).alias("_p"))
+    met = members.join(top, "band").filter((F.col("doc") != -F.col("_p.least")) & _sized("n_shingles", "_p.n"))
+    return checkpointed(met.groupBy(F.col("doc").alias("a")).agg((-F.max(F.struct("_p.shared", "_p.least"))["least"]).alias("b")))
 
 
-def common_counts(known: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """doc and common: how many of its shingles are in another one of docs (doc) as well, for each of GROUPS hash groups."""
+def crowded(members: DataFrame, parts: DataFrame, done: int) -> DataFrame:
+    """members of the buckets with over `done` + 1 members, in two components at least, with their component (part)."""
+    own = members.drop("part").join(parts.withColumnRenamed("node", "doc"), "doc", "left").withColumn("part", F.coalesce("component", "doc")).drop("component")
+    split = own.groupBy("band").agg(F.min("part").alias("_lo"), F.max("part").alias("_hi"), F.count(F.lit(1)).alias("_n")).filter(f"_lo <> _hi AND _n > {done + 1}")
+    return own.join(split.select("band"), "band", "left_semi")
+
+
+def with_cells(classes: DataFrame, members: DataFrame) -> DataFrame:
+    """members with cells: the parities of their sets as 64-bit numbers."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grow = zstandard.ZstdDecompressor()
-        for batch in chunks(batches, "blob", limit=300_000):
-            sets = list(shingle_sets([grow.decompress(x) for x in batch.column("blob").to_pylist()], k))
-            owners = np.repeat(batch.column("doc").to_numpy(), [len(x) for x in sets])
-            yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array(np.concatenate(sets).view(np.int64))], names=["doc", "shingle"])
+        for batch in batches:
+            if batch.num_rows:
+                packed = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(batch.num_rows, -1)[:, 2 * REGISTERS :]
+                cells = pa.array(np.ascontiguousarray(packed).view(np.int64).ravel())
+                ends = pa.array(np.arange(batch.num_rows + 1) * (CELLS // 64), pa.int32())
+                yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("n_shingles"), pa.ListArray.from_arrays(ends, cells)], names=["doc", "n_shingles", "cells"])
 
-    rows = known.join(docs.select("doc").distinct(), "doc", "left_semi").select("doc", "blob").mapInArrow(task, "doc bigint, shingle bigint").distinct()
-    # a shingle's first and last document differ if it has two; only those rows go on
-    twice = rows.groupBy("shingle").agg(F.min("doc").alias("_lo"), F.max("doc").alias("_hi")).filter("_lo <> _hi").select("shingle")
-    group = F.pmod("shingle", F.lit(GROUPS))
-    counts = F.array(*[F.count_if(group == g).cast("int") for g in range(GROUPS)])
-    return narrow(rows.join(twice, "shingle").groupBy("doc").agg(counts.alias("common")))
+    some = classes.join(members.select("doc").distinct(), "doc", "left_semi").select("doc", "n_shingles", "sketch")
+    return members.join(some.mapInArrow(task, "doc bigint, n_shingles bigint, cells array<bigint>"), ["doc", "n_shingles"])
 
 
-def _sum(counts):
-    return F.aggregate(counts, F.lit(0), lambda a, x: a + x)
+def meetings(members: DataFrame, done: int, upto: int | None) -> DataFrame:
+    """Pairs (a, b) of members with pivots of their bucket, those ranked over `done` up to `upto` (None: all members), in other components.
 
+    Only pivots are ranked, and the limit on ranks holds in each task before
+    rows meet. Sets that are similar enough differ in at most (100 - S) /
+    (100 + S) of the sum of their sizes, and so do their parities.
+    """
+    top = members
+    if upto is not None:
+        order = Window.partitionBy("band").orderBy(F.desc("shared"), "doc")
+        top = members.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= upto).filter(F.col("_r") > done)
+    pivots = top.select(F.col("band").alias("_band"), F.col("doc").alias("b"), F.col("shared").alias("_s"), F.col("n_shingles").alias("_n"), F.col("part").alias("_p"), F.col("cells").alias("_c"))
+    later = (F.col("shared") < F.col("_s")) | ((F.col("shared") == F.col("_s")) & (F.col("doc") > F.col("b")))
+    differ = sum((F.bit_count(F.col("cells")[i].bitwiseXOR(F.col("_c")[i])) for i in range(CELLS // 64)), F.lit(0))
+    near = (100 + SIMILARITY) * differ <= (100 - SIMILARITY) * (F.col("n_shingles") + F.col("_n"))
+    met = members.join(pivots, (F.col("band") == F.col("_band")) & later & (F.col("part") != F.col("_p")) & _sized("n_shingles", "_n") & near)
+    return checkpointed(met.select(F.col("doc").alias("a"), "b").distinct())
 
-def joined(parts: DataFrame | None, links: DataFrame) -> DataFrame:
+
+def joined(parts: DataFrame, links: DataFrame) -> DataFrame:
     """Components with these links as well."""
-    return components(links if parts is None else links.union(parts.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    return parts if links.isEmpty() else components(links.union(parts.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
 
-def buckets(classes: DataFrame, bands: np.ndarray) -> DataFrame:
-    """band, doc, n_shingles and shared (the sum of the sizes of its buckets) of the classes that share a bucket with another; part is doc."""
-    members = banded(classes, bands)
-    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    met = narrow(members.join(sizes, "band"))
-    totals = met.groupBy("doc").agg(F.sum("_n").alias("shared"))
-    return narrow(met.drop("_n").join(totals, "doc").withColumn("part", F.col("doc")))
+def namesakes(linked: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of doc_ids that have several sets."""
+    several = linked.groupBy("doc_id").agg(F.min("key").alias("_a"), F.max("key").alias("_b")).filter("_a <> _b").select("doc_id")
+    own = linked.join(several, "doc_id", "left_semi").select("doc_id", "key").join(classes.select("key", "doc"), "key")
+    return own.select(F.col("doc_id").alias("a"), F.col("doc").alias("b"))
 
 
 def link(docs: DataFrame, k: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document."""
     feats = checkpointed(features(docs, k))
     linked = feats.filter("doc_id IS NOT NULL AND key IS NOT NULL")
-    reps = linked.groupBy("key").agg(F.min("doc_id").alias("doc")).withColumnRenamed("key", "_key")
-    classes = checkpointed(linked.join(reps, (F.col("doc_id") == F.col("doc")) & (F.col("key") == F.col("_key"))).select("doc", "n_shingles", "key", "sketch"))
+    classes = checkpointed(
+        linked.groupBy("key").agg(F.min(F.struct("doc_id", "tag")).alias("_f"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+        .select("key", F.col("_f.doc_id").alias("doc"), F.col("_f.tag").alias("tag"), "n_shingles", "sketch")
+    )
     met = buckets(classes, _BAND)
-    wanted = met.select("doc").distinct()
-    known = narrow(classes.drop("key").join(texts_of(docs, wanted), "doc"))
-    # copies join their text at once, by one comparison each; then all pivots in other components
-    parts = joined(None, confirmed(known, meetings(met, 0, 1, best=True), k))
-    rest = narrow(crowded(met.drop("part"), parts, 0))
-    parts = joined(parts, confirmed(known, meetings(rest, 0, 1), k))
-    rest = narrow(crowded(rest.drop("part", "size"), parts, 1))
-    # small buckets: their members meet all earlier ones, a bounded number
-    parts = joined(parts, confirmed(known, meetings(rest.filter(f"size <= {FEW}"), 1, FEW - 2), k))
-    # the others are dealt anew by longer bands, where unlike documents seldom meet
-    # those that share too little with all the others together can't be linked
-    shares = common_counts(known, rest.filter(f"size > {FEW}"), k)
-    again = known.join(shares, "doc").filter(100 * _sum("common") >= SIMILARITY * F.col("n_shingles"))
-    finer = buckets(again, _LONG_BAND).drop("part").join(shares, "doc")
-    rest, done, more = narrow(crowded(finer, parts, 0, sized=False)), 0, 1
-    while not rest.isEmpty():
-        parts = joined(parts, confirmed(known, meetings(rest, done, more), k))
-        done, more = done + more, 16 * more
-        rest = narrow(crowded(rest.drop("part"), parts, done, sized=False))
-    named = classes.select("key", "doc").distinct().join(parts.withColumnRenamed("node", "doc"), "doc", "left").select(F.col("key").alias("_key"), F.coalesce("component", "doc").alias("_c"))
+    some = classes.join(met.select("doc").distinct(), "doc", "left_semi").drop("key")
+    known = checkpointed(some.join(texts_of(docs, some.select("doc", "tag")), ["doc", "tag"]).drop("tag"))
+    # copies join their text at once, by one comparison each; then members meet the pivots of other components
+    parts = components(confirmed(known, stars(met), k).union(namesakes(linked, classes)))
+    rest = checkpointed(with_cells(known, checkpointed(crowded(met, parts, 0))))
+    done = 0
+    for upto in (*PIVOTS, None):
+        if rest.isEmpty():
+            break
+        parts = joined(parts, confirmed(known, meetings(rest, done, upto), k))
+        done = upto
+        rest = checkpointed(crowded(rest, parts, done)) if upto else rest
+    named = classes.select("key", "doc").join(parts.withColumnRenamed("node", "doc"), "doc", "left").select(F.col("key").alias("_key"), F.coalesce("component", "doc").alias("_c"))
     out = feats.select("doc_id", "n_shingles", "key").join(named, F.col("key") == F.col("_key"), "left")
     part = F.when(F.col("doc_id").isNotNull(), F.coalesce("_c", "doc_id"))
     return out.select("doc_id", "n_shingles", part.alias("component_id"), F.coalesce(part == F.col("doc_id"), F.lit(True)).alias("kept"))
