@@ -5,14 +5,23 @@ once: tokens, segments (pieces) and loss-bearing tokens. The placing is the
 dot-product heuristic: of the waiting pieces that fit into the open sequence,
 take the one whose demand vector has the largest weighted dot product with the
 sequence's remaining room, the weights being the mean demand in each dimension.
-When nothing fits, the piece with the largest product is cut to fill the room.
-
-Each task packs its own rows as they stream by: full sequences of a long
-document leave at once, and at most `POOL` remainders wait, so memory is
-bounded and nothing is shuffled. What remains open at a task's end is cut at
-powers of two, down to `LEAST`, since a sequence whose length is a power of two
-needs no padding. Sequence ids are the task's partition number times 2**40 plus
-a counter; a rerun task makes the same ones.
+When nothing fits whole, the piece with the largest product among those of which
+a part fits is cut to fill the room. Equal products go to the piece that waits
+longest.
+
+Which tokens bear loss is a rule, as in instruction data: the prompt of a
+document, its first line that has a word (if words follow it), bears none, the
+rest and the end id do. With `loss_column` a row bears loss in all its tokens or
+in none, as turns of a conversation do by their role. A sequence holds at most
+`LOSS` loss-bearing tokens, so the last `TOKENS - LOSS` places of a full one
+hold tokens of prompts, its own or those of waiting documents.
+
+Each task packs its own rows as they stream by and at most `POOL` pieces wait,
+so memory is bounded (by the longest text, whose ids are held at once) and
+nothing is shuffled. What remains open at a task's end is cut at powers of two,
+down to `LEAST`, since a sequence whose length is a power of two needs no
+padding. Sequence ids are the task's partition number times 2**40 plus a
+counter; a rerun task makes the same ones.
 
 A null text counts as empty: its document is the end id alone. An empty table
 gives no rows. Repeated rows are packed each. Extra columns are ignored.
@@ -22,8 +31,8 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Callable, Iterable, Iterator
-from itertools import chain, repeat
+from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,16 +41,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeflow.llm.common import chunks, columns, raw, table
+from placeflow.llm.tokens import coded_words
 
-TOKENS, SEGMENTS = 2048, 512
+TOKENS, SEGMENTS, LOSS = 2048, 512, 1984
 END = 1
 #: Waiting remainders, and the smallest power of two that a task's last sequences are cut to.
 POOL, LEAST = 768, 32
 #: Distinct words whose ids a worker keeps.
-MEMO = 800_000
+MEMO = 300_000
 
-SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
-_ARROW = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
+_NAMES = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "n_loss")
+SCHEMA = ", ".join(f"{n} bigint" for n in _NAMES)
 
 
 class WordIds:
@@ -68,52 +78,51 @@ class WordIds:
         self.ids = np.empty(0, dtype="<u4")
         self.first = np.zeros(1, dtype=np.int64)  # of each word in ids, and the end
 
-    def encode(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of each word."""
-        if len(self.part) != 1:
-            return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
-        out: list[np.ndarray] = []
-        lines = [words[i : i + self.LINE] for i in range(0, len(words), self.LINE)]
-        whole = self.tokenizer.encode_batch_fast([b" 0 ".join(x).decode() for x in lines], add_special_tokens=False)
-        for line, e in zip(lines, whole, strict=True):
-            ids = np.array(e.ids, dtype="<u4")
-            at = np.flatnonzero(ids == self.part[0])
-            if len(at) != len(line) - 1:
-                raise ValueError("the tokenizer joins words")
-            out += [ids[a:b] for a, b in zip([0, *(at + 1).tolist()], [*at.tolist(), len(ids)], strict=True)]
-        return out
+    def encode(self, words: list[bytes], lines: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in a row, and how many each has; in lines if no word has the digit 0."""
+        whole = lambda x: [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(x, add_special_tokens=False)]
+        if len(self.part) != 1 or not lines:
+            got = whole([w.decode() for w in words])
+            return np.concatenate(got), np.fromiter(map(len, got), np.int64, len(got))
+        mark = np.array(self.part, dtype="<u4")
+        parted = whole([b" 0 ".join(words[i : i + self.LINE]).decode() for i in range(0, len(words), self.LINE)])
+        ids = np.concatenate([x for line in parted for x in (line, mark)])
+        at = np.flatnonzero(ids == mark[0])
+        if len(at) != len(words):
+            raise ValueError("the tokenizer joins words")
+        return np.delete(ids, at), np.diff(at, prepend=-1) - 1
 
     def learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if b"0" not in w]
-        rest = [w for w in words if b"0" in w]
-        got = self.encode(plain)
-        for i in range(0, len(rest), 20_000):
-            got += [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast([w.decode() for w in rest[i : i + 20_000]], add_special_tokens=False)]
-        self.place.update(zip(plain + rest, range(len(self.place), len(self.place) + len(words)), strict=True))
-        self.ids = np.concatenate([self.ids, *got])
-        sizes = np.fromiter(map(len, got), np.int64, len(got))
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
-
-    def __call__(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        split = [t.split() for t in texts]
+        for part, lines in (([w for w in words if b"0" not in w], True), ([w for w in words if b"0" in w], False)):
+            if part:
+                ids, sizes = self.encode(part, lines)
+                self.place.update(zip(part, range(len(self.place), len(self.place) + len(part)), strict=True))
+                self.ids = np.concatenate([self.ids, ids])
+                self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
+
+    def tokens(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, int]]:
+        """Of each text its ids, with the end id, and how many of them are its prompt."""
         if len(self.place) > MEMO:
             self.clear()
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        words = list(chain.from_iterable(split))
+        words, codes, counts, prompts = coded_words(texts)
         at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
-        missing = np.flatnonzero(at < 0).tolist()
-        if missing:
-            self.learn(list({words[i] for i in missing}))
-            at[missing] = [self.place[words[i]] for i in missing]
-        first, n = self.first[at], self.first[at + 1] - self.first[at]
-        ends = np.cumsum(n)
-        flat = self.ids[np.repeat(first - (ends - n), n) + np.arange(n.sum())]
-        stops = np.concatenate([[0], ends])[np.cumsum(counts)].tolist()
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            fresh = [words[i] for i in missing.tolist()]
+            self.learn(fresh)
+            at[missing] = [self.place[w] for w in fresh]
+        first, n = self.first[at][codes], (self.first[at + 1] - self.first[at])[codes]
+        ends = np.append(0, np.cumsum(n))
+        flat = self.ids[np.repeat(first - ends[:-1], n) + np.arange(ends[-1])]
+        stops = np.cumsum(counts)
+        begins = ends[stops - counts]
         end = np.array([END], dtype="<u4")
-        start = 0
-        for stop in stops:
-            yield np.concatenate([flat[start:stop], end])
-            start = stop
+        for a, b, p in zip(begins.tolist(), ends[stops].tolist(), (ends[stops - counts + prompts] - begins).tolist(), strict=True):
+            yield np.concatenate([flat[a:b], end]), p
+
+    def __call__(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        """Ids of each text, with the end id."""
+        return (ids for ids, _ in self.tokens(texts))
 
 
 _ENCODERS: dict[str, WordIds] = {}
@@ -131,31 +140,35 @@ class Packer:
 
     A document comes as its key, ids and loss mask (or None: all tokens bear
     loss). Output: key, start, ids of the piece, length of the document,
-    sequence number, offset in the sequence.
+    sequence number, offset in the sequence, loss-bearing tokens.
     """
 
     def __init__(self, tokens: int = TOKENS, segments: int = SEGMENTS, loss: int | None = None, pool: int = POOL, least: int = LEAST):
         self.limit = np.array([tokens, segments, tokens if loss is None else loss], dtype=np.float64)
         self.pool, self.least, self.sequence = pool, least, 0
-        self.items: list[tuple] = []  # key, start, ids, loss, doc length
-        self.mean = self.limit / 8
-        self.seen = 1
+        self.items: list[tuple] = []  # key, start, ids, mask, doc length
+
+    @staticmethod
+    def demand(item: tuple) -> tuple[int, int, int]:
+        return len(item[2]), 1, len(item[2]) if item[3] is None else int(np.count_nonzero(item[3]))
 
-    def demand(self, item: tuple) -> tuple[int, int, int]:
-        return len(item[2]), 1, len(item[2]) if item[3] is None else int(item[3].sum())
+    @staticmethod
+    def lead(item: tuple) -> int:
+        """Tokens before the first one that bears loss."""
+        return 0 if item[3] is None else int(item[3].argmax()) if item[3].any() else len(item[2])
 
-    def add(self, key, ids: np.ndarray, loss: np.ndarray | None = None) -> Iterator[tuple]:
-        start, n, step = 0, len(ids), int(self.limit[0])
-        if loss is None and self.limit[2] >= self.limit[0]:
+    def add(self, key, ids: np.ndarray, mask: np.ndarray | None = None) -> Iterator[tuple]:
+        start, n, step = 0, len(ids), int(self.limit[[0, 2]].min())
+        if mask is None and self.limit[2] >= self.limit[0]:
             while n - start >= step:  # fills a sequence alone
-                yield key, start, ids[start : start + step], n, self._next(), 0
+                yield key, start, ids[start : start + step], n, self._next(), 0, step
                 start += step
         while start < n:
             stop = min(n, start + step)
-            self.items.append((key, start, ids[start:stop], None if loss is None else loss[start:stop], n))
+            self.items.append((key, start, ids[start:stop], None if mask is None else mask[start:stop], n))
             start = stop
-        if len(self.items) >= self.pool:
-            yield from self._pack(self.pool // 4)
+            if len(self.items) >= self.pool:
+                yield from self._pack(self.pool // 4)
 
     def close(self) -> Iterator[tuple]:
         yield from self._pack(0)
@@ -164,16 +177,15 @@ class Packer:
         self.sequence += 1
         return self.sequence - 1
 
-    def _cut(self, item: tuple, room: np.ndarray) -> int:
+    @staticmethod
+    def _cut(item: tuple, room: np.ndarray) -> int:
         """Tokens of the item that fit into the room."""
         if room[1] < 1:
             return 0
         n = min(len(item[2]), int(room[0]))
-        if item[3] is not None:
-            n = min(n, int(np.searchsorted(np.cumsum(item[3]), room[2], side="right")))
-        else:
-            n = min(n, int(room[2]))
-        return n
+        if item[3] is None:
+            return min(n, int(room[2]))
+        return min(n, int(np.searchsorted(np.cumsum(item[3]), room[2], side="right")))
 
     def _pack(self, leave: int) -> Iterator[tuple]:
         """Fills sequences until `leave` pieces wait; at 0 the rest is cut at powers of two."""
@@ -181,6 +193,7 @@ class Packer:
         if not items:
             return
         need = np.array([self.demand(i) for i in items], dtype=np.float64)
+        lead = np.array([self.lead(i) for i in items])
         alive = np.ones(len(items), dtype=bool)
         weight = need.mean(axis=0) / self.limit / self.limit
         left = len(items)
@@ -194,60 +207,71 @@ class Packer:
                         limit = np.array([size, limit[1], min(size, limit[2])], dtype=np.float64)
             room, offset, number = limit.copy(), 0, self._next()
             while room[0] > 0 and left:
-                fits = alive & (need <= room).all(axis=1)
-                if fits.any():
-                    product = np.where(fits, need @ (weight * room), -1.0)
-                    best = int(product.argmax())
-                    n = len(items[best][2])
-                else:
-                    product = np.where(alive, need @ (weight * room), -1.0)
-                    best = int(product.argmax())
-                    n = self._cut(items[best], room)
-                    if n == 0:
+                able = alive & (need <= room).all(axis=1)
+                whole = able.any()
+                if not whole:  # those of which a part fits
+                    able = alive if room[2] > 0 else alive & (lead > 0)
+                    if room[1] < 1 or not able.any():
                         break
-                key, start, ids, loss, whole = items[best]
-                yield key, start, ids[:n], whole, number, offset
-                used = self.demand((key, start, ids[:n], None if loss is None else loss[:n], whole))
+                score = need @ (weight * room) if whole or room[2] > 0 else lead
+                best = int(np.where(able, score, -1.0).argmax())
+                key, start, ids, mask, length = items[best]
+                n = len(ids) if whole else self._cut(items[best], room)
+                used = self.demand((key, start, ids[:n], None if mask is None else mask[:n], length))
+                yield key, start, ids[:n], length, number, offset, used[2]
                 room -= used
                 offset += n
                 if n < len(ids):
-                    items[best] = (key, start + n, ids[n:], None if loss is None else loss[n:], whole)
-                    need[best] = self.demand(items[best])
+                    items[best] = (key, start + n, ids[n:], None if mask is None else mask[n:], length)
+                    need[best], lead[best] = self.demand(items[best]), self.lead(items[best])
                 else:
                     alive[best] = False
                     left -= 1
         self.items = [i for i, a in zip(items, alive, strict=True) if a]
 
 
-def packed(batches: Iterable[pa.RecordBatch], path: str, part: int, encode: Callable | None = None, **limits) -> Iterator[pa.RecordBatch]:
-    encode, packer, rows = encode or encoder(path), Packer(**limits), []
+def packed(batches: Iterable[pa.RecordBatch], path: str, part: int, whole: bool = False, **limits) -> Iterator[pa.RecordBatch]:
+    """The placed pieces of rows (doc_id, text and, if a column says so, loss); with whole, their ids too."""
+    encode, packer, rows = encoder(path), Packer(**limits), []
     base = part << 40
 
     def row(p: tuple) -> tuple:
-        key, start, ids, whole, number, offset = p
-        return key, start, len(ids), zlib.crc32(ids.tobytes()), whole, base + number, offset
+        key, start, ids, length, number, offset, loss = p
+        return key, start, len(ids), zlib.crc32(ids.tobytes()), length, base + number, offset, loss, *([ids.astype(np.int32)] if whole else [])
 
     def out(force: bool = False) -> Iterator[pa.RecordBatch]:
         if rows and (force or len(rows) > 20_000):
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=_ARROW)
+            cols = list(zip(*rows, strict=True))
+            arrays = [pa.array(c, pa.int64()) for c in cols[: len(_NAMES)]] + [pa.array(c, pa.list_(pa.int32())) for c in cols[len(_NAMES) :]]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*_NAMES, *(["ids"] if whole else [])])
             rows.clear()
 
     for batch in chunks(iter(batches), limit=4_000_000):
         texts = [t or b"" for t in raw(batch.column("text"))]
-        for key, ids in zip(batch.column("doc_id").to_pylist(), encode(texts), strict=True):
-            rows.extend(row(p) for p in packer.add(key, ids))
+        said = batch.column("loss").to_pylist() if "loss" in batch.schema.names else repeat(None)
+        for key, bears, (ids, prompt) in zip(batch.column("doc_id").to_pylist(), said, encode.tokens(texts), strict=False):
+            mask = np.ones(len(ids), np.uint8)
+            mask[: prompt if bears is None else 0 if bears else len(ids)] = 0
+            rows.extend(row(p) for p in packer.add(key, ids, mask))
         yield from out()
     rows.extend(row(p) for p in packer.close())
     yield from out(True)
 
 
-def pack(docs: DataFrame, path: str, **limits) -> DataFrame:
-    """One row per placed piece of every document."""
+def pack(docs: DataFrame, path: str, loss: int = LOSS, loss_column: str | None = None, with_ids: bool = False, **limits) -> DataFrame:
+    """One row per placed piece of every document (with its ids, if wanted).
+
+    `loss_column` is a boolean column of docs: whether a row's tokens bear loss
+    (null: the prompt rule).
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from packed(batches, path, TaskContext.get().partitionId(), **limits)
+        yield from packed(batches, path, TaskContext.get().partitionId(), with_ids, loss=loss, **limits)
 
-    return columns(docs, "doc_id", "text").mapInArrow(task, SCHEMA)
+    narrow = columns(docs, "doc_id", "text")
+    if loss_column is not None:
+        narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col(f"`{loss_column}`").cast("boolean").alias("loss"))
+    return narrow.mapInArrow(task, SCHEMA + ", ids array<int>" * with_ids)
 
 
 def tokenizer_path() -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -42,6 +43,37 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(map(_KNOWN.__getitem__, chain.from_iterable(split)), np.uint64, int(counts.sum())), counts
 
 
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[list(b" \t\n\x0b\x0c\r")] = True
+
+
+def coded_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words of the texts, the code of each word in a row, and of each text its words and those of its prompt.
+
+    A text's prompt is its first line that has a word, if words follow it.
+    """
+    if not texts:
+        return [], np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    blank = _BLANK[buf]
+    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    if not blank[0]:
+        edge = np.append(0, edge)
+    start, stop = edge[::2], edge[1::2]  # the last byte is blank, so every word stops
+    ends = np.append(0, np.cumsum(stop - start))
+    words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(buf[~blank])]).dictionary_encode()
+    bounds = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    upto = np.searchsorted(start, bounds)
+    counts = np.diff(upto, prepend=0)
+    prompts = np.zeros(len(texts), np.int64)
+    full = np.flatnonzero(counts)
+    lines = np.flatnonzero(buf == 10)
+    line = lines[np.searchsorted(lines, start[upto[full] - counts[full]])]
+    prompts[full] = np.searchsorted(start, line) - (upto - counts)[full]
+    prompts[prompts == counts] = 0
+    return words.dictionary.to_pylist(), words.indices.to_numpy().astype(np.int64), counts, prompts
+
+
 def runs(h: np.ndarray, k: int) -> np.ndarray:
     """Hash of each run of k neighbouring entries, over the whole row (runs across texts included)."""
     if len(h) < k:

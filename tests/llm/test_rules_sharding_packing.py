@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from placeflow.llm import packing, quality_rules, sharding
+from placeflow.llm.tokens import coded_words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -83,10 +84,12 @@ def test_packing_holds_every_id_once(docs, rows, none, clashing):
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True
     want = {(r[0], r[1]): np.array([*t.encode(r[1] or "", add_special_tokens=False).ids, 1], dtype="<u4") for r in rows}
-    by, place = defaultdict(list), defaultdict(list)
+    by, place, loss = defaultdict(list), defaultdict(list), Counter()
     for r in out:
         place[r.sequence_id].append((r.offset, r.length))
         by[r.doc_id].append(r)
+        loss[r.sequence_id] += r.n_loss
+    assert max(loss.values()) <= packing.LOSS
     for seq in place.values():
         at = 0
         for offset, length in sorted(seq):
@@ -111,7 +114,8 @@ def test_vector_limits_with_loss_masks():
     items = [(i, r.integers(0, 99, n).astype("<u4"), (r.random(n) < 0.6).astype(np.int64)) for i, n in enumerate(r.integers(1, 400, 300))]
     placed = [x for k, ids, m in items for x in p.add(k, ids, m)] + list(p.close())
     seqs, docs_ = defaultdict(list), defaultdict(list)
-    for key, start, ids, whole, number, offset in placed:
+    for key, start, ids, whole, number, offset, loss in placed:
+        assert loss == items[key][2][start : start + len(ids)].sum()
         seqs[number].append((offset, len(ids), int(items[key][2][start : start + len(ids)].sum())))
         docs_[key].append((start, len(ids)))
     for s in seqs.values():
@@ -125,6 +129,36 @@ def test_vector_limits_with_loss_masks():
     assert len(docs_) == 300
 
 
+def test_prompts_bear_no_loss_and_fill_sequences(spark):
+    """Long texts that bear loss in nearly all tokens, and short ones with long prompts: all three limits hold and the loss limit binds."""
+    path = packing.tokenizer_path()
+    rows = [(i, "ask " * 5 + "\n" + "word " * 6000) for i in range(4)] + [(10 + i, "\n \n" + "what is it " * 40 + "\nyes it is") for i in range(40)] + [(99, "one line only")]
+    out = packing.pack(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1), path, with_ids=True).toPandas()
+    plain = packing.WordIds(path)
+    prompt = {k: len(next(plain([t.lstrip().split("\n")[0].encode()]))) - 1 if "\n" in t.strip() else 0 for k, t in rows}
+    for r in out.itertuples():
+        assert r.n_loss == sum(r.start + j >= prompt[r.doc_id] for j in range(r.length)) and len(r.ids) == r.length
+        assert zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
+    sums = out.groupby("sequence_id")[["length", "n_loss"]].sum()
+    assert sums.length.max() <= 2048 and sums.n_loss.max() == packing.LOSS
+    assert ((sums.n_loss == packing.LOSS) & (sums.length == 2048)).sum() >= 5
+
+
+def test_turns_bear_loss_by_role(spark):
+    turns = [(1, "hello you there", "user"), (1, "hello to you", "assistant"), (2, "what", "user"), (2, "that\nand this", None)]
+    df = spark.createDataFrame(turns, "doc_id bigint, text string, role string").withColumn("bears", F.col("role") == "assistant")
+    out = packing.pack(df, packing.tokenizer_path(), loss_column="bears").toPandas()
+    assert sorted(zip(out.doc_id, out.length, out.n_loss, strict=True)) == sorted([(1, 4, 0), (1, 4, 4), (2, 2, 0), (2, 4, 3)])
+
+
+def test_words_and_prompts_are_coded():
+    texts = [b"", b" \n", b"a b\nc", b"\n\x0b x\ny x\n", b"last line\n", "é\u00a0 z".encode()]
+    words, codes, counts, prompts = coded_words(texts)
+    assert [words[c] for c in codes] == [w for t in texts for w in t.split()]
+    assert counts.tolist() == [len(t.split()) for t in texts] and prompts.tolist() == [0, 0, 2, 1, 0, 0]
+    assert [len(x) for x in coded_words([])] == [0, 0, 0, 0]
+
+
 def test_words_are_encoded_as_in_whole_texts():
     from tokenizers import Tokenizer
 
