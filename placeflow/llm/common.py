@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,27 +38,52 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster shares; where none is named, a temporary one."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster shares (spark.checkpoint.dir). Only a local session without one gets a temporary folder."""
     jsc = spark.sparkContext._jsc.sc()
     if not jsc.getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="placeflow-"))
+        where = spark.conf.get("spark.checkpoint.dir", None)
+        if where is None:
+            if not re.match(r"local($|\[)", spark.sparkContext.master):
+                raise RuntimeError("spark.checkpoint.dir names no folder that the cluster shares")
+            where = tempfile.mkdtemp(prefix="placeflow-")
+        spark.sparkContext.setCheckpointDir(where)
     return jsc.getCheckpointDir().get()
 
 
+@contextmanager
+def _shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """What runs in here leaves no shuffle files: its rows are kept, so nothing reads them again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """df, computed once and kept in the shared folder."""
-    _shared_folder(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def written(df: DataFrame) -> DataFrame:
     """df, computed once and kept as a Parquet table in the shared folder: for wide rows, which a checkpoint keeps unpacked."""
-    path = f"{_shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    with _shuffles_go(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discarded(df: DataFrame) -> None:
+    """Removes the table that `written` made of df, once nothing reads it any more."""
+    for file in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def sampled(df: DataFrame, key: str, n: int) -> DataFrame:
     """The n rows with the least hash of the key.
 

@@ -29,6 +29,7 @@ gives no rows. Repeated rows are packed each. Extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterable, Iterator
@@ -54,12 +55,27 @@ _NAMES = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
 SCHEMA = ", ".join(f"{n} bigint" for n in _NAMES)
 
 
+#: The split rule (a fixed value) under which a text's words can be cut as `coded_words` does: contractions, letters, single numbers, other marks.
+RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: What marks the last piece of a run under that rule.
+SUFFIX = "</w>"
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable ones for themselves, the others from U+0100 on in a row."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class WordIds:
     """Token ids of whole texts under a tokenizer that never joins two words.
 
     The tokenizer drops ASCII blanks and splits at them before merging, so a
-    text's ids are its words' ids in a row; each distinct word is encoded once.
-    Words without the digit 0 are encoded in lines, parted by that digit's id.
+    text's ids are its words' ids in a row, and each distinct word is encoded
+    once. Under `RULE`, simple words are cut further and made lower case
+    beforehand; only the merges are left to do, and each run's last id is one
+    of a piece that ends in `SUFFIX`.
     """
 
     LINE = 400
@@ -70,7 +86,15 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.part = self.tokenizer.encode("0", add_special_tokens=False).ids
+        kind = json.loads(self.tokenizer.to_str())
+        steps = [n["type"] for n in (kind["normalizer"] or {}).get("normalizers", [])]
+        splits = [p.get("pattern", {}).get("Regex") for p in (kind["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.parts = steps == ["NFC", "Replace", "Lowercase"] and splits == [RULE, None] and kind["model"].get("end_of_word_suffix") == SUFFIX
+        if self.parts:
+            merges = Tokenizer.from_str(json.dumps(kind | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}))
+            self.merges, self.letters = merges, {b: c for b, c in byte_letters().items() if b != 32}
+            self.last = np.zeros(1 + max(merges.get_vocab().values()), dtype=bool)
+            self.last[[i for t, i in merges.get_vocab().items() if t.endswith(SUFFIX)]] = True
         self.clear()
 
     def clear(self) -> None:
@@ -78,24 +102,24 @@ class WordIds:
         self.ids = np.empty(0, dtype="<u4")
         self.first = np.zeros(1, dtype=np.int64)  # of each word in ids, and the end
 
-    def encode(self, words: list[bytes], lines: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words in a row, and how many each has; in lines if no word has the digit 0."""
-        whole = lambda x: [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(x, add_special_tokens=False)]
-        if len(self.part) != 1 or not lines:
-            got = whole([w.decode() for w in words])
+    def encode(self, words: list[bytes], whole: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in a row, and how many each has."""
+        run = lambda t, x: [np.array(e.ids, dtype="<u4") for e in t.encode_batch_fast(x, add_special_tokens=False)]
+        if whole:
+            got = run(self.tokenizer, [w.decode() for w in words])
             return np.concatenate(got), np.fromiter(map(len, got), np.int64, len(got))
-        mark = np.array(self.part, dtype="<u4")
-        parted = whole([b" 0 ".join(words[i : i + self.LINE]).decode() for i in range(0, len(words), self.LINE)])
-        ids = np.concatenate([x for line in parted for x in (line, mark)])
-        at = np.flatnonzero(ids == mark[0])
+        lines = [b" ".join(words[i : i + self.LINE]).decode("latin-1").translate(self.letters) for i in range(0, len(words), self.LINE)]
+        ids = np.concatenate(run(self.merges, lines))
+        at = np.flatnonzero(self.last[ids])
         if len(at) != len(words):
             raise ValueError("the tokenizer joins words")
-        return np.delete(ids, at), np.diff(at, prepend=-1) - 1
+        return ids, np.diff(at, prepend=-1)
 
-    def learn(self, words: list[bytes]) -> None:
-        for part, lines in (([w for w in words if b"0" not in w], True), ([w for w in words if b"0" in w], False)):
+    def learn(self, words: list[bytes], whole: np.ndarray) -> None:
+        for kind in (False, True):
+            part = [words[i] for i in np.flatnonzero(whole == kind).tolist()]
             if part:
-                ids, sizes = self.encode(part, lines)
+                ids, sizes = self.encode(part, kind)
                 self.place.update(zip(part, range(len(self.place), len(self.place) + len(part)), strict=True))
                 self.ids = np.concatenate([self.ids, ids])
                 self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
@@ -104,12 +128,12 @@ class WordIds:
         """Of each text its ids, with the end id, and how many of them are its prompt."""
         if len(self.place) > MEMO:
             self.clear()
-        words, codes, counts, prompts = coded_words(texts)
+        words, codes, counts, prompts, whole = coded_words(texts, self.parts)
         at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(at < 0)
         if len(missing):
             fresh = [words[i] for i in missing.tolist()]
-            self.learn(fresh)
+            self.learn(fresh, whole[missing])
             at[missing] = [self.place[w] for w in fresh]
         first, n = self.first[at][codes], (self.first[at + 1] - self.first[at])[codes]
         ends = np.append(0, np.cumsum(n))

@@ -2,264 +2,298 @@
 
 The edges of the graph are the k-mers (windows of `K` words, nodes are their
 two (K-1)-mers). A window is removed if it also starts in a document with a
-smaller id. All windows of the corpus are far more rows than the text has
-bytes, so edges travel compacted:
-
-1. Each task cuts its documents into paths that cannot branch apart before the
-   shuffle: maximal runs of neighbouring windows that share a minimizer (the
-   least hash of the M-word runs inside the window). Equal windows have equal
-   minimizers, so all copies of an edge meet in one bucket. Windows that a
-   smaller document of the same block already holds are settled on the spot,
-   which leaves one copy per block of even the commonest passage.
-2. In its bucket each edge finds its owner, the smallest document that holds
-   it, with the owner's position. Neighbouring edges with the same owner and
-   advancing positions are one nonbranching path piece.
-3. Pieces are joined along (document, owner, diagonal), where the diagonal is
-   the difference of the two source coordinates: pieces that continue each
-   other in both documents compact into one span. The spans of a document are
-   then joined to its text.
-
-Windows are compared by 64 bits of minimizer and 64 bits of window hash.
+smaller id.
+
+1. Each task hashes the windows of its documents in blocks. Windows that a
+   smaller document of the same block holds are settled on the spot, which
+   leaves one copy per block of even the commonest window. The rest travels in
+   packed columns to the bucket of its hash: 80 bits of hash, document, start.
+2. A bucket finds the owner of each edge, a smaller document that holds it, with
+   the owner's position. Buckets are cut by the windows' own hashes, so a common
+   phrase with many different surroundings is spread over all of them, and a
+   bucket keeps only its smallest document's copies of a window in memory,
+   however many blocks hold it.
+3. Settled edges of one document, owner and diagonal (the difference of the two
+   source coordinates) compact: where as many begin as end, the path doesn't
+   branch and the junction goes. What remains are the paths' heads and tails,
+   which are ranked along the document and joined to one another.
+4. The spans are verified at their source coordinates: the owners' words are
+   fetched and digested there, the digest joins back to the span, and a
+   document's words are removed only where their own digest is the same.
 
 Nulls: a null text has no words. A null doc_id is not smaller than any id and
-loses nothing. Rows are told apart by doc_id and crc32 of the text; repeated
-rows count as one document and get the same result. Documents of fewer than K
-words lose nothing. An empty table gives no rows; extra columns are ignored
-by `spans` and kept by `strip`.
+loses nothing. Rows with one doc_id are one document: none of them owns a
+window of the others, and repeated rows get the same result. Documents of fewer
+than K words lose nothing. Of several smaller documents with one window the
+owner is any; the words removed are the same. A very long text is one block by
+itself, held with some fifty bytes for each of its words. An empty table gives
+no rows; extra columns are ignored by `spans` and kept by `strip`.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from placeflow.llm.common import checkpointed, chunks, columns, raw, table
-from placeflow.llm.tokens import runs, starts_of, word_hashes
+from placeflow.llm.common import chunks, columns, discarded, raw, table, written
+from placeflow.llm.tokens import mix, runs, starts_of, word_hashes
 
-K, M = 13, 5
+K = 13
 #: Text bytes of a block, within which copies are settled before the shuffle.
 BLOCK = 2_500_000
+#: Windows that a bucket gathers, at least, before it settles them.
+GATHERED = 400_000
 
-#: Windows of a path before the shuffle, at most (its count takes a byte).
-LONGEST = 255
-_RECORD = np.dtype([("mini", "<u8"), ("doc", "<i8"), ("tag", "<u4"), ("start", "<u4"), ("n", "u1")])
-PIECES = "kind int, bucket bigint, doc bigint, tag bigint, start int, n int, owner bigint, owner_start int, blob binary"
-_OUT = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("doc", pa.int64()), ("tag", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("owner", pa.int64()), ("owner_start", pa.int32()), ("blob", pa.binary())])
+PIECES = "bucket int, blob binary, doc bigint, start int, stop int, owner bigint, owner_start int"
+_OUT = pa.schema([("bucket", pa.int32()), ("blob", pa.binary()), ("doc", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("owner", pa.int64()), ("owner_start", pa.int32())])
+#: A travelling window: hash, more of it, document, start.
+_RECORD = (np.dtype("<u8"), np.dtype("<u2"), np.dtype("<i8"), np.dtype("<u4"))
 
 
 def _batch(rows: int, **cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) if f.name in cols else pa.nulls(rows, f.type) for f in _OUT], schema=_OUT)
 
 
-def _pieces(doc, tag, start, owner, owner_start, buckets=1) -> pa.RecordBatch | None:
+def _pieces(doc, start, owner, owner_start) -> pa.RecordBatch:
     """Settled windows as maximal pieces with one owner and one diagonal."""
-    if not len(doc):
-        return None
-    o = np.lexsort((start, tag, doc))
-    doc, tag, start, owner, owner_start = (x[o] for x in (doc, tag, start, owner, owner_start))
+    o = np.lexsort((start, doc))
+    doc, start, owner, owner_start = (x[o] for x in (doc, start, owner, owner_start))
     new = np.ones(len(doc), dtype=bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]) | (start[1:] != start[:-1] + 1) | (owner[1:] != owner[:-1]) | (owner_start[1:] != owner_start[:-1] + 1)
+    new[1:] = (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1) | (owner[1:] != owner[:-1]) | (owner_start[1:] != owner_start[:-1] + 1)
     at = np.flatnonzero(new)
     n = np.diff(np.append(at, len(doc)))
-    return _batch(len(at), kind=np.ones(len(at), np.int32), bucket=doc[at] % buckets, doc=doc[at], tag=tag[at].astype(np.int64), start=start[at].astype(np.int32), n=n.astype(np.int32), owner=owner[at], owner_start=owner_start[at].astype(np.int32))
+    return _batch(len(at), bucket=doc[at].astype(np.int64) & 0x7FFFFFFF, doc=doc[at], start=start[at], stop=start[at] + n, owner=owner[at], owner_start=owner_start[at])
 
 
-def _owners(order: np.ndarray, same: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For windows sorted so that equal ones are neighbours, by document and start: the first of each group, for each window."""
-    first = np.flatnonzero(~same)
-    lead = order[np.repeat(first, np.diff(np.append(first, len(order))))]
-    owner, at = np.empty_like(doc), np.empty_like(start)
-    owner[order], at[order] = doc[lead], start[lead]
-    return owner, at
+def settled(wide: np.ndarray, more: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the windows that a smaller document holds too, of their owners' windows, and of the others in the order of their hashes."""
+    order = np.argsort(wide)
+    same = wide[order[1:]] == wide[order[:-1]]
+    many = np.append(same, False) | np.append(False, same)
+    some = order[many]
+    some = some[np.lexsort((start[some], doc[some], more[some], wide[some]))]
+    first = np.ones(len(some), dtype=bool)
+    first[1:] = (wide[some[1:]] != wide[some[:-1]]) | (more[some[1:]] != more[some[:-1]])
+    heads = np.flatnonzero(first)
+    lead = some[np.repeat(heads, np.diff(np.append(heads, len(some))))]
+    gone = doc[some] > doc[lead]
+    order[np.flatnonzero(many)] = np.where(gone, -1, some)  # hashes are in the same order as before
+    return some[gone], lead[gone], order[order >= 0]
+
+
+def _packed(columns_: list[np.ndarray]) -> bytes:
+    """Columns byte by byte of their numbers, which compresses sorted hashes and like ids."""
+    planes = [np.ascontiguousarray(c.view(np.uint8).reshape(len(c), -1).T).tobytes() for c in columns_]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+
+
+def _unpacked(blob: bytes) -> list[np.ndarray]:
+    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    n, at, out = len(flat) // sum(k.itemsize for k in _RECORD), 0, []
+    for kind in _RECORD:
+        size = n * kind.itemsize
+        out.append(np.ascontiguousarray(flat[at : at + size].reshape(kind.itemsize, n).T).view(kind).reshape(-1))
+        at += size
+    return out
 
 
 def edges(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Settled pieces (kind 1) and packed paths for the buckets (kind 0)."""
-    squeeze = zstandard.ZstdCompressor(level=1)
+    """Settled pieces (no blob), and packed windows for the buckets."""
     for batch in chunks(batches, limit=BLOCK):
         keys = batch.column("doc_id")
         texts = [t if t and k is not None else b"" for t, k in zip(raw(batch.column("text")), keys.to_pylist(), strict=True)]
         h, counts = word_hashes(texts)
-        if len(h) < K:
-            continue
-        ids = keys.fill_null(0).to_numpy()
-        tags = np.array([zlib.crc32(t) for t in texts], dtype=np.uint32)
-        small = runs(h, M)
-        least = small
-        for j in range(1, K - M + 1):
-            least = np.minimum(least[: len(small) - j], small[j:])
         at, own = starts_of(counts, K)
         if not len(at):
             continue
-        wide, mini = runs(h, K)[at], least[at]
-        doc, tag, start = ids[own], tags[own], (at - (np.cumsum(counts) - counts)[own]).astype(np.int64)
-        order = np.lexsort((start, doc, wide))
-        same = np.zeros(len(order), dtype=bool)
-        same[1:] = wide[order][1:] == wide[order][:-1]
-        owner, owner_at = _owners(order, same, doc, start)
-        gone = doc > owner
-        if (out := _pieces(doc[gone], tag[gone], start[gone], owner[gone], owner_at[gone], buckets)) is not None:
-            yield out
-        left = np.flatnonzero(~gone)
-        new = np.ones(len(left), dtype=bool)
-        new[1:] = (own[left][1:] != own[left][:-1]) | (start[left][1:] != start[left][:-1] + 1) | (mini[left][1:] != mini[left][:-1])
-        head = np.flatnonzero(new)
-        n = np.diff(np.append(head, len(left)))
-        new |= (np.arange(len(left)) - np.repeat(head, n)) % LONGEST == 0
-        head = np.flatnonzero(new)
-        n = np.diff(np.append(head, len(left)))
-        rec = np.empty(len(head), dtype=_RECORD)
-        f = left[head]
-        rec["mini"], rec["doc"], rec["tag"], rec["start"], rec["n"] = mini[f], doc[f], tag[f], start[f], n
-        bucket = (mini[f] % np.uint64(buckets)).astype(np.int64)
-        by = np.lexsort((rec["mini"], bucket))
-        rec, bucket, n = rec[by], bucket[by], n[by]
-        # the paths' window hashes, whole, in the records' new order
-        pos = np.repeat(head[by], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        hashes = wide[left[pos]].astype("<u8")
+        wide = runs(h, K)[at]
+        more = runs(mix(h), K)[at].astype("<u2")
+        doc, start = keys.fill_null(0).to_numpy()[own], (at - (np.cumsum(counts) - counts)[own]).astype(np.int64)
+        gone, owner, left = settled(wide, more, doc, start)
+        if len(gone):
+            yield _pieces(doc[gone], start[gone], doc[owner], start[owner])
+        bucket = ((wide[left] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
         cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-        ends = np.cumsum(n)
-        blobs = []
-        for a, b in zip(cut, np.append(cut[1:], len(rec)), strict=True):
-            part = rec[a:b]
-            body = b"".join(np.ascontiguousarray(part[c]).tobytes() for c in _RECORD.names) + hashes[ends[a] - n[a] : ends[b - 1]].tobytes()
-            blobs.append(squeeze.compress(len(part).to_bytes(4, "little") + body))
-        yield _batch(len(cut), kind=np.zeros(len(cut), np.int32), bucket=bucket[cut], blob=blobs)
-
-
-def _unpack(blob: bytes) -> tuple[np.ndarray, ...]:
-    blob = zstandard.decompress(blob)
-    m, at, cols = int.from_bytes(blob[:4], "little"), 4, []
-    for name in _RECORD.names:
-        kind = _RECORD[name]
-        cols.append(np.frombuffer(blob, kind, m, at))
-        at += m * kind.itemsize
-    n = cols[-1].astype(np.int64)
-    wide = np.frombuffer(blob, "<u8", int(n.sum()), at)
-    inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    mini, doc, tag, start = (np.repeat(c, n) for c in cols[:4])
-    return mini, wide, doc, tag, start.astype(np.int64) + inside
+        cols = [x[left].astype(k) for x, k in zip((wide, more, doc, start), _RECORD, strict=True)]
+        blobs = [_packed([c[a:b] for c in cols]) for a, b in zip(cut, np.append(cut[1:], len(left)), strict=True)]
+        yield _batch(len(cut), bucket=bucket[cut].astype(np.int32), blob=blobs)
 
 
 def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces of the buckets' edges, and those settled before; rows come sorted by bucket."""
-
-    def done(parts: list) -> pa.RecordBatch | None:
-        mini, wide, doc, tag, start = (np.concatenate(c) for c in zip(*parts, strict=True))
-        order = np.lexsort((start, doc, wide, mini))
-        same = np.zeros(len(order), dtype=bool)
-        a, b = order[1:], order[:-1]
-        same[1:] = (mini[a] == mini[b]) & (wide[a] == wide[b])
-        owner, at = _owners(order, same, doc, start)
-        gone = doc > owner
-        return _pieces(doc[gone], tag[gone], start[gone], owner[gone], at[gone])
-
-    parts, now = [], None
-    for batch in batches:
-        path = pc.equal(batch.column("kind"), 0)
-        yield batch.filter(pc.invert(path))
-        batch = batch.filter(path)
-        for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob").to_pylist(), strict=True):
-            if bucket != now and parts:
-                if (out := done(parts)) is not None:
-                    yield out
-                parts = []
-            now = bucket
-            parts.append(_unpack(blob))
-    if parts and (out := done(parts)) is not None:
-        yield out
+    """Pieces of the buckets' windows, and those settled before; rows come sorted by bucket, pieces anywhere.
 
+    A bucket keeps the smallest document's copies of each of its windows, and
+    those that wait until there are as many.
+    """
+    kept, parts, waiting, now = None, [], 0, None
 
-def spans(docs: DataFrame) -> DataFrame:
-    """For each document with removed words (doc, tag): its spans, each with start and stop in words, owner and owner_start."""
+    def done() -> Iterator[pa.RecordBatch]:
+        nonlocal kept, parts, waiting
+        cols = [np.concatenate(c) for c in zip(*parts, *([kept] if kept else []), strict=True)]
+        wide, more, doc, start = (c.astype(np.int64) if k.itemsize == 4 else c for c, k in zip(cols, _RECORD, strict=True))
+        gone, owner, left = settled(wide, more, doc, start)
+        if len(gone):
+            yield _pieces(doc[gone], start[gone], doc[owner], start[owner])
+        kept, parts, waiting = [c[left] for c in cols], [], 0
+
+    for batch in batches:
+        yield batch.filter(pc.is_null(batch.column("blob")))
+        batch = batch.filter(pc.is_valid(batch.column("blob")))
+        for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob").to_pylist(), strict=True):
+            if parts and (bucket != now or waiting > max(GATHERED, len(kept[0]) if kept else 0)):
+                yield from done()
+            if bucket != now:
+                kept, now = None, bucket
+            parts.append(_unpacked(blob))
+            waiting += len(parts[-1][0])
+    if parts:
+        yield from done()
+
+
+def pieces_of(docs: DataFrame) -> DataFrame:
+    """doc, start and stop (of windows), owner and owner_start: stretches of repeated windows."""
     n = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     buckets = 8 * n
     packed = columns(docs, "doc_id", "text").mapInArrow(lambda b: edges(b, buckets), PIECES)
-    pieces = packed.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(settle, PIECES)
-    return checkpointed(compact(pieces))
+    found = packed.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(settle, PIECES)
+    return written(found.select("doc", "start", "stop", "owner", "owner_start"))
+
 
+PATH = ["doc", "owner", "diagonal"]
 
-def compact(pieces: DataFrame) -> DataFrame:
-    """Pieces that continue each other in both documents become one span.
 
-    A document has at most as many pieces as words, so they are gathered by
-    document. In the order of owner, diagonal and start, a piece that begins
-    where its forerunner stopped continues it; the others are heads of spans,
-    and the piece before each head is a tail.
+def junctions(pieces: DataFrame) -> DataFrame:
+    """The open ends of the pieces along each path: place and side (1: head, -1: tail).
+
+    Begins less ends are summed at each place; those of inner junctions cancel.
     """
-    piece = F.struct("owner", (F.col("start") - F.col("owner_start")).alias("diagonal"), "start", (F.col("start") + F.col("n")).alias("stop"))
-    gathered = pieces.groupBy("doc", "tag").agg(F.sort_array(F.collect_list(piece)).alias("_p"))
+    ends = F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("v")), F.struct(F.col("stop").alias("at"), F.lit(-1).alias("v"))))
+    steps = pieces.select("doc", "owner", (F.col("start") - F.col("owner_start")).alias("diagonal"), ends.alias("e")).select(*PATH, "e.at", "e.v")
+    open_ = steps.groupBy(*PATH, "at").agg(F.sum("v").alias("v")).filter("v <> 0")
+    return open_.select(*PATH, "at", F.signum("v").cast("int").alias("side"), F.explode(F.sequence(F.lit(1), F.abs("v")))).drop("col")
+
 
-    def breaks(x, y):  # y may be null, at either end
-        return F.coalesce((x["owner"] != y["owner"]) | (x["diagonal"] != y["diagonal"]) | (x["stop"] != y["start"]), F.lit(True))
+def compact(open_: DataFrame) -> DataFrame:
+    """Spans between heads and tails: doc, start and stop (of words), owner, owner_start.
+
+    The n-th head of a path joins its n-th tail; where pieces of repeated rows
+    overlap, the spans still cover the same words.
+    """
+    ranked = open_.withColumn("rank", F.row_number().over(Window.partitionBy(*PATH, "side").orderBy("at")))  # at most as many as a document has words
+    heads, tails = (ranked.filter(F.col("side") == s).select(*PATH, "rank", F.col("at").alias(n)) for s, n in ((1, "start"), (-1, "_tail")))
+    met = heads.join(tails, [*PATH, "rank"])
+    return met.select("doc", "start", (F.col("_tail") + F.lit(K - 1)).alias("stop"), "owner", (F.col("start") - F.col("diagonal")).alias("owner_start"))
 
-    heads = F.filter(F.col("_p"), lambda x, i: breaks(F.get(F.col("_p"), i - 1), x))
-    tails = F.filter(F.col("_p"), lambda x, i: breaks(x, F.get(F.col("_p"), i + 1)))
-    joined = F.zip_with(
-        heads, tails,
-        lambda h, t: F.struct(h["start"].alias("start"), (t["stop"] + F.lit(K - 1)).alias("stop"), h["owner"].alias("owner"), (h["start"] - h["diagonal"]).alias("owner_start")),
-    )
-    return gathered.select("doc", "tag", joined.alias("spans"))
+
+def _digest(words: list[bytes]) -> bytes:
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+
+
+def squeezed(docs: DataFrame, *carried: str) -> DataFrame:
+    """docs with the texts compressed (blob in place of text), to travel."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1)
+        for batch in chunks(batches):
+            blobs = [None if t is None else squeeze.compress(t) for t in raw(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in carried], pa.array(blobs, pa.binary())], names=[*carried, "blob"])
+
+    own = docs.select(*carried, "text")
+    kinds = T.StructType([*[own.schema[c] for c in carried], T.StructField("blob", T.BinaryType())])
+    return own.mapInArrow(task, kinds)
+
+
+def verified(spans: DataFrame, docs: DataFrame) -> DataFrame:
+    """The spans with the digest of their owner's words at the owner's coordinates (several, if rows of the owner differ there)."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grow = zstandard.ZstdDecompressor()
+        for batch in chunks(batches, "blob", limit=2_000_000):
+            rows = []
+            for owner, blob, wanted in zip(*(batch.column(c).to_pylist() for c in ("owner", "blob", "wanted")), strict=True):
+                words = grow.decompress(blob).split()
+                rows += [(owner, w["owner_start"], w["n"], _digest(words[w["owner_start"] : w["owner_start"] + w["n"]])) for w in wanted if w["owner_start"] + w["n"] <= len(words)]
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
+            cols = zip(*rows, strict=True) if rows else ([], [], [], [])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["owner", "owner_start", "n", "digest"])
+
+    key = ["owner", "owner_start", "n"]
+    sized = spans.withColumn("n", F.col("stop") - F.col("start"))
+    wanted = sized.groupBy(*key).agg(F.count(F.lit(1))).groupBy("owner").agg(F.collect_list(F.struct("owner_start", "n")).alias("wanted"))  # different stretches of one text
+    texts = squeezed(columns(docs, "doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL").withColumnRenamed("doc_id", "owner"), "owner")
+    told = texts.join(wanted, "owner").mapInArrow(task, "owner bigint, owner_start int, n int, digest binary").distinct()
+    return sized.join(told, key).drop("n")
+
+
+def spans(docs: DataFrame) -> DataFrame:
+    """doc and spans of each document with repeated words: an array of start and stop in words, owner, owner_start and digest."""
+    pieces = pieces_of(docs)
+    open_ = written(junctions(pieces))
+    discarded(pieces)
+    found = written(compact(open_))
+    discarded(open_)
+    cover = F.sort_array(F.collect_list(F.struct("start", "stop", "owner", "owner_start", "digest")))  # at most as many as the document has words, for each owner
+    out = written(verified(found, docs).groupBy("doc").agg(cover.alias("spans")))
+    discarded(found)
+    return out
 
 
 def _stripped(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[pa.RecordBatch]:
-    for batch in chunks(batches):
-        spans_of = batch.column("_cover")
-        offsets, values = spans_of.offsets.to_numpy(), spans_of.values.to_numpy(zero_copy_only=False)
+    grow = zstandard.ZstdDecompressor()
+    for batch in chunks(batches, "blob"):
         counts, removed, out = [], [], []
-        for i, t in enumerate(raw(batch.column("text"))):
+        for blob, cover in zip(batch.column("blob").to_pylist(), batch.column("_cover"), strict=True):
+            t = None if blob is None else grow.decompress(blob)
             ws = (t or b"").split()
+            gone = np.zeros(len(ws), dtype=bool)
+            for s in cover.as_py() or ():
+                if s["stop"] <= len(ws) and not gone[s["start"] : s["stop"]].all() and _digest(ws[s["start"] : s["stop"]]) == s["digest"]:
+                    gone[s["start"] : s["stop"]] = True
             counts.append(len(ws))
-            cover = values[offsets[i] : offsets[i + 1]]
-            if len(cover):
-                edge = np.zeros(len(ws) + 1, dtype=np.int64)
-                np.add.at(edge, cover[0::2], 1)
-                np.add.at(edge, cover[1::2], -1)
-                keep = np.cumsum(edge[:-1]) == 0
-                kept = [w for w, k in zip(ws, keep.tolist(), strict=True) if k]
-                removed.append(len(ws) - len(kept))
-            else:
-                kept = ws
-                removed.append(0)
+            removed.append(int(gone.sum()))
+            kept = [w for w, g in zip(ws, gone.tolist(), strict=True) if not g] if removed[-1] else ws
             if texts:
                 out.append(t if not removed[-1] else b" ".join(kept))
             else:
                 out.append(hashlib.sha256(b" ".join(kept)).hexdigest())
         cols = {"n_words": pa.array(counts, pa.int64()), "n_removed": pa.array(removed, pa.int64())}
         cols |= {"kept_text": pa.array(out, pa.binary()).cast(pa.string())} if texts else {"kept_sha256": pa.array(out, pa.string())}
-        rest = [n for n in batch.schema.names if n not in ("_cover", "text")]
+        rest = [n for n in batch.schema.names if n not in ("_cover", "blob")]
         yield pa.RecordBatch.from_arrays([batch.column(n) for n in rest] + list(cols.values()), names=[*rest, *cols])
 
 
-def _joined(docs: DataFrame, carried: list[str]) -> DataFrame:
-    """docs (columns text, _doc and those carried) with _cover: starts and stops of the removed spans."""
-    flat = F.flatten(F.transform("spans", lambda x: F.array(x["start"], x["stop"])))
-    cover = spans(docs.select(F.col("_doc").alias("doc_id"), "text")).select(F.col("doc").alias("_d"), F.col("tag").alias("_t"), flat.alias("_cover"))
-    tagged = docs.withColumn("_tag", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
-    joined = tagged.join(cover.hint("shuffle_hash"), (F.col("_doc") == F.col("_d")) & (F.col("_tag") == F.col("_t")), "left")
-    return joined.select(*carried, "text", F.coalesce("_cover", F.array().cast("array<int>")).alias("_cover"))
+def _joined(docs: DataFrame, *carried: str) -> DataFrame:
+    """docs (columns text, _doc and those carried) with their compressed texts (blob) and _cover, the removed spans."""
+    cover = spans(docs.select(F.col("_doc").alias("doc_id"), "text")).select(F.col("doc").alias("_d"), F.transform("spans", lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop"), x["digest"].alias("digest"))).alias("_cover"))
+    packed = squeezed(docs, "_doc", *carried)
+    return packed.join(cover, F.col("_doc") == F.col("_d"), "left").select("_doc", *carried, "blob", "_cover")
 
 
 def strip(docs: DataFrame) -> DataFrame:
     """docs with repeated spans removed from the texts (kept words joined by one space; others as they were)."""
-    from pyspark.sql import types as T
-
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *[F.col(f"`{n}`").alias(m) for n, m in (("text", "text"), ("doc_id", "_doc"))])
-    kinds = T.StructType([T.StructField("_row", own.schema["_row"].dataType), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
-    out = _joined(own, ["_row"]).mapInArrow(lambda b: _stripped(b, True), kinds)
-    fresh = {"text": F.col("kept_text"), "n_chars": F.when(F.col("n_removed") > 0, F.length("kept_text").cast("bigint")).otherwise(F.col("_row.n_chars")) if "n_chars" in docs.columns else None}
+    rest = [c for c in docs.columns if c != "text"]
+    own = docs.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in rest]).alias("_row"), *[F.col(f"`{n}`").alias(m) for n, m in (("text", "text"), ("doc_id", "_doc"))])
+    kinds = T.StructType([T.StructField("_doc", T.LongType()), T.StructField("_row", own.schema["_row"].dataType), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
+    out = _joined(own, "_row").mapInArrow(lambda b: _stripped(b, True), kinds)
+    fresh = {"text": F.col("kept_text")}
+    if "n_chars" in rest:
+        fresh["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("bigint")).otherwise(F.col("_row.n_chars"))
     return out.select(*[(fresh[c] if c in fresh else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 
 
+def digests(docs: DataFrame) -> DataFrame:
+    """doc_id, n_words, n_removed and kept_sha256 of every row."""
+    own = columns(docs, "doc_id", "text").select(F.col("doc_id").alias("_doc"), "text")
+    return _joined(own).mapInArrow(lambda b: _stripped(b, False), "_doc bigint, n_words bigint, n_removed bigint, kept_sha256 string").withColumnRenamed("_doc", "doc_id")
+
+
 def op10_debruijn_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = columns(table(spark, sf_dir, "documents"), "doc_id", "text").select(F.col("doc_id").alias("_doc"), "text")
-    joined = _joined(docs, ["_doc"])
-    return joined.mapInArrow(lambda b: _stripped(b, False), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
+    return digests(table(spark, sf_dir, "documents"))

@@ -45,23 +45,47 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[list(b" \t\n\x0b\x0c\r")] = True
+#: Blank, letter, digit, other: classes of single ASCII bytes.
+_CLASS = np.full(256, 3, dtype=np.uint8)
+_CLASS[_BLANK] = 0
+_CLASS[[*range(65, 91), *range(97, 123)]] = 1
+_CLASS[48:58] = 2
 
 
-def coded_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct words of the texts, the code of each word in a row, and of each text its words and those of its prompt.
+def coded_words(texts: list[bytes], parts: bool = False) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words of the texts, the code of each word in a row, of each text its words and those of its prompt, and which words are whole.
 
-    A text's prompt is its first line that has a word, if words follow it.
+    A text's prompt is its first line that has a word, if words follow it. With
+    `parts`, words of ASCII and Latin-1 letters are cut into runs of letters
+    (made lower case), single digits and runs of other marks; words with an
+    apostrophe or any other character stay whole, as they are.
     """
     if not texts:
-        return [], np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return [], *[np.empty(0, np.int64)] * 3, np.empty(0, bool)
     buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    blank = _BLANK[buf]
-    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
-    if not blank[0]:
-        edge = np.append(0, edge)
-    start, stop = edge[::2], edge[1::2]  # the last byte is blank, so every word stops
+    kind = np.where(_BLANK[buf], 0, 4).astype(np.uint8)
+    low = buf
+    if parts:
+        edge = np.flatnonzero(np.diff(kind, prepend=0))
+        start, stop = edge[::2], edge[1::2]
+        lead = buf == 0xC3  # Latin-1 letters are this byte and a second one
+        second = np.append(False, lead[:-1]) & (buf >= 0x80) & (buf != 0x97) & (buf != 0xB7)
+        odd = np.flatnonzero(((buf >= 0x80) & ~lead & ~second) | (buf == 39))
+        kind = _CLASS[buf]
+        kind[lead | second] = 1
+        low = np.where((buf >= 65) & (buf <= 90) | second & (buf <= 0x9E), buf + np.uint8(32), buf)
+        whole = np.zeros(len(buf) + 1, np.int8)
+        words = np.unique(np.searchsorted(start, odd, side="right") - 1)
+        whole[start[words]] += 1
+        whole[stop[words]] -= 1
+        whole = np.cumsum(whole[:-1]) > 0
+        kind[whole], low[whole] = 4, buf[whole]
+    cut = np.ones(len(kind) + 1, dtype=bool)
+    cut[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    start, stop = np.flatnonzero(cut[:-1] & (kind > 0)), np.flatnonzero(cut[1:] & (kind > 0)) + 1
     ends = np.append(0, np.cumsum(stop - start))
-    words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(buf[~blank])]).dictionary_encode()
+    words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(low[kind > 0])]).dictionary_encode()
+    codes = words.indices.to_numpy().astype(np.int64)
     bounds = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
     upto = np.searchsorted(start, bounds)
     counts = np.diff(upto, prepend=0)
@@ -71,7 +95,9 @@ def coded_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray
     line = lines[np.searchsorted(lines, start[upto[full] - counts[full]])]
     prompts[full] = np.searchsorted(start, line) - (upto - counts)[full]
     prompts[prompts == counts] = 0
-    return words.dictionary.to_pylist(), words.indices.to_numpy().astype(np.int64), counts, prompts
+    whole = np.zeros(len(words.dictionary), dtype=bool)
+    whole[codes[kind[start] == 4]] = True
+    return words.dictionary.to_pylist(), codes, counts, prompts, whole
 
 
 def runs(h: np.ndarray, k: int) -> np.ndarray:

@@ -144,11 +144,7 @@ def brute_spans(rows, k=13):
 
 
 def digests(docs):
-    from pyspark.sql import functions as F
-
-    joined = substring_dedup._joined(docs.select(F.col("doc_id").alias("_doc"), "text"), ["_doc"])
-    out = joined.mapInArrow(lambda b: substring_dedup._stripped(b, False), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
-    return Counter(map(tuple, out.collect()))
+    return Counter(map(tuple, substring_dedup.digests(docs).collect()))
 
 
 def test_spans_match_brute_force(docs, rows):
@@ -170,19 +166,52 @@ def test_blocks_meet_in_buckets(spark, monkeypatch):
     assert digests(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)) == brute_spans(rows)
 
 
-def test_windows_of_blocks_are_told_apart_by_their_whole_hashes(monkeypatch):
-    """Unlike windows around one phrase, whose hashes differ in the upper bits only."""
-    monkeypatch.setattr(substring_dedup, "runs", lambda h, k: runs(h, k) if k < substring_dedup.K else (runs(h, k) << np.uint64(40)) | np.uint64(1))
-    phrase = [f"p{j}" for j in range(5)]
-    rows = [(i, " ".join([f"a{i}_{j}" for j in range(8)] + phrase + [f"z{i}_{j}" for j in range(8)]).encode()) for i in range(30)]
-    kind = pa.schema([("doc_id", pa.int64()), ("text", pa.binary())])
-    blocks = [pa.RecordBatch.from_pylist([{"doc_id": i, "text": t}], schema=kind) for i, t in rows]
-    out = list(substring_dedup.settle(substring_dedup.edges(iter(blocks), 1)))
-    assert sum(b.num_rows for b in out) == 0
-    # and copies are still met
-    copies = [pa.RecordBatch.from_pylist([{"doc_id": i, "text": rows[0][1]}], schema=kind) for i in range(3)]
-    out = pa.Table.from_batches(substring_dedup.settle(substring_dedup.edges(iter(copies), 1))).to_pylist()
-    assert sorted((r["doc"], r["owner"], r["start"], r["n"]) for r in out) == [(1, 0, 0, 9), (2, 0, 0, 9)]
+def test_windows_of_blocks_are_told_apart_by_their_whole_hashes():
+    """Windows with one 64-bit hash and different other bits, shipped in blocks, and copies of one of them."""
+    n = 40
+    wide, start = np.full(n, 7, np.uint64), np.zeros(n, np.int64)
+    more, doc = np.arange(n).astype("<u2") // 2, np.arange(n, dtype=np.int64)[::-1].copy()
+    gone, owner, left = substring_dedup.settled(wide, more, doc, start)
+    assert sorted(zip(doc[gone], doc[owner], strict=True)) == [(d, d - 1) for d in range(1, n, 2)] and len(left) == n // 2
+    cols = [x.astype(k) for x, k in zip((wide, more, doc, start), substring_dedup._RECORD, strict=True)]
+    assert all((a == b).all() for a, b in zip(cols, substring_dedup._unpacked(substring_dedup._packed(cols)), strict=True))
+
+
+def test_colliding_hashes_remove_nothing_wrong(spark, monkeypatch):
+    """Every window of a row of ten has the same hash; the owners' words tell them apart."""
+    plain = substring_dedup.edges
+
+    def edges(batches, buckets):
+        whole = substring_dedup.runs
+        substring_dedup.runs = lambda h, k: whole(h, k) % np.uint64(10)
+        try:
+            yield from plain(batches, buckets)
+        finally:
+            substring_dedup.runs = whole
+
+    monkeypatch.setattr(substring_dedup, "edges", edges)
+    rows = [(i, " ".join(f"a{i}_{j}" for j in range(40))) for i in range(30)]
+    got = substring_dedup.digests(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    assert all(r.n_removed == 0 for r in got) and Counter(map(tuple, got)) == brute_spans(rows)
+
+
+def test_a_bucket_keeps_one_copy_of_a_window_that_every_block_holds(monkeypatch):
+    monkeypatch.setattr(substring_dedup, "GATHERED", 50)
+    kind = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
+    most = []
+    plain = substring_dedup.settled
+
+    def settled(wide, *rest):
+        most.append(len(wide))
+        return plain(wide, *rest)
+
+    text = " ".join(f"p{j}" for j in range(30))
+    blocks = [pa.RecordBatch.from_pylist([{"doc_id": i, "text": text}], schema=kind) for i in range(200)]
+    packed = list(substring_dedup.edges(iter(blocks), 1))
+    monkeypatch.setattr(substring_dedup, "settled", settled)
+    out = pa.Table.from_batches(substring_dedup.settle(iter(packed))).to_pylist()
+    assert max(most) <= 50 + 2 * 18 and {r["doc"] for r in out} == set(range(1, 200))
+    assert sum(r["stop"] - r["start"] for r in out) == 199 * 18 and all(r["owner"] < r["doc"] for r in out)
 
 
 def test_strip_keeps_columns(none, clashing, docs):
