@@ -32,10 +32,9 @@ extra columns are ignored.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
-from itertools import chain, count
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeflow.llm.common import checkpointed, chunks, columns, commonest, fold, raw, table, written
+from placeflow.llm.tokens import coded_words
 
 WORDS, POOLS, CLASSES, KNOWN = 2400, 160, 80, 120_000
 WEIGHT = 4.0
@@ -83,34 +83,35 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """word and n over all texts of docs (the end token is the empty word)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        parts, held = [], 0
 
         def out() -> pa.RecordBatch:
-            rows = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()).cast(pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
-            seen.clear()
-            return rows
+            words = pa.chunked_array([w for w, _ in parts]).combine_chunks()
+            sums = pa.table({"word": words, "n": np.concatenate([n for _, n in parts])}).group_by("word").aggregate([("n", "sum")]).combine_chunks()
+            parts.clear()
+            return pa.RecordBatch.from_arrays([sums.column("word").cast(pa.large_string()).cast(pa.string()).combine_chunks(), sums.column("n_sum").combine_chunks()], names=["word", "n"])
 
         for batch in chunks(batches, limit=4_000_000):
             texts = [(t or b"").lower() for t in raw(batch.column("text"))]
-            seen.update(chain.from_iterable(t.split() for t in texts))
-            seen[END] += len(texts)
-            if len(seen) > HELD:
+            words, codes, *_ = coded_words(texts)
+            parts += [(words, np.bincount(codes, minlength=len(words))), (pa.array([END], pa.large_binary()), np.array([len(texts)]))]
+            held += len(words)
+            if held > 2 * HELD:
                 yield out()
-        if seen:
+                held = 0
+        if parts:
             yield out()
 
     return docs.select("text").mapInArrow(task, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _tokens(texts: list[bytes], places: dict, end: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Places of all tokens in a row (each text's end included), tokens of each text, and the words in a row."""
-    split = [t.lower().split() for t in texts]
-    words = list(chain.from_iterable(split))
-    counts = np.fromiter(map(len, split), np.int64, len(split))
-    at = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
-    seq = np.full(len(words) + len(texts), end, dtype=np.int64)
-    seq[np.arange(len(words)) + np.repeat(np.arange(len(texts)), counts)] = at
-    return seq, counts + 1, words
+def _tokens(texts: list[bytes], places: dict, end: int) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """Places of all tokens in a row (each text's end included), tokens of each text, the distinct words and the code of each word in a row."""
+    words, codes, counts, *_ = coded_words([t.lower() for t in texts])
+    at = np.fromiter(map(places.__getitem__, words.to_pylist()), np.int64, len(words))
+    seq = np.full(len(codes) + len(texts), end, dtype=np.int64)
+    seq[np.arange(len(codes)) + np.repeat(np.arange(len(texts)), counts)] = at[codes]
+    return seq, counts + 1, words, codes
 
 
 def pair_counts(docs: DataFrame, words: list[bytes]) -> np.ndarray:
@@ -121,7 +122,7 @@ def pair_counts(docs: DataFrame, words: list[bytes]) -> np.ndarray:
         places = _Places(words)
         total = np.zeros(size * size, dtype=np.int32)
         for batch in chunks(batches, limit=4_000_000):
-            seq, _, _ = _tokens([t or b"" for t in raw(batch.column("text"))], places, size - 1)
+            seq, *_ = _tokens([t or b"" for t in raw(batch.column("text"))], places, size - 1)
             before = np.concatenate([[size - 1], seq[:-1]])
             np.add.at(total, before * size + seq, 1)
         some = np.flatnonzero(total)
@@ -256,10 +257,14 @@ def rarer_words(docs: DataFrame, words: list[bytes], own: np.ndarray, g: np.ndar
             return rows
 
         for batch in chunks(batches, limit=4_000_000):
-            seq, n, flat = _tokens([t or b"" for t in raw(batch.column("text"))], places, end)
+            seq, n, coded, codes = _tokens([t or b"" for t in raw(batch.column("text"))], places, end)
             at = np.flatnonzero((seq >= len(words)) & (seq < end))
             text_of = np.repeat(np.arange(len(n)), n)[at]
-            num = np.fromiter(map(ids.__getitem__, [flat[i] for i in (at - text_of).tolist()]), np.int64, len(at))
+            codes = codes[at - text_of]
+            met = np.unique(codes)
+            number = np.zeros(len(coded), np.int64)
+            number[met] = np.fromiter(map(ids.__getitem__, coded.take(pa.array(met)).to_pylist()), np.int64, len(met))
+            num = number[codes]
             cls = own[seq]
             twice = (at[1:] == at[:-1] + 1) & (num[1:] == num[:-1])
             before = np.concatenate([[CLASSES], cls[:-1]])[at]
@@ -318,7 +323,7 @@ class Model:
 def learn(docs: DataFrame) -> tuple[Model, DataFrame]:
     """The model of docs' texts, its moves still empty, and the table of all words with n and class."""
     docs = docs.select("text")
-    counts = checkpointed(word_counts(docs))
+    counts = written(word_counts(docs))
     top = commonest(counts.filter("word <> ''"), "word", WORDS).toArrow()
     ends = counts.filter("word = ''").first()
     words = raw(top.column("word"))
@@ -329,7 +334,7 @@ def learn(docs: DataFrame) -> tuple[Model, DataFrame]:
     listed = [(w.decode(), int(n), int(c)) for w, n, c in zip(words, top.column("n").to_pylist(), own, strict=False)]
     listed += [("", ends["n"], CLASSES)] if ends is not None else []
     rarer = rarer_words(docs, words, own, hot.T @ pairs @ hot)
-    classed = checkpointed(rarer.unionAll(docs.sparkSession.createDataFrame(listed, "word string, n bigint, class int")))
+    classed = written(rarer.unionAll(docs.sparkSession.createDataFrame(listed, "word string, n bigint, class int")))
     known = commonest(classed.filter("word <> ''"), "word", KNOWN).toArrow()
     classes = np.concatenate([known.column("class").to_numpy(), own[len(words) :]]).astype(np.int64)
     sums = classed.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).toArrow()
@@ -353,16 +358,16 @@ def sequences(docs: DataFrame, model: Model, classed: DataFrame) -> DataFrame:
         listed = len(m.words)
         logs = np.concatenate([m.log_counts, np.zeros(POOLS), [end_log]])
         for batch in chunks(batches, limit=4_000_000):
-            seq, n, words = _tokens([t or b"" for t in raw(batch.column("text"))], places, len(m.classes) - 1)
+            seq, n, coded, codes = _tokens([t or b"" for t in raw(batch.column("text"))], places, len(m.classes) - 1)
             first = np.cumsum(n) - n
             plain = np.add.reduceat(logs[seq], first)
             rare = (seq >= listed) & (seq < len(m.classes) - 1)
             known = n - np.add.reduceat(rare.astype(np.int64), first) - (1 - end_known)
             text_of = np.repeat(np.arange(len(n)), n)
             at = np.flatnonzero(rare)
-            tails = [words[i] for i in (at - text_of[at]).tolist()]
+            tails = coded.take(pa.array(codes[at - text_of[at]]))
             ends = np.concatenate([[0], np.cumsum(np.bincount(text_of[at], minlength=len(n)))]).astype(np.int32)
-            tail = pa.ListArray.from_arrays(pa.array(ends), pa.array(tails, pa.binary()).cast(pa.string()))
+            tail = pa.ListArray.from_arrays(pa.array(ends), tails.cast(pa.large_string()).cast(pa.string()))
             spot = pa.ListArray.from_arrays(pa.array(ends), pa.array(at - first[text_of[at]], pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n), pa.array(known), pa.array(plain), _blobs(np.append(first, n.sum()), m.classes[seq].astype(np.uint8)), spot, tail],

@@ -128,7 +128,8 @@ class WordIds:
         """Of each text its ids, with the end id, and how many of them are its prompt."""
         if len(self.place) > MEMO:
             self.clear()
-        words, codes, counts, prompts, whole = coded_words(texts, self.parts)
+        coded, codes, counts, prompts, whole = coded_words(texts, self.parts)
+        words = coded.to_pylist()
         at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(at < 0)
         if len(missing):

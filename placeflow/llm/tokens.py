@@ -52,7 +52,7 @@ _CLASS[[*range(65, 91), *range(97, 123)]] = 1
 _CLASS[48:58] = 2
 
 
-def coded_words(texts: list[bytes], parts: bool = False) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def coded_words(texts: list[bytes], parts: bool = False) -> tuple[pa.LargeBinaryArray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The distinct words of the texts, the code of each word in a row, of each text its words and those of its prompt, and which words are whole.
 
     A text's prompt is its first line that has a word, if words follow it. With
@@ -61,7 +61,7 @@ def coded_words(texts: list[bytes], parts: bool = False) -> tuple[list[bytes], n
     apostrophe or any other character stay whole, as they are.
     """
     if not texts:
-        return [], *[np.empty(0, np.int64)] * 3, np.empty(0, bool)
+        return pa.array([], pa.large_binary()), *[np.empty(0, np.int64)] * 3, np.empty(0, bool)
     buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     kind = np.where(_BLANK[buf], 0, 4).astype(np.uint8)
     low = buf
@@ -97,7 +97,7 @@ def coded_words(texts: list[bytes], parts: bool = False) -> tuple[list[bytes], n
     prompts[prompts == counts] = 0
     whole = np.zeros(len(words.dictionary), dtype=bool)
     whole[codes[kind[start] == 4]] = True
-    return words.dictionary.to_pylist(), codes, counts, prompts, whole
+    return words.dictionary, codes, counts, prompts, whole
 
 
 def runs(h: np.ndarray, k: int) -> np.ndarray:

@@ -154,12 +154,12 @@ def test_turns_bear_loss_by_role(spark):
 def test_words_and_prompts_are_coded():
     texts = [b"", b" \n", b"a b\nc", b"\n\x0b x\ny x\n", b"last line\n", "é\u00a0 z".encode()]
     words, codes, counts, prompts, whole = coded_words(texts)
-    assert [words[c] for c in codes] == [w for t in texts for w in t.split()]
+    assert [words[c].as_py() for c in codes] == [w for t in texts for w in t.split()]
     assert counts.tolist() == [len(t.split()) for t in texts] and prompts.tolist() == [0, 0, 2, 1, 0, 0]
     assert [len(x) for x in coded_words([])] == [0, 0, 0, 0, 0] and whole.all()
     words, codes, counts, prompts, whole = coded_words([b"Ab12.,x\nIt's", "ÉÀ×é Été.".encode()], parts=True)
-    assert [words[c].decode() for c in codes] == ["ab", "1", "2", ".,", "x", "It's", "ÉÀ×é", "été", "."]
-    assert counts.tolist() == [6, 3] and prompts.tolist() == [5, 0] and sorted(words[i].decode() for i in np.flatnonzero(whole)) == ["It's", "ÉÀ×é"]
+    assert [words[c].as_py().decode() for c in codes] == ["ab", "1", "2", ".,", "x", "It's", "ÉÀ×é", "été", "."]
+    assert counts.tolist() == [6, 3] and prompts.tolist() == [5, 0] and sorted(words[i].as_py().decode() for i in np.flatnonzero(whole)) == ["It's", "ÉÀ×é"]
 
 
 def test_words_are_encoded_as_in_whole_texts():
