@@ -1,13 +1,13 @@
 """Operator 6: SentencePiece encoding and decoding as a relational lattice.
 
 Text is normalised as the piece model does (a dummy space in front, spaces as
-U+2581) and cut into segments where no piece reaches across: at line ends and
-before spaces. Distinct segments are counted over all documents, and only they
-are encoded:
+U+2581) and cut into segments where no piece reaches across: between two bytes
+that are neighbours in no piece. Distinct segments are counted over all
+documents, and only they are encoded:
 
 1. explode all substrings of at most the longest piece's length,
 2. equi-join them to the piece table (broadcast: its size is the vocabulary's),
-3. group the edges by segment,
+3. group the edges by segment and stop,
 4. fold Viterbi over the segment's stops with the higher-order `aggregate`.
 
 The path with the largest sum of piece scores wins; ties go to the longer last
@@ -17,10 +17,16 @@ model made by merging pairs it can differ from the order of merges, and it
 always decodes to the same text. Pieces that the model never chooses (score
 -1e9) are left out.
 
-`encode` gives a row for each distinct segment, `decode` turns id arrays back
-to text, and `documents` adds, for every document, the number of pieces, a
-digest of the ids that depends on their order, and whether all its segments
-decode to what they were.
+The fold keeps the last stops and hands earlier ones on in blocks, so that a
+segment's time grows with its length, also where a long text has no place to
+cut. Its lattice is one row then, some 300 bytes a character: a row's limit of
+2 GB is met by a stretch of some seven million characters without any cut.
+
+`encode` gives the ids of distinct segments, `encoded` the ids of documents in
+order, `decode` turns ids back to text, and `documents` says of every document
+how many segments and pieces it has, a digest of its ids, and whether they
+decode to its text. A text that holds U+2581 itself decodes to a space there,
+so it doesn't come back as it was.
 
 Nulls: a null text, like an empty one, has no pieces. Repeated rows get the
 same values. Empty tables give no rows; extra columns are ignored.
@@ -28,14 +34,13 @@ same values. Empty tables give no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import zstandard
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeflow.llm.common import chunks, columns, commonest, raw, table, written
@@ -44,174 +49,291 @@ SPACE = "▁"
 NEVER = -1e8
 #: Segments whose encoding is broadcast to the tasks; rarer ones meet theirs in a join.
 KNOWN = 400_000
+#: Distinct segments that a task holds before it hands their counts on.
 HELD = 500_000
-PRIME = 2_147_483_647
+#: Stops that the fold holds before it hands them on.
+FOLDED = 256
+#: Characters of a block that is read at once, and of a segment whose lattice goes by a number.
+BLOCK, LONG = 512, 64
 
 _SPACE = SPACE.encode()
-_RUN = re.compile(rb" +")
 
 
-def segments(text: bytes, known: dict) -> list[bytes]:
-    """Segments of a text, with a blank for U+2581; they join to the normalised text.
+def coded_segments(texts: list[bytes], cuts: np.ndarray) -> tuple[pa.LargeBinaryArray, np.ndarray, np.ndarray]:
+    """The distinct segments of the texts (a blank for U+2581), the code of each segment in a row, and how many each text has.
 
-    Cuts fall where no piece reaches across: at line ends and before spaces
-    (before runs of spaces if the model has pieces of several).
+    A text's segments join to the normalised text; an empty text has none.
     """
-    if not text:
-        return []
-    text = b" " + text.replace(_SPACE, b" ")
-    if b"\0" in text:  # used as the cut below
-        return list(chain.from_iterable([b"\0"] * (i > 0) + _cut(part, known) for i, part in enumerate(text.split(b"\0"))))
-    return _cut(text, known)
+    lines = [b" " + t.replace(_SPACE, b" ") if t else b"" for t in texts]
+    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    buf = np.frombuffer(b"".join(lines), np.uint8)
+    if not len(buf):
+        return pa.array([], pa.large_binary()), np.empty(0, np.int64), np.zeros(len(texts), np.int64)
+    new = np.ones(len(buf), dtype=bool)
+    new[1:] = cuts[buf[:-1].astype(np.uint16) << 8 | buf[1:]]
+    first = np.cumsum(sizes) - sizes
+    new[first[sizes > 0]] = True
+    start = np.flatnonzero(new)
+    ends = np.append(start, len(buf))
+    coded = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(buf)]).dictionary_encode()
+    upto = np.searchsorted(start, first + sizes)
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), np.diff(upto, prepend=0)
 
 
-def _cut(text: bytes, known: dict) -> list[bytes]:
-    if known["runs"]:
-        text = _RUN.sub(rb"\0\g<0>", text)
-    else:
-        text = text.replace(b" ", b"\0 ")
-    return [s for s in text.replace(b"\n", b"\0\n\0").split(b"\0") if s]
+def segments(text: bytes, known: dict) -> list[bytes]:
+    """Segments of a text, in order."""
+    coded, codes, _ = coded_segments([text], known["cuts"])
+    return coded.take(pa.array(codes)).to_pylist()
 
 
 def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
-    """piece (with a blank for U+2581), id, score and code (hex of its bytes) of the ordinary pieces; and what the lattice needs to know of the model."""
+    """piece (with a blank for U+2581), id and score of the ordinary pieces; and what the lattice needs to know of the model."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     plain = [i for i in range(sp.get_piece_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
     rows = [(sp.id_to_piece(i), i, float(sp.get_score(i))) for i in plain if sp.get_score(i) > NEVER]
-    pairs = {p[i : i + 2] for p, _, _ in rows for i in range(len(p) - 1)}
+    cuts = np.ones(1 << 16, dtype=bool)
+    cuts.reshape(256, 256)[:, 0x80:0xC0] = False  # inside a character
+    for p, _, _ in rows:
+        b = np.frombuffer(p.replace(SPACE, " ").encode(), np.uint8)
+        cuts[b[:-1].astype(np.uint16) << 8 | b[1:]] = False
     known = {
         "longest": max(len(p) for p, _, _ in rows),
         "unknown": min(s for _, _, s in rows) - 10.0,
         "byte": sp.piece_to_id("<0x00>"),
-        "runs": any(2 * SPACE in p for p, _, _ in rows),
+        "cuts": cuts,
+        "texts": {i: p.encode() for p, i, _ in rows},
     }
-    frame = pa.table({
-        "piece": [r[0].replace(SPACE, " ") for r in rows], "id": pa.array([r[1] for r in rows], pa.int32()), "score": [r[2] for r in rows],
-        "code": [r[0].encode().hex() for r in rows],
-    })
+    frame = pa.table({"piece": [r[0].replace(SPACE, " ") for r in rows], "id": pa.array([r[1] for r in rows], pa.int32()), "score": [r[2] for r in rows]})
     return spark.createDataFrame(frame), known
 
 
 def segment_counts(docs: DataFrame, known: dict) -> DataFrame:
     """segment and n over all texts, in small partitions by segment (each segment will have a lattice)."""
-    parts = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts, cuts = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), known["cuts"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        met, held = [], 0
 
         def out() -> pa.RecordBatch:
-            rows = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()).cast(pa.string()), pa.array(list(seen.values()), pa.int64())], names=["segment", "n"])
-            seen.clear()
-            return rows
+            sums = pa.table({"segment": pa.chunked_array([s for s, _ in met]).combine_chunks(), "n": np.concatenate([n for _, n in met])}).group_by("segment").aggregate([("n", "sum")]).combine_chunks()
+            met.clear()
+            return pa.RecordBatch.from_arrays([sums.column("segment").cast(pa.large_string()).cast(pa.string()).combine_chunks(), sums.column("n_sum").combine_chunks()], names=["segment", "n"])
 
         for batch in chunks(batches, limit=4_000_000):
-            seen.update(chain.from_iterable(segments(t, known) for t in raw(batch.column("text")) if t))
-            if len(seen) > HELD:
+            coded, codes, _ = coded_segments([t or b"" for t in raw(batch.column("text"))], cuts)
+            if len(coded):
+                met.append((coded, np.bincount(codes, minlength=len(coded))))
+                held += len(coded)
+            if held > HELD:
                 yield out()
-        if seen:
+                held = 0
+        if met:
             yield out()
 
     return docs.select("text").mapInArrow(task, "segment string, n bigint").repartition(parts, "segment").groupBy("segment").agg(F.sum("n").alias("n"))
 
 
-def encode(words: DataFrame, pieces: DataFrame, known: dict, *carried: str) -> DataFrame:
-    """segment, the carried columns and ids (the best path's piece ids) of words, whose segments are distinct."""
-    longest, base = known["longest"], known["byte"]
-    starts = words.select("segment", *carried, F.explode(F.sequence(F.lit(0), F.length("segment") - 1)).alias("start"))
-    spans = starts.select("segment", *carried, "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.length("segment") - F.col("start")))).alias("_n"))
-    cut = spans.withColumn("piece", F.substring("segment", F.col("start") + 1, F.col("_n")))
+def _appended(state: Column, item: Column, keep: int) -> Column:
+    """A state with an item more: its open items (the last `keep` at least) and the blocks handed on before, so that a long list is never copied whole."""
+    items = F.concat(state["items"], F.array(item))
+    size = F.size(items)
+    full = F.struct(F.slice(items, size - (keep - 1), F.lit(keep)).alias("items"), F.concat(state["blocks"], F.array(F.slice(items, F.lit(1), size - keep))).alias("blocks"))
+    return F.when(size < FOLDED, F.struct(items.alias("items"), state["blocks"].alias("blocks"))).otherwise(full)
+
+
+def _whole(state: Column) -> Column:
+    return F.flatten(F.concat(state["blocks"], F.array(state["items"])))
+
+
+def _stops(words: DataFrame, pieces: DataFrame, known: dict, key: list[str]) -> DataFrame:
+    """key and stops: for each stop of a segment, in order, the edges that end there. key names the rows of words.
+
+    A segment is read in blocks, since a place in a string is found by walking to it.
+    """
+    longest, size = known["longest"], F.length("segment")
+    blocks = words.select(*key, "segment", F.explode(F.sequence(F.lit(0), size - 1, F.lit(BLOCK))).alias("_b"))
+    parts = blocks.select(*key, "_b", F.substring("segment", F.col("_b") + 1, F.lit(BLOCK + longest - 1)).alias("_part"), F.least(F.lit(BLOCK), size - F.col("_b")).alias("_size"))
+    starts = parts.select(*key, "_b", "_part", F.explode(F.sequence(F.lit(0), F.col("_size") - 1)).alias("_s"))
+    views = starts.select(*key, (F.col("_b") + F.col("_s")).alias("_s"), F.substring("_part", F.col("_s") + 1, F.lit(longest)).alias("_view"))
+    spans = views.select(*key, "_s", "_view", F.explode(F.sequence(F.lit(1), F.length("_view"))).alias("_n"))
+    cut = spans.select(*key, "_s", "_n", F.substring("_view", F.lit(1), F.col("_n")).alias("piece"))
     table_ = F.broadcast(pieces.select("piece", "id", "score"))  # the vocabulary
     edges = cut.join(table_, "piece", "left").filter("id IS NOT NULL OR _n = 1")
-    edge = F.struct("start", F.coalesce("score", F.lit(known["unknown"])).alias("score"), F.coalesce("id", F.lit(-1)).alias("id"))
-    stops = edges.groupBy("segment", *carried, (F.col("start") + F.col("_n")).alias("stop")).agg(F.collect_list(edge).alias("edges"))
-    lattice = stops.groupBy("segment", *carried).agg(F.sort_array(F.collect_list(F.struct("stop", "edges"))).alias("stops"))
+    # a character without a piece goes by its UTF-8 bytes, as a number under -1
+    char = F.translate("piece", " ", SPACE)
+    unknown = -1 - F.conv(F.hex(F.encode(char, "UTF-8")), 16, 10).cast("bigint")
+    edge = F.struct(F.coalesce("score", F.lit(known["unknown"])).alias("score"), F.col("_n").alias("n"), F.coalesce(F.col("id").cast("bigint"), unknown).alias("id"))
+    stops = edges.groupBy(*key, (F.col("_s") + F.col("_n")).alias("stop")).agg(F.collect_list(edge).alias("edges"))
+    return stops.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("stop", "edges"))).alias("stops"))
+
+
+def encode(words: DataFrame, pieces: DataFrame, known: dict, *carried: str) -> DataFrame:
+    """segment, the carried columns and ids (the best path's piece ids) of words, whose segments are distinct.
 
-    def step(best, node):
-        """Adds the best way to the next stop: the largest sum, then the earliest start."""
-        ways = F.transform(node["edges"], lambda e: F.struct((F.get(best, e["start"])["score"] + e["score"]).alias("score"), (-e["start"]).alias("back"), e["id"].alias("id")))
-        return F.concat(best, F.array(F.array_max(ways)))
+    The rows of a long segment's lattice go by a number instead of the segment.
+    """
+    short = words.select("segment", *carried).filter(F.length("segment") <= LONG)
+    folded = _folded(_stops(short, pieces, known, ["segment", *carried]), known, "segment", *carried)
+    long = written(words.select("segment", *carried).filter(F.length("segment") > LONG).withColumn("_id", F.monotonically_increasing_id()))
+    if long.isEmpty():
+        return folded
+    met = long.join(_folded(_stops(long, pieces, known, ["_id"]), known, "_id"), "_id")
+    return folded.unionByName(met.select("segment", *carried, "ids"))
 
-    begin = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(-2).alias("id")))
-    solved = lattice.select("segment", *carried, F.aggregate("stops", begin, step).alias("best"))
 
-    def bytes_of(at):
-        """Ids of the bytes of the character that ends at position `at`."""
-        char = F.translate(F.substring(F.col("segment"), at, F.lit(1)), " ", SPACE)
-        code = F.hex(F.encode(char, "UTF-8"))
-        return F.transform(F.sequence(F.lit(1), F.octet_length(char)), lambda k: (F.lit(base) + F.conv(F.substring(code, (2 * k - 1).cast("int"), F.lit(2)), 16, 10).cast("int")).cast("int"))
+def _folded(lattice: DataFrame, known: dict, *key: str) -> DataFrame:
+    """key and ids: the best path through the stops."""
+    longest, base = known["longest"], known["byte"]
 
-    def walk(state, _):
-        at = state["at"]
-        node = F.get(F.col("best"), at)
-        ids = F.when(node["id"] >= 0, F.array(node["id"])).otherwise(bytes_of(at))
-        return F.when(at > 0, F.struct((-node["back"]).alias("at"), F.concat(ids, state["ids"]).alias("ids"))).otherwise(state)
+    def step(state, node):
+        """The best way to the next stop: the largest sum, then the longest last piece."""
+        ways = F.transform(node["edges"], lambda e: F.struct((F.element_at(state["items"], -e["n"])["score"] + e["score"]).alias("score"), e["n"].alias("n"), e["id"].alias("id")))
+        return _appended(state, F.array_max(ways), longest)
 
-    end = F.struct((F.size("best") - 1).alias("at"), F.array().cast("array<int>").alias("ids"))
-    return solved.select("segment", *carried, F.aggregate(F.sequence(F.lit(1), F.length("segment")), end, walk, lambda s: s["ids"]).alias("ids"))
+    node = "struct<score: double, n: int, id: bigint>"
+    begin = F.struct(F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("id"))).cast(f"array<{node}>").alias("items"), F.array().cast(f"array<array<{node}>>").alias("blocks"))
+    solved = lattice.select(*key, F.aggregate("stops", begin, step, _whole).alias("best"))
 
+    def back(state, node):
+        """From the end: takes the piece that stops where the one taken before starts."""
+        taken = _appended(state, node["id"], 1)
+        return F.when(state["skip"] > 0, F.struct((state["skip"] - 1).alias("skip"), state["items"].alias("items"), state["blocks"].alias("blocks"))).otherwise(
+            F.struct((node["n"] - 1).alias("skip"), taken["items"].alias("items"), taken["blocks"].alias("blocks"))
+        )
 
-def decode(coded: DataFrame, pieces: DataFrame, known: dict, key: str, *carried: str) -> DataFrame:
-    """key, the carried columns, ids and text (with blanks for U+2581) of coded, whose keys are distinct and ids not empty."""
-    steps = coded.select(key, *carried, F.posexplode("ids").alias("_at", "id"))
-    found = steps.join(F.broadcast(pieces.select("id", "code")), "id", "left")
-    code = F.coalesce("code", F.lpad(F.hex(F.col("id") - F.lit(known["byte"])), 2, "0"))
-    parts = found.groupBy(key, *carried).agg(F.sort_array(F.collect_list(F.struct("_at", "id", code.alias("c")))).alias("_c"))
-    return parts.select(key, *carried, F.col("_c.id").alias("ids"), F.translate(F.decode(F.unhex(F.array_join(F.col("_c.c"), "")), "UTF-8"), SPACE, " ").alias("text"))
+    end = F.struct(F.lit(0).alias("skip"), F.array().cast("array<bigint>").alias("items"), F.array().cast("array<array<bigint>>").alias("blocks"))
+    taken = F.aggregate(F.reverse(F.slice("best", F.lit(2), F.size("best"))), end, back, lambda s: F.reverse(_whole(s)))
 
+    def spelled(i):
+        code = F.hex(-1 - i)
+        code = F.lpad(code, (F.length(code) + F.length(code) % 2).cast("int"), "0")
+        bytes_ = F.transform(F.sequence(F.lit(0), (F.length(code) / 2 - 1).cast("int")), lambda k: (F.lit(base) + F.conv(F.substring(code, (2 * k + 1).cast("int"), F.lit(2)), 16, 10).cast("int")).cast("int"))
+        return F.when(i >= 0, F.array(i.cast("int"))).otherwise(bytes_)
 
-def _digest(segment_code, at):
-    """A share of the digest of segment number `at` (from 0); shares are summed modulo PRIME."""
-    return (segment_code * ((at + 1) % (PRIME - 1) + 1)) % PRIME
+    found = solved.select(*key, taken.alias("_t"))
+    return found.select(*key, F.when(F.array_min("_t") >= 0, F.col("_t").cast("array<int>")).otherwise(F.flatten(F.transform("_t", spelled))).alias("ids"))
 
 
-def documents(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_segments, n_pieces, ids_digest and round_trip of every document."""
-    spark = docs.sparkSession
-    docs = columns(docs, "doc_id", "text")
-    pieces, known = piece_table(spark, path)
-    counts = segment_counts(docs, known)
-    # one chain: lattice, ids and decoded text of a segment stay in its partition
-    coded = decode(encode(counts, pieces, known, "n"), pieces, known, "segment", "n")
-    code = F.pmod(F.xxhash64("ids"), F.lit(PRIME))
-    words = written(coded.select("segment", "n", F.size("ids").cast("bigint").alias("pieces"), code.cast("bigint").alias("code"), (F.col("segment") == F.col("text")).alias("same")))
+def _ragged(flat: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The stretches of flat (of these sizes, in a row) that at names, in a row."""
+    first, n = (np.cumsum(sizes) - sizes)[at], sizes[at]
+    ends = np.cumsum(n)
+    return flat[np.repeat(first - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and a key of both, under which a row's rare segments travel."""
+    return columns(docs, "doc_id", "text").withColumn("_key", F.struct(F.col("doc_id"), F.xxhash64("text").alias("h")))
+
+
+def segment_ids(docs: DataFrame, pieces: DataFrame, known: dict) -> DataFrame:
+    """segment, n and ids of all distinct segments."""
+    return written(encode(segment_counts(docs, known), pieces, known, "n"))
+
+
+def encoded(docs: DataFrame, words: DataFrame, known: dict) -> DataFrame:
+    """doc_id, ids, n_segments and blob (the text, compressed; null if null) of every document, from the ids of all segments."""
+    spark, cuts = docs.sparkSession, known["cuts"]
     top = commonest(words, "segment", KNOWN).toArrow()
-    shared = spark.sparkContext.broadcast((raw(top.column("segment")), *(top.column(c).to_numpy() for c in ("pieces", "code")), np.array(top.column("same").to_pylist(), dtype=bool)))
+    flat = top.column("ids").combine_chunks()
+    shared = spark.sparkContext.broadcast((raw(top.column("segment")), flat.flatten().to_numpy(), flat.value_lengths().to_numpy().astype(np.int64)))
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        listed, size, codes, same = shared.value
-        places = dict(zip(listed, range(len(listed)), strict=True))
-        size, codes, same = np.append(size, 0), np.append(codes, 0), np.append(same, True)
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each distinct segment of a text that isn't listed."""
+        listed = set(shared.value[0])
         for batch in chunks(batches, limit=4_000_000):
-            split = [segments(t, known) if t else [] for t in raw(batch.column("text"))]
-            n = np.fromiter(map(len, split), np.int64, len(split))
-            words_ = list(chain.from_iterable(split))
-            at = np.fromiter((places.get(w, -1) for w in words_), np.int64, len(words_))
-            owner = np.repeat(np.arange(len(n)), n)
-            pos = np.arange(len(words_)) - np.repeat(np.cumsum(n) - n, n)
-            add = lambda x: np.bincount(owner, x, minlength=len(n)).astype(np.int64)
-            digest = add((_digest(codes[at], pos)).astype(np.float64))
-            rare = np.flatnonzero(at < 0)
-            ends = np.concatenate([[0], np.cumsum(np.bincount(owner[rare], minlength=len(n)))]).astype(np.int32)
-            tail = pa.StructArray.from_arrays([pa.array(pos[rare]), pa.array([words_[i] for i in rare.tolist()], pa.binary()).cast(pa.string())], names=["at", "segment"])
+            coded, codes, counts = coded_segments([t or b"" for t in raw(batch.column("text"))], cuts)
+            names = coded.to_pylist()
+            strange = np.fromiter((w not in listed for w in names), bool, len(names))
+            pairs = np.unique(np.repeat(np.arange(len(counts)), counts)[strange[codes]] * max(1, len(names)) + codes[strange[codes]])
+            doc, word = np.divmod(pairs, max(1, len(names)))
+            tails = coded.take(pa.array(word)).cast(pa.large_string()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("_key").take(pa.array(doc)), tails], names=["_key", "segment"])
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed, flat, sizes = shared.value
+        places = dict(zip(listed, range(len(listed)), strict=True))
+        grow = zstandard.ZstdDecompressor()
+        for batch in chunks(batches, "blob", limit=1_500_000):
+            texts = [grow.decompress(b) if b is not None else b"" for b in batch.column("blob").to_pylist()]
+            own = batch.column("_own")
+            coded, codes, counts = coded_segments(texts, cuts)
+            names = coded.to_pylist()
+            # the rows' own segments follow the listed ones
+            extra = own.flatten()
+            words_, ids = raw(extra.field("segment")), extra.field("ids")
+            here = {w: len(listed) + j for j, w in enumerate(words_)}
+            at = np.fromiter((places.get(w, -1) for w in names), np.int64, len(names))
+            lost = np.flatnonzero(at < 0)
+            at[lost] = [here[names[j]] for j in lost.tolist()]
+            whole = np.concatenate([flat, ids.flatten().to_numpy(zero_copy_only=False)])
+            lengths = np.concatenate([sizes, ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)])
+            out = _ragged(whole, lengths, at[codes]).astype(np.int32)
+            ends = np.append(0, np.cumsum(lengths[at[codes]]))[np.append(0, np.cumsum(counts))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), pa.array(add(size[at])), pa.array(digest), pa.array(add(~same[at]) == 0), pa.ListArray.from_arrays(pa.array(ends), tail)],
-                names=["doc_id", "n_segments", "pieces", "digest", "same", "tail"],
+                [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out)), pa.array(counts, pa.int64()), batch.column("blob")],
+                names=["doc_id", "ids", "n_segments", "blob"],
             )
 
-    kinds = "doc_id bigint, n_segments bigint, pieces bigint, digest bigint, same boolean, tail array<struct<at: bigint, segment: string>>"
-    # the row numbers hold once they are written
-    rows = written(docs.mapInArrow(task, kinds).withColumn("_row", F.monotonically_increasing_id()))
-    rare = rows.select("_row", F.explode("tail").alias("_t")).select("_row", "_t.at", "_t.segment")
-    met = rare.join(words.drop("n"), "segment", "left").groupBy("_row").agg(
-        F.sum("pieces").alias("_pieces"), F.sum(_digest(F.col("code"), F.col("at"))).alias("_digest"), F.min(F.coalesce("same", F.lit(False))).alias("_same")
-    )
-    both = rows.drop("tail").join(met, "_row", "left")
-    return both.select(
-        "doc_id", "n_segments", (F.col("pieces") + F.coalesce("_pieces", F.lit(0))).alias("n_pieces"),
-        ((F.col("digest") + F.coalesce("_digest", F.lit(0))) % PRIME).alias("ids_digest"), (F.col("same") & F.coalesce("_same", F.lit(True))).alias("round_trip"),
-    )
+    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
+        for batch in chunks(batches):
+            blobs = [None if t is None else press.compress(t) for t in raw(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("_key"), pa.array(blobs, pa.binary())], names=["_key", "blob"])
+
+    keyed = _keyed(docs)
+    key = "_key struct<doc_id: bigint, h: bigint>"
+    lone = keyed.select("_key", "text").mapInArrow(rare, f"{key}, segment string").distinct().join(words.select("segment", "ids"), "segment")
+    own = lone.groupBy("_key").agg(F.collect_list(F.struct("segment", "ids")).alias("_own")).withColumnRenamed("_key", "_k")  # distinct segments of one text
+    texts = keyed.select("_key", "text").mapInArrow(squeeze, f"{key}, blob binary")
+    met = texts.join(own, F.col("_key").eqNullSafe(F.col("_k")), "left")
+    none = F.array().cast("array<struct<segment: string, ids: array<int>>>")
+    whole = met.select(F.col("_key.doc_id").alias("doc_id"), "blob", F.coalesce("_own", none).alias("_own"))
+    return whole.mapInArrow(put, "doc_id bigint, ids array<int>, n_segments bigint, blob binary")
+
+
+def decoded(ids: pa.ListArray, known: dict) -> list[bytes]:
+    """The texts of rows of ids: pieces and bytes in a row, U+2581 as a space, without the dummy space in front."""
+    top, base = max(known["texts"], default=0) + 1, known["byte"]
+    names = [bytes([i - base]) if base <= i < base + 256 else b"" for i in range(max(top, base + 256))]
+    for i, p in known["texts"].items():
+        names[i] = p
+    flat = np.frombuffer(b"".join(names), np.uint8)
+    sizes = np.fromiter(map(len, names), np.int64, len(names))
+    at = ids.flatten().to_numpy(zero_copy_only=False)
+    whole = _ragged(flat, sizes, at).tobytes()
+    stops = np.append(0, np.cumsum(sizes[at]))[np.append(0, np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False)))].tolist()
+    return [whole[a:b].replace(_SPACE, b" ")[1:] for a, b in zip(stops, stops[1:], strict=False)]
+
+
+def decode(coded: DataFrame, known: dict) -> DataFrame:
+    """doc_id and text of coded (doc_id, ids)."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(decoded(batch.column("ids"), known), pa.binary()).cast(pa.string())], names=["doc_id", "text"])
+
+    return coded.select("doc_id", "ids").mapInArrow(task, "doc_id bigint, text string")
+
+
+def documents(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, n_segments, n_pieces, ids_digest and round_trip of every document, from its ids and what they decode to."""
+    pieces, known = piece_table(docs.sparkSession, path)
+    whole = encoded(docs, segment_ids(columns(docs, "doc_id", "text"), pieces, known), known)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grow = zstandard.ZstdDecompressor()
+        for batch in batches:
+            ids = batch.column("ids")
+            n = ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            flat, ends = ids.flatten().to_numpy(zero_copy_only=False).astype("<i4"), np.append(0, np.cumsum(n)).tolist()
+            digests = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends, ends[1:], strict=False)]
+            same = [t == (grow.decompress(b) if b is not None else b"") for t, b in zip(decoded(ids, known), batch.column("blob").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_segments"), pa.array(n), pa.array(digests, pa.int64()), pa.array(same, pa.bool_())], names=["doc_id", "n_segments", "n_pieces", "ids_digest", "round_trip"])
+
+    return whole.mapInArrow(task, "doc_id bigint, n_segments bigint, n_pieces bigint, ids_digest bigint, round_trip boolean")
 
 
 def op6_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:

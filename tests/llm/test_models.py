@@ -277,7 +277,8 @@ def test_encoding_matches_the_library_under_the_unigram_rule(spark, docs, rows,
 
 def test_whole_documents_and_round_trip(docs, rows, none, clashing, model_path, monkeypatch):
     whole = Counter(map(tuple, pieces.documents(docs, model_path).collect()))
-    assert all(r[4] for r in whole)
+    marked = {r[0] for r in rows if "▁" in (r[1] or "")}
+    assert all(r[4] == (r[0] not in marked) for r in whole) and marked
     assert sum(r[1] == r[2] == 0 for r in whole.elements()) == sum(not r[1] for r in rows)
     monkeypatch.setattr(pieces, "KNOWN", 5)
     assert Counter(map(tuple, pieces.documents(docs, model_path).collect())) == whole
@@ -286,6 +287,43 @@ def test_whole_documents_and_round_trip(docs, rows, none, clashing, model_path,
 
 def test_segments_join_to_the_text(model_path, spark):
     _, known = pieces.piece_table(spark, model_path)
-    for t in ["a  b", " x\n\n y. z", "a\0b ▁c", "", "..a,b", "\n"]:
+    for t in ["a  b", " x\n\n y. z", "a\0b ▁c", "", "..a,b", "\n", "é日本 語"]:
         assert b"".join(pieces.segments(t.encode(), known)).decode() == (" " + t.replace("▁", " ") if t else "")
-    assert known["longest"] == 16 and not known["runs"]
+    assert known["longest"] == 16
+
+
+def test_ids_of_documents_decode_to_their_texts(spark, docs, rows, model_path, monkeypatch):
+    table, known = pieces.piece_table(spark, model_path)
+    words = pieces.segment_ids(docs.select("doc_id", "text"), table, known)
+    own = {r.segment: list(r.ids) for r in words.collect()}
+    for listed in (pieces.KNOWN, 7):
+        monkeypatch.setattr(pieces, "KNOWN", listed)
+        coded = pieces.encoded(docs, words, known)
+        want = Counter((r[0], tuple(i for s in pieces.segments((r[1] or "").encode(), known) for i in own[s.decode()])) for r in rows)
+        assert Counter((r.doc_id, tuple(r.ids)) for r in coded.collect()) == want
+    back = Counter(map(tuple, pieces.decode(coded, known).collect()))
+    assert back == Counter((r[0], (r[1] or "").replace("▁", " ")) for r in rows)
+
+
+def test_long_segments_fold_in_proportion(spark, model_path, monkeypatch):
+    """Segments over several blocks of the fold equal those folded at once, and a long one takes no more time than its length asks for."""
+    import random
+    import time
+
+    r = random.Random(4)
+    table, known = pieces.piece_table(spark, model_path)
+    letters = "etaoinshrdlu"
+    texts = ["".join(r.choice(letters) for _ in range(n)) for n in (15, 16, 17, 63, 64, 65, 255, 256, 257, 511, 512, 513, 1100)] + ["é" * 40 + "\0日" * 40]
+    df = spark.createDataFrame([(t,) for t in texts], "segment string")
+    parted = {x.segment: x.ids for x in pieces.encode(df, table, known).collect()}
+    monkeypatch.setattr(pieces, "FOLDED", 1 << 20)
+    assert {x.segment: x.ids for x in pieces.encode(df, table, known).collect()} == parted
+    monkeypatch.undo()
+    took = []
+    for n in (4_000, 32_000):
+        began = time.perf_counter()
+        long = spark.createDataFrame([("".join(r.choice(letters) for _ in range(n)),)], "segment string")
+        ids = pieces.encode(long, table, known).first().ids
+        took.append(time.perf_counter() - began)
+        assert len(ids) > n // 8
+    assert took[1] < 10 and took[1] < 12 * took[0] + 2
