@@ -84,16 +84,20 @@ def discarded(df: DataFrame) -> None:
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def sampled(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The n rows with the least hash of the key.
+def least(df: DataFrame, key: str, n: int) -> Column:
+    """A condition on df that holds for the rows with the n least hashes of the key (rows with one key stay together).
 
-    A first filter by the expected share leaves about 2n rows in all, so what
-    meets in the last task doesn't grow with the number of partitions.
+    Only keys travel to find the bound. A first filter by the expected share
+    leaves about 2n of them in all, so what meets in the last task doesn't grow
+    with the number of partitions.
     """
     draw, top = F.pmod(F.xxhash64(key), F.lit(1 << 31)), 1 << 31
     total = df.count()
+    if total <= n:
+        return F.lit(True)
     some = df.filter(draw < int(2 * n / total * top)) if total > 2 * n else df
-    return some.orderBy(draw, key).limit(n)
+    last = some.select(draw.alias("d")).distinct().orderBy("d").limit(n).agg(F.max("d")).first()[0]
+    return draw <= (top if last is None else last)
 
 
 def commonest(counts: DataFrame, word: str, n: int) -> DataFrame:

@@ -1,50 +1,60 @@
 """Operator 1: language of whole texts by a bidirectional gated recurrent network over bytes.
 
-The network reads bytes and labels every position. Its state starts anew at
-each word (white space parts words; words over `LONGEST` bytes are read in
-pieces), so a word's position probabilities don't depend on its neighbours and
-each distinct word is read once in a worker process. A document's probability
-of a language is the mean over its letters' positions.
-
-Training runs in numpy by backpropagation through time (Adam), on words drawn
+The network reads a text's bytes, all of them, and labels every position. The
+state goes on across words. Texts are read in windows of `WINDOW` bytes, each
+with `MARGIN` bytes of its neighbours on either side, over which the states of
+both directions warm up; windows begin at whole characters. A position is
+judged in one window only. A document's probability of a language is the mean
+over its letters' bytes: ASCII letters and all bytes of other characters.
+
+Training runs in numpy by backpropagation through time (Adam), on windows drawn
 from a bounded sample of labelled documents: the `SAMPLE` documents with the
-least hash of doc_id among those allowed, `DRAWN` words of each, evenly spaced.
-The weights (some ten thousand numbers) go to the tasks with the function.
+least hash of doc_id among those allowed, `DRAWN` windows of `LENGTH` bytes of
+each, evenly spaced, cut out where the texts are. The weights (some twenty
+thousand numbers) go to the tasks with the function.
 
 Nulls: a null text, or one without a letter, is `und` with score 0. Documents
 without a label don't train; if no document has one, every answer is `und`.
-Rows are judged alone, so repeated rows get the same answer. An empty table
-gives no rows; extra columns are ignored.
+Equal probabilities go to the language that comes first by name. Rows are
+judged alone, so repeated rows get the same answer. Of a very long text some
+twenty bytes are held for each of its own. An empty table gives no rows; extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeflow.llm.common import chunks, columns, fold, raw, sampled, table
+from placeflow.llm.common import chunks, columns, fold, least, raw, table
 
-HIDDEN, LONGEST = 20, 40
-SAMPLE, DRAWN = 2000, 120
-STEPS, BATCH, RATE = 900, 384, 0.01
+HIDDEN, WINDOW, MARGIN = 20, 1024, 64
+SAMPLE, DRAWN, LENGTH = 2000, 8, 96
+STEPS, BATCH, RATE = 320, 192, 0.02
+#: Windows that are read at once.
+LANES = 2048
 UNKNOWN = "und"
-#: Distinct words whose answer a worker keeps.
-MEMO = 400_000
+
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
 @dataclass
 class Network:
-    """Weights: byte inputs [2, 256, 3H], recurrent [2, H, 3H], outputs [2H, L] and biases; 2 directions."""
+    """Weights: byte inputs [2, 256, 3H], recurrent [2, H, 3H], outputs [2H, L] and biases; 2 directions.
+
+    Lanes (columns of the byte rows x [T, B]) come with the longest first;
+    lane b has live[t] > b at each of its positions t.
+    """
 
     names: list[str]
     inputs: np.ndarray
@@ -61,98 +71,118 @@ class Network:
     def weights(self) -> list[np.ndarray]:
         return [self.inputs, self.hidden, self.output, self.bias]
 
-    def pass_over(self, x: np.ndarray, n: np.ndarray, keep: bool = False):
-        """States [B, T, 2H] of padded byte rows x [B, T] of lengths n; with keep, what backpropagation needs."""
-        b, t = x.shape
+    def scores(self, x: np.ndarray, live: list[int]) -> np.ndarray:
+        """Scores [T, B, L] before the softmax."""
+        t, b = x.shape
         h = self.hidden.shape[1]
-        at = np.arange(t)
-        back = np.where(at < n[:, None], n[:, None] - 1 - at, at)  # reverses each row within its length
-        out = np.empty((b, t, 2 * h), np.float32)
-        kept = []
+        out = np.empty((t, b, len(self.names)), np.float32)
         for d in (0, 1):
-            rows = x if d == 0 else np.take_along_axis(x, back, 1)
+            into, on, final = self.inputs[d].copy(), self.hidden[d].copy(), self.output[d * h : (d + 1) * h]
+            into[:, : 2 * h] *= 0.5  # a sigmoid is a tanh of half its argument
+            on[:, : 2 * h] *= 0.5
             state = np.zeros((b, h), np.float32)
-            steps, states = [], np.empty((b, t, h), np.float32)
-            for i in range(t):
-                a, u = self.inputs[d][rows[:, i]], state @ self.hidden[d]
+            for i in range(t) if d == 0 else range(t - 1, -1, -1):
+                k = live[i]
+                now = state[:k]
+                a, u = into.take(x[i, :k], axis=0), now @ on
+                gate, fresh = a[:, : 2 * h], u[:, 2 * h :]
+                gate += u[:, : 2 * h]
+                np.tanh(gate, out=gate)
+                gate *= 0.5
+                gate += 0.5
+                fresh *= gate[:, h:]
+                fresh += a[:, 2 * h :]
+                np.tanh(fresh, out=fresh)
+                fresh -= now
+                fresh *= gate[:, :h]
+                now += fresh
+                if d:
+                    out[i, :k] += now @ final
+                else:
+                    np.add(now @ final, self.bias, out=out[i, :k])
+        return out
+
+    def probabilities(self, x: np.ndarray, live: list[int]) -> np.ndarray:
+        """Probabilities [T, B, L] of the languages at every position; what lies beyond a lane is undefined."""
+        score = self.scores(x, live)
+        with np.errstate(over="ignore", invalid="ignore"):
+            score -= score.max(axis=2, keepdims=True)
+            np.exp(score, out=score)
+            score /= score.sum(axis=2, keepdims=True)
+        return score
+
+    def gradients(self, x: np.ndarray, live: list[int], y: np.ndarray) -> tuple[float, list[np.ndarray]]:
+        """Mean loss over positions and its gradients, by backpropagation through time."""
+        t, b = x.shape
+        h = self.hidden.shape[1]
+        states, kept = np.zeros((t, b, 2 * h), np.float32), []
+        for d in (0, 1):
+            state, steps = np.zeros((b, h), np.float32), [None] * t
+            for i in range(t) if d == 0 else range(t - 1, -1, -1):
+                k = live[i]
+                now = state[:k].copy()
+                a, u = self.inputs[d][x[i, :k]], now @ self.hidden[d]
                 gate = _sigmoid(a[:, : 2 * h] + u[:, : 2 * h])
                 z, r = gate[:, :h], gate[:, h:]
                 c = np.tanh(a[:, 2 * h :] + r * u[:, 2 * h :])
-                if keep:
-                    steps.append((state, z, r, c, u[:, 2 * h :]))
-                state = state + z * (c - state)
-                states[:, i] = state
-            out[:, :, d * h : (d + 1) * h] = states if d == 0 else np.take_along_axis(states, back[:, :, None], 1)
-            kept.append((rows, steps))
-        return (out, kept, back) if keep else out
-
-    def probabilities(self, x: np.ndarray, n: np.ndarray) -> np.ndarray:
-        score = self.pass_over(x, n) @ self.output + self.bias
-        score = np.exp(score - score.max(axis=2, keepdims=True))
-        return score / score.sum(axis=2, keepdims=True)
-
-    def gradients(self, x: np.ndarray, n: np.ndarray, y: np.ndarray) -> tuple[float, list[np.ndarray]]:
-        """Mean loss over positions and its gradients."""
-        out, kept, back = self.pass_over(x, n, keep=True)
-        b, t = x.shape
-        h = self.hidden.shape[1]
-        score = out @ self.output + self.bias
+                steps[i] = (now, z, r, c, u[:, 2 * h :])
+                state[:k] = now + z * (c - now)
+                states[i, :k, d * h : (d + 1) * h] = state[:k]
+            kept.append(steps)
+        mask = (np.arange(b) < np.array(live)[:, None]).astype(np.float32)
+        count = mask.sum()
+        score = states @ self.output + self.bias
         score -= score.max(axis=2, keepdims=True)
         p = np.exp(score)
         p /= p.sum(axis=2, keepdims=True)
-        live = (np.arange(t) < n[:, None]).astype(np.float32)
-        count = live.sum()
-        loss = -(np.log(np.maximum(np.take_along_axis(p, y[:, None, None].repeat(t, 1), 2)[:, :, 0], 1e-9)) * live).sum() / count
-        err = p
-        err[np.arange(b)[:, None], np.arange(t), y[:, None]] -= 1
-        err *= live[:, :, None] / count
-        g_out = out.reshape(-1, 2 * h).T @ err.reshape(-1, err.shape[2])
-        g_bias = err.sum(axis=(0, 1))
+        lanes = np.arange(b)
+        loss = -(np.log(np.maximum(p[:, lanes, y], 1e-9)) * mask).sum() / count
+        p[:, lanes, y] -= 1
+        err = p * mask[:, :, None] / count
+        g_out = states.reshape(-1, 2 * h).T @ err.reshape(-1, err.shape[2])
         d_states = err @ self.output.T
         g_in, g_hid = np.zeros_like(self.inputs), np.zeros_like(self.hidden)
         for d in (0, 1):
-            rows, steps = kept[d]
-            ds = d_states[:, :, d * h : (d + 1) * h]
-            if d:
-                ds = np.take_along_axis(ds, back[:, :, None], 1)
-            carry = np.zeros((b, h), np.float32)
-            for i in range(t - 1, -1, -1):
-                state, z, r, c, uc = steps[i]
-                carry = carry + ds[:, i]
-                dc = carry * z * (1 - c * c)
-                dz = carry * (c - state) * z * (1 - z)
+            carry, whole = np.zeros((b, h), np.float32), np.zeros((t, b, 3 * h), np.float32)
+            for i in range(t - 1, -1, -1) if d == 0 else range(t):
+                k = live[i]
+                state, z, r, c, uc = kept[d][i]
+                own = carry[:k] + d_states[i, :k, d * h : (d + 1) * h]
+                dc = own * z * (1 - c * c)
+                dz = own * (c - state) * z * (1 - z)
                 dr = dc * uc * r * (1 - r)
-                da = np.concatenate([dz, dr, dc], axis=1)
+                whole[i, :k] = np.concatenate([dz, dr, dc], axis=1)
                 du = np.concatenate([dz, dr, dc * r], axis=1)
-                np.add.at(g_in[d], rows[:, i], da)
                 g_hid[d] += state.T @ du
-                carry = carry * (1 - z) + du @ self.hidden[d].T
-        return float(loss), [g_in, g_hid, g_out.astype(np.float32), g_bias]
+                carry[:k] = own * (1 - z) + du @ self.hidden[d].T
+            np.add.at(g_in[d], x.ravel(), whole.reshape(-1, 3 * h))
+        return float(loss), [g_in, g_hid, g_out.astype(np.float32), err.sum(axis=(0, 1))]
+
+
+def lanes(parts: list[bytes]) -> tuple[np.ndarray, list[int], np.ndarray]:
+    """Byte rows x [T, B] of the parts, the longest first, live lanes at each position, and the part of each lane."""
+    n = np.fromiter(map(len, parts), np.int64, len(parts))
+    order = np.argsort(-n, kind="stable")
+    x, live = _lanes(np.frombuffer(b"".join(parts), np.uint8), (np.cumsum(n) - n)[order], n[order])
+    return x, live, order
 
 
-def padded(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Byte rows with a blank before and after each word, and their lengths."""
-    n = np.array([len(w) + 2 for w in words])
-    x = np.full((len(words), int(n.max())), 32, np.uint8)
-    flat = np.frombuffer(b"".join(words), np.uint8)
-    row = np.repeat(np.arange(len(words)), n - 2)
-    x[row, np.arange(len(flat)) - np.repeat(np.cumsum(n - 2) - (n - 2), n - 2) + 1] = flat
-    return x, n
+def _lanes(buf: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    t = np.arange(n[0] if len(n) else 0)
+    x = buf[np.minimum(first + t[:, None], len(buf) - 1)] if len(buf) else np.zeros((0, len(n)), np.uint8)
+    return x, np.searchsorted(-n, -t, side="left").tolist()
 
 
-def train(words: list[bytes], labels: np.ndarray, names: list[str], steps: int = STEPS, seed: int = 3) -> Network:
-    """Adam over batches that hold every language equally often; words of like length share a batch."""
+def train(parts: list[bytes], labels: np.ndarray, names: list[str], steps: int = STEPS, seed: int = 3) -> Network:
+    """Adam over batches that hold every language equally often."""
     r = np.random.default_rng(seed)
     net = Network.fresh(names)
     moments = [[np.zeros_like(w), np.zeros_like(w)] for w in net.weights()]
-    sizes = np.array([len(w) for w in words])
     pools = [np.flatnonzero(labels == k) for k in range(len(names))]
     for step in range(1, steps + 1):
-        pick = np.concatenate([r.choice(p, BATCH * 2 // len(names)) for p in pools])
-        pick = pick[np.argsort(sizes[pick], kind="stable")]
-        half = pick[: len(pick) // 2] if step % 2 else pick[len(pick) // 2 :]
-        x, n = padded([words[i] for i in half])
-        _, grads = net.gradients(x, n, labels[half])
+        pick = np.concatenate([r.choice(p, max(1, BATCH // len(names))) for p in pools])
+        x, live, order = lanes([parts[i] for i in pick])
+        _, grads = net.gradients(x, live, labels[pick][order])
         rate = RATE * (1 - step / (steps + 1))
         for w, g, (m, v) in zip(net.weights(), grads, moments, strict=True):
             m += 0.1 * (g - m)
@@ -161,73 +191,96 @@ def train(words: list[bytes], labels: np.ndarray, names: list[str], steps: int =
     return net
 
 
-def pieces(word: bytes) -> list[bytes]:
-    return [word[i : i + LONGEST] for i in range(0, len(word), LONGEST)]
-
-
-class Labeller:
-    """Position probabilities of words, summed, remembered by word."""
-
-    def __init__(self, net: Network):
-        self.net = net
-        self.clear()
-
-    def clear(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.sums = np.empty((0, len(self.net.names) + 2), np.float32)  # languages, positions, has a letter
-
-    def learn(self, words: list[bytes]) -> None:
-        parts = [pieces(w) for w in words]
-        owner = np.repeat(np.arange(len(words)), [len(p) for p in parts])
-        flat = list(chain.from_iterable(parts))
-        order = np.argsort([len(p) for p in flat], kind="stable")
-        add = np.zeros((len(words), self.sums.shape[1]), np.float32)
-        for i in range(0, len(order), 4096):
-            part = order[i : i + 4096]
-            x, n = padded([flat[j] for j in part])
-            live = (np.arange(x.shape[1]) < n[:, None]).astype(np.float32)
-            p = np.einsum("btl,bt->bl", self.net.probabilities(x, n), live)
-            np.add.at(add[:, :-2], owner[part], p)
-            np.add.at(add[:, -2], owner[part], n)
-        text = b" ".join(words).decode().split(" ")
-        add[:, -1] = [any(map(str.isalpha, w)) for w in text]
-        add[:, :-1] *= add[:, -1:]  # words without a letter have no say
-        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words)), strict=True))
-        self.sums = np.concatenate([self.sums, add])
-
-    def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Mean probabilities [texts, languages], and whether a text has a letter."""
-        split = [t.split() for t in texts]
-        if len(self.place) > MEMO:
-            self.clear()
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        words = list(chain.from_iterable(split))
-        at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
-        missing = np.flatnonzero(at < 0).tolist()
-        if missing:
-            self.learn(sorted({words[i] for i in missing}))
-            at[missing] = [self.place[words[i]] for i in missing]
-        total = np.zeros((len(texts), self.sums.shape[1]))
-        full = np.flatnonzero(counts)
-        if len(full):
-            total[full] = np.add.reduceat(self.sums[at].astype(np.float64), (np.cumsum(counts) - counts)[full], axis=0)
-        return total[:, :-2] / np.maximum(total[:, -2:-1], 1), total[:, -1] > 0
-
-
-def fit(docs: DataFrame, sample: int = SAMPLE, drawn: int = DRAWN) -> Network | None:
+def windows(sizes: np.ndarray, buf: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Windows over texts of these sizes that lie in buf in a row: text, first and end byte read, first and end byte judged."""
+    count = np.maximum(1, -(-sizes // WINDOW))
+    text = np.repeat(np.arange(len(sizes)), count)
+    first = (np.cumsum(sizes) - sizes)[text]
+    low = first + (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)) * WINDOW
+    stop = first + sizes[text]
+
+    def whole(at: np.ndarray) -> np.ndarray:
+        """The character that a place lies in begins within three bytes before."""
+        at = np.clip(at, first, stop)
+        for _ in range(3):
+            inside = at < stop
+            inside[inside] = (buf[at[inside]] & 0xC0) == 0x80
+            at = np.maximum(at - inside, first)
+        return at
+
+    high = np.where(low + WINDOW < stop, whole(low + WINDOW), stop)
+    low = whole(low)
+    return text, whole(low - MARGIN), whole(high + MARGIN), low, high
+
+
+def label(net: Network, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Mean probabilities [texts, languages] over the letters' bytes, and whether a text has a letter."""
+    sums, count = np.zeros((len(texts), len(net.names))), np.zeros(len(texts))
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    buf = np.frombuffer(b"".join(texts), np.uint8)
+    text, begin, end, low, high = windows(sizes, buf)
+    order = np.argsort(begin - end, kind="stable")
+    for i in range(0, len(order), LANES):
+        part = order[i : i + LANES]
+        n = (end - begin)[part]
+        x, live = _lanes(buf, begin[part], n)
+        if not len(x):
+            continue
+        at = begin[part] + np.arange(len(x))[:, None]
+        judged = (at >= low[part]) & (at < high[part]) & _LETTER[x]
+        p = net.probabilities(x, live)
+        p[~judged] = 0
+        np.add.at(sums, text[part], p.sum(axis=0, dtype=np.float64))
+        np.add.at(count, text[part], judged.sum(axis=0))
+    known = np.fromiter(map(_has_letter, texts), bool, len(texts))
+    return sums / np.maximum(count, 1)[:, None], known & (count > 0)
+
+
+def _has_letter(text: bytes) -> bool:
+    return text[:1].isalpha() or any(map(str.isalpha, text.decode()))
+
+
+def positions(net: Network, text: bytes) -> list[str]:
+    """The label of every byte of a text."""
+    buf = np.frombuffer(text, np.uint8)
+    out = np.zeros(len(buf), np.int64)
+    _, begin, end, low, high = windows(np.array([len(buf)]), buf)
+    for b, e, lo, hi in zip(begin, end, low, high, strict=True):
+        if e > b:
+            p = net.probabilities(buf[b:e, None], [1] * (e - b))[:, 0]
+            out[lo:hi] = p.argmax(axis=1)[lo - b : hi - b]
+    return [net.names[i] for i in out]
+
+
+def drawn(text: bytes, count: int = DRAWN, length: int = LENGTH) -> list[bytes]:
+    """Up to `count` stretches of a text, evenly spaced, that begin at whole characters."""
+    starts = sorted({int(i) for i in np.linspace(0, max(0, len(text) - length), count)})
+    out = []
+    for a in starts:
+        while a and text[a] & 0xC0 == 0x80:
+            a -= 1
+        out.append(text[a : a + length])
+    return [x for x in out if x]
+
+
+def fit(docs: DataFrame, sample: int = SAMPLE, count: int = DRAWN) -> Network | None:
     """A network for the labels of docs (doc_id, text, lang); None without labels."""
-    some = sampled(docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang"), "doc_id", sample)
-    words, labels = [], []
-    for row in some.select("text", "lang").toArrow().to_pylist():
-        ws = list(chain.from_iterable(map(pieces, row["text"].encode().split())))
-        ws = ws[:: max(1, len(ws) // drawn)]
-        words += ws
-        labels += [row["lang"]] * len(ws)
-    if not words:
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [drawn(t, count) for t in raw(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(parts, pa.list_(pa.binary()))], names=["doc_id", "lang", "parts"])
+
+    known = docs.filter("lang IS NOT NULL AND text IS NOT NULL")
+    cut = known.filter(least(known, "doc_id", sample)).select("doc_id", "text", "lang").mapInArrow(task, "doc_id bigint, lang string, parts array<binary>")
+    rows = cut.dropDuplicates(["doc_id"]).orderBy("doc_id").toArrow().to_pylist()  # `sample` rows of `count` stretches at most
+    parts = [p for r in rows for p in r["parts"]]
+    labels = [r["lang"] for r in rows for _ in r["parts"]]
+    if not parts:
         return None
     names = sorted(set(labels))
     index = {n: i for i, n in enumerate(names)}
-    return train(words, np.array([index[x] for x in labels]), names)
+    return train(parts, np.array([index[x] for x in labels]), names)
 
 
 def predict(docs: DataFrame, net: Network | None) -> DataFrame:
@@ -236,9 +289,8 @@ def predict(docs: DataFrame, net: Network | None) -> DataFrame:
         return docs.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        label = Labeller(net)
         for batch in chunks(batches, limit=4_000_000):
-            p, known = label([t or b"" for t in raw(batch.column("text"))])
+            p, known = label(net, [t or b"" for t in raw(batch.column("text"))])
             best = p.argmax(axis=1)
             names = [net.names[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist(), strict=True)]
             score = np.where(known, p[np.arange(len(p)), best], 0.0)

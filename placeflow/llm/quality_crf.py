@@ -8,14 +8,18 @@ mean of the marginals, weighted by line length, is the document's quality.
 Training maximises the conditional likelihood with every line carrying its
 document's label (Adam over all sampled documents at once, a penalty on squared
 weights). It uses a bounded sample: the `SAMPLE` labelled documents with the
-least hash of doc_id among those allowed, and of each `DRAWN` neighbouring
-lines from the middle. Scoring reads whole texts.
+least hash of doc_id among those allowed, and of each `RUNS` stretches of `RUN`
+neighbouring lines, spread over the text. Features are made of whole texts,
+where the texts are; only the stretches' features reach the driver. Scoring
+reads whole texts.
 
 A null text is one empty line, as is an empty one. Documents without a label
 don't train; without any label, or with one class only, all weights stay 0 and
 every score is 0.5. If a document has several labels the largest counts. Rows
-are judged alone, so repeated rows get the same score. An empty table gives no
-rows; extra columns are ignored by `score` and kept by `keep`.
+are judged alone, so repeated rows get the same score; of several texts with
+one doc_id one trains. A score of exactly 0.5 predicts 1. A very long text is
+one row of a batch, with some 300 bytes for each of its lines. An empty table
+gives no rows; extra columns are ignored by `score` and kept by `keep`.
 """
 
 from __future__ import annotations
@@ -30,9 +34,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from placeflow.llm.common import chunks, columns, fold, raw, sampled, table
+from placeflow.llm.common import chunks, columns, fold, least, raw, table
 
-SAMPLE, DRAWN = 3000, 48
+SAMPLE, RUNS, RUN = 3000, 3, 16
 STEPS, RATE, PENALTY = 250, 0.1, 1e-3
 
 _CLASSES = (
@@ -194,23 +198,34 @@ def quality(f: Field, texts: list[bytes]) -> np.ndarray:
     return np.clip(out, 0, 1)
 
 
-def middle(text: bytes, drawn: int = DRAWN) -> bytes:
-    lines = text.split(b"\n")
-    at = max(0, (len(lines) - drawn) // 2)
-    return b"\n".join(lines[at : at + drawn])
+def stretches(lines: int, runs: int = RUNS, run: int = RUN) -> list[tuple[int, int]]:
+    """First and last line (exclusive) of up to `runs` stretches, evenly spaced: the head, the foot and between them."""
+    if lines <= runs * run:
+        return [(0, lines)]
+    return [(a, a + run) for a in (round(i * (lines - run) / max(1, runs - 1)) for i in range(runs))]
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
     """A field from labels (doc_id, quality) and the texts of docs."""
-    known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    some = sampled(known, "doc_id", sample)
-    # at most `sample` rows of two numbers
-    rows = docs.join(F.broadcast(some), "doc_id").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.min("text").alias("text")).orderBy("doc_id").toArrow()
-    texts = [middle(t or b"") for t in raw(rows.column("text"))]
-    if not texts:
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            x, counts, _ = line_features([t or b"" for t in raw(batch.column("text"))])
+            firsts, rows = (np.cumsum(counts) - counts).tolist(), []
+            for key, quality_, first, n in zip(batch.column("doc_id").to_pylist(), batch.column("quality").to_pylist(), firsts, counts.tolist(), strict=True):
+                rows += [(key, quality_, i, b - a, x[first + a : first + b].astype("<f4").tobytes()) for i, (a, b) in enumerate(stretches(n))]
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "quality", "run", "n", "x"])
+
+    known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
+    some = known.filter(least(known, "doc_id", sample))
+    # some `sample` rows of two numbers; and as many times RUNS stretches
+    cut = docs.join(F.broadcast(some), "doc_id").select("doc_id", "quality", "text").mapInArrow(task, "doc_id bigint, quality int, run int, n int, x binary")
+    rows = cut.groupBy("doc_id", "run").agg(F.max(F.struct("quality", "n", "x")).alias("r")).select("doc_id", "run", "r.*").orderBy("doc_id", "run").toArrow()
+    if not rows.num_rows:
         return Field(np.zeros(WIDTH), np.zeros((2, 2)))
-    x, counts, _ = line_features(texts)
-    return train(x, counts, (rows.column("quality").to_numpy() > 0).astype(np.int64))
+    x = np.frombuffer(b"".join(rows.column("x").to_pylist()), "<f4").astype(np.float64).reshape(-1, WIDTH)
+    return train(x, rows.column("n").to_numpy().astype(np.int64), (rows.column("quality").to_numpy() > 0).astype(np.int64))
 
 
 def scored(docs: DataFrame, f: Field) -> DataFrame:

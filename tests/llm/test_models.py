@@ -11,13 +11,34 @@ from placeflow.llm import class_lm, language, pieces, quality_crf
 # language
 
 
+def scalar_states(net, text, d):
+    """States of one direction of the network, a number at a time."""
+    h = net.hidden.shape[1]
+    state, out = [0.0] * h, {}
+    sig = lambda v: 1 / (1 + math.exp(-v))
+    for i in range(len(text)) if d == 0 else reversed(range(len(text))):
+        a = [float(v) for v in net.inputs[d][text[i]]]
+        u = [sum(state[j] * float(net.hidden[d][j, k]) for j in range(h)) for k in range(3 * h)]
+        z, r = [sig(a[k] + u[k]) for k in range(h)], [sig(a[h + k] + u[h + k]) for k in range(h)]
+        c = [math.tanh(a[2 * h + k] + r[k] * u[2 * h + k]) for k in range(h)]
+        state = [state[k] + z[k] * (c[k] - state[k]) for k in range(h)]
+        out[i] = state
+    return out
+
+
+def scalar_probabilities(net, text):
+    fore, back, h = scalar_states(net, text, 0), scalar_states(net, text, 1), net.hidden.shape[1]
+    for i in range(len(text)):
+        both = fore[i] + back[i]
+        e = [math.exp(sum(both[j] * float(net.output[j, k]) for j in range(2 * h)) + float(net.bias[k])) for k in range(len(net.names))]
+        yield [v / sum(e) for v in e]
+
+
 def test_gradients_match_differences():
     net = language.Network.fresh(["a", "b", "c"], h=4, seed=1)
-    for w in net.weights():
-        w[...] = w.astype(np.float64)
-    x, n = language.padded([b"ab", b"c", b"\xc3\xa9fgh"])
-    y = np.array([0, 2, 1])
-    _, grads = net.gradients(x, n, y)
+    x, live, order = language.lanes([b"ab", b"c", b"\xc3\xa9fgh"])
+    y = np.array([0, 2, 1])[order]
+    _, grads = net.gradients(x, live, y)
     r = np.random.default_rng(0)
     for w, g in zip(net.weights(), grads, strict=True):
         hot = np.argwhere(np.abs(g) > 1e-3)
@@ -25,18 +46,51 @@ def test_gradients_match_differences():
             i, keep = tuple(at), w[tuple(at)]
             eps = np.float32(1e-2)
             w[i] = keep + eps
-            up = net.gradients(x, n, y)[0]
+            up = net.gradients(x, live, y)[0]
             w[i] = keep - eps
-            down = net.gradients(x, n, y)[0]
+            down = net.gradients(x, live, y)[0]
             w[i] = keep
             assert abs((up - down) / (2 * eps) - g[i]) < 0.05 * abs(g[i]) + 2e-3
 
 
-def test_padding_and_neighbours_change_nothing():
-    net = language.Network.fresh(["a", "b"], h=5)
-    alone = [net.probabilities(*language.padded([w]))[0] for w in (b"word", b"x")]
-    both = net.probabilities(*language.padded([b"word", b"x"]))
-    assert np.allclose(both[0], alone[0], atol=1e-6) and np.allclose(both[1, :3], alone[1], atol=1e-6)
+def test_labels_and_pooling_match_a_scalar_network():
+    """Texts of one window: states, labels of positions and pooled probabilities by brute force."""
+    net = language.Network.fresh(["a", "b", "c"], h=3, seed=4)
+    texts = ["ab 12 é!".encode(), b"word by word, on and on", b"x", b"", b"12 !", "日本".encode()]
+    got, known = language.label(net, texts)
+    assert known.tolist() == [True, True, True, False, False, True]
+    for t, p, k in zip(texts, got, known, strict=True):
+        each = list(scalar_probabilities(net, t))
+        assert language.positions(net, t) == [net.names[max(range(3), key=lambda i: e[i])] for e in each]
+        letters = [e for e, c in zip(each, t, strict=True) if chr(c).isascii() and chr(c).isalpha() or c >= 128]
+        if k:
+            assert np.allclose(p, np.mean(letters, axis=0), atol=1e-5)
+
+
+def test_long_texts_are_read_in_windows(monkeypatch):
+    """Each byte is judged in one window, with its neighbours' bytes around; windows begin at whole characters."""
+    monkeypatch.setattr(language, "WINDOW", 50)
+    monkeypatch.setattr(language, "MARGIN", 20)
+    monkeypatch.setattr(language, "LANES", 7)
+    net = language.Network.fresh(["a", "b"], h=3, seed=2)
+    texts = ["日本語のテキスト".encode() * 20, b"", b"plain words " * 30, b"z" * 50, b"y" * 51, "é".encode() * 25]
+    buf = np.frombuffer(b"".join(texts), np.uint8)
+    text, begin, end, low, high = language.windows(np.array([len(t) for t in texts]), buf)
+    at, first = 0, np.cumsum([0, *map(len, texts)])
+    for t, b, e, lo, hi in zip(text, begin, end, low, high, strict=True):
+        assert lo == at and first[t] <= b <= lo <= hi <= e <= first[t + 1]
+        assert hi == first[t + 1] or 47 <= hi - lo <= 53
+        assert lo - b in range(17, 24) or b == first[t]
+        bytes(buf[b:e]).decode()
+        at = hi
+    got, _ = language.label(net, texts)
+    for t, p in zip(texts, got, strict=True):
+        if t:
+            want, b = [], np.frombuffer(t, np.uint8)
+            for _, s, e, lo, hi in zip(*language.windows(np.array([len(t)]), b), strict=True):
+                each = list(scalar_probabilities(net, t[s:e]))
+                want += [each[i - s] for i in range(lo, hi) if language._LETTER[t[i]]]
+            assert np.allclose(p, np.mean(want, axis=0), atol=1e-5)
 
 
 def test_languages_of_held_out_documents(docs, rows, none, clashing):
@@ -54,14 +108,11 @@ def test_languages_of_held_out_documents(docs, rows, none, clashing):
     assert language.fit(docs.withColumn("lang", F.lit(None).cast("string"))) is None
 
 
-def test_words_are_remembered_and_forgotten(monkeypatch):
-    net = language.Network.fresh(["a", "b"])
-    label = language.Labeller(net)
-    texts = [b"ab cd ab 12", b"", b"12 !", b"x" * 100]
-    first = label(texts)
-    monkeypatch.setattr(language, "MEMO", 1)
-    again = label(texts)
-    assert np.allclose(first[0], again[0]) and first[1].tolist() == again[1].tolist() == [True, False, False, True]
+def test_drawn_stretches_spread_over_the_text():
+    assert language.drawn(b"", 4, 8) == [] and language.drawn(b"abc", 4, 8) == [b"abc"]
+    text = "日本語".encode() * 9
+    parts = language.drawn(text, 4, 8)
+    assert len(parts) == 4 and all(p[0] & 0xC0 != 0x80 for p in parts) and parts[-1] in text[-10:]
 
 
 # quality
@@ -108,6 +159,22 @@ def test_quality_without_labels(spark, docs):
     assert {r.score for r in quality_crf.scored(docs, same).collect()} == {0.5}
 
 
+def test_training_stretches_spread_over_the_text():
+    assert quality_crf.stretches(1) == [(0, 1)] and quality_crf.stretches(48) == [(0, 48)]
+    assert quality_crf.stretches(200) == [(0, 16), (92, 108), (184, 200)]
+
+
+def test_pooling_matches_the_scalar_form():
+    """Marginals of every line by enumeration, weighted by the lines' lengths plus one."""
+    r = np.random.default_rng(6)
+    f = quality_crf.Field(r.normal(size=quality_crf.WIDTH), r.normal(size=(2, 2)))
+    texts = [b"one line", b"", b"A b.\n\n### $$$\nwords and words", b"x\ny\nz\nx"]
+    for t, got in zip(texts, quality_crf.quality(f, texts), strict=True):
+        x, _, size = quality_crf.line_features([t])
+        p = brute_marginals(f, x @ f.weights)
+        assert abs(got - sum(p * (size + 1)) / sum(size + 1)) < 1e-9
+
+
 def test_line_features_know_their_neighbours():
     x, counts, size = quality_crf.line_features([b"a b\n\nC!", b"", b"q"])
     own = quality_crf.OWN
