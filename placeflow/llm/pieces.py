@@ -35,7 +35,7 @@ same values. Empty tables give no rows; extra columns are ignored.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +48,7 @@ from placeflow.llm.common import chunks, columns, commonest, raw, table, written
 SPACE = "▁"
 NEVER = -1e8
 #: Segments whose encoding is broadcast to the tasks; rarer ones meet theirs in a join.
-KNOWN = 400_000
+KNOWN = 200_000
 #: Distinct segments that a task holds before it hands their counts on.
 HELD = 500_000
 #: Stops that the fold holds before it hands them on.
@@ -147,18 +147,23 @@ def _whole(state: Column) -> Column:
     return F.flatten(F.concat(state["blocks"], F.array(state["items"])))
 
 
-def _stops(words: DataFrame, pieces: DataFrame, known: dict, key: list[str]) -> DataFrame:
+def _stops(words: DataFrame, pieces: DataFrame, known: dict, key: list[str], blocks: bool) -> DataFrame:
     """key and stops: for each stop of a segment, in order, the edges that end there. key names the rows of words.
 
-    A segment is read in blocks, since a place in a string is found by walking to it.
+    Long segments are read in blocks, since a place in a string is found by walking to it.
     """
     longest, size = known["longest"], F.length("segment")
-    blocks = words.select(*key, "segment", F.explode(F.sequence(F.lit(0), size - 1, F.lit(BLOCK))).alias("_b"))
-    parts = blocks.select(*key, "_b", F.substring("segment", F.col("_b") + 1, F.lit(BLOCK + longest - 1)).alias("_part"), F.least(F.lit(BLOCK), size - F.col("_b")).alias("_size"))
-    starts = parts.select(*key, "_b", "_part", F.explode(F.sequence(F.lit(0), F.col("_size") - 1)).alias("_s"))
-    views = starts.select(*key, (F.col("_b") + F.col("_s")).alias("_s"), F.substring("_part", F.col("_s") + 1, F.lit(longest)).alias("_view"))
-    spans = views.select(*key, "_s", "_view", F.explode(F.sequence(F.lit(1), F.length("_view"))).alias("_n"))
-    cut = spans.select(*key, "_s", "_n", F.substring("_view", F.lit(1), F.col("_n")).alias("piece"))
+    if not blocks:
+        starts = words.select(*key, *({"segment"} - set(key)), F.explode(F.sequence(F.lit(0), size - 1)).alias("_s"))
+        spans = starts.withColumn("_n", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("_s")))))
+        cut = spans.select(*key, "_s", "_n", F.substring("segment", F.col("_s") + 1, F.col("_n")).alias("piece"))
+    else:
+        own = words.select(*key, "segment", F.explode(F.sequence(F.lit(0), size - 1, F.lit(BLOCK))).alias("_b"))
+        parts = own.select(*key, "_b", F.substring("segment", F.col("_b") + 1, F.lit(BLOCK + longest - 1)).alias("_part"), F.least(F.lit(BLOCK), size - F.col("_b")).alias("_size"))
+        starts = parts.select(*key, "_b", "_part", F.explode(F.sequence(F.lit(0), F.col("_size") - 1)).alias("_s"))
+        views = starts.select(*key, (F.col("_b") + F.col("_s")).alias("_s"), F.substring("_part", F.col("_s") + 1, F.lit(longest)).alias("_view"))
+        spans = views.select(*key, "_s", "_view", F.explode(F.sequence(F.lit(1), F.length("_view"))).alias("_n"))
+        cut = spans.select(*key, "_s", "_n", F.substring("_view", F.lit(1), F.col("_n")).alias("piece"))
     table_ = F.broadcast(pieces.select("piece", "id", "score"))  # the vocabulary
     edges = cut.join(table_, "piece", "left").filter("id IS NOT NULL OR _n = 1")
     # a character without a piece goes by its UTF-8 bytes, as a number under -1
@@ -175,36 +180,40 @@ def encode(words: DataFrame, pieces: DataFrame, known: dict, *carried: str) -> D
     The rows of a long segment's lattice go by a number instead of the segment.
     """
     short = words.select("segment", *carried).filter(F.length("segment") <= LONG)
-    folded = _folded(_stops(short, pieces, known, ["segment", *carried]), known, "segment", *carried)
+    folded = _folded(_stops(short, pieces, known, ["segment", *carried], False), known, False, "segment", *carried)
     long = written(words.select("segment", *carried).filter(F.length("segment") > LONG).withColumn("_id", F.monotonically_increasing_id()))
     if long.isEmpty():
         return folded
-    met = long.join(_folded(_stops(long, pieces, known, ["_id"]), known, "_id"), "_id")
+    met = long.join(_folded(_stops(long, pieces, known, ["_id"], True), known, True, "_id"), "_id")
     return folded.unionByName(met.select("segment", *carried, "ids"))
 
 
-def _folded(lattice: DataFrame, known: dict, *key: str) -> DataFrame:
-    """key and ids: the best path through the stops."""
+def _folded(lattice: DataFrame, known: dict, blocks: bool, *key: str) -> DataFrame:
+    """key and ids: the best path through the stops. With blocks, no list grows to the segment's length by appending."""
     longest, base = known["longest"], known["byte"]
+    add = _appended if blocks else (lambda state, item, keep: F.concat(state, F.array(item)))
+    last = (lambda state: state["items"]) if blocks else (lambda state: state)
+    whole = _whole if blocks else (lambda state: state)
+    node = "struct<score: double, n: int, id: bigint>"
+    first = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("id"))).cast(f"array<{node}>")
+    none = F.array().cast("array<bigint>")
+    if blocks:
+        first = F.struct(first.alias("items"), F.array().cast(f"array<array<{node}>>").alias("blocks"))
+        none = F.struct(none.alias("items"), F.array().cast("array<array<bigint>>").alias("blocks"))
 
-    def step(state, node):
+    def step(state, stop):
         """The best way to the next stop: the largest sum, then the longest last piece."""
-        ways = F.transform(node["edges"], lambda e: F.struct((F.element_at(state["items"], -e["n"])["score"] + e["score"]).alias("score"), e["n"].alias("n"), e["id"].alias("id")))
-        return _appended(state, F.array_max(ways), longest)
-
-    node = "struct<score: double, n: int, id: bigint>"
-    begin = F.struct(F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("id"))).cast(f"array<{node}>").alias("items"), F.array().cast(f"array<array<{node}>>").alias("blocks"))
-    solved = lattice.select(*key, F.aggregate("stops", begin, step, _whole).alias("best"))
+        ways = F.transform(stop["edges"], lambda e: F.struct((F.element_at(last(state), -e["n"])["score"] + e["score"]).alias("score"), e["n"].alias("n"), e["id"].alias("id")))
+        return add(state, F.array_max(ways), longest)
 
-    def back(state, node):
+    def back(state, best):
         """From the end: takes the piece that stops where the one taken before starts."""
-        taken = _appended(state, node["id"], 1)
-        return F.when(state["skip"] > 0, F.struct((state["skip"] - 1).alias("skip"), state["items"].alias("items"), state["blocks"].alias("blocks"))).otherwise(
-            F.struct((node["n"] - 1).alias("skip"), taken["items"].alias("items"), taken["blocks"].alias("blocks"))
-        )
+        skipped = F.struct((state["skip"] - 1).alias("skip"), state["taken"].alias("taken"))
+        return F.when(state["skip"] > 0, skipped).otherwise(F.struct((best["n"] - 1).alias("skip"), add(state["taken"], best["id"], 1).alias("taken")))
 
-    end = F.struct(F.lit(0).alias("skip"), F.array().cast("array<bigint>").alias("items"), F.array().cast("array<array<bigint>>").alias("blocks"))
-    taken = F.aggregate(F.reverse(F.slice("best", F.lit(2), F.size("best"))), end, back, lambda s: F.reverse(_whole(s)))
+    solved = lattice.select(*key, F.aggregate("stops", first, step, whole).alias("best"))
+    end = F.struct(F.lit(0).alias("skip"), none.alias("taken"))
+    taken = F.aggregate(F.reverse(F.slice("best", F.lit(2), F.size("best"))), end, back, lambda s: F.reverse(whole(s["taken"])))
 
     def spelled(i):
         code = F.hex(-1 - i)
@@ -229,12 +238,28 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def segment_ids(docs: DataFrame, pieces: DataFrame, known: dict) -> DataFrame:
-    """segment, n and ids of all distinct segments."""
-    return written(encode(segment_counts(docs, known), pieces, known, "n"))
+    """segment, n and ids of all distinct segments.
+
+    Lattices are grouped in memory: a partition holds few segments (`segment_counts`).
+    """
+    spark, key = docs.sparkSession, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(1 << 20))
+    try:
+        return written(encode(segment_counts(docs, known), pieces, known, "n"))
+    finally:
+        spark.conf.set(key, before)
+
+
+def _finished(batch: pa.RecordBatch) -> pa.RecordBatch:
+    return batch.select(["doc_id", "ids", "n_segments"])
 
 
-def encoded(docs: DataFrame, words: DataFrame, known: dict) -> DataFrame:
-    """doc_id, ids, n_segments and blob (the text, compressed; null if null) of every document, from the ids of all segments."""
+def encoded(docs: DataFrame, words: DataFrame, known: dict, finish: Callable = _finished, kind: str = "doc_id bigint, ids array<int>, n_segments bigint") -> DataFrame:
+    """doc_id, ids and n_segments of every document, from the ids of all segments.
+
+    `finish` makes the result's rows of batches that have the text (compressed; null if null), too.
+    """
     spark, cuts = docs.sparkSession, known["cuts"]
     top = commonest(words, "segment", KNOWN).toArrow()
     flat = top.column("ids").combine_chunks()
@@ -272,10 +297,10 @@ def encoded(docs: DataFrame, words: DataFrame, known: dict) -> DataFrame:
             lengths = np.concatenate([sizes, ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)])
             out = _ragged(whole, lengths, at[codes]).astype(np.int32)
             ends = np.append(0, np.cumsum(lengths[at[codes]]))[np.append(0, np.cumsum(counts))]
-            yield pa.RecordBatch.from_arrays(
+            yield finish(pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out)), pa.array(counts, pa.int64()), batch.column("blob")],
                 names=["doc_id", "ids", "n_segments", "blob"],
-            )
+            ))
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
@@ -291,7 +316,7 @@ def encoded(docs: DataFrame, words: DataFrame, known: dict) -> DataFrame:
     met = texts.join(own, F.col("_key").eqNullSafe(F.col("_k")), "left")
     none = F.array().cast("array<struct<segment: string, ids: array<int>>>")
     whole = met.select(F.col("_key.doc_id").alias("doc_id"), "blob", F.coalesce("_own", none).alias("_own"))
-    return whole.mapInArrow(put, "doc_id bigint, ids array<int>, n_segments bigint, blob binary")
+    return whole.mapInArrow(put, kind)
 
 
 def decoded(ids: pa.ListArray, known: dict) -> list[bytes]:
@@ -321,19 +346,17 @@ def decode(coded: DataFrame, known: dict) -> DataFrame:
 def documents(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_segments, n_pieces, ids_digest and round_trip of every document, from its ids and what they decode to."""
     pieces, known = piece_table(docs.sparkSession, path)
-    whole = encoded(docs, segment_ids(columns(docs, "doc_id", "text"), pieces, known), known)
+    words = segment_ids(columns(docs, "doc_id", "text"), pieces, known)
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grow = zstandard.ZstdDecompressor()
-        for batch in batches:
-            ids = batch.column("ids")
-            n = ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            flat, ends = ids.flatten().to_numpy(zero_copy_only=False).astype("<i4"), np.append(0, np.cumsum(n)).tolist()
-            digests = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends, ends[1:], strict=False)]
-            same = [t == (grow.decompress(b) if b is not None else b"") for t, b in zip(decoded(ids, known), batch.column("blob").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_segments"), pa.array(n), pa.array(digests, pa.int64()), pa.array(same, pa.bool_())], names=["doc_id", "n_segments", "n_pieces", "ids_digest", "round_trip"])
-
-    return whole.mapInArrow(task, "doc_id bigint, n_segments bigint, n_pieces bigint, ids_digest bigint, round_trip boolean")
+    def told(batch: pa.RecordBatch) -> pa.RecordBatch:
+        grow, ids = zstandard.ZstdDecompressor(), batch.column("ids")
+        n = ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        flat, ends = ids.flatten().to_numpy(zero_copy_only=False).astype("<i4"), np.append(0, np.cumsum(n)).tolist()
+        digests = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends, ends[1:], strict=False)]
+        same = [t == (grow.decompress(b) if b is not None else b"") for t, b in zip(decoded(ids, known), batch.column("blob").to_pylist(), strict=True)]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_segments"), pa.array(n), pa.array(digests, pa.int64()), pa.array(same, pa.bool_())], names=["doc_id", "n_segments", "n_pieces", "ids_digest", "round_trip"])
+
+    return encoded(docs, words, known, told, "doc_id bigint, n_segments bigint, n_pieces bigint, ids_digest bigint, round_trip boolean")
 
 
 def op6_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
