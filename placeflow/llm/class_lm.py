@@ -31,10 +31,9 @@ extra columns are ignored.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
-from itertools import count
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -57,18 +56,29 @@ WIDTH = 2 * (CLASSES + 1) + 1
 
 
 def pool(word: bytes) -> int:
-    return zlib.crc32(word[-3:]) % POOLS
+    return int(pools(pa.array([word], pa.large_binary()))[0])
 
 
-class _Places(dict):
-    """Place of each listed word, and for others their count plus their pool."""
+def pools(words: pa.LargeBinaryArray) -> np.ndarray:
+    """The pool of each word, by its last three bytes."""
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    out = np.zeros(len(words), np.int64)
+    for back in (3, 2, 1):
+        at = ends[1:] - back
+        there = at >= ends[:-1]
+        out[there] = out[there] * 257 + data[at[there]] + 1
+    return out * 2_654_435_761 % 4_294_967_291 % POOLS
 
-    def __init__(self, words: list[bytes]):
-        super().__init__(zip(words, range(len(words)), strict=True))
-        self.listed = len(words)
 
-    def __missing__(self, word: bytes) -> int:
-        return self.listed + pool(word)
+def _places(words: pa.LargeBinaryArray, listed: dict[bytes, int]) -> np.ndarray:
+    """The place of each listed word, and for others their count plus their pool."""
+    at = np.fromiter(map(listed.get, words.to_pylist(), repeat(-1)), np.int64, len(words))
+    return np.where(at < 0, len(listed) + pools(words), at)
+
+
+def _listed(words: list[bytes]) -> dict[bytes, int]:
+    return dict(zip(words, range(len(words)), strict=True))
 
 
 class _Ids(dict):
@@ -108,7 +118,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 def _tokens(texts: list[bytes], places: dict, end: int) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
     """Places of all tokens in a row (each text's end included), tokens of each text, the distinct words and the code of each word in a row."""
     words, codes, counts, *_ = coded_words([t.lower() for t in texts])
-    at = np.fromiter(map(places.__getitem__, words.to_pylist()), np.int64, len(words))
+    at = _places(words, places)
     seq = np.full(len(codes) + len(texts), end, dtype=np.int64)
     seq[np.arange(len(codes)) + np.repeat(np.arange(len(texts)), counts)] = at[codes]
     return seq, counts + 1, words, codes
@@ -119,7 +129,7 @@ def pair_counts(docs: DataFrame, words: list[bytes]) -> np.ndarray:
     size = len(words) + POOLS + 1
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = _Places(words)
+        places = _listed(words)
         total = np.zeros(size * size, dtype=np.int32)
         for batch in chunks(batches, limit=4_000_000):
             seq, *_ = _tokens([t or b"" for t in raw(batch.column("text"))], places, size - 1)
@@ -247,10 +257,11 @@ def rarer_words(docs: DataFrame, words: list[bytes], own: np.ndarray, g: np.ndar
     end = len(own) - 1
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places, ids, keys = _Places(words), _Ids(), []
+        places, ids, keys = _listed(words), _Ids(), []
 
         def out() -> pa.RecordBatch:
             key, n = np.unique(np.concatenate(keys), return_counts=True)
+            key = key.astype(np.int64)
             ends = np.searchsorted(key, np.arange(len(ids) + 1) * WIDTH) * 4
             rows = pa.RecordBatch.from_arrays([pa.array(list(ids), pa.binary()).cast(pa.string()), _blobs(ends, (n << 8 | key % WIDTH).astype("<u4"))], names=["word", "near"])
             ids.clear(), keys.clear()
@@ -268,8 +279,8 @@ def rarer_words(docs: DataFrame, words: list[bytes], own: np.ndarray, g: np.ndar
             cls = own[seq]
             twice = (at[1:] == at[:-1] + 1) & (num[1:] == num[:-1])
             before = np.concatenate([[CLASSES], cls[:-1]])[at]
-            keys += [num * WIDTH + cls[at + 1], num * WIDTH + CLASSES + 1 + before, num[1:][twice] * WIDTH + WIDTH - 1]
-            if len(ids) > HELD or sum(map(len, keys)) > HELD_PAIRS:
+            keys += [x.astype(np.uint32) for x in (num * WIDTH + cls[at + 1], num * WIDTH + CLASSES + 1 + before, num[1:][twice] * WIDTH + WIDTH - 1)]
+            if len(ids) > HELD or sum(map(len, keys)) > HELD_PAIRS:  # so few words that their numbers times WIDTH take 32 bits
                 yield out()
         if ids:
             yield out()
@@ -284,8 +295,8 @@ def rarer_words(docs: DataFrame, words: list[bytes], own: np.ndarray, g: np.ndar
             of = np.repeat(np.cumsum(new) - 1, [len(x) // 4 for x in near])
             full = np.bincount(of * WIDTH + (packed & 255), weights=packed >> 8, minlength=len(names) * WIDTH).reshape(len(names), WIDTH)
             after, before, same = full[:, : CLASSES + 1], full[:, CLASSES + 1 : -1], full[:, -1]
-            pools = np.array([own[len(words) + pool(w)] for w in names])
-            best = [choose(pools[i : i + 1000], after[i : i + 1000], before[i : i + 1000], same[i : i + 1000]) for i in range(0, len(names), 1000)]
+            homes = own[len(words) + pools(pa.array(names, pa.large_binary()))]
+            best = [choose(homes[i : i + 1000], after[i : i + 1000], before[i : i + 1000], same[i : i + 1000]) for i in range(0, len(names), 1000)]
             return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()).cast(pa.string()), pa.array(after.sum(axis=1).astype(np.int64)), pa.array(np.concatenate(best), pa.int32())], names=["word", "n", "class"])
 
         names, near = [], []
@@ -354,7 +365,7 @@ def sequences(docs: DataFrame, model: Model, classed: DataFrame) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
-        places = _Places(m.words)
+        places = _listed(m.words)
         listed = len(m.words)
         logs = np.concatenate([m.log_counts, np.zeros(POOLS), [end_log]])
         for batch in chunks(batches, limit=4_000_000):
