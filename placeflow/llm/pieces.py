@@ -111,7 +111,7 @@ def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
 
 def segment_counts(docs: DataFrame, known: dict) -> DataFrame:
     """segment and n over all texts, in small partitions by segment (each segment will have a lattice)."""
-    parts, cuts = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), known["cuts"]
+    parts, cuts = 16 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), known["cuts"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met, held = [], 0
@@ -310,8 +310,8 @@ def encoded(docs: DataFrame, words: DataFrame, known: dict, finish: Callable = _
 
     keyed = _keyed(docs)
     key = "_key struct<doc_id: bigint, h: bigint>"
-    lone = keyed.select("_key", "text").mapInArrow(rare, f"{key}, segment string").distinct().join(words.select("segment", "ids"), "segment")
-    own = lone.groupBy("_key").agg(F.collect_list(F.struct("segment", "ids")).alias("_own")).withColumnRenamed("_key", "_k")  # distinct segments of one text
+    lone = keyed.select("_key", "text").mapInArrow(rare, f"{key}, segment string").join(words.select("segment", "ids"), "segment")
+    own = written(lone.groupBy("_key").agg(F.collect_set(F.struct("segment", "ids")).alias("_own")).withColumnRenamed("_key", "_k"))  # distinct segments of one text
     texts = keyed.select("_key", "text").mapInArrow(squeeze, f"{key}, blob binary")
     met = texts.join(own, F.col("_key").eqNullSafe(F.col("_k")), "left")
     none = F.array().cast("array<struct<segment: string, ids: array<int>>>")
