@@ -1,8 +1,9 @@
-"""Command line: python -m placeflow.cli COMMAND ... (publish, enrich, reviews, merge, progress, sample)."""
+"""Command line: python -m placeflow.cli COMMAND ... (publish, enrich, reviews, merge, merge-state, merge-tree, progress, sample)."""
 
 from __future__ import annotations
 
 import argparse
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,11 +30,13 @@ def parser() -> argparse.ArgumentParser:
         return c
 
     command("publish", "--data-dir", "--output", title="Places")
-    command("enrich", "--places", "--pages", "--state", partition=0, total=1)
+    command("enrich", "--places", "--pages", "--state", partition=0, total=1, export="")
+    command("merge-state", "--files", "--output", kind="enrichment")
+    command("merge-tree", "--data-dir", "--output")
     command("reviews", "--places", "--pages", "--state", "--output", partition_x=1, partition_y=1)
     command("merge", "--data-dir", "--output", partitions=1, stem="reviews_p", suffix=".parquet")
-    command("progress", "--summaries", total=1)
-    command("sample", "--places", num=5, seed=42)
+    command("progress", "--summaries", total=1, output="")
+    command("sample", "--places", num=5, seed=42, pages="", output="")
     return p
 
 
@@ -42,7 +45,7 @@ def places(spark, path: str) -> DataFrame:
     return files.required(files.first_readable(spark, [("csv" if path.endswith(".csv") else "parquet", path)]), "place_id", "name")
 
 
-def main(argv: list[str] | None = None, spark=None) -> DataFrame | dict | None:
+def main(argv: list[str] | None = None, spark=None) -> DataFrame | dict | list | None:
     a = parser().parse_args(argv)
     spark = spark or session.build()
     if a.command == "publish":
@@ -53,7 +56,16 @@ def main(argv: list[str] | None = None, spark=None) -> DataFrame | dict | None:
         log = state.Log(spark, a.state, ENRICHMENT, error="enrichment_error")
         out = pipelines.enrich(places(spark, a.places), spark.read.parquet(a.pages), log, a.partition, a.total)
         stats.checkpoint_stats(out).show()
+        if a.export:
+            name = files.part_names("enrichment_progress_partition_", a.total, ".json", 3)
+            sinks.json_map(out, f"{a.export}/{name[0].replace('001_of', f'{a.partition:03d}_of')}")
         return out
+    if a.command == "merge-state":
+        out = pipelines.merge_checkpoint_files(spark, a.files, a.output, a.kind)
+        (stats.checkpoint_stats if a.kind == "enrichment" else stats.review_stats)(out).show()
+        return out
+    if a.command == "merge-tree":
+        return pipelines.merge_tree(spark, a.data_dir, a.output, f"{datetime.now():%Y%m%d_%H%M%S}")
     if a.command == "reviews":
         log = state.Log(spark, a.state, BUNDLE, error="scrape_error")
         out = pipelines.reviews(places(spark, a.places), spark.read.parquet(a.pages), log, a.partition_x, a.partition_y)
@@ -68,9 +80,15 @@ def main(argv: list[str] | None = None, spark=None) -> DataFrame | dict | None:
         return out
     if a.command == "progress":
         out = stats.progress(spark.read.schema(SUMMARY).json(a.summaries), a.total)
+        if a.output:
+            sinks.progress_document(out, a.output)
         out.show(truncate=False)
         return out
     rows = places(spark, a.places)
+    if a.pages and a.output:
+        out = pipelines.sample_run(rows, spark.read.parquet(a.pages), a.output, a.num, a.seed)
+        out.show(truncate=False)
+        return out
     has = F.coalesce(F.col("reviews").isNotNull() & (F.col("reviews") != ""), F.lit(False)) if "reviews" in rows.columns else F.lit(False)
     out = sampling.stratified(rows, a.num, has, "place_id", seed=a.seed)
     out.show(truncate=False)

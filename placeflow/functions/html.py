@@ -8,6 +8,7 @@ The readers run once for each page in Arrow batches, after all filters.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from html import escape
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -15,7 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from placeflow.schemas import NOT_FOUND, PARSED, REVIEW
+from placeflow.schemas import ENRICHMENT, ERRORS, NOT_FOUND, PARSED, REVIEW
 
 #: Elements without content (HTML standard).
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -25,7 +26,9 @@ SECTION, HEADING, ITEM_LIST, ITEM = "DAQTB", "fr6Pj", "xrrcZ", "zxtJF"
 COPYRIGHT, MORE, MORE_LINK = "w8afO", "x4zu8", "place_bluelink"
 REVIEW_LIST, REVIEW_ITEM = "_review_list", "place_apply_pui"
 TITLES = ["진료과목별 전문의 정보", "진료과목", "특수진료장비", "우수기관 평가정보", "의료인 수", "주차"]
-MEDICAL_TITLE = "진료정보"
+MEDICAL_TITLE, REVIEW_TAB = "진료정보", "리뷰"
+PAGE_SECTION, PAGE_HEADER, PAGE_TITLE, PAGE_CONTENT = "place_section", "place_section_header", "place_section_header_title", "place_section_content"
+PAGING = "zRM9F"
 VISIT_DATE, VISIT_COUNT, VERIFIED = "방문일", "번째 방문", "인증"
 
 
@@ -68,6 +71,43 @@ class Node:
         """Stripped text pieces, joined."""
         return sep.join(s for s in (x.strip() for x in self.strings()) if s)
 
+    def shown(self, tag: str) -> Iterator[Node]:
+        """Descendants of one tag that aren't hidden, nor in a hidden element."""
+        for c in self.children:
+            if isinstance(c, Node) and not c.hidden():
+                if c.tag == tag:
+                    yield c
+                yield from c.shown(tag)
+
+    def hidden(self) -> bool:
+        style = "".join((self.attrs.get("style") or "").split()).lower()
+        return "hidden" in self.attrs or "display:none" in style or "visibility:hidden" in style
+
+    def inner(self) -> str:
+        """The children as HTML."""
+        out, todo = [], list(reversed(self.children))
+        raw = self.tag in ("script", "style")
+        while todo:
+            c = todo.pop()
+            if isinstance(c, tuple):  # an end tag that was put off
+                out.append(c[0])
+            elif isinstance(c, str):
+                out.append(c if raw else escape(c, quote=False))
+            else:
+                out.append(c.begin())
+                if c.tag in ("script", "style"):
+                    out.append("".join(x for x in c.children if isinstance(x, str)) + f"</{c.tag}>")
+                elif c.tag not in VOID:
+                    todo.append((f"</{c.tag}>",))
+                    todo.extend(reversed(c.children))
+        return "".join(out)
+
+    def begin(self) -> str:
+        return f"<{self.tag}{''.join(f' {k}="{escape(v or "")}"' for k, v in self.attrs.items())}>"
+
+    def outer(self) -> str:
+        return self.begin() + ("" if self.tag in VOID else f"{self.inner()}</{self.tag}>")
+
 
 class _Builder(HTMLParser):
     def __init__(self) -> None:
@@ -153,15 +193,49 @@ def medical_info(html: str) -> dict:
     return out
 
 
-def medical_section(html: str) -> str | None:
-    """Text of the content of the first page section whose title names medical information; null without one."""
-    for section in parse(html).all("div", "place_section"):
-        head = section.find("h2", "place_section_header")
-        title = head.find("div", "place_section_header_title") if head else None
-        content = section.find("div", "place_section_content")
+def medical_section(html: str) -> tuple[str | None, bool]:
+    """HTML inside the content of the first page section whose title names medical information (null without one), and whether a header names it at all."""
+    root = parse(html)
+    for section in root.all("div", PAGE_SECTION):
+        head = section.find("h2", PAGE_HEADER)
+        title = head.find("div", PAGE_TITLE) if head else None
+        content = section.find("div", PAGE_CONTENT)
         if title is not None and content is not None and MEDICAL_TITLE in title.text():
-            return content.text("\n")
-    return None
+            return content.inner() or None, True
+    heads = (h for section in root.all("div", PAGE_SECTION) for h in section.all("h2", PAGE_HEADER))
+    return None, any(MEDICAL_TITLE in d.text() for h in heads for d in h.all("div"))
+
+
+def enrichment(html: str) -> dict:
+    """What a page tells of medical information: flag, section HTML, parsed fields and whether there are any, or the text of the failure."""
+    out = {"has_medical_info": False, "medical_info_raw": None, "medical_info_parsed": None, "parsing_success": False, "enrichment_error": None}
+    if not html.strip():
+        return out | {"enrichment_error": ERRORS["timeout"]}
+    raw, named = medical_section(html)
+    if raw is None:
+        return out | {"enrichment_error": ERRORS["html" if named else "section"]}
+    parsed = medical_info(raw)
+    return out | {"has_medical_info": True, "medical_info_raw": raw, "medical_info_parsed": parsed or None, "parsing_success": bool(parsed)}
+
+
+def review_page(html: str) -> dict:
+    """What a page tells of reviews: the list's HTML and its reviews, or the text of the failure."""
+    out = {"reviews": [], "review_html": None, "scrape_error": None}
+    if not html.strip():
+        return out | {"scrape_error": ERRORS["timeout"]}
+    root = parse(html)
+    found = root.find(id=REVIEW_LIST)
+    if found is None:
+        tab = any(REVIEW_TAB in a.text() for a in root.all("a", role="tab"))
+        return out | {"scrape_error": ERRORS["list" if tab else "tab"]}
+    whole = found.outer()
+    return out | {"reviews": reviews(whole), "review_html": whole}
+
+
+def more_pages(html: str) -> bool:
+    """False if the last paging button of a search page is disabled."""
+    buttons = [a for box in parse(html).all("div", PAGING) for a in box.all("a", target="_self")]
+    return not buttons or buttons[-1].attrs.get("aria-disabled") != "true"
 
 
 def review(item: Node) -> dict:
@@ -248,8 +322,10 @@ def search_items(html: str) -> list[dict]:
 
 
 def clickable(li: Node) -> str | None:
-    """href of the main link: by the two known classes, then any link with an address."""
-    link = li.find("a", "tzwk0") or li.find("a", "place_bluelink") or next((a for a in li.all("a") if a.attrs.get("href")), None)
+    """href of the main link among those that are displayed: by the two known classes, then any link with an address."""
+    links = list(li.shown("a"))
+    by = lambda cls: (a for a in links if cls in (a.attrs.get("class") or "").split())
+    link = next((a for some in (by("tzwk0"), by("place_bluelink"), (a for a in links if a.attrs.get("href"))) for a in some), None)
     return link.attrs.get("href") if link else None
 
 
@@ -292,6 +368,20 @@ def read_medical_info(column: Column | str) -> Column:
     return _reader(lambda h: _shaped(medical_info(h), PARSED), PARSED, column)
 
 
+def read_enrichment(column: Column | str) -> Column:
+    kind = T.StructType([f for f in ENRICHMENT if f.name not in ("enriched_at", "verified_place_id")])
+    return _reader(lambda h: _shaped(enrichment(h), kind), kind, column)
+
+
+def read_review_page(column: Column | str) -> Column:
+    kind = T.StructType([T.StructField("reviews", T.ArrayType(REVIEW)), T.StructField("review_html", T.StringType()), T.StructField("scrape_error", T.StringType())])
+    return _reader(lambda h: _shaped(review_page(h), kind), kind, column)
+
+
+def read_more_pages(column: Column | str) -> Column:
+    return _reader(more_pages, T.BooleanType(), column)
+
+
 def read_reviews(column: Column | str) -> Column:
     kind = T.ArrayType(REVIEW)
     return _reader(lambda h: _shaped(reviews(h), kind), kind, column)

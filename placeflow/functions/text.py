@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from placeflow.schemas import NOT_FOUND
 
+# Fixed value: what an hours status says of an open place.
+OPEN = "진료 중"
+
 #: Characters that Python's str.strip() removes.
 _SPACE = r"[\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
@@ -75,6 +78,31 @@ def has_any(c: Column | str, words: list[str]) -> Column:
     return F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(safe_str(c), w))
 
 
+def first_of(*ways: Column | str) -> Column:
+    """The first of several ways that gives a value (an empty text is none)."""
+    return F.coalesce(*[F.nullif(col(w), F.lit("")) for w in ways])
+
+
+def in_district(address: Column | str, district: str) -> Column:
+    """Whether an address names a district; null doesn't."""
+    return F.coalesce(F.contains(col(address), F.lit(district)), F.lit(False))
+
+
+def filled(c: Column | str) -> Column:
+    """Whether there is a value: neither null, nor empty, nor the not-found text."""
+    return F.coalesce((col(c) != "") & (col(c) != NOT_FOUND), F.lit(False))
+
+
+def open_now(status: Column | str) -> Column:
+    """Whether an hours status says that a place is open."""
+    return F.coalesce(F.contains(col(status), F.lit(OPEN)), F.lit(False))
+
+
+def accessible(flag: Column | str) -> Column:
+    """Whether the wheelchair flag is set; null isn't."""
+    return F.coalesce(col(flag), F.lit(False))
+
+
 def has_pattern(c: Column | str, pattern: str) -> Column:
     """Regular expression search; null is false."""
     return F.coalesce(F.rlike(col(c), F.lit(pattern)), F.lit(False))

@@ -28,9 +28,13 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def last_writer(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The last row of each key. One partial aggregate per key, so a hot key is combined before the shuffle."""
+    """The last row of each key. One partial aggregate per key, so a hot key is combined before the shuffle.
+
+    Rows of equal order are told apart by a hash of their values, so every run picks the same one.
+    """
     rest = [c for c in df.columns if c not in keys]
-    last = F.max_by(F.struct(*rest), F.struct(*order))
+    tie = F.xxhash64(*[F.map_entries(c) if df.schema[c].dataType.typeName() == "map" else F.col(c) for c in rest])
+    last = F.max_by(F.struct(*rest), F.struct(*order, tie))
     return df.groupBy(*keys).agg(last.alias("_r")).select(*keys, "_r.*")
 
 

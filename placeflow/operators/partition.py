@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def row_index(df: DataFrame, order: list[str], name: str = "row_index") -> DataFrame:
-    """Gapless numbers from 0 in the given order.
-
-    Rows are range-partitioned and sorted; each range's count (one row for each
-    partition) gives the next one's offset. No task sees all rows. The ranged
-    rows are kept in the checkpoint folder where there is one, so that a second
-    pass can't cut other ranges.
+    """Gapless numbers from 0 in the given order; rows of equal order by a hash of all their values.
+
+    So two runs number the same table alike, and a key that many rows share is
+    split over ranges (only rows equal in every column stay together, and they
+    can change places). Rows are range-partitioned and sorted; each range's
+    count (one row for each partition) gives the next one's offset. No task sees
+    all rows. The ranged rows are kept in the checkpoint folder, so that a
+    second pass or a lost executor can't cut other ranges.
     """
     spark = df.sparkSession
+    shared_folder(spark)
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
-    placed = placed.checkpoint() if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined() or _folder(spark) else placed.persist()
+    tie = F.xxhash64(*[F.map_entries(f.name) if f.dataType.typeName() == "map" else F.col(f"`{f.name}`") for f in df.schema])
+    cut = df.withColumn("_tie", tie).repartitionByRange(parts, *order, "_tie").sortWithinPartitions(*order, "_tie")
+    placed = cut.drop("_tie").withColumn("_id", F.monotonically_increasing_id()).checkpoint()
     counts = placed.groupBy(F.shiftright("_id", 33).alias("p")).count().collect()
     start, cells = 0, []
     for p, n in sorted(map(tuple, counts)):
@@ -28,11 +35,16 @@ def row_index(df: DataFrame, order: list[str], name: str = "row_index") -> DataF
     return placed.withColumn(name, (before + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).cast(T.LongType())).drop("_id")
 
 
-def _folder(spark) -> bool:
+def shared_folder(spark) -> None:
+    """Sets the checkpoint folder to the one that the cluster names; only a local session without one gets a temporary folder."""
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        return
     where = spark.conf.get("spark.checkpoint.dir", None)
-    if where:
-        spark.sparkContext.setCheckpointDir(where)
-    return bool(where)
+    if where is None:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir names no folder that the cluster shares")
+        where = tempfile.mkdtemp(prefix="placeflow-")
+    spark.sparkContext.setCheckpointDir(where)
 
 
 def check(x: int, y: int) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 
@@ -13,18 +14,21 @@ from placeflow.operators.dedup import last_writer
 from placeflow.operators.joins import pending
 from placeflow.sources.files import exists
 
-# Texts of failures, which are data.
-ERRORS = ["Could not navigate to place", "Page load timeout", "Medical info section not found", "Could not extract HTML", "Could not click review tab", "Could not extract review HTML"]
-
-
 class Log:
-    """Records under one folder; each append is a new batch, numbered by `seq`."""
+    """Records under one folder; each append is a new batch.
+
+    Batches are ordered by `seq`, a clock in microseconds that never goes back
+    behind the log's last batch, then by name. `compact` swaps folders by
+    renaming them; what a crash between two steps leaves is mended by whoever
+    reads the log next.
+    """
 
     def __init__(self, spark: SparkSession, path: str, record: T.StructType, key: str = "place_id", error: str | None = None):
         self.spark, self.path, self.key, self.error = spark, path, key, error
         self.schema = T.StructType([T.StructField(key, T.StringType()), *[f for f in record if f.name != key], T.StructField("seq", T.LongType()), T.StructField("batch", T.StringType())])
 
     def all(self) -> DataFrame:
+        self._mend()
         if not exists(self.spark, self.path):
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self.path)
@@ -34,10 +38,10 @@ class Log:
         return last_writer(self.all(), [self.key], ["seq", "batch"]).drop("seq", "batch")
 
     def append(self, records: DataFrame) -> None:
-        last = self.all().agg(F.max("seq")).first()[0]
+        last = max(time.time_ns() // 1000, (self.all().agg(F.max("seq")).first()[0] or 0) + 1)
         cols = [f.name for f in self.schema if f.name not in ("seq", "batch")]
         have = records.select(*[(F.col(c) if c in records.columns else F.lit(None)).cast(self.schema[c].dataType).alias(c) for c in cols])
-        have.withColumns({"seq": F.lit((last or 0) + 1).cast("bigint"), "batch": F.lit(uuid.uuid4().hex)}).write.mode("append").parquet(self.path)
+        have.withColumns({"seq": F.lit(last).cast("bigint"), "batch": F.lit(uuid.uuid4().hex)}).write.mode("append").parquet(self.path)
 
     def pending(self, items: DataFrame, retry_errors: bool = False) -> DataFrame:
         """items without a record; with retry_errors, a record that is an error doesn't count."""
@@ -47,14 +51,36 @@ class Log:
         return pending(items, done, self.key)
 
     def compact(self) -> None:
-        """Rewrites the log beside it as one batch, then swaps the folders."""
-        fresh = f"{self.path}.{uuid.uuid4().hex}"
-        self.current().withColumns({"seq": F.lit(1).cast("bigint"), "batch": F.lit("compact")}).write.parquet(fresh)
-        jvm = self.spark.sparkContext._jvm
-        old, new = jvm.org.apache.hadoop.fs.Path(self.path), jvm.org.apache.hadoop.fs.Path(fresh)
-        fs = old.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        fs.delete(old, True)
-        fs.rename(new, old)
+        """Rewrites the log beside it as one batch, then swaps the folders; the old one goes last."""
+        fresh, old = f"{self.path}.new", f"{self.path}.old"
+        self._mend()
+        newest = self.all().agg(F.max("seq")).first()[0]
+        if newest is None:
+            return
+        self.current().withColumns({"seq": F.lit(newest).cast("bigint"), "batch": F.lit("compact")}).write.mode("overwrite").parquet(fresh)
+        self._rename(self.path, old)
+        self._rename(fresh, self.path)
+        self._delete(old)
+
+    def _mend(self) -> None:
+        """Ends a swap that was cut off: without the log, the new folder is whole, since only a whole one is swapped in."""
+        if exists(self.spark, f"{self.path}.old"):
+            if not exists(self.spark, self.path):
+                self._rename(f"{self.path}.new", self.path)
+            self._delete(f"{self.path}.old")
+
+    def _fs(self, path: str):
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return where, where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _rename(self, path: str, to: str) -> None:
+        (a, fs), (b, _) = self._fs(path), self._fs(to)
+        if not fs.rename(a, b):
+            raise OSError(f"can't rename {path} to {to}")
+
+    def _delete(self, path: str) -> None:
+        where, fs = self._fs(path)
+        fs.delete(where, True)
 
 
 def run(items: DataFrame, log: Log, work: Callable[[DataFrame], DataFrame], retry_errors: bool = False) -> DataFrame:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeflow.functions import html, text
-from placeflow.operators import dedup, flatten, joins, partition, state, stats
-from placeflow.schemas import BUNDLE, ENRICHMENT, FACILITY, FLAT_REVIEW, NOT_FOUND, PATH_KEYS
+from placeflow.operators import dedup, flatten, joins, partition, sampling, state, stats
+from placeflow.schemas import BUNDLE, ENRICHMENT, ERRORS, FACILITY, FLAT_REVIEW, NOT_FOUND, PATH_KEYS
 from placeflow.sinks import files as sinks
 from placeflow.sources import files, pages
 
@@ -37,17 +37,16 @@ def publish(spark: SparkSession, root: str, out: str, title: str = "Places", **o
 
 
 def medical_records(keys: DataFrame, captured: DataFrame, now: str | None = None) -> DataFrame:
-    """Enrichment records for keys (place_id, ...): parsed sections, or the text of the failure."""
-    found = pages.lookup(keys, captured).withColumn("_r", html.read_medical_info("html"))
-    parsed = F.col("_r.value")
-    some = F.greatest(*[F.col(f"_r.value.{f.name}").isNotNull().cast("int") for f in ENRICHMENT["medical_info_parsed"].dataType]) == 1
+    """Enrichment records for keys (place_id, ...): the section's HTML and its parsed fields, or the text of the failure."""
+    found = pages.lookup(keys, captured).withColumn("_r", html.read_enrichment("html"))
+    flag = lambda n: F.coalesce(F.col(f"_r.value.{n}"), F.lit(False)).alias(n)
     return found.select(
         "place_id",
-        F.col("html").isNotNull().alias("has_medical_info"),
-        F.col("html").alias("medical_info_raw"),
-        parsed.alias("medical_info_parsed"),
-        F.coalesce(some, F.lit(False)).alias("parsing_success"),
-        F.when(F.col("html").isNull(), F.lit(state.ERRORS[0])).otherwise(F.col("_r.error")).alias("enrichment_error"),
+        flag("has_medical_info"),
+        "_r.value.medical_info_raw",
+        "_r.value.medical_info_parsed",
+        flag("parsing_success"),
+        F.when(F.col("html").isNull(), F.lit(ERRORS["page"])).otherwise(F.coalesce("_r.error", "_r.value.enrichment_error")).alias("enrichment_error"),
         (text.stamp() if now is None else F.lit(now)).alias("enriched_at"),
         F.when(F.col("html").isNotNull(), F.col("place_id")).alias("verified_place_id"),
     )
@@ -67,17 +66,18 @@ def enriched(places: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def bundles(keys: DataFrame, captured: DataFrame, now: str | None = None) -> DataFrame:
-    """Review bundles for keys (place_id, ...)."""
-    found = pages.lookup(keys, captured).withColumn("_r", html.read_reviews("html"))
+    """Review bundles for keys (place_id, ...): the list's HTML and its reviews, or the text of the failure."""
+    found = pages.lookup(keys, captured).withColumn("_r", html.read_review_page("html"))
     at = text.stamp() if now is None else F.lit(now)
-    there = F.transform("_r.value", lambda r: r.withField("scraped_at", at))
+    some = F.col("_r.value.reviews")
+    there = F.coalesce(F.transform(some, lambda r: r.withField("scraped_at", at)), F.array().cast(BUNDLE["reviews"].dataType))
     return found.select(
         "place_id",
-        F.coalesce(F.size("_r.value") > 0, F.lit(False)).alias("has_reviews"),
-        F.coalesce(F.size("_r.value"), F.lit(0)).alias("review_count"),
+        F.coalesce(F.size(some) > 0, F.lit(False)).alias("has_reviews"),
+        F.coalesce(F.size(some), F.lit(0)).alias("review_count"),
         there.alias("reviews"),
-        F.col("html").alias("review_html"),
-        F.when(F.col("html").isNull(), F.lit(state.ERRORS[0])).otherwise(F.col("_r.error")).alias("scrape_error"),
+        "_r.value.review_html",
+        F.when(F.col("html").isNull(), F.lit(ERRORS["page"])).otherwise(F.coalesce("_r.error", "_r.value.scrape_error")).alias("scrape_error"),
         at.alias("scraped_at"),
     )
 
@@ -91,12 +91,45 @@ def reviews(places: DataFrame, captured: DataFrame, log: state.Log, part: int =
 
 
 def merge_reviews(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Parts as one table: the first row of each place and review number, in the order of parts."""
+    """Parts as one table: the first row of each place and review number, in the order of parts and of rows in them."""
     parts = files.parquet_parts(spark, paths, FLAT_REVIEW)
-    return dedup.keep_first(parts, ["place_id", "review_index"], ["part_no", "row_no"]).drop("part_no", "row_no")
+    place = ["part_no", "file_name", "row_no"]
+    return dedup.keep_first(parts, ["place_id", "review_index"], place).drop(*place)
 
 
 def merge_checkpoints(spark: SparkSession, paths: list[str] | str, kind: str = "reviews") -> DataFrame:
     """Workers' checkpoint files as one state; the last part wins."""
     parts = files.checkpoint_map(spark, paths, BUNDLE if kind == "reviews" else ENRICHMENT)
     return state.merged(state.one_run(parts)).drop("file_name", "part")
+
+
+def merge_checkpoint_files(spark: SparkSession, paths: list[str] | str, out: str, kind: str = "reviews") -> DataFrame:
+    """Workers' checkpoint files as one JSON map at out; returns the merged state."""
+    whole = merge_checkpoints(spark, paths, kind)
+    sinks.json_map(whole, out)
+    return whole
+
+
+def merge_tree(spark: SparkSession, root: str, out: str, stamp: str) -> list[str]:
+    """All rows of a JSON tree as one JSON array and one CSV, named by the stamp; columns in the order of the schema, then of the path."""
+    rows = files.json_tree(spark, root).orderBy("file_path", "pos").drop("file_path", "pos")
+    if rows.isEmpty():
+        return []
+    base = f"{out.rstrip('/')}/_merged_all_{stamp}"
+    return [sinks.json_array(rows, f"{base}.json"), sinks.csv_with_mark(rows, f"{base}.csv", sort_columns=False)]
+
+
+def sample_run(places: DataFrame, captured: DataFrame, out: str, count: int = 5, seed: int = 42, now: str | None = None) -> DataFrame:
+    """A small mixed sample of places through the review readers: a JSON file for each place, and a summary as CSV.
+
+    Each place's file holds its bundle without the list's HTML; the summary has a row for each place.
+    """
+    has = F.coalesce(F.col("reviews").isNotNull() & (F.col("reviews") != ""), F.lit(False)) if "reviews" in places.columns else F.lit(False)
+    chosen = sampling.stratified(files.required(places, "place_id", "name"), count, has, "place_id", seed=seed)
+    found = bundles(chosen.select(text.clean_id("place_id").alias("place_id")).distinct(), captured, now)
+    named = joins.first_match(found, places.select(text.clean_id("place_id").alias("place_id"), "name"), "place_id", "name", ["name"]).checkpoint()
+    for row in named.drop("review_html").collect():  # `count` rows
+        sinks.write_text(places.sparkSession, f"{out}/{row['place_id']}.json", [sinks.pretty(row.asDict(True))])
+    summary = named.select("place_id", "name", "has_reviews", "review_count", "scrape_error")
+    sinks.csv_with_mark(summary, f"{out}/summary.csv", sort_columns=False)
+    return summary

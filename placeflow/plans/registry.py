@@ -6,13 +6,18 @@ the SQL does the same.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeflow.functions import html, text
-from placeflow.operators import dedup, joins, partition, sampling, stats
+from placeflow.operators import dedup, flatten, joins, partition, sampling, state, stats
+from placeflow.plans import pipelines
+from placeflow.schemas import ENRICHMENT, ERRORS
+from placeflow.sinks import files as sinks
+from placeflow.sources import files, pages
 from placeflow.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -496,6 +501,149 @@ def time_stamps(spark, d):
     return read(spark, d, "events").select("event_id", text.stamp(F.col("ts"), "yyyyMMdd_HHmmss").alias("stamp"), text.stamp(F.col("ts"), "yyyy-MM-dd").alias("day"))
 
 
+# page readers, on pages written around the tables' keys
+
+
+def _tag(tag: str, cls: str, *inside) -> Column:
+    return F.concat(F.lit(f'<{tag} class="{cls}">'), *[F.lit(x) if isinstance(x, str) else x.cast("string") for x in inside], F.lit(f"</{tag}>"))
+
+
+def _section(*content) -> Column:
+    title = f'<h2 class="{html.PAGE_HEADER}"><div class="{html.PAGE_TITLE}">{html.MEDICAL_TITLE}</div></h2>'
+    return _tag("div", html.PAGE_SECTION, title, *content)
+
+
+@query(f"""SELECT CAST(page_id AS VARCHAR) AS place_id, page_id % 6 = 0 OR page_id % 6 = 4 AS has_medical_info, page_id % 6 = 0 AS parsing_success,
+  CASE page_id % 6 WHEN 0 THEN concat('<div class="DAQTB"><h3 class="fr6Pj">진료과목</h3><ul class="xrrcZ"><li class="zxtJF">d', page_id, '</li></ul></div>') WHEN 4 THEN concat('<p>', page_id, '</p>') END AS medical_info_raw,
+  CASE WHEN page_id % 6 = 0 THEN concat('d', page_id) END AS departments,
+  CASE page_id % 6 WHEN 1 THEN '{ERRORS["html"]}' WHEN 2 THEN '{ERRORS["section"]}' WHEN 3 THEN '{ERRORS["timeout"]}' WHEN 5 THEN '{ERRORS["page"]}' END AS enrichment_error,
+  CASE WHEN page_id % 6 <> 5 THEN CAST(page_id AS VARCHAR) END AS verified_place_id FROM pages""")
+def enrichment_outcomes(spark, d):
+    kind, key = F.col("page_id") % 6, F.col("page_id")
+    parts = _tag("div", html.SECTION, _tag("h3", html.HEADING, html.TITLES[1]), _tag("ul", html.ITEM_LIST, _tag("li", html.ITEM, "d", key)))
+    page = F.when(kind == 0, _section(_tag("div", html.PAGE_CONTENT, parts))).when(kind == 1, _section()).when(kind == 2, F.lit("<p>x</p>")).when(kind == 3, F.lit(" "))
+    page = page.when(kind == 4, _section(_tag("div", html.PAGE_CONTENT, F.concat(F.lit("<p>"), key.cast("string"), F.lit("</p>")))))
+    rows = read(spark, d, "pages", "page_id")
+    captured = rows.filter(kind != 5).select(F.concat(F.lit("http://x/place/"), key.cast("string")).alias("url"), page.alias("html"))
+    out = pipelines.medical_records(rows.select(key.cast("string").alias("place_id")), captured, "t")
+    return out.select("place_id", "has_medical_info", "parsing_success", "medical_info_raw", F.array_join("medical_info_parsed.medical_departments", ",").alias("departments"), "enrichment_error", "verified_place_id")
+
+
+@query("""WITH p AS (SELECT page_id, CAST(page_id % 4 AS INT) AS n FROM pages), r AS (SELECT page_id, n, CAST(unnest(CASE WHEN n = 0 THEN [NULL] ELSE range(1, n + 1) END) AS INT) AS i FROM p)
+  SELECT CAST(page_id AS VARCHAR) AS place_id, concat('f', page_id) AS facility_name, coalesce(i, 0) AS review_index, CASE WHEN i > 0 THEN concat('n', page_id) END AS reviewer_name, CASE WHEN i > 0 THEN 'text' END AS review_text,
+  CASE WHEN i > 0 THEN '["k", "l"]' END AS visit_keywords, CASE WHEN i > 0 THEN concat('["http://i/', page_id, '"]') END AS image_urls, CASE WHEN i > 0 THEN 1 ELSE 0 END AS image_count,
+  i IS NOT NULL AS has_owner_response, CASE WHEN i > 0 THEN 'thanks' END AS owner_response_text, CASE WHEN i > 0 THEN '7' END AS reaction_count, 't' AS scraped_at FROM r""")
+def review_rows(spark, d):
+    key = F.col("page_id")
+    photos = F.concat(F.lit('<div class="lazyload-wrapper"><img src="http://i/'), key.cast("string"), F.lit('"><img src="data:image/gif"></div>'))
+    answer = _tag("div", "pui__GbW8H7", _tag("div", "pui__J0tczd", '<span data-pui-click-code="text">thanks</span>'))
+    words = _tag("span", "pui__V8F9nN a", "k"), _tag("span", "pui__V8F9nN", "l"), _tag("span", "pui__V8F9nN", " ")
+    said = _tag("div", "pui__vn15t2", '<a data-pui-click-code="rvshowmore">text</a>')
+    item = _tag("li", f"{html.REVIEW_ITEM} x", _tag("span", "pui__NMi-Dp", "n", key), said, *words, photos, answer, _tag("div", "pui__l8k0-f", '<em class="pui__x-pa-u">7</em>'))
+    page = F.concat(F.lit(f'<ul id="{html.REVIEW_LIST}">'), F.repeat(item, (key % 4).cast("int")), F.lit("</ul>"))
+    rows = read(spark, d, "pages", "page_id")
+    captured = rows.select(F.concat(F.lit("http://x/place/"), key.cast("string")).alias("url"), page.alias("html"))
+    places = rows.select(key.cast("string").alias("place_id"), F.concat(F.lit("f"), key.cast("string")).alias("name"))
+    flat = flatten.flat_reviews(pipelines.bundles(places, captured, "t"), places).drop("visit_date", "visit_count", "verification_method")
+    return flat.withColumn("review_index", F.coalesce("review_index", F.lit(0)))
+
+
+@query("""SELECT concat('http://x/place/', p_partkey) AS url, p_name AS name, CASE WHEN p_partkey % 2 = 0 THEN concat('02-', p_partkey) ELSE 'N/A' END AS phone,
+  CASE WHEN p_partkey % 3 = 0 THEN concat('Mon: ', p_size, '; Tue: off') END AS business_hours, 'N/A' AS website, CAST(p_partkey AS VARCHAR) AS place_id FROM part""")
+def detail_fields(spark, d):
+    key = F.col("p_partkey")
+    row = lambda day, time: _tag("div", "w9QyJ", _tag("span", "i8cJw", day), _tag("div", "H3ua4", time))
+    phone = F.when(key % 2 == 0, _tag("span", "xlx7Q", "02-", key)).otherwise("")
+    page = F.concat(_tag("span", "GHAhO", F.col("p_name")), phone, F.when(key % 3 == 0, F.concat(row("Mon", F.col("p_size")), row("Tue", "off"))).otherwise(""))
+    found = pages.details(read(spark, d, "part", "p_partkey", "p_name", "p_size").select(F.concat(F.lit("http://x/place/"), key.cast("string")).alias("url"), page.alias("html")))
+    return found.select("url", "name", "phone", "business_hours", "website", "place_id")
+
+
+@query("""WITH n AS (SELECT r_name, n_name, row_number() OVER (PARTITION BY r_name ORDER BY n_name) AS i FROM nation JOIN region ON n_regionkey = r_regionkey),
+  p AS (SELECT r_name, n_name, CAST((i + 1) // 2 AS INT) AS page_number, i FROM n)
+  SELECT r_name AS search_location, page_number, n_name AS preview_name, CAST(i AS INT) AS position FROM p WHERE page_number <= 2""")
+def search_positions(spark, d):
+    # two names a page, the last one again at the head of the next; the second page's button is disabled
+    both = read(spark, d, "nation").join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    names = F.sort_array(F.collect_list("n_name"))
+    item = lambda n: _tag("li", "x", _tag("span", "TYaxT", n))
+    shown = both.groupBy("r_name").agg(names.alias("_n")).select("r_name", "_n", F.explode(F.sequence(F.lit(1), F.ceil(F.size("_n") / 2).cast("int"))).alias("page_number"))
+    start = 2 * F.col("page_number") - 1
+    mine = F.slice("_n", F.greatest(start - 1, F.lit(1)), F.when(F.col("page_number") == 1, 2).otherwise(3))
+    button = F.concat(F.lit(f'<div class="{html.PAGING}"><a target="_self" aria-disabled="'), (F.col("page_number") == 2).cast("string"), F.lit('"></a></div>'))
+    html_ = F.concat(F.array_join(F.transform(mine, item), ""), button)
+    hits = pages.search_hits(shown.select(F.lit("q").alias("search_query"), F.col("r_name").alias("search_location"), "page_number", html_.alias("html")))
+    return hits.select("search_location", "page_number", "preview_name", F.col("position").cast("int").alias("position"))
+
+
+# files that are written and read again
+
+
+def _folder(spark) -> str:
+    partition.shared_folder(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{uuid.uuid4().hex}"
+
+
+@query("""SELECT concat('n', s_nationkey) AS file_district, CASE WHEN s_suppkey % 3 = 0 THEN 'a b' ELSE 'c+d' END AS file_dong, 'k%' AS file_keyword, CAST(s_suppkey AS VARCHAR) AS place_id, concat(s_name, ', "x"') AS name, CAST(s_suppkey AS INT) AS position FROM supplier""")
+def json_tree_round_trip(spark, d):
+    key = F.col("s_suppkey")
+    rows = read(spark, d, "supplier").select(
+        F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("file_district"), F.when(key % 3 == 0, "a b").otherwise("c+d").alias("file_dong"), F.lit("k%").alias("file_keyword"),
+        key.cast("string").alias("place_id"), F.concat("s_name", F.lit(', "x"')).alias("name"), key.cast("int").alias("position"),
+    )
+    return files.json_tree(spark, sinks.tree(rows, _folder(spark))).select(*rows.columns)
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS place_id, CASE WHEN c_custkey % 2 = 0 THEN 'second' ELSE 'first' END AS enriched_at, c_custkey % 3 = 0 AS has_medical_info FROM customer""")
+def checkpoint_maps_merge(spark, d):
+    key, where = F.col("c_custkey"), _folder(spark)
+    rows = read(spark, d, "customer", "c_custkey")
+    one = lambda df, at: df.select(key.cast("string").alias("place_id"), (key % 3 == 0).alias("has_medical_info"), F.lit(at).alias("enriched_at"))
+    names = files.part_names(f"{where}/enrichment_progress_partition_", 2, ".json", 3)
+    sinks.json_map(one(rows, "first"), names[0])
+    sinks.json_map(one(rows.filter(key % 2 == 0), "second"), names[1])
+    return pipelines.merge_checkpoints(spark, names, "enrichment").select("place_id", "enriched_at", "has_medical_info")
+
+
+@query("""SELECT CAST(o_custkey AS VARCHAR) AS place_id, CAST(o_orderkey % 5 AS INT) AS review_index, CAST(min(o_orderkey) AS VARCHAR) AS review_text FROM orders GROUP BY 1, 2""")
+def review_parts_merge(spark, d):
+    where, key = _folder(spark), F.col("o_orderkey")
+    rows = read(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("place_id"), (key % 5).cast("int").alias("review_index"), key.cast("string").alias("review_text"), key)
+    half = rows.agg(F.percentile_approx("o_orderkey", 0.5)).first()[0]
+    names = files.part_names(f"{where}/reviews_p", 3, ".parquet")
+    for name, part in zip(names, (key <= half, key > half), strict=False):
+        sinks.parquet(rows.filter(part).repartitionByRange(3, "o_orderkey").sortWithinPartitions("o_orderkey").drop("o_orderkey"), name)
+    return pipelines.merge_reviews(spark, names).select("place_id", "review_index", "review_text")
+
+
+@query("""SELECT CAST(s_suppkey AS VARCHAR) AS place_id, CASE WHEN s_suppkey % 4 = 0 THEN 'c' WHEN s_suppkey % 2 = 0 THEN 'b' ELSE 'a' END AS enriched_at FROM supplier""")
+def state_log(spark, d):
+    key = F.col("s_suppkey")
+    rows, log = read(spark, d, "supplier", "s_suppkey"), state.Log(spark, _folder(spark), ENRICHMENT)
+    for at, every in (("a", 1), ("b", 2), ("c", 4)):
+        log.append(rows.filter(key % every == 0).select(key.cast("string").alias("place_id"), F.lit(at).alias("enriched_at")))
+        if at == "b":
+            log.compact()
+    return log.current().select("place_id", "enriched_at")
+
+
+@query("""SELECT c_name, CASE WHEN c_custkey % 2 = 0 THEN concat('a,"', c_custkey, chr(10), 'b') END AS note, CAST(c_custkey AS VARCHAR) AS c_custkey FROM customer""")
+def csv_round_trip(spark, d):
+    key = F.col("c_custkey")
+    rows = read(spark, d, "customer").select("c_name", F.when(key % 2 == 0, F.concat(F.lit('a,"'), key.cast("string"), F.lit("\nb"))).alias("note"), key.cast("string").alias("c_custkey"))
+    return files.csv_table(spark, sinks.csv_with_mark(rows, f"{_folder(spark)}/rows.csv", sort_columns=False)).select("c_name", "note", "c_custkey")
+
+
+@query("""SELECT s_suppkey, contains(s_name, '0001') AS here, s_suppkey % 2 = 0 AS phone, s_suppkey % 3 = 0 AS open, s_suppkey % 5 = 0 AS ramp, CASE WHEN s_suppkey % 2 = 0 THEN '02' ELSE s_name END AS reach FROM supplier""")
+def place_filters(spark, d):
+    key = F.col("s_suppkey")
+    phone = F.when(key % 2 == 0, "02").when(key % 3 == 0, "").when(key % 5 == 0, "N/A")
+    return read(spark, d, "supplier").select(
+        "s_suppkey", text.in_district("s_name", "0001").alias("here"), text.filled(phone).alias("phone"), text.open_now(F.when(key % 3 == 0, f"{text.OPEN} 18:00").when(key % 2 == 0, "-")).alias("open"),
+        text.accessible(F.when(key % 5 == 0, True)).alias("ramp"), text.first_of(F.when(key % 2 == 0, "02"), F.when(key % 2 == 1, ""), "s_name").alias("reach"),
+    )
+
+
 # beyond the batch flows
 
 

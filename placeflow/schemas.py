@@ -6,6 +6,16 @@ from pyspark.sql import types as T
 
 NOT_FOUND = "N/A"
 
+# Texts of failures, which are data.
+ERRORS = {
+    "page": "Could not navigate to place",
+    "timeout": "Page load timeout",
+    "section": "Medical info section not found",
+    "html": "Could not extract HTML",
+    "tab": "Could not click review tab",
+    "list": "Could not extract review HTML",
+}
+
 
 def _strings(*names: str) -> list[T.StructField]:
     return [T.StructField(n, T.StringType()) for n in names]

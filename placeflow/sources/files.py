@@ -24,28 +24,41 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
-def path_columns(df: DataFrame, path: str = "_path") -> DataFrame:
-    """file_district, file_dong and file_keyword from the last three parts of each row's file path."""
-    parts = F.split(F.url_decode(F.col(path)), "/")
+def path_columns(df: DataFrame, root: str, path: str = "_path") -> DataFrame:
+    """file_district, file_dong and file_keyword: the first two parts of each row's file path under root, and the file's name without its ending.
+
+    What isn't there is the empty text.
+    """
+    decoded = F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B")))
+    below = rf"\Q{root}\E/"
     return df.withColumns({
-        "file_district": F.element_at(parts, -3),
-        "file_dong": F.element_at(parts, -2),
-        "file_keyword": F.regexp_replace(F.element_at(parts, -1), r"\.[^.]*$", ""),
+        "file_district": F.regexp_extract(decoded, below + "([^/]+)", 1),
+        "file_dong": F.regexp_extract(decoded, below + "[^/]+/([^/]+)", 1),
+        "file_keyword": F.regexp_extract(decoded, r"([^/]*?)(\.[^./]*)?$", 1),
     })
 
 
+def bare_path(spark: SparkSession, path: str) -> str:
+    """A path without scheme, host and closing slash, absolute in its file system."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(where).toUri().getPath().rstrip("/")
+
+
 def json_tree(spark: SparkSession, root: str, schema: T.StructType = FACILITY) -> DataFrame:
-    """Rows of the JSON arrays under root/district/dong/keyword.json, with the path's columns, file_path and pos (the row's place in its file).
+    """Rows of the JSON arrays in all files under root, with the path's columns, file_path and pos (the row's place in its file).
 
-    Progress files, files of other depths, empty arrays and unreadable files give no rows.
+    Files lie at root/district/dong/keyword.json or deeper; district and dong
+    are the first two parts. Progress files, files in root itself, empty arrays
+    and unreadable files give no rows.
     """
-    text = spark.read.text(f"{root.rstrip('/')}/*/*/*.json", wholetext=True)
+    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(root, wholetext=True)
     files = text.select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("_name"), "value").filter(F.col("_name") != PROGRESS_FILE)
-    rows = files.select("_path", F.posexplode(F.from_json("value", T.ArrayType(schema))).alias("pos", "_row"))
+    placed = path_columns(files, bare_path(spark, root)).filter("file_dong <> ''")
+    keys = ["file_district", "file_dong", "file_keyword"]
+    rows = placed.select(F.col("_path").alias("file_path"), *keys, F.posexplode(F.from_json("value", T.ArrayType(schema))).alias("pos", "_row"))
     # an unreadable file parses to one row of nulls
-    some = F.greatest(*[F.col(f"_row.{f.name}").isNotNull().cast("int") for f in schema])
-    out = path_columns(rows.filter(some == 1)).withColumnRenamed("_path", "file_path")
-    return out.select("_row.*", "file_district", "file_dong", "file_keyword", "file_path", "pos")
+    return rows.filter(F.to_json("_row") != "{}").select("_row.*", *keys, "file_path", "pos")
 
 
 def file_report(spark: SparkSession, root: str) -> DataFrame:
@@ -76,14 +89,15 @@ def part_names(stem: str, total: int, suffix: str, width: int = 0) -> list[str]:
 
 
 def parquet_parts(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
-    """The parts that exist, by the declared schema, with part_no (from 1) and row_no in the part; no rows without any."""
+    """The parts that exist, by the declared schema, with part_no (from 1), and file_name and row_no (in the file) in the part; no rows without any."""
     found = [(i, p) for i, p in enumerate(paths, 1) if exists(spark, p)]
-    whole = T.StructType([*schema.fields, T.StructField("part_no", T.IntegerType()), T.StructField("row_no", T.LongType())])
+    whole = T.StructType([*schema.fields, T.StructField("part_no", T.IntegerType()), T.StructField("file_name", T.StringType()), T.StructField("row_no", T.LongType())])
     out = spark.createDataFrame([], whole)
     for i, p in found:
         part = spark.read.parquet(p)
-        typed = part.select(*[(F.col(f.name).cast(f.dataType) if f.name in part.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema])
-        out = out.unionByName(typed.withColumns({"part_no": F.lit(i), "row_no": F.monotonically_increasing_id()}))
+        cols = [(F.col(f.name).cast(f.dataType) if f.name in part.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema]
+        typed = part.select(*cols, F.lit(i).alias("part_no"), F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("row_no"))
+        out = out.unionByName(typed)
     return out
 
 

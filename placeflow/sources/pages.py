@@ -19,10 +19,14 @@ def search_hits(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Rows of search result pages (search_query, search_location, page_number, html): the list items with a name not seen before, and their position.
 
     A name counts once for each query and location, at its first page and place.
+    A page whose last paging button is disabled ends its search.
     """
     if max_pages is not None:
         pages = pages.filter(F.col("page_number") <= max_pages)
     keys = ["search_query", "search_location"]
+    ends = F.when(~F.coalesce(html.read_more_pages("html")["value"], F.lit(True)), F.col("page_number"))
+    last = F.min("_end").over(Window.partitionBy(*keys))
+    pages = pages.withColumn("_end", ends).withColumn("_last", last).filter("_last IS NULL OR page_number <= _last")
     items = pages.select(*keys, "page_number", F.posexplode(html.read_search_items("html")["value"]).alias("_at", "_i"))
     named = items.select(*keys, "page_number", "_at", F.col("_i.name").alias("preview_name"), F.col("_i.href").alias("url"))
     first = named.withColumn("_n", F.row_number().over(Window.partitionBy(*keys, "preview_name").orderBy("page_number", "_at"))).filter("_n = 1")

@@ -19,9 +19,17 @@ def test_commands(spark, tmp_path):
         cli.main(["reviews", *common, "--state", f"{t}/r{x}", "--output", f"{t}/out", "--partition-x", x, "--partition-y", "2"], spark)
     assert cli.main(["merge", "--data-dir", f"{t}/out", "--output", f"{t}/all", "--partitions", "2", "--stem", "reviews_p"], spark).count() == 2
     assert cli.main(["sample", "--places", f"{t}/places", "--num", "2"], spark).count() == 1 + 1
+    assert cli.main(["sample", "--places", f"{t}/places", "--num", "2", "--pages", f"{t}/pages", "--output", f"{t}/try"], spark).count() == 2
+    for x in ("0", "1"):
+        cli.main(["enrich", *common, "--state", f"{t}/e{x}", "--partition", x, "--total", "2", "--export", f"{t}/states"], spark)
+    assert cli.main(["merge-state", "--files", f"{t}/states/enrichment_progress_partition_*.json", "--output", f"{t}/whole.json"], spark).count() == 2
+    assert sorted(json.loads((tmp_path / "whole.json").read_text())) == ["1", "2"]
+    (tmp_path / "tree/g/d").mkdir(parents=True)
+    (tmp_path / "tree/g/d/k.json").write_text('[{"name": "x"}]')
+    assert len(cli.main(["merge-tree", "--data-dir", f"{t}/tree", "--output", f"{t}/merged"], spark)) == 2
     (tmp_path / "sum").mkdir()
     (tmp_path / "sum/a.json").write_text(json.dumps({"gu": "g", "dong": "d", "completed_keywords": ["a"], "failed_keywords": [], "total_facilities": 4}))
-    assert cli.main(["progress", "--summaries", f"{t}/sum", "--total", "4"], spark).first().completion_percentage == 25.0
+    assert cli.main(["progress", "--summaries", f"{t}/sum", "--total", "4", "--output", f"{t}/progress.json"], spark).first().completion_percentage == 25.0
     with pytest.raises(ValueError):
         cli.main(["reviews", *common, "--state", f"{t}/r", "--output", f"{t}/out", "--partition-x", "3", "--partition-y", "2"], spark)
     with pytest.raises(SystemExit):

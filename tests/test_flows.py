@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from placeflow.operators import dedup, flatten, partition, sampling, state, stats
 from placeflow.plans import pipelines
-from placeflow.schemas import BUNDLE, ENRICHMENT, FACILITY_KEYS, FLAT_REVIEW
+from placeflow.schemas import BUNDLE, ENRICHMENT, ERRORS, FACILITY_KEYS, FLAT_REVIEW
 from placeflow.sinks import files as sinks
 from placeflow.sources import connector, files, pages
 
@@ -114,20 +114,24 @@ def test_merge_parquet_parts(spark, tmp_path):
     assert pipelines.merge_reviews(spark, [f"{tmp_path}/none"]).count() == 0
 
 
-PAGE = '<div class="DAQTB"><h3 class="fr6Pj">진료과목</h3><ul class="xrrcZ"><li class="zxtJF">내과</li></ul></div><ul id="_review_list"><li class="place_apply_pui"></li></ul>'
+SECTION = '<div class="place_section"><h2 class="place_section_header"><div class="place_section_header_title">{}</div></h2>{}</div>'
+CONTENT = '<div class="place_section_content">{}</div>'
+PARTS = '<div class="DAQTB"><h3 class="fr6Pj">진료과목</h3><ul class="xrrcZ"><li class="zxtJF">내과 &amp; 외과</li></ul></div>'
+LIST = '<ul id="_review_list"><li class="place_apply_pui"></li></ul>'
+PAGE = SECTION.format("리뷰", CONTENT.format("x")) + SECTION.format("진료정보", CONTENT.format(PARTS)) + LIST
 
 
 def test_resume_changes_nothing(spark, tmp_path):
     places = spark.createDataFrame([("1", "가의원"), ("2.0", "나병원"), ("3", "다클리닉"), ("4", "라의원")], "place_id string, name string")
-    captured = spark.createDataFrame([("http://x/place/1", PAGE), ("http://x/place/2", "<p>"), ("http://x/place/1", PAGE)], "url string, html string")
+    captured = spark.createDataFrame([("http://x/place/1", PAGE), ("http://x/place/2", SECTION.format("진료정보", CONTENT.format("<p>x</p>"))), ("http://x/place/1", PAGE)], "url string, html string")
     log = state.Log(spark, str(tmp_path / "log"), ENRICHMENT, error="enrichment_error")
     first = pipelines.enrich(places, captured, log, now="t").collect()
     again = pipelines.enrich(places, captured, log, now="u").collect()
     assert sorted(first, key=str) == sorted(again, key=str) and len(first) == 3
     got = {r.place_id: r for r in first}
-    assert got["1"].medical_info_parsed.medical_departments == ["내과"] and got["1"].parsing_success
-    assert got["2"].has_medical_info and not got["2"].parsing_success
-    assert got["4"].enrichment_error == state.ERRORS[0] and not got["4"].has_medical_info
+    assert got["1"].medical_info_parsed.medical_departments == ["내과 & 외과"] and got["1"].parsing_success and got["1"].medical_info_raw == PARTS
+    assert got["2"].has_medical_info and not got["2"].parsing_success and got["2"].medical_info_raw == "<p>x</p>"
+    assert got["4"].enrichment_error == ERRORS["page"] and not got["4"].has_medical_info
     assert log.pending(places.select(F.expr("regexp_replace(place_id, '[.]0$', '')").alias("place_id")), retry_errors=True).count() == 2
     log.compact()
     assert log.current().count() == 3
@@ -135,6 +139,136 @@ def test_resume_changes_nothing(spark, tmp_path):
     assert sorted((r.place_id, r.review_index) for r in flat.collect() if r.review_index) == [("1", 1)] and flat.count() == 3
 
 
+def test_every_failure_of_a_page_has_its_text(spark):
+    tab = '<a role="tab" href="#">리뷰</a>'
+    cases = {
+        "1": ("", ERRORS["timeout"], ERRORS["timeout"]),
+        "2": ("<p>x</p>", ERRORS["section"], ERRORS["tab"]),
+        "3": (SECTION.format("진료정보", "") + tab, ERRORS["html"], ERRORS["list"]),
+        "4": (SECTION.format("진료정보", CONTENT.format("")), ERRORS["html"], ERRORS["tab"]),
+        "5": (SECTION.format("위치", CONTENT.format("진료정보")), ERRORS["section"], ERRORS["tab"]),
+        "6": (PAGE, None, None),
+    }
+    keys = spark.createDataFrame([(k,) for k in [*cases, "7"]], "place_id string")
+    captured = spark.createDataFrame([(f"http://x/place/{k}", v[0]) for k, v in cases.items()], "url string, html string")
+    medical = {r.place_id: r for r in pipelines.medical_records(keys, captured, "t").collect()}
+    found = {r.place_id: r for r in pipelines.bundles(keys, captured, "t").collect()}
+    for k, (_, one, two) in cases.items():
+        assert (medical[k].enrichment_error, found[k].scrape_error) == (one, two), k
+        assert medical[k].has_medical_info == (one is None) and (medical[k].medical_info_raw is None) == (one is not None)
+    assert medical["7"].enrichment_error == found["7"].scrape_error == ERRORS["page"] and medical["7"].verified_place_id is None
+    assert found["6"].review_html == LIST and found["6"].has_reviews and found["6"].review_count == 1 and found["2"].reviews == []
+
+
+def test_crashes_of_compaction_lose_nothing(spark, tmp_path, monkeypatch):
+    log = state.Log(spark, str(tmp_path / "log"), ENRICHMENT)
+    for at in ("a", "b"):
+        log.append(spark.createDataFrame([("1", at), ("2", at)], "place_id string, enriched_at string"))
+    want = sorted(map(tuple, log.current().select("place_id", "enriched_at").collect()))
+    assert want == [("1", "b"), ("2", "b")]
+    plain, calls = log._rename, []
+    for broken in (1, 2):
+        def rename(a, b, broken=broken):
+            calls.append(a)
+            if len(calls) == broken:
+                raise OSError("lost")
+            plain(a, b)
+
+        calls.clear()
+        monkeypatch.setattr(log, "_rename", rename)
+        with pytest.raises(OSError):
+            log.compact()
+        monkeypatch.setattr(log, "_rename", plain)
+        assert sorted(map(tuple, log.current().select("place_id", "enriched_at").collect())) == want
+    monkeypatch.setattr(log, "_delete", lambda path: None)
+    log.compact()
+    monkeypatch.undo()
+    assert sorted(map(tuple, log.current().select("place_id", "enriched_at").collect())) == want and log.all().count() == 2
+    log.append(spark.createDataFrame([("2", "c")], "place_id string, enriched_at string"))
+    assert {r.place_id: r.enriched_at for r in log.current().collect()} == {"1": "b", "2": "c"}
+
+
+def test_tied_keys_are_numbered_alike_in_every_run(spark):
+    rows = [(1 if i % 3 else i, f"v{i}") for i in range(60)]
+    first = spark.createDataFrame(rows, "k int, v string").repartition(5)
+    second = spark.createDataFrame(rows[::-1], "k int, v string").repartition(3)
+    got = [r.v for x, df in ((0, first), (1, second), (2, first)) for r in partition.modulo(df, ["k"], x, 3).collect()]
+    assert sorted(got) == sorted(v for _, v in rows)
+    tied = [("k", 1, f"v{i}") for i in range(20)]
+    assert len({dedup.last_writer(spark.createDataFrame(t, "k string, part int, v string").repartition(n), ["k"], ["part"]).first().v for t, n in ((tied, 4), (tied[::-1], 2))}) == 1
+
+
+def test_rows_of_a_part_keep_their_order(spark, tmp_path):
+    spark.range(400).select(F.lit("p").alias("place_id"), (F.col("id") % 7).cast("int").alias("review_index"), F.col("id").cast("string").alias("review_text")).repartition(6).sortWithinPartitions("review_text").write.option("parquet.block.size", 1024).parquet(str(tmp_path / "p1"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "600")
+    try:
+        merged = {r.review_index: r.review_text for r in pipelines.merge_reviews(spark, [str(tmp_path / "p1")]).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    import pyarrow.parquet as pq
+
+    want = {}
+    for f in sorted((tmp_path / "p1").glob("part-*")):
+        for r in pq.read_table(f).to_pylist():
+            want.setdefault(r["review_index"], r["review_text"])
+    assert merged == want
+
+
+def test_files_of_a_tree_and_maps(spark, tree, tmp_path_factory):
+    tmp_path = tmp_path_factory.mktemp("out")
+    rows = files.json_tree(spark, tree)
+    out = str(tmp_path / "again")
+    tried = spark.createDataFrame([("Gwanak-gu", "신사동", "의 원+x%", "empty"), ("Gwanak-gu", "신사동", "병원", "done")], "gu string, dong string, keyword string, status string")
+    sinks.tree(rows.drop("file_path", "pos"), out, tried)
+    back = files.json_tree(spark, out)
+    same = [c for c in rows.columns if c not in ("file_path", "pos")]
+    assert sorted(map(str, back.select(same).collect())) == sorted(map(str, rows.select(same).collect()))
+    assert json.loads((tmp_path / "again/Gwanak-gu/신사동/의 원+x%.json").read_text()) == [] and not (tmp_path / "again/_writing").exists()
+    body = (tmp_path / "again/Gangnam-gu/개포1동/의원.csv").read_bytes()
+    assert body.startswith(b"\xef\xbb\xbfaddress,") and files.csv_rows(spark, f"{out}/Gangnam-gu/개포1동/의원.csv") == 2
+    put(tmp_path / "deep/a/b/c/d.json", [{"place_id": "1"}])
+    put(tmp_path / "deep/top.json", [{"place_id": "2"}])
+    assert [tuple(r) for r in files.json_tree(spark, str(tmp_path / "deep")).select("place_id", "file_district", "file_dong", "file_keyword").collect()] == [("1", "a", "b", "d")]
+    merged = pipelines.merge_tree(spark, tree, str(tmp_path / "m"), "20260102_030405")
+    assert merged[0].endswith("_merged_all_20260102_030405.json") and len(json.loads(open(merged[0]).read())) == 6
+    assert open(merged[1], encoding="utf-8-sig").readline().startswith("name,category,")
+    state_ = spark.createDataFrame([("2", True), ("1", False)], "place_id string, has_medical_info boolean")
+    for _ in range(2):
+        sinks.json_map(state_, str(tmp_path / "s_p1_of_1.json"))
+    assert json.loads((tmp_path / "s_p1_of_1.json").read_text()) == {"1": {"has_medical_info": False}, "2": {"has_medical_info": True}}
+    assert files.checkpoint_map(spark, str(tmp_path / "s_p1_of_1.json")).count() == 2
+    both = pipelines.merge_checkpoint_files(spark, [str(tmp_path / "s_p1_of_1.json")], str(tmp_path / "all.json"), "enrichment")
+    assert both.count() == 2 and set(json.loads((tmp_path / "all.json").read_text())) == {"1", "2"}
+
+
+def test_a_disabled_button_ends_a_search(spark):
+    page = '<li><span class="TYaxT">{}</span></li><div class="zRM9F"><a target="_self" aria-disabled="false"></a><a target="_self" aria-disabled="{}"></a></div>'
+    shown = [page.format("a", "false"), page.format("b", "true"), page.format("c", "false")]
+    df = spark.createDataFrame([("q", "x", i, p) for i, p in enumerate(shown, 1)], "search_query string, search_location string, page_number int, html string")
+    assert sorted(r.preview_name for r in pages.search_hits(df).collect()) == ["a", "b"]
+    reader = connector._Reader({"tasks": '[["x", "q"]]', "pages": json.dumps({"x q": shown})})
+    assert [r[4] for t in reader.partitions() for r in reader.read(t)] == ["a", "b"]
+    with pytest.raises(ValueError):
+        connector._Reader({"pages": " " * (connector.LARGEST + 1)})
+
+
+def test_sample_run(spark, tmp_path):
+    places = spark.createDataFrame([("1", "가의원", "방문자 1"), ("2.0", "나병원", None)], "place_id string, name string, reviews string")
+    captured = spark.createDataFrame([("http://x/place/1", PAGE)], "url string, html string")
+    out = {r.place_id: r for r in pipelines.sample_run(places, captured, str(tmp_path / "s"), 2, now="t").collect()}
+    assert out["1"].review_count == 1 and out["2"].scrape_error == ERRORS["page"] and out["2"].name == "나병원"
+    assert json.loads((tmp_path / "s/1.json").read_text())["reviews"][0]["review_index"] == 1
+    assert (tmp_path / "s/summary.csv").read_text(encoding="utf-8-sig").splitlines()[0] == "place_id,name,has_reviews,review_count,scrape_error"
+
+
+def test_progress_document(spark, tmp_path):
+    done = spark.createDataFrame([("g", "d", ["a", "b"], [], 5, "s", "e", None)], "gu string, dong string, completed_keywords array<string>, failed_keywords array<string>, total_facilities bigint, start_time string, end_time string, error string")
+    sinks.progress_document(stats.progress(done, 4), str(tmp_path / "progress.json"))
+    got = json.loads((tmp_path / "progress.json").read_text())
+    assert got["completed_dongs"] == ["g_d"] and got["statistics"] == {"total_dongs_completed": 1, "total_facilities": 5, "by_keyword": {"a": 2, "b": 2}} and got["completion_percentage"] == 25.0
+
+
 @settings(max_examples=8, deadline=None)
 @given(n=st.integers(0, 40), y=st.integers(1, 5))
 def test_slices_are_disjoint_and_cover(spark, n, y):

@@ -66,7 +66,21 @@ def test_facility_and_search_items():
 def test_lenient_pages_and_medical_section():
     assert html.parse("<p>a<b>b<br>c</p><!-- x -->d").text("|") == "a|b|c|d"
     page = '<div class="place_section"><h2 class="place_section_header"><div class="place_section_header_title">진료정보</div></h2><div class="place_section_content">x<p>y</p></div></div>'
-    assert html.medical_section(page) == "x\ny" and html.medical_section("<p>") is None
+    assert html.medical_section(page) == ("x<p>y</p>", True) and html.medical_section("<p>") == (None, False)
+
+
+def test_html_comes_back_as_written():
+    page = '<ul id="a" data-x="1 &amp; &quot;2&quot;"><li>x &lt; y &amp; z<br><img src="i"></li><script>a < b && c</script></ul>'
+    node = html.parse(page).find("ul")
+    assert node.outer() == page and html.parse(node.outer()).find("ul").outer() == page
+    deep = "<b>" * 5000 + "x" + "</b>" * 5000
+    assert html.parse(deep).inner() == deep
+
+
+def test_hidden_links_are_passed_over():
+    li = '<li><a class="tzwk0" href="/1" style="Display : none"></a><div hidden><a class="place_bluelink" href="/2"></a></div><a>no</a><a href="/3" style="color:red">x</a></li>'
+    assert html.clickable(html.parse(li).find("li")) == "/3"
+    assert html.clickable(html.parse('<li><a href="/1" style="visibility:hidden">x</a></li>').find("li")) is None
 
 
 def test_errors_are_data(spark):
