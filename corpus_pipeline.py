@@ -7,17 +7,18 @@ is packed into sequences. All stages but the last return the columns of
 
 Empty tables pass through (the last stage then returns no rows). What null or
 repeated rows mean is said at each operator. A text that loses words has its
-kept words joined by one space, and n_chars counted anew.
+kept words joined by one space, and n_chars counted anew. Each stage's table
+goes once the next one is written; the last one stays, as the result reads it.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from placeflow.llm import near_dedup, packing, quality_crf, quality_rules, substring_dedup
+from placeflow.llm.common import discarded, shared_folder
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,10 +55,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows; stages are written to the folder that the cluster shares."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="placeflow-")
-    base = f"{where.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    base = f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
         docs = spark.read.parquet(f"{base}/{name}")
+        if before is not None:
+            discarded(before)
+        before = docs
     return docs
