@@ -72,44 +72,48 @@ class Network:
         return [self.inputs, self.hidden, self.output, self.bias]
 
     def scores(self, x: np.ndarray, live: list[int]) -> np.ndarray:
-        """Scores [T, B, L] before the softmax."""
+        """Scores [T, B, L] before the softmax; 0 beyond a lane."""
         t, b = x.shape
-        h = self.hidden.shape[1]
-        out = np.empty((t, b, len(self.names)), np.float32)
+        h, n = self.hidden.shape[1], len(self.names)
+        out = np.zeros((t, b, n), np.float32)
+        a, u, o = np.empty((3, b, h), np.float32), np.empty((3, b, h), np.float32), np.empty((b, n), np.float32)
+        half = np.array([0.5, 0.5, 1], np.float32)[:, None, None]  # a sigmoid is a tanh of half its argument
         for d in (0, 1):
-            into, on, final = self.inputs[d].copy(), self.hidden[d].copy(), self.output[d * h : (d + 1) * h]
-            into[:, : 2 * h] *= 0.5  # a sigmoid is a tanh of half its argument
-            on[:, : 2 * h] *= 0.5
+            # gates and candidate apart, so that every step works on stretches of memory
+            into = np.ascontiguousarray(self.inputs[d].reshape(256, 3, h).transpose(1, 0, 2)) * half
+            on = np.ascontiguousarray(self.hidden[d].reshape(h, 3, h).transpose(1, 0, 2)) * half
+            final = np.ascontiguousarray(self.output[d * h : (d + 1) * h])
             state = np.zeros((b, h), np.float32)
             for i in range(t) if d == 0 else range(t - 1, -1, -1):
                 k = live[i]
-                now = state[:k]
-                a, u = into.take(x[i, :k], axis=0), now @ on
-                gate, fresh = a[:, : 2 * h], u[:, 2 * h :]
-                gate += u[:, : 2 * h]
+                now, gate, fresh, said = state[:k], a[:2, :k], u[2, :k], o[:k]
+                np.take(into, x[i, :k], axis=1, out=a[:, :k], mode="clip")
+                np.matmul(now, on, out=u[:, :k])
+                gate += u[:2, :k]
                 np.tanh(gate, out=gate)
                 gate *= 0.5
                 gate += 0.5
-                fresh *= gate[:, h:]
-                fresh += a[:, 2 * h :]
+                fresh *= gate[1]
+                fresh += a[2, :k]
                 np.tanh(fresh, out=fresh)
                 fresh -= now
-                fresh *= gate[:, :h]
+                fresh *= gate[0]
                 now += fresh
-                if d:
-                    out[i, :k] += now @ final
-                else:
-                    np.add(now @ final, self.bias, out=out[i, :k])
+                np.matmul(now, final, out=said)
+                out[i, :k] += said
+        out += self.bias
         return out
 
+    def sums(self, x: np.ndarray, live: list[int], judged: np.ndarray) -> np.ndarray:
+        """Probabilities of the languages [B, L], summed over the judged positions [T, B] of each lane."""
+        e = np.exp(np.clip(self.scores(x, live), -60, 60))
+        share = judged / (e @ np.ones(e.shape[2], np.float32))
+        return np.einsum("tbl,tb->bl", e, share)
+
     def probabilities(self, x: np.ndarray, live: list[int]) -> np.ndarray:
-        """Probabilities [T, B, L] of the languages at every position; what lies beyond a lane is undefined."""
-        score = self.scores(x, live)
-        with np.errstate(over="ignore", invalid="ignore"):
-            score -= score.max(axis=2, keepdims=True)
-            np.exp(score, out=score)
-            score /= score.sum(axis=2, keepdims=True)
-        return score
+        """Probabilities [T, B, L] of the languages at every position; those beyond a lane mean nothing."""
+        e = np.exp(np.clip(self.scores(x, live), -60, 60))
+        return e / e.sum(axis=2, keepdims=True)
 
     def gradients(self, x: np.ndarray, live: list[int], y: np.ndarray) -> tuple[float, list[np.ndarray]]:
         """Mean loss over positions and its gradients, by backpropagation through time."""
@@ -228,9 +232,7 @@ def label(net: Network, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             continue
         at = begin[part] + np.arange(len(x))[:, None]
         judged = (at >= low[part]) & (at < high[part]) & _LETTER[x]
-        p = net.probabilities(x, live)
-        p[~judged] = 0
-        np.add.at(sums, text[part], p.sum(axis=0, dtype=np.float64))
+        np.add.at(sums, text[part], net.sums(x, live, judged))
         np.add.at(count, text[part], judged.sum(axis=0))
     known = np.fromiter(map(_has_letter, texts), bool, len(texts))
     return sums / np.maximum(count, 1)[:, None], known & (count > 0)
