@@ -17,8 +17,11 @@ the payload's length, as whole rows of blocks may need more. `unwrap` reads the
 payload back from decoded coefficients.
 
 Nulls: a null text is an empty one; null or broken images give null columns and
-an error text, never an exception. Equal texts give equal values. An empty
-table gives no rows; extra columns are ignored.
+an error text, never an exception, and don't touch the other images. Equal
+texts give equal values, so repeated rows do. A very long text is written and
+read in portions of blocks; held at once are some four times its bytes. An
+empty table gives no rows; extra columns are ignored by the query and kept by
+`thumbnails`, except those that have the names of its results.
 """
 
 from __future__ import annotations
@@ -37,6 +40,8 @@ from placeflow.llm.common import chunks, columns, raw, table
 UNIT = 576
 #: Blocks in a row of a stored payload, and the most that a side may have.
 ROW, SIDE = 3, 8191
+#: Blocks that are written, and restart segments that are decoded, at once.
+PORTION = 16_384
 #: DC quantiser of stored payloads: coefficients of +-255 then span the pixel range.
 DC_STEP = 4
 
@@ -95,13 +100,18 @@ class Jpeg:
                 k = 0
                 while k < len(s):
                     counts = s[k + 1 : k + 17]
-                    out.codes[s[k]] = counts, s[k + 17 : k + 17 + sum(counts)]
+                    symbols = s[k + 17 : k + 17 + sum(counts)]
+                    if len(counts) < 16 or len(symbols) < sum(counts):
+                        raise ValueError("short code table")
+                    out.codes[s[k]] = counts, symbols
                     k += 17 + sum(counts)
             elif m == DQT:
                 k = 0
                 while k < len(s):
                     wide = s[k] >> 4
                     size = 128 if wide else 64
+                    if len(s) < k + 1 + size:
+                        raise ValueError("short quantiser")
                     out.steps[s[k] & 15] = np.frombuffer(s[k + 1 : k + 1 + size], ">u2" if wide else "u1").astype(np.int32)
                     k += 1 + size
             elif m == DRI:
@@ -119,6 +129,10 @@ class Jpeg:
             raise ValueError("no frame")
         if s[0] != len(self.parts):
             raise ValueError("not one interleaved scan")
+        if any(not 1 <= p[1] <= 4 or not 1 <= p[2] <= 4 for p in self.parts):
+            raise ValueError("sampling factor")
+        if any(p[3] not in self.steps for p in self.parts):
+            raise ValueError("a quantiser is missing")
         index = {p[0]: k for k, p in enumerate(self.parts)}
         one = len(self.parts) == 1
         for k in range(s[0]):
@@ -169,6 +183,8 @@ def coefficients(files: list[Jpeg]) -> list[np.ndarray | None]:
         lanes, owners, sizes, lengths = [], [], [], []
         for k in members:
             f = files[k]
+            if f.mcus * len(order) > 4 * len(f.data):
+                continue  # a block takes two bits at least; stays None
             per = f.restart or f.mcus
             found = f.segments()
             n = -(-f.mcus // per)
@@ -180,7 +196,9 @@ def coefficients(files: list[Jpeg]) -> list[np.ndarray | None]:
             lengths += [len(x) for x in found[:n]]
         if not lanes:
             continue
-        blocks, good = _lockstep(lanes, np.array(sizes), np.array(lengths), order, dict(codes))
+        some = [slice(i, i + PORTION) for i in range(0, len(lanes), PORTION)]
+        parts = [_lockstep(lanes[i], np.array(sizes[i]), np.array(lengths[i]), order, dict(codes)) for i in some]
+        blocks, good = (np.concatenate(x) if len(parts) > 1 else x[0] for x in zip(*parts, strict=True))
         starts, k = np.concatenate([[0], np.cumsum(sizes)]), 0
         while k < len(owners):
             n = k
@@ -293,10 +311,12 @@ def wrap(payloads: list[bytes]) -> list[bytes]:
         across = ROW * -(-n // (ROW * SIDE))
         down = -(-n // across)
         b = np.frombuffer(p + b"\xff" * ((across * down - n) * 64), np.uint8).reshape(-1, 64)
-        bits = np.zeros((len(b), 64, 9), dtype=np.uint8)
-        bits[:, :, 1:] = np.unpackbits(b, axis=1).reshape(-1, 64, 8)
         rows = np.empty((len(b), 74), dtype=np.uint8)
-        rows[:, :72] = np.packbits(bits.reshape(len(b), 576), axis=1)
+        for i in range(0, len(b), PORTION):
+            some = b[i : i + PORTION]
+            bits = np.zeros((len(some), 64, 9), dtype=np.uint8)
+            bits[:, :, 1:] = np.unpackbits(some, axis=1).reshape(-1, 64, 8)
+            rows[i : i + PORTION, :72] = np.packbits(bits.reshape(len(some), 576), axis=1)
         full = np.flatnonzero(rows[:, :72] == 255)
         rows[:, 72] = 0xFF
         rows[:, 73] = RST0 + np.arange(len(b)) % 8
@@ -341,35 +361,57 @@ def stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), _KINDS.values(), strict=True)], names=list(_KINDS))
 
 
+def thumbnail(f: Jpeg, blocks: np.ndarray) -> tuple:
+    t = luminance(f, blocks)
+    return f.width, f.height, t.tobytes(), average_hash(t), None
+
+
+_BROKEN = (ValueError, IndexError, KeyError, ZeroDivisionError, OverflowError)
+
+
+def _images(blobs: list[bytes | None]) -> list[tuple]:
+    """Width, height, thumbnail, hash and error of each image."""
+    out: list = [(None, None, None, None, "null")] * len(blobs)
+    good: dict[int, Jpeg] = {}
+    for i, b in enumerate(blobs):
+        try:
+            if b is not None:
+                good[i] = Jpeg.parse(b)
+        except _BROKEN as e:
+            out[i] = (None, None, None, None, str(e) or "broken")
+    try:
+        blocks = coefficients(list(good.values()))
+    except _BROKEN:  # one of them: each by itself
+        blocks = []
+        for f in good.values():
+            try:
+                blocks += coefficients([f])
+            except _BROKEN:
+                blocks.append(None)
+    for (i, f), c in zip(good.items(), blocks, strict=True):
+        try:
+            out[i] = thumbnail(f, c) if c is not None else (None, None, None, None, "broken scan")
+        except _BROKEN as e:
+            out[i] = (None, None, None, None, str(e) or "broken")
+    return out
+
+
 def thumbnails(images: DataFrame, column: str = "image") -> DataFrame:
-    """images with width, height, thumbnail (bytes, a row of blocks after the other), its hash, and error."""
+    """images with width, height, thumbnail (bytes, a row of blocks after the other), its hash, and error; columns of these names are replaced."""
     from pyspark.sql import functions as F
 
-    kind = "width int, height int, thumbnail binary, thumbnail_hash string, error string"
+    names = ["width", "height", "thumbnail", "thumbnail_hash", "error"]
 
-    @F.pandas_udf(kind)
+    @F.pandas_udf("width int, height int, thumbnail binary, thumbnail_hash string, error string")
     def read(blobs):
         import pandas as pd
 
-        rows = []
-        parsed: list = []
-        for b in blobs:
-            try:
-                parsed.append(Jpeg.parse(bytes(b)) if b is not None else None)
-            except (ValueError, IndexError, KeyError) as e:
-                parsed.append(str(e) or "broken")
-        good = [f for f in parsed if isinstance(f, Jpeg)]
-        blocks = iter(coefficients(good))
-        for f in parsed:
-            c = next(blocks) if isinstance(f, Jpeg) else None
-            if c is None:
-                rows.append((None, None, None, None, "null" if f is None else f if isinstance(f, str) else "broken scan"))
-            else:
-                t = luminance(f, c)
-                rows.append((f.width, f.height, t.tobytes(), average_hash(t), None))
-        return pd.DataFrame(rows, columns=["width", "height", "thumbnail", "thumbnail_hash", "error"]).astype({"width": "Int32", "height": "Int32"})
+        rows = _images([None if b is None else bytes(b) for b in blobs])
+        return pd.DataFrame(rows, columns=names).astype({"width": "Int32", "height": "Int32"})
 
-    return images.withColumn("_t", read(F.col(column))).select(*[c for c in images.columns], "_t.*")
+    made = "_t" * (1 + max((len(c) for c in images.columns), default=0))  # longer than any name there is
+    kept = [F.col(f"`{c}`") for c in images.columns if c not in names]
+    return images.select(*kept, read(F.col(f"`{column}`")).alias(made)).select("*", f"{made}.*").drop(made)
 
 
 def op3_jpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:

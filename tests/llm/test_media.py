@@ -146,3 +146,36 @@ def test_images_that_cannot_be_read(spark):
     got = {r.id: r for r in media.thumbnails(df).collect()}
     assert got[1].error is None and (got[1].width, got[1].height) == (16, 16) and len(got[1].thumbnail) == 4 and len(got[1].thumbnail_hash) == 16
     assert all(got[i].error and got[i].width is None for i in range(2, 8))
+
+
+def test_broken_images_leave_the_others_alone(spark):
+    """No quantiser, a code table with too few symbols, sampling factor 0, a size that the data can't hold; clashing columns."""
+    whole = encode(blocks_of(np.random.default_rng(1), 4), [0], 16, 16, [(1, 1, 1)], [1] * 64)
+
+    def without(marker):
+        i = whole.index(bytes([0xFF, marker]))
+        return whole[:i] + whole[i + 2 + int.from_bytes(whole[i + 2 : i + 4], "big") :]
+
+    at = whole.index(b"\xff\xc0")
+    frame = lambda i, b: whole[: at + i] + b + whole[at + i + len(b) :]
+    table = whole.index(b"\xff\xc4")
+    short = bytearray(whole)
+    short[table + 5] = 40  # more codes than symbols
+    bad = [without(0xDB), bytes(short), frame(11, b"\x00"), frame(11, b"\x01"), frame(5, b"\xff\xff\xff\xff")]
+    rows = [(i, b) for i, b in enumerate([whole, *bad, whole])]
+    df = spark.createDataFrame([(i, bytearray(b), "x", "y", 3) for i, b in rows], "id int, image binary, _t string, error string, width int").coalesce(1)
+    out = media.thumbnails(df)
+    assert out.columns == ["id", "image", "_t", "width", "height", "thumbnail", "thumbnail_hash", "error"]
+    got = {r.id: r for r in out.collect()}
+    assert all(got[i].error is None and got[i].width == 16 and got[i]._t == "x" for i in (0, 6))
+    assert all(got[i].error and got[i].width is None for i in range(1, 6))
+    assert media.thumbnails(df.limit(0)).count() == 0
+
+
+def test_long_texts_are_stored_in_portions(monkeypatch):
+    payloads = [media.pad(x) for x in (np.random.default_rng(3).bytes(7000), b"abc")]
+    whole = media.wrap(payloads)
+    monkeypatch.setattr(media, "PORTION", 7)
+    assert media.wrap(payloads) == whole
+    files = [media.Jpeg.parse(x) for x in whole]
+    assert [media.unwrap(f, c) for f, c in zip(files, media.coefficients(files), strict=True)] == payloads
