@@ -12,7 +12,9 @@ each host's verdict joins back to its documents:
 
 Nulls: a null text has no words and fails the base rule; null is a host of its
 own. Empty tables give no rows; repeated rows are judged each; extra columns
-are ignored by `features` and kept by `keep`.
+are ignored by `features` and kept by `keep`. A rate or a count that equals its
+limit passes. A very long text is one row, with some hundred bytes for each of
+its words in arrays.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from placeflow.llm.common import BLANK_CHARS, checkpointed, columns, table, word
 #: Window of the repeated-words rule, in words.
 WINDOW = 5
 HOST_REJECT, HOST_SUSPECT = 0.8, 0.4
-#: Hosts are broadcast up to this count (a name and a flag each); beyond it the join shuffles.
+#: Hosts are broadcast up to this count (a name and a rate each); beyond it the join shuffles.
 BROADCAST_HOSTS = 50_000
 
 
@@ -143,10 +145,11 @@ def keep(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with their own columns only.
 
     The hosts' verdicts come from a first pass; the counts are made again in a
-    second one, so that no text is shuffled.
+    second one. Only suspect hosts matter there, so no text is shuffled unless
+    there are over `BROADCAST_HOSTS` of those.
     """
     first = features(columns(docs, "text", "source")).drop("text")
-    hosts = checkpointed(host_rates(first))
+    hosts = checkpointed(host_rates(first).filter(F.col("host_rate") > HOST_SUSPECT))
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *columns_of(docs))
     judged = verdict(features(own), hosts, hosts.count()).filter("kept")
     return judged.select("_row.*")
