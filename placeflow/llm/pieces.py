@@ -50,7 +50,7 @@ NEVER = -1e8
 #: Segments whose encoding is broadcast to the tasks; rarer ones meet theirs in a join.
 KNOWN = 200_000
 #: Distinct segments that a task holds before it hands their counts on.
-HELD = 500_000
+HELD = 300_000
 #: Stops that the fold holds before it hands them on.
 FOLDED = 256
 #: Characters of a block that is read at once, and of a segment whose lattice goes by a number.
@@ -98,12 +98,17 @@ def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
     for p, _, _ in rows:
         b = np.frombuffer(p.replace(SPACE, " ").encode(), np.uint8)
         cuts[b[:-1].astype(np.uint16) << 8 | b[1:]] = False
+    base = sp.piece_to_id("<0x00>")
+    names = [b""] * max(base + 256, 1 + max((i for _, i, _ in rows), default=0))
+    names[base : base + 256] = [bytes([i]) for i in range(256)]
+    for p, i, _ in rows:
+        names[i] = p.encode()
     known = {
         "longest": max(len(p) for p, _, _ in rows),
         "unknown": min(s for _, _, s in rows) - 10.0,
-        "byte": sp.piece_to_id("<0x00>"),
+        "byte": base,
         "cuts": cuts,
-        "texts": {i: p.encode() for p, i, _ in rows},
+        "texts": (np.frombuffer(b"".join(names), np.uint8), np.fromiter(map(len, names), np.int64, len(names))),  # of all ids in a row
     }
     frame = pa.table({"piece": [r[0].replace(SPACE, " ") for r in rows], "id": pa.array([r[1] for r in rows], pa.int32()), "score": [r[2] for r in rows]})
     return spark.createDataFrame(frame), known
@@ -121,7 +126,7 @@ def segment_counts(docs: DataFrame, known: dict) -> DataFrame:
             met.clear()
             return pa.RecordBatch.from_arrays([sums.column("segment").cast(pa.large_string()).cast(pa.string()).combine_chunks(), sums.column("n_sum").combine_chunks()], names=["segment", "n"])
 
-        for batch in chunks(batches, limit=4_000_000):
+        for batch in chunks(batches, limit=2_000_000):
             coded, codes, _ = coded_segments([t or b"" for t in raw(batch.column("text"))], cuts)
             if len(coded):
                 met.append((coded, np.bincount(codes, minlength=len(coded))))
@@ -268,7 +273,7 @@ def encoded(docs: DataFrame, words: DataFrame, known: dict, finish: Callable = _
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each distinct segment of a text that isn't listed."""
         listed = set(shared.value[0])
-        for batch in chunks(batches, limit=4_000_000):
+        for batch in chunks(batches, limit=2_000_000):
             coded, codes, counts = coded_segments([t or b"" for t in raw(batch.column("text"))], cuts)
             names = coded.to_pylist()
             strange = np.fromiter((w not in listed for w in names), bool, len(names))
@@ -281,7 +286,7 @@ def encoded(docs: DataFrame, words: DataFrame, known: dict, finish: Callable = _
         listed, flat, sizes = shared.value
         places = dict(zip(listed, range(len(listed)), strict=True))
         grow = zstandard.ZstdDecompressor()
-        for batch in chunks(batches, "blob", limit=1_500_000):
+        for batch in chunks(batches, "blob", limit=400_000):
             texts = [grow.decompress(b) if b is not None else b"" for b in batch.column("blob").to_pylist()]
             own = batch.column("_own")
             coded, codes, counts = coded_segments(texts, cuts)
@@ -321,12 +326,7 @@ def encoded(docs: DataFrame, words: DataFrame, known: dict, finish: Callable = _
 
 def decoded(ids: pa.ListArray, known: dict) -> list[bytes]:
     """The texts of rows of ids: pieces and bytes in a row, U+2581 as a space, without the dummy space in front."""
-    top, base = max(known["texts"], default=0) + 1, known["byte"]
-    names = [bytes([i - base]) if base <= i < base + 256 else b"" for i in range(max(top, base + 256))]
-    for i, p in known["texts"].items():
-        names[i] = p
-    flat = np.frombuffer(b"".join(names), np.uint8)
-    sizes = np.fromiter(map(len, names), np.int64, len(names))
+    flat, sizes = known["texts"]
     at = ids.flatten().to_numpy(zero_copy_only=False)
     whole = _ragged(flat, sizes, at).tobytes()
     stops = np.append(0, np.cumsum(sizes[at]))[np.append(0, np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False)))].tolist()
