@@ -50,7 +50,7 @@ END = b""
 #: Distinct words that a task holds before it hands their counts on.
 HELD = 250_000
 #: Neighbours that a task holds before it hands their counts on.
-HELD_PAIRS = 4_000_000
+HELD_PAIRS = 3_000_000
 #: Counts of a rarer word: of the classes after it, of those before it, and of itself after itself.
 WIDTH = 2 * (CLASSES + 1) + 1
 
@@ -101,7 +101,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             parts.clear()
             return pa.RecordBatch.from_arrays([sums.column("word").cast(pa.large_string()).cast(pa.string()).combine_chunks(), sums.column("n_sum").combine_chunks()], names=["word", "n"])
 
-        for batch in chunks(batches, limit=4_000_000):
+        for batch in chunks(batches, limit=2_500_000):
             texts = [(t or b"").lower() for t in raw(batch.column("text"))]
             words, codes, *_ = coded_words(texts)
             parts += [(words, np.bincount(codes, minlength=len(words))), (pa.array([END], pa.large_binary()), np.array([len(texts)]))]
@@ -131,7 +131,7 @@ def pair_counts(docs: DataFrame, words: list[bytes]) -> np.ndarray:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = _listed(words)
         total = np.zeros(size * size, dtype=np.int32)
-        for batch in chunks(batches, limit=4_000_000):
+        for batch in chunks(batches, limit=2_500_000):
             seq, *_ = _tokens([t or b"" for t in raw(batch.column("text"))], places, size - 1)
             before = np.concatenate([[size - 1], seq[:-1]])
             np.add.at(total, before * size + seq, 1)
@@ -267,7 +267,7 @@ def rarer_words(docs: DataFrame, words: list[bytes], own: np.ndarray, g: np.ndar
             ids.clear(), keys.clear()
             return rows
 
-        for batch in chunks(batches, limit=4_000_000):
+        for batch in chunks(batches, limit=2_500_000):
             seq, n, coded, codes = _tokens([t or b"" for t in raw(batch.column("text"))], places, end)
             at = np.flatnonzero((seq >= len(words)) & (seq < end))
             text_of = np.repeat(np.arange(len(n)), n)[at]
@@ -368,7 +368,7 @@ def sequences(docs: DataFrame, model: Model, classed: DataFrame) -> DataFrame:
         places = _listed(m.words)
         listed = len(m.words)
         logs = np.concatenate([m.log_counts, np.zeros(POOLS), [end_log]])
-        for batch in chunks(batches, limit=4_000_000):
+        for batch in chunks(batches, limit=2_500_000):
             seq, n, coded, codes = _tokens([t or b"" for t in raw(batch.column("text"))], places, len(m.classes) - 1)
             first = np.cumsum(n) - n
             plain = np.add.reduceat(logs[seq], first)

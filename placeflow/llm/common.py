@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -122,8 +123,18 @@ def raw(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def release() -> None:
+    """Gives memory that a worker process has freed back to the system; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 8_000_000) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about `limit` text bytes (one row at least)."""
+    release()
     for batch in batches:
         n = batch.num_rows
         if not n:
@@ -132,3 +143,4 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         step = max(1, limit // mean)
         for i in range(0, n, step):
             yield batch.slice(i, step)
+    release()
