@@ -14,8 +14,8 @@ def row_index(df: DataFrame, order: list[str], name: str = "row_index") -> DataF
     """Gapless numbers from 0 in the given order; rows of equal order by a hash of all their values.
 
     So two runs number the same table alike, and a key that many rows share is
-    split over ranges (only rows equal in every column stay together, and they
-    can change places). Rows are range-partitioned and sorted; each range's
+    split over ranges. Rows equal in every column can change places, so they are
+    split as well, by where they are read. Rows are range-partitioned and sorted; each range's
     count (one row for each partition) gives the next one's offset. No task sees
     all rows. The ranged rows are kept in the checkpoint folder, so that a
     second pass or a lost executor can't cut other ranges.
@@ -24,8 +24,9 @@ def row_index(df: DataFrame, order: list[str], name: str = "row_index") -> DataF
     shared_folder(spark)
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     tie = F.xxhash64(*[F.map_entries(f.name) if f.dataType.typeName() == "map" else F.col(f"`{f.name}`") for f in df.schema])
-    cut = df.withColumn("_tie", tie).repartitionByRange(parts, *order, "_tie").sortWithinPartitions(*order, "_tie")
-    placed = cut.drop("_tie").withColumn("_id", F.monotonically_increasing_id()).checkpoint()
+    place = [*order, "_tie", "_at"]
+    cut = df.withColumns({"_tie": tie, "_at": F.monotonically_increasing_id()}).repartitionByRange(parts, *place).sortWithinPartitions(*place)
+    placed = cut.drop("_tie", "_at").withColumn("_id", F.monotonically_increasing_id()).checkpoint()
     counts = placed.groupBy(F.shiftright("_id", 33).alias("p")).count().collect()
     start, cells = 0, []
     for p, n in sorted(map(tuple, counts)):

@@ -194,6 +194,8 @@ def test_tied_keys_are_numbered_alike_in_every_run(spark):
     second = spark.createDataFrame(rows[::-1], "k int, v string").repartition(3)
     got = [r.v for x, df in ((0, first), (1, second), (2, first)) for r in partition.modulo(df, ["k"], x, 3).collect()]
     assert sorted(got) == sorted(v for _, v in rows)
+    same = spark.createDataFrame([("k", "v")] * 50 + [("a", "b")], "k string, v string").repartition(4)
+    assert sorted(r.row_index for r in partition.row_index(same, ["k"]).collect()) == list(range(51))
     tied = [("k", 1, f"v{i}") for i in range(20)]
     assert len({dedup.last_writer(spark.createDataFrame(t, "k string, part int, v string").repartition(n), ["k"], ["part"]).first().v for t, n in ((tied, 4), (tied[::-1], 2))}) == 1
 
