@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeflow.llm.common import checkpointed, chunks, columns, commonest, fold, raw, table, written
+from placeflow.llm.common import chunks, columns, commonest, fold, raw, table, written
 from placeflow.llm.tokens import coded_words
 
 WORDS, POOLS, CLASSES, KNOWN = 2400, 160, 80, 120_000
