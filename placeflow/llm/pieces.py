@@ -36,6 +36,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeflow.llm.common import chunks, columns, commonest, raw, table, written
+from placeflow.llm.common import chunks, columns, commonest, discarded, raw, table, written
 
 SPACE = "▁"
 NEVER = -1e8
@@ -237,6 +238,27 @@ def _ragged(flat: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
     return flat[np.repeat(first - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row's segments and their ids as one compressed blob: count, sizes, id counts, bytes, ids."""
+    press = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        blobs = []
+        for row in batch.column("_own").to_pylist():
+            names, ids = [x["segment"].encode() for x in row], [x["ids"] for x in row]
+            head = np.array([len(row), *map(len, names), *map(len, ids)], "<u4")
+            blobs.append(press.compress(head.tobytes() + b"".join(names) + np.array([i for x in ids for i in x], "<u4").tobytes()))
+        yield pa.RecordBatch.from_arrays([batch.column("_k"), pa.array(blobs, pa.binary())], names=["_k", "_own"])
+
+
+def _unpacked(blob: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Segments, their ids in a row, and how many each has."""
+    blob = zstandard.ZstdDecompressor().decompress(blob)
+    n = int.from_bytes(blob[:4], "little")
+    sizes, counts = np.frombuffer(blob, "<u4", 2 * n, 4).reshape(2, n).astype(np.int64)
+    ends = 4 + 8 * n + np.append(0, np.cumsum(sizes))
+    return [blob[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist(), strict=False)], np.frombuffer(blob[ends[-1] :], "<u4").astype(np.int64), counts
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """doc_id, text and a key of both, under which a row's rare segments travel."""
     return columns(docs, "doc_id", "text").withColumn("_key", F.struct(F.col("doc_id"), F.xxhash64("text").alias("h")))
@@ -292,14 +314,13 @@ def encoded(docs: DataFrame, words: DataFrame, known: dict, finish: Callable = _
             coded, codes, counts = coded_segments(texts, cuts)
             names = coded.to_pylist()
             # the rows' own segments follow the listed ones
-            extra = own.flatten()
-            words_, ids = raw(extra.field("segment")), extra.field("ids")
-            here = {w: len(listed) + j for j, w in enumerate(words_)}
+            extra = [_unpacked(x) for x in own.to_pylist() if x is not None]
+            here = {w: len(listed) + j for j, w in enumerate(chain.from_iterable(words_ for words_, _, _ in extra))}
             at = np.fromiter((places.get(w, -1) for w in names), np.int64, len(names))
             lost = np.flatnonzero(at < 0)
             at[lost] = [here[names[j]] for j in lost.tolist()]
-            whole = np.concatenate([flat, ids.flatten().to_numpy(zero_copy_only=False)])
-            lengths = np.concatenate([sizes, ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)])
+            whole = np.concatenate([flat, *(ids for _, ids, _ in extra)])
+            lengths = np.concatenate([sizes, *(counts_ for _, _, counts_ in extra)])
             out = _ragged(whole, lengths, at[codes]).astype(np.int32)
             ends = np.append(0, np.cumsum(lengths[at[codes]]))[np.append(0, np.cumsum(counts))]
             yield finish(pa.RecordBatch.from_arrays(
@@ -316,11 +337,11 @@ def encoded(docs: DataFrame, words: DataFrame, known: dict, finish: Callable = _
     keyed = _keyed(docs)
     key = "_key struct<doc_id: bigint, h: bigint>"
     lone = keyed.select("_key", "text").mapInArrow(rare, f"{key}, segment string").join(words.select("segment", "ids"), "segment")
-    own = written(lone.groupBy("_key").agg(F.collect_set(F.struct("segment", "ids")).alias("_own")).withColumnRenamed("_key", "_k"))  # distinct segments of one text
+    sets = lone.groupBy("_key").agg(F.collect_set(F.struct("segment", "ids")).alias("_own"))  # distinct segments of one text
+    own = written(sets.withColumnRenamed("_key", "_k").mapInArrow(_packed, key.replace("_key", "_k") + ", _own binary"))
     texts = keyed.select("_key", "text").mapInArrow(squeeze, f"{key}, blob binary")
     met = texts.join(own, F.col("_key").eqNullSafe(F.col("_k")), "left")
-    none = F.array().cast("array<struct<segment: string, ids: array<int>>>")
-    whole = met.select(F.col("_key.doc_id").alias("doc_id"), "blob", F.coalesce("_own", none).alias("_own"))
+    whole = met.select(F.col("_key.doc_id").alias("doc_id"), "blob", "_own")
     return whole.mapInArrow(put, kind)
 
 
@@ -356,7 +377,9 @@ def documents(docs: DataFrame, path: str) -> DataFrame:
         same = [t == (grow.decompress(b) if b is not None else b"") for t, b in zip(decoded(ids, known), batch.column("blob").to_pylist(), strict=True)]
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_segments"), pa.array(n), pa.array(digests, pa.int64()), pa.array(same, pa.bool_())], names=["doc_id", "n_segments", "n_pieces", "ids_digest", "round_trip"])
 
-    return encoded(docs, words, known, told, "doc_id bigint, n_segments bigint, n_pieces bigint, ids_digest bigint, round_trip boolean")
+    out = encoded(docs, words, known, told, "doc_id bigint, n_segments bigint, n_pieces bigint, ids_digest bigint, round_trip boolean")
+    discarded(words)  # the listed ones are broadcast, the others are with their rows
+    return out
 
 
 def op6_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
