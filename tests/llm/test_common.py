@@ -5,9 +5,12 @@ from placeflow.llm import common
 
 def test_samples_are_bounded_and_repeat(spark):
     df = spark.range(20000).select(F.col("id").alias("doc_id"))
-    one, two = ({r.doc_id for r in common.sampled(d, "doc_id", 500).collect()} for d in (df, df.repartition(9)))
+    drawn = lambda d, n: d.filter(common.least(d, "doc_id", n))
+    one, two = ({r.doc_id for r in drawn(d, 500).collect()} for d in (df, df.repartition(9)))
     assert one == two and len(one) == 500
-    assert common.sampled(df.limit(30), "doc_id", 500).count() == 30 and common.sampled(df.limit(0), "doc_id", 5).count() == 0
+    twice = drawn(df.union(df), 500)
+    assert twice.count() == 2 * twice.distinct().count() <= 1000 and {r.doc_id for r in twice.collect()} <= one
+    assert drawn(df.limit(30), 500).count() == 30 and drawn(df.limit(0), 5).count() == 0
 
 
 def test_commonest_match_a_full_sort(spark):
@@ -27,3 +30,11 @@ def test_missing_and_extra_columns(spark):
 def test_written_tables_are_read_back(spark):
     df = spark.range(5).withColumn("a", F.array(F.col("id")))
     assert common.written(df).exceptAll(df).isEmpty() and common.checkpointed(df).count() == 5
+
+
+def test_tables_that_nothing_reads_go(spark):
+    df = common.written(spark.range(5))
+    files = df.inputFiles()
+    assert files
+    common.discarded(df)
+    assert not spark.sparkContext._jvm.java.io.File(files[0].replace("file://", "").replace("file:", "")).exists()
