@@ -29,7 +29,7 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument(f"--{k.replace('_', '-')}", **kind)
         return c
 
-    command("publish", "--data-dir", "--output", title="Places")
+    command("publish", "--data-dir", "--output", title="Places", repo_name="", private=False, no_upload=False)
     command("enrich", "--places", "--pages", "--state", partition=0, total=1, export="")
     command("merge-state", "--files", "--output", kind="enrichment")
     command("merge-tree", "--data-dir", "--output")
@@ -45,12 +45,14 @@ def places(spark, path: str) -> DataFrame:
     return files.required(files.first_readable(spark, [("csv" if path.endswith(".csv") else "parquet", path)]), "place_id", "name")
 
 
-def main(argv: list[str] | None = None, spark=None) -> DataFrame | dict | list | None:
+def main(argv: list[str] | None = None, spark=None, publisher: sinks.Publisher | None = None) -> DataFrame | dict | list | None:
     a = parser().parse_args(argv)
     spark = spark or session.build()
     if a.command == "publish":
         out = pipelines.publish(spark, a.data_dir, a.output, a.title)
         print(out)
+        if a.repo_name and not a.no_upload:
+            (publisher or sinks.Publisher()).publish(a.repo_name, [f"{a.output}/places.parquet", f"{a.output}/README.md"], a.private)
         return out
     if a.command == "enrich":
         log = state.Log(spark, a.state, ENRICHMENT, error="enrichment_error")

@@ -5,6 +5,7 @@ import json
 import pytest
 
 from placeflow import cli
+from placeflow.sinks import files as sinks
 
 PAGE = '<div class="DAQTB"><h3 class="fr6Pj">진료과목</h3><ul class="xrrcZ"><li class="zxtJF">내과</li></ul></div><ul id="_review_list"><li class="place_apply_pui"></li></ul>'
 
@@ -27,6 +28,17 @@ def test_commands(spark, tmp_path):
     (tmp_path / "tree/g/d").mkdir(parents=True)
     (tmp_path / "tree/g/d/k.json").write_text('[{"name": "x"}]')
     assert len(cli.main(["merge-tree", "--data-dir", f"{t}/tree", "--output", f"{t}/merged"], spark)) == 2
+    sent = []
+
+    class Kept(sinks.Publisher):
+        def publish(self, name, files, private=False):
+            sent.append((name, len(files), private))
+
+    publish = ["publish", "--data-dir", f"{t}/tree", "--output", f"{t}/published", "--repo-name", "a/b"]
+    assert cli.main([*publish, "--private"], spark, Kept())["n_rows"] == 1 and sent == [("a/b", 2, True)]
+    assert cli.main([*publish, "--no-upload"], spark)["n_rows"] == 1
+    with pytest.raises(NotImplementedError):
+        cli.main(publish, spark)
     (tmp_path / "sum").mkdir()
     (tmp_path / "sum/a.json").write_text(json.dumps({"gu": "g", "dong": "d", "completed_keywords": ["a"], "failed_keywords": [], "total_facilities": 4}))
     assert cli.main(["progress", "--summaries", f"{t}/sum", "--total", "4", "--output", f"{t}/progress.json"], spark).first().completion_percentage == 25.0
