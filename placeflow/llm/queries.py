@@ -1,12 +1,12 @@
 """Queries of this subpackage, and SQL texts (DuckDB) for those that SQL can say on whole tables.
 
-The others have no such text: 1, 7 and 8 train models, 3 to 6 need crc32, a
-tokenizer or an image format; tests hold them against brute force instead.
+The others have no such text: 1, 7, 8 and 12 train models, 3 to 6 and 11 need
+crc32, a tokenizer or an image format; tests hold them against brute force instead.
 """
 
 from __future__ import annotations
 
-from placeflow.llm import class_lm, language, media, near_dedup, packing, pieces, quality_crf, quality_rules, sharding, substring_dedup
+from placeflow.llm import class_lm, language, media, near_dedup, packing, periodic_runs, pieces, quality_crf, quality_rules, sharding, substring_dedup
 
 QUERIES = {
     "op1_byte_gru": language.op1_byte_gru,
@@ -19,6 +19,7 @@ QUERIES = {
     "op8_brown_classes": class_lm.op8_brown_classes,
     "op9_hyperminhash": near_dedup.op9_hyperminhash,
     "op10_debruijn_spans": substring_dedup.op10_debruijn_spans,
+    "op11_harmonic_runs": periodic_runs.op11_harmonic_runs,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
