@@ -6,7 +6,7 @@ crc32, a tokenizer or an image format; tests hold them against brute force inste
 
 from __future__ import annotations
 
-from placeflow.llm import class_lm, language, media, near_dedup, packing, periodic_runs, pieces, quality_crf, quality_rules, sharding, substring_dedup
+from placeflow.llm import class_lm, filter_audit, language, media, near_dedup, packing, periodic_runs, pieces, quality_crf, quality_rules, sharding, substring_dedup
 
 QUERIES = {
     "op1_byte_gru": language.op1_byte_gru,
@@ -20,6 +20,7 @@ QUERIES = {
     "op9_hyperminhash": near_dedup.op9_hyperminhash,
     "op10_debruijn_spans": substring_dedup.op10_debruijn_spans,
     "op11_harmonic_runs": periodic_runs.op11_harmonic_runs,
+    "op13_shapley_audit": filter_audit.op13_shapley_audit,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -67,7 +68,24 @@ w AS (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) AS i FROM l),
 k AS (SELECT w.doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY w.i) AS t FROM w ANTI JOIN r ON w.doc_id = r.doc_id AND w.i = r.i GROUP BY 1)
 SELECT l.doc_id, len(ws) AS n_words, len(ws) - coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256 FROM l LEFT JOIN k ON l.doc_id = k.doc_id"""
 
-ORACLES: dict[str, str] = {"op2_host_rules": _OP2, "op9_hyperminhash": _OP9, "op10_debruijn_spans": _OP10}
+_OP13 = rf"""
+WITH RECURSIVE g AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY 1),
+d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, {_WORDS.format("t")} AS ws FROM d),
+f AS (SELECT doc_id, part, len(ws) < 200 AS a, 100 * len(list_distinct(ws)) < 50 * len(ws) AS b,
+  100 * (length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 2 * length(t) AS c, length(translate(t, '#$%&*|', '')) < length(t) AS d,
+  coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false) AS e FROM w),
+x AS (SELECT f.part, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END) || (CASE WHEN c THEN 'C' ELSE '' END) || (CASE WHEN d THEN 'D' ELSE '' END) || (CASE WHEN e THEN 'E' ELSE '' END) AS fails,
+  count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM f LEFT JOIN g USING (doc_id) GROUP BY 1, 2),
+o(o) AS (SELECT '' UNION ALL SELECT o || l FROM o, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(l) WHERE NOT contains(o, l)),
+s AS (SELECT o AS filter_order, CAST(i.range AS INTEGER) AS step, substr(o, CAST(i.range AS INTEGER), 1) AS f, substr(o, 1, CAST(i.range AS INTEGER) - 1) AS p FROM o, range(1, 6) i WHERE length(o) = 5),
+k AS (SELECT part, filter_order, step, f, n, good, toxic, fails, contains(fails, f) AS own, length(translate(fails, p, '')) < length(fails) AS gone FROM x, s),
+r AS (SELECT part, filter_order, step, f, coalesce(sum(n) FILTER (NOT own AND NOT gone), 0) AS kept, coalesce(sum(n) FILTER (own AND NOT gone), 0) AS removed, coalesce(sum(n) FILTER (own AND gone), 0) AS redundant,
+  coalesce(sum(n) FILTER (fails = f), 0) AS unique_fails, coalesce(sum(good) FILTER (own AND NOT gone), 0) AS good_lost, coalesce(sum(toxic) FILTER (own AND NOT gone), 0) AS toxic_lost FROM k GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM r"""
+
+ORACLES: dict[str, str] = {"op2_host_rules": _OP2, "op9_hyperminhash": _OP9, "op10_debruijn_spans": _OP10, "op13_shapley_audit": _OP13}
 
 
 def queries() -> dict:
