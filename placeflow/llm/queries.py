@@ -6,7 +6,7 @@ crc32, a tokenizer or an image format; tests hold them against brute force inste
 
 from __future__ import annotations
 
-from placeflow.llm import class_lm, filter_audit, language, media, near_dedup, packing, periodic_runs, pieces, quality_crf, quality_rules, sharding, substring_dedup
+from placeflow.llm import class_lm, filter_audit, language, media, near_dedup, packing, periodic_runs, pieces, quality_crf, quality_rules, sharding, substring_dedup, toxicity
 
 QUERIES = {
     "op1_byte_gru": language.op1_byte_gru,
@@ -20,6 +20,7 @@ QUERIES = {
     "op9_hyperminhash": near_dedup.op9_hyperminhash,
     "op10_debruijn_spans": substring_dedup.op10_debruijn_spans,
     "op11_harmonic_runs": periodic_runs.op11_harmonic_runs,
+    "op12_clause_grammar": toxicity.op12_clause_grammar,
     "op13_shapley_audit": filter_audit.op13_shapley_audit,
 }
 

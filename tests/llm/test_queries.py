@@ -31,7 +31,7 @@ def test_every_query_has_a_row_for_each_document(spark):
     n = spark.read.parquet(f"{DATA}/documents.parquet").count()
     assert set(queries.QUERIES) <= set(__spark_entry__.queries()) and "pipeline" in __spark_entry__.queries()
     assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, len(queries.QUERIES) + 1))
-    for name in ("op1_byte_gru", "op3_jpeg_media", "op4_feistel_shards", "op6_piece_lattice", "op7_line_crf", "op8_brown_classes", "op11_harmonic_runs"):
+    for name in ("op1_byte_gru", "op3_jpeg_media", "op4_feistel_shards", "op6_piece_lattice", "op7_line_crf", "op8_brown_classes", "op11_harmonic_runs", "op12_clause_grammar"):
         assert queries.QUERIES[name](spark, DATA).count() == n, name
 
 
