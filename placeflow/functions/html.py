@@ -26,6 +26,7 @@ SECTION, HEADING, ITEM_LIST, ITEM = "DAQTB", "fr6Pj", "xrrcZ", "zxtJF"
 COPYRIGHT, MORE, MORE_LINK = "w8afO", "x4zu8", "place_bluelink"
 REVIEW_LIST, REVIEW_ITEM = "_review_list", "place_apply_pui"
 TITLES = ["진료과목별 전문의 정보", "진료과목", "특수진료장비", "우수기관 평가정보", "의료인 수", "주차"]
+BY_DEPARTMENT = "진료과목별"  # a heading with it isn't that of the list of departments
 MEDICAL_TITLE, REVIEW_TAB = "진료정보", "리뷰"
 PAGE_SECTION, PAGE_HEADER, PAGE_TITLE, PAGE_CONTENT = "place_section", "place_section_header", "place_section_header_title", "place_section_content"
 PAGING = "zRM9F"
@@ -173,7 +174,7 @@ def medical_info(html: str) -> dict:
         if heading is None:
             continue
         title = heading.text()
-        kind = next((i for i, t in enumerate(TITLES) if t in title), None)
+        kind = next((i for i, t in enumerate(TITLES) if t in title and not (i == 1 and BY_DEPARTMENT in title)), None)
         if kind in tables:
             name, key, value = tables[kind]
             found = {name: table_rows(section.find("table"), key, value)}

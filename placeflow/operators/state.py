@@ -1,7 +1,8 @@
-"""Resumable work on keyed state: an append-only log of records, read as the last record of each key."""
+"""Resumable work on keyed state: an append-only log of records in numbered snapshots, read as the last record of each key."""
 
 from __future__ import annotations
 
+import math
 import time
 import uuid
 from collections.abc import Callable
@@ -10,38 +11,70 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from placeflow import storage
 from placeflow.operators.dedup import last_writer
 from placeflow.operators.joins import pending
-from placeflow.sources.files import exists
+from placeflow.operators.partition import shared_folder
+
+#: Records that a resumable run commits at once.
+EVERY = 10_000
+#: Tokens of appends that a snapshot remembers.
+TOKENS = 1000
 
-class Log:
-    """Records under one folder; each append is a new batch.
 
-    Batches are ordered by `seq`, a clock in microseconds that never goes back
-    behind the log's last batch, then by name. `compact` swaps folders by
-    renaming them; what a crash between two steps leaves is mended by whoever
-    reads the log next.
+class Log:
+    """Records under one folder, as Parquet folders (path/data) that snapshots (path/snapshots) name.
+
+    A snapshot is a small numbered document: its folders, the last `seq` and the
+    tokens of the last appends. Writers write a folder, then put the next
+    snapshot; whoever finds its number taken starts from the new last one, so
+    appends and compactions can run beside each other and none is lost. Readers
+    pin the snapshot they find: `vacuum` alone removes folders. What a crash
+    leaves is a folder that no snapshot names.
+
+    Records are ordered by `seq`, a clock in microseconds that never goes back
+    behind the snapshot that an append starts from, then by batch. Of two
+    appends at once either can be the later one.
     """
 
     def __init__(self, spark: SparkSession, path: str, record: T.StructType, key: str = "place_id", error: str | None = None):
-        self.spark, self.path, self.key, self.error = spark, path, key, error
+        self.spark, self.path, self.key, self.error = spark, path.rstrip("/"), key, error
+        self.snapshots = storage.Versions(spark, f"{self.path}/snapshots")
         self.schema = T.StructType([T.StructField(key, T.StringType()), *[f for f in record if f.name != key], T.StructField("seq", T.LongType()), T.StructField("batch", T.StringType())])
 
-    def all(self) -> DataFrame:
-        self._mend()
-        if not exists(self.spark, self.path):
+    def all(self, number: int | None = None) -> DataFrame:
+        """The records of the last snapshot, or of one that vacuum has kept."""
+        document = self.snapshots.last()[1] if number is None else self.snapshots.at(number)
+        return self._read(document["folders"] if document else [])
+
+    def _read(self, folders: list[str]) -> DataFrame:
+        if not folders:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/data/{f}" for f in folders])
 
     def current(self) -> DataFrame:
         """The last record of each key."""
         return last_writer(self.all(), [self.key], ["seq", "batch"]).drop("seq", "batch")
 
-    def append(self, records: DataFrame) -> None:
-        last = max(time.time_ns() // 1000, (self.all().agg(F.max("seq")).first()[0] or 0) + 1)
+    def append(self, records: DataFrame, token: str | None = None) -> bool:
+        """Adds the records as one batch; False, and nothing added, if a batch with this token is in the log."""
+        document = self.snapshots.last()[1] or {"folders": [], "seq": 0, "tokens": []}
+        if token is not None and token in document["tokens"]:
+            return False
+        batch = uuid.uuid4().hex
+        seq = max(time.time_ns() // 1000, document["seq"] + 1)
         cols = [f.name for f in self.schema if f.name not in ("seq", "batch")]
         have = records.select(*[(F.col(c) if c in records.columns else F.lit(None)).cast(self.schema[c].dataType).alias(c) for c in cols])
-        have.withColumns({"seq": F.lit(last).cast("bigint"), "batch": F.lit(uuid.uuid4().hex)}).write.mode("append").parquet(self.path)
+        have.withColumns({"seq": F.lit(seq).cast("bigint"), "batch": F.lit(batch)}).write.parquet(f"{self.path}/data/{batch}")
+        while True:
+            number, document = self.snapshots.last()
+            document = document or {"folders": [], "seq": 0, "tokens": []}
+            if token is not None and token in document["tokens"]:
+                storage.delete(self.spark, f"{self.path}/data/{batch}")
+                return False
+            tokens = [*document["tokens"], *([] if token is None else [token])][-TOKENS:]
+            if self.snapshots.put(number + 1, {"folders": [*document["folders"], batch], "seq": max(seq, document["seq"]), "tokens": tokens}):
+                return True
 
     def pending(self, items: DataFrame, retry_errors: bool = False) -> DataFrame:
         """items without a record; with retry_errors, a record that is an error doesn't count."""
@@ -51,41 +84,59 @@ class Log:
         return pending(items, done, self.key)
 
     def compact(self) -> None:
-        """Rewrites the log beside it as one batch, then swaps the folders; the old one goes last."""
-        fresh, old = f"{self.path}.new", f"{self.path}.old"
-        self._mend()
-        newest = self.all().agg(F.max("seq")).first()[0]
-        if newest is None:
+        """Puts the last record of each key in the place of the folders that it found. Batches appended meanwhile stay beside it."""
+        document = self.snapshots.last()[1]
+        if document is None or len(document["folders"]) < 2:
             return
-        self.current().withColumns({"seq": F.lit(newest).cast("bigint"), "batch": F.lit("compact")}).write.mode("overwrite").parquet(fresh)
-        self._rename(self.path, old)
-        self._rename(fresh, self.path)
-        self._delete(old)
-
-    def _mend(self) -> None:
-        """Ends a swap that was cut off: without the log, the new folder is whole, since only a whole one is swapped in."""
-        if exists(self.spark, f"{self.path}.old"):
-            if not exists(self.spark, self.path):
-                self._rename(f"{self.path}.new", self.path)
-            self._delete(f"{self.path}.old")
-
-    def _fs(self, path: str):
-        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return where, where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _rename(self, path: str, to: str) -> None:
-        (a, fs), (b, _) = self._fs(path), self._fs(to)
-        if not fs.rename(a, b):
-            raise OSError(f"can't rename {path} to {to}")
-
-    def _delete(self, path: str) -> None:
-        where, fs = self._fs(path)
-        fs.delete(where, True)
-
-
-def run(items: DataFrame, log: Log, work: Callable[[DataFrame], DataFrame], retry_errors: bool = False) -> DataFrame:
-    """Does the work for the pending items and appends its records; running again changes nothing."""
-    log.append(work(log.pending(items, retry_errors)))
+        old, fresh = document["folders"], f"compact-{uuid.uuid4().hex}"
+        last_writer(self._read(old), [self.key], ["seq", "batch"]).select(*self.schema.names).write.parquet(f"{self.path}/data/{fresh}")
+        while True:
+            number, document = self.snapshots.last()
+            if not set(old) <= set(document["folders"]):  # another compaction was first
+                storage.delete(self.spark, f"{self.path}/data/{fresh}")
+                return
+            rest = [f for f in document["folders"] if f not in old]
+            if self.snapshots.put(number + 1, {**document, "folders": [fresh, *rest]}):
+                return
+
+    def vacuum(self, keep: int = 1, older_than: float = 86_400) -> None:
+        """Removes all snapshots but the last `keep`, and folders that none of those names.
+
+        Folders younger than `older_than` seconds stay: their append may not have put its snapshot yet.
+        """
+        numbers = self.snapshots.numbers()[-keep:]
+        named = {f for n in numbers for f in self.snapshots.at(n)["folders"]}
+        where, fs = storage.located(self.spark, f"{self.path}/data")
+        if numbers:
+            self.snapshots.forget(numbers[0])
+        if fs.exists(where):
+            for s in fs.listStatus(where):
+                if s.getPath().getName() not in named and time.time() - s.getModificationTime() / 1000 >= older_than:
+                    fs.delete(s.getPath(), True)
+
+
+def run(items: DataFrame, log: Log, work: Callable[[DataFrame], DataFrame], retry_errors: bool = False, every: int = EVERY) -> DataFrame:
+    """Does the work for the pending items, `every` at a time, and appends the records of each batch before the next one starts.
+
+    So a crash costs the batch it falls into, and running again does only what
+    has no record yet. The pending items are written as files of at most `every`
+    neighbouring keys, and a stream takes them one by one; a batch that Spark
+    repeats is known by its token and not added twice. An error of `work` ends the
+    run after the batches before it are in the log. Running again after the end
+    changes nothing.
+    """
+    spark, where, name = log.spark, f"{log.path}/work/{uuid.uuid4().hex}", uuid.uuid4().hex
+    shared_folder(spark)
+    todo = log.pending(items, retry_errors).checkpoint()
+    files = math.ceil(todo.count() / every)
+    if files:
+        try:
+            todo.repartitionByRange(files, log.key).sortWithinPartitions(log.key).write.option("maxRecordsPerFile", every).parquet(f"{where}/items")
+            stream = spark.readStream.schema(todo.schema).option("maxFilesPerTrigger", 1).parquet(f"{where}/items")
+            write = stream.writeStream.foreachBatch(lambda batch, number: log.append(work(batch), f"{name}-{number}") and None)
+            write.option("checkpointLocation", f"{where}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+        finally:
+            storage.delete(spark, where)
     return log.current()
 
 

@@ -58,12 +58,15 @@ def credit(summaries: DataFrame, mode: str = "equal") -> DataFrame:
 
 
 def progress(summaries: DataFrame, total: int, complete_on_error: bool = True) -> DataFrame:
-    """The progress document as a row: completed neighbourhoods, totals, credit by keyword, percentage."""
+    """The progress document as a row: completed neighbourhoods, totals, credit by keyword, percentage.
+
+    A neighbourhood that was run several times is completed once; the hits of all its runs count.
+    """
     done = summaries if complete_on_error else summaries.filter("error IS NULL")
     by = F.map_from_entries(F.collect_list(F.struct("keyword", "credit")))
     head = done.agg(
         F.array_sort(F.collect_set(F.concat_ws("_", "gu", "dong"))).alias("completed_dongs"),
-        F.count(F.lit(1)).alias("total_dongs_completed"),
+        F.count_distinct(F.concat_ws("_", "gu", "dong")).alias("total_dongs_completed"),
         F.sum("total_facilities").alias("total_facilities"),
         F.min("start_time").alias("start_time"),
         F.max("end_time").alias("last_updated"),

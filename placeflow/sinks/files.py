@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
-import uuid
-from collections.abc import Iterable
 from urllib.parse import unquote, unquote_plus
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from placeflow import storage
+from placeflow.storage import write_text
+
 
 def parquet(df: DataFrame, path: str, mode: str = "overwrite", by: list[str] | None = None) -> str:
     w = df.write.mode(mode).option("compression", "snappy")
@@ -60,7 +61,7 @@ def tree(df: DataFrame, path: str, status: DataFrame | None = None) -> str:
     named = both.withColumn("_name", F.concat_ws("/", *[F.url_encode(k) for k in keys], "kind"))
     work = f"{path.rstrip('/')}/_writing"
     named.select("_name", "value").write.mode("overwrite").partitionBy("_name").text(work)
-    fs, here = _fs(spark, work)
+    here, fs = storage.located(spark, work)
     jvm = spark.sparkContext._jvm
     found, files = fs.listFiles(here, True), []
     while found.hasNext():
@@ -78,28 +79,6 @@ def tree(df: DataFrame, path: str, status: DataFrame | None = None) -> str:
     return path
 
 
-def _fs(spark: SparkSession, path: str):
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
-
-
-def _create(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where, True)
-
-
-def write_text(spark: SparkSession, path: str, pieces: Iterable[str]) -> str:
-    """One UTF-8 file on any file system that Spark writes."""
-    out = _create(spark, path)
-    try:
-        for p in pieces:
-            out.write(bytearray(p.encode()))
-    finally:
-        out.close()
-    return path
-
-
 def pretty(value: object) -> str:
     """JSON indented by 2, other scripts unescaped."""
     return json.dumps(value, ensure_ascii=False, indent=2, default=str)
@@ -134,27 +113,19 @@ def json_map(df: DataFrame, path: str, key: str = "place_id") -> str:
             first = False
         yield "{}" if first else "\n}"
 
-    return _swapped(df.sparkSession, path, pieces())
+    return storage.replace(df.sparkSession, path, pieces())
 
 
-def progress_document(progress: DataFrame, path: str) -> str:
-    """The row of `stats.progress` as the progress file: completed neighbourhoods, statistics, times and percentage."""
+def progress_figures(progress: DataFrame) -> dict:
+    """The row of `stats.progress` as the progress file has it: completed neighbourhoods, statistics, times and percentage."""
     r = progress.first().asDict(True)
     figures = {"total_dongs_completed": r["total_dongs_completed"], "total_facilities": r["total_facilities"] or 0, "by_keyword": r["by_keyword"] or {}}
-    whole = {"completed_dongs": r["completed_dongs"], "statistics": figures, "start_time": r["start_time"], "last_updated": r["last_updated"], "completion_percentage": r["completion_percentage"]}
-    return _swapped(progress.sparkSession, path, [pretty(whole)])
-
-
-def _swapped(spark: SparkSession, path: str, pieces: Iterable[str]) -> str:
-    """Writes a file beside path, then takes its place: readers see the old file or the whole new one."""
-    fresh = f"{path}.{uuid.uuid4().hex}"
-    write_text(spark, fresh, pieces)
-    fs, a = _fs(spark, fresh)
-    _, b = _fs(spark, path)
-    fs.delete(b, False)
-    if not fs.rename(a, b):
-        raise OSError(f"can't write {path}")
-    return path
+    return {"completed_dongs": r["completed_dongs"], "statistics": figures, "start_time": r["start_time"], "last_updated": r["last_updated"], "completion_percentage": r["completion_percentage"]}
+
+
+def progress_document(progress: DataFrame, path: str) -> str:
+    """The progress file of all summaries, in the place of an old one."""
+    return storage.replace(progress.sparkSession, path, [pretty(progress_figures(progress))])
 
 
 def _cell(v: object) -> str:

@@ -13,17 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placeflow.schemas import ENRICHMENT, FACILITY
+from placeflow.storage import exists
 
 PROGRESS_FILE = "progress.json"
 _MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
-
-
 def path_columns(df: DataFrame, root: str, path: str = "_path") -> DataFrame:
     """file_district, file_dong and file_keyword: the first two parts of each row's file path under root, and the file's name without its ending.
 

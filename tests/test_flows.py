@@ -160,34 +160,6 @@ def test_every_failure_of_a_page_has_its_text(spark):
     assert found["6"].review_html == LIST and found["6"].has_reviews and found["6"].review_count == 1 and found["2"].reviews == []
 
 
-def test_crashes_of_compaction_lose_nothing(spark, tmp_path, monkeypatch):
-    log = state.Log(spark, str(tmp_path / "log"), ENRICHMENT)
-    for at in ("a", "b"):
-        log.append(spark.createDataFrame([("1", at), ("2", at)], "place_id string, enriched_at string"))
-    want = sorted(map(tuple, log.current().select("place_id", "enriched_at").collect()))
-    assert want == [("1", "b"), ("2", "b")]
-    plain, calls = log._rename, []
-    for broken in (1, 2):
-        def rename(a, b, broken=broken):
-            calls.append(a)
-            if len(calls) == broken:
-                raise OSError("lost")
-            plain(a, b)
-
-        calls.clear()
-        monkeypatch.setattr(log, "_rename", rename)
-        with pytest.raises(OSError):
-            log.compact()
-        monkeypatch.setattr(log, "_rename", plain)
-        assert sorted(map(tuple, log.current().select("place_id", "enriched_at").collect())) == want
-    monkeypatch.setattr(log, "_delete", lambda path: None)
-    log.compact()
-    monkeypatch.undo()
-    assert sorted(map(tuple, log.current().select("place_id", "enriched_at").collect())) == want and log.all().count() == 2
-    log.append(spark.createDataFrame([("2", "c")], "place_id string, enriched_at string"))
-    assert {r.place_id: r.enriched_at for r in log.current().collect()} == {"1": "b", "2": "c"}
-
-
 def test_tied_keys_are_numbered_alike_in_every_run(spark):
     rows = [(1 if i % 3 else i, f"v{i}") for i in range(60)]
     first = spark.createDataFrame(rows, "k int, v string").repartition(5)
