@@ -233,9 +233,10 @@ def review_page(html: str) -> dict:
     return out | {"reviews": reviews(whole), "review_html": whole}
 
 
-def more_pages(html: str) -> bool:
+def more_pages(page: str | Node) -> bool:
     """False if the last paging button of a search page is disabled."""
-    buttons = [a for box in parse(html).all("div", PAGING) for a in box.all("a", target="_self")]
+    root = parse(page) if isinstance(page, str) else page
+    buttons = [a for box in root.all("div", PAGING) for a in box.all("a", target="_self")]
     return not buttons or buttons[-1].attrs.get("aria-disabled") != "true"
 
 
@@ -309,10 +310,10 @@ def facility(html: str) -> dict:
     }
 
 
-def search_items(html: str) -> list[dict]:
+def search_items(page: str | Node) -> list[dict]:
     """Name and link of each list item with text or a link: the first name that isn't empty, else the first line, else 'Unknown'."""
     out = []
-    for li in parse(html).all("li"):
+    for li in (parse(page) if isinstance(page, str) else page).all("li"):
         if not li.text() and li.find("a") is None:
             continue
         places = [li.find("span", "TYaxT"), next((n for p in li.all("span", "place_bluelink") for n in p.all("span")), None)]
@@ -379,10 +380,6 @@ def read_review_page(column: Column | str) -> Column:
     return _reader(lambda h: _shaped(review_page(h), kind), kind, column)
 
 
-def read_more_pages(column: Column | str) -> Column:
-    return _reader(more_pages, T.BooleanType(), column)
-
-
 def read_reviews(column: Column | str) -> Column:
     kind = T.ArrayType(REVIEW)
     return _reader(lambda h: _shaped(reviews(h), kind), kind, column)
@@ -393,9 +390,16 @@ def read_facility(column: Column | str) -> Column:
     return _reader(lambda h: _shaped(facility(h), kind), kind, column)
 
 
-def read_search_items(column: Column | str) -> Column:
-    kind = T.ArrayType(T.StructType([T.StructField("name", T.StringType()), T.StructField("href", T.StringType())]))
-    return _reader(lambda h: _shaped(search_items(h), kind), kind, column)
+def read_search_page(column: Column | str) -> Column:
+    """The list items of a search page, and whether there are more pages; parsed once."""
+    item = T.StructType([T.StructField("name", T.StringType()), T.StructField("href", T.StringType())])
+    kind = T.StructType([T.StructField("items", T.ArrayType(item)), T.StructField("more", T.BooleanType())])
+
+    def read(page: str) -> dict:
+        root = parse(page)
+        return {"items": search_items(root), "more": more_pages(root)}
+
+    return _reader(read, kind, column)
 
 
 def read_texts(column: Column | str, tag: str) -> Column:

@@ -36,7 +36,7 @@ def publish(spark: SparkSession, root: str, out: str, title: str = "Places", **o
     return figures
 
 
-def medical_records(keys: DataFrame, captured: DataFrame, now: str | None = None) -> DataFrame:
+def medical_records(keys: DataFrame, captured: DataFrame | pages.Store, now: str | None = None) -> DataFrame:
     """Enrichment records for keys (place_id, ...): the section's HTML and its parsed fields, or the text of the failure."""
     found = pages.lookup(keys, captured).withColumn("_r", html.read_enrichment("html"))
     flag = lambda n: F.coalesce(F.col(f"_r.value.{n}"), F.lit(False)).alias(n)
@@ -52,12 +52,14 @@ def medical_records(keys: DataFrame, captured: DataFrame, now: str | None = None
     )
 
 
-def enrich(places: DataFrame, captured: DataFrame, log: state.Log, part: int = 0, total: int = 1, order: list[str] | None = None, now: str | None = None) -> DataFrame:
-    """Slice, then filter by name, then do what is pending; returns the log's current state."""
+def enrich(
+    places: DataFrame, captured: DataFrame | pages.Store, log: state.Log, part: int = 0, total: int = 1, order: list[str] | None = None, now: str | None = None, every: int = state.EVERY
+) -> DataFrame:
+    """Slice, then filter by name, then do what is pending, `every` places at a time; returns the log's current state."""
     named = text.has_any("name", KEYWORDS)
     mine = partition.slice_then_filter(files.required(places, "place_id", "name"), order or ["place_id", "name"], part, total, named)
     keys = mine.select(F.coalesce(text.clean_id("place_id"), F.lit(NOT_FOUND)).alias("place_id")).distinct()
-    return state.run(keys, log, lambda todo: medical_records(todo, captured, now))
+    return state.run(keys, log, lambda todo: medical_records(todo, captured, now), every=every)
 
 
 def enriched(places: DataFrame, records: DataFrame) -> DataFrame:
@@ -65,7 +67,7 @@ def enriched(places: DataFrame, records: DataFrame) -> DataFrame:
     return joins.left_defaults(places, records, "place_id", {"has_medical_info": False, "parsing_success": False})
 
 
-def bundles(keys: DataFrame, captured: DataFrame, now: str | None = None) -> DataFrame:
+def bundles(keys: DataFrame, captured: DataFrame | pages.Store, now: str | None = None) -> DataFrame:
     """Review bundles for keys (place_id, ...): the list's HTML and its reviews, or the text of the failure."""
     found = pages.lookup(keys, captured).withColumn("_r", html.read_review_page("html"))
     at = text.stamp() if now is None else F.lit(now)
@@ -82,12 +84,14 @@ def bundles(keys: DataFrame, captured: DataFrame, now: str | None = None) -> Dat
     )
 
 
-def reviews(places: DataFrame, captured: DataFrame, log: state.Log, part: int = 1, total: int = 1, order: list[str] | None = None, now: str | None = None) -> DataFrame:
-    """Filter nulls and names, then slice, then do what is pending; returns the flat table of the whole log."""
+def reviews(
+    places: DataFrame, captured: DataFrame | pages.Store, log: state.Log, part: int = 1, total: int = 1, order: list[str] | None = None, now: str | None = None, every: int = state.EVERY
+) -> DataFrame:
+    """Filter nulls and names, then slice, then do what is pending, `every` places at a time; returns the flat table of the whole log."""
     known = places.filter("place_id IS NOT NULL AND name IS NOT NULL")
     mine = partition.filter_then_slice(known, order or ["place_id", "name"], part, total, text.has_pattern("name", "|".join(KEYWORDS)))
     keys = mine.select(text.clean_id("place_id").alias("place_id")).distinct()
-    return flatten.flat_reviews(state.run(keys, log, lambda todo: bundles(todo, captured, now)), places)
+    return flatten.flat_reviews(state.run(keys, log, lambda todo: bundles(todo, captured, now), every=every), places)
 
 
 def merge_reviews(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -119,7 +123,7 @@ def merge_tree(spark: SparkSession, root: str, out: str, stamp: str) -> list[str
     return [sinks.json_array(rows, f"{base}.json"), sinks.csv_with_mark(rows, f"{base}.csv", sort_columns=False)]
 
 
-def sample_run(places: DataFrame, captured: DataFrame, out: str, count: int = 5, seed: int = 42, now: str | None = None) -> DataFrame:
+def sample_run(places: DataFrame, captured: DataFrame | pages.Store, out: str, count: int = 5, seed: int = 42, now: str | None = None) -> DataFrame:
     """A small mixed sample of places through the review readers: a JSON file for each place, and a summary as CSV.
 
     Each place's file holds its bundle without the list's HTML; the summary has a row for each place.

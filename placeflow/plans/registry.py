@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -529,6 +530,30 @@ def enrichment_outcomes(spark, d):
     return out.select("place_id", "has_medical_info", "parsing_success", "medical_info_raw", F.array_join("medical_info_parsed.medical_departments", ",").alias("departments"), "enrichment_error", "verified_place_id")
 
 
+@query(f"""SELECT CAST(page_id AS VARCHAR) AS place_id, '{ERRORS["section"]}' AS enrichment_error, CAST(page_id AS VARCHAR) AS verified_place_id, CAST(1 AS BIGINT) AS tried FROM pages""")
+def resumed_run(spark, d):
+    """Captured pages in a store, a run that fails in its third batch, and one that does the rest: each place is recorded once."""
+    where, key = _folder(spark), F.col("page_id").cast("string")
+    rows = read(spark, d, "pages", "page_id", "html")
+    store = pages.Store.write(rows.select(F.concat(F.lit("http://x/place/"), key).alias("url"), "html"), f"{where}/pages")
+    log, places = state.Log(spark, f"{where}/log", ENRICHMENT, error="enrichment_error"), rows.select(key.alias("place_id"))
+    every, batches = max(1, rows.count() // 5), []
+
+    def work(todo: DataFrame) -> DataFrame:
+        batches.append(todo)
+        if len(batches) == 3:
+            raise OSError("a batch that fails")
+        return pipelines.medical_records(todo, store, "t")
+
+    try:
+        state.run(places, log, work, every=every)
+    except StreamingQueryException:
+        pass
+    state.run(places, log, work, every=every)
+    tried = log.all().groupBy("place_id").agg(F.count(F.lit(1)).alias("tried"))
+    return log.current().select("place_id", "enrichment_error", "verified_place_id").join(tried, "place_id")
+
+
 @query("""WITH p AS (SELECT page_id, CAST(page_id % 4 AS INT) AS n FROM pages), r AS (SELECT page_id, n, CAST(unnest(CASE WHEN n = 0 THEN [NULL] ELSE range(1, n + 1) END) AS INT) AS i FROM p)
   SELECT CAST(page_id AS VARCHAR) AS place_id, concat('f', page_id) AS facility_name, coalesce(i, 0) AS review_index, CASE WHEN i > 0 THEN concat('n', page_id) END AS reviewer_name, CASE WHEN i > 0 THEN 'text' END AS review_text,
   CASE WHEN i > 0 THEN '["k", "l"]' END AS visit_keywords, CASE WHEN i > 0 THEN concat('["http://i/', page_id, '"]') END AS image_urls, CASE WHEN i > 0 THEN 1 ELSE 0 END AS image_count,
