@@ -7,12 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from placeflow.schemas import ENRICHMENT, FACILITY
+from placeflow import storage
+from placeflow.schemas import ENRICHMENT, FACILITY, PATH_KEYS
+from placeflow.sources import json_stream
 from placeflow.storage import exists
 
 PROGRESS_FILE = "progress.json"
@@ -33,11 +35,36 @@ def path_columns(df: DataFrame, root: str, path: str = "_path") -> DataFrame:
     })
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system."""
+    return storage.located(spark, path)[0].toString()
+
+
 def bare_path(spark: SparkSession, path: str) -> str:
     """A path without scheme, host and closing slash, absolute in its file system."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.makeQualified(where).toUri().getPath().rstrip("/")
+    return storage.located(spark, path)[0].toUri().getPath().rstrip("/")
+
+
+def _elements(spark: SparkSession, paths: list[str] | str, array: bool, **options: object) -> DataFrame:
+    """file_path, name, pos, key and value (JSON text) of the elements of whole files.
+
+    Tasks read the files piece by piece where they can open them (`json_stream`);
+    on a store that only Spark reads, a file is one row, and text after the
+    array's end goes unnoticed.
+    """
+    first = [paths] if isinstance(paths, str) else paths
+    if json_stream.readable(qualified(spark, first[0])):
+        return json_stream.read(json_stream.listed(spark, paths, **options), array).filter("ok").drop("ok")
+    text = spark.read.options(**options).text(paths, wholetext=True)
+    kind = "array<variant>" if array else "map<string, variant>"
+    whole = F.try_variant_get(F.try_parse_json("value"), "$", kind)
+    files = text.select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("name"), whole.alias("_v"))
+    if array:
+        files = files.filter(~F.exists("_v", lambda x: F.schema_of_variant(x).startswith("OBJECT") == F.lit(False)))
+        rows = files.select("file_path", "name", F.posexplode("_v").alias("pos", "_e")).withColumn("key", F.lit(None).cast("string"))
+    else:
+        rows = files.select("file_path", "name", F.posexplode("_v").alias("pos", "key", "_e"))
+    return rows.select("file_path", "name", "pos", "key", F.to_json("_e").alias("value"))
 
 
 def json_tree(spark: SparkSession, root: str, schema: T.StructType = FACILITY) -> DataFrame:
@@ -45,37 +72,46 @@ def json_tree(spark: SparkSession, root: str, schema: T.StructType = FACILITY) -
 
     Files lie at root/district/dong/keyword.json or deeper; district and dong
     are the first two parts. Progress files, files in root itself, empty arrays
-    and unreadable files give no rows.
+    and files that aren't an array of objects give no rows.
     """
-    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(root, wholetext=True)
-    files = text.select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("_name"), "value").filter(F.col("_name") != PROGRESS_FILE)
-    placed = path_columns(files, bare_path(spark, root)).filter("file_dong <> ''")
-    keys = ["file_district", "file_dong", "file_keyword"]
-    rows = placed.select(F.col("_path").alias("file_path"), *keys, F.posexplode(F.from_json("value", T.ArrayType(schema))).alias("pos", "_row"))
-    # an unreadable file parses to one row of nulls
-    return rows.filter(F.to_json("_row") != "{}").select("_row.*", *keys, "file_path", "pos")
+    files = _elements(spark, root, True, recursiveFileLookup=True, pathGlobFilter="*.json").filter(F.col("name") != PROGRESS_FILE)
+    placed = path_columns(files, bare_path(spark, root), "file_path").filter("file_dong <> ''")
+    return placed.select(F.from_json("value", schema).alias("_row"), *PATH_KEYS, "file_path", "pos").select("_row.*", *PATH_KEYS, "file_path", "pos")
 
 
 def file_report(spark: SparkSession, root: str) -> DataFrame:
-    """file_path, extension, and how many rows a JSON file holds (null: unreadable)."""
-    text = spark.read.text(f"{root.rstrip('/')}/*/*/*", wholetext=True)
-    n = F.size(F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>"))
-    return text.select(F.col("_metadata.file_path").alias("file_path"), F.regexp_extract("_metadata.file_name", r"\.([^.]*)$", 1).alias("extension"), F.when(n >= 0, n).alias("n_rows"))
+    """file_path, extension, and how many elements a JSON file's array holds (null: no such array, or another kind of file), at any depth.
+
+    Other files are listed, not read. The progress file doesn't count.
+    """
+    files = json_stream.listed(spark, root, recursiveFileLookup=True).filter(F.col("name") != PROGRESS_FILE)
+    ending = F.regexp_extract("name", r"\.([^.]*)$", 1)
+    counted = json_stream.read(files.filter(ending == "json"), True, objects=False, counts=True)
+    counted = counted.select("file_path", ending.alias("extension"), F.col("pos").alias("n_rows"))
+    return counted.unionByName(files.filter(ending != "json").select("file_path", ending.alias("extension"), F.lit(None).cast("int").alias("n_rows")))
+
+
+def file_counts(spark: SparkSession, root: str) -> DataFrame:
+    """Files and rows by extension: how many hold rows, how many are empty arrays, how many can't be read as an array."""
+    known = F.col("extension") == "json"
+    return file_report(spark, root).groupBy("extension").agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(F.col("n_rows") > 0).alias("processed"), F.count_if(F.col("n_rows") == 0).alias("empty"),
+        F.count_if(known & F.col("n_rows").isNull()).alias("unreadable"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
+    )
 
 
 def checkpoint_map(spark: SparkSession, paths: list[str] | str, record: T.StructType = ENRICHMENT) -> DataFrame:
     """place_id, the record's fields, file_name and part (number in the file's name) of JSON object files {place_id: record}.
 
-    Files that don't exist are passed over; without any, there are no rows. A file that isn't an object gives none.
+    Files that don't exist are passed over; without any, there are no rows. A file that isn't an object of objects gives none.
     """
     listed = [p for p in ([paths] if isinstance(paths, str) else paths) if "*" in p or exists(spark, p)]
     schema = T.StructType([T.StructField("place_id", T.StringType()), *record.fields, T.StructField("file_name", T.StringType()), T.StructField("part", T.IntegerType())])
     if not listed:
         return spark.createDataFrame([], schema)
-    text = spark.read.text(listed, wholetext=True).select(F.col("_metadata.file_name").alias("file_name"), "value")
-    rows = text.select("file_name", F.explode(F.from_json("value", T.MapType(T.StringType(), record))).alias("place_id", "_r"))
-    part = F.regexp_extract("file_name", r"_p(?:artition_)?(\d+)_of_", 1).try_cast("int")
-    return rows.select("place_id", "_r.*", "file_name", part.alias("part"))
+    part = F.regexp_extract("name", r"_p(?:artition_)?(\d+)_of_", 1).try_cast("int")
+    rows = _elements(spark, listed, False).select(F.col("key").alias("place_id"), F.from_json("value", record).alias("_r"), F.col("name").alias("file_name"), part.alias("part"))
+    return rows.select("place_id", "_r.*", "file_name", "part")
 
 
 def part_names(stem: str, total: int, suffix: str, width: int = 0) -> list[str]:
@@ -104,7 +140,14 @@ def csv_table(spark: SparkSession, path: str, schema: T.StructType | None = None
 
 def csv_rows(spark: SparkSession, path: str) -> int:
     """Rows after the header; 0 if the file is missing or can't be read."""
-    return csv_table(spark, path).count() if exists(spark, path) else 0
+    if not exists(spark, path):
+        return 0
+    try:
+        if json_stream.readable(qualified(spark, path)) and not json_stream.all_text(json_stream.listed(spark, path)):
+            return 0
+        return csv_table(spark, path).count()
+    except PySparkException:
+        return 0
 
 
 def required(df: DataFrame, *names: str) -> DataFrame:
