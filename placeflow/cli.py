@@ -13,6 +13,7 @@ from placeflow.operators import sampling, state, stats
 from placeflow.plans import pipelines
 from placeflow.schemas import BUNDLE, ENRICHMENT, SUMMARY
 from placeflow.sinks import files as sinks
+from placeflow.sinks import single
 from placeflow.sources import files
 
 
@@ -60,7 +61,7 @@ def main(argv: list[str] | None = None, spark=None, publisher: sinks.Publisher |
         stats.checkpoint_stats(out).show()
         if a.export:
             name = files.part_names("enrichment_progress_partition_", a.total, ".json", 3)
-            sinks.json_map(out, f"{a.export}/{name[0].replace('001_of', f'{a.partition:03d}_of')}")
+            single.json_map(out, f"{a.export}/{name[0].replace('001_of', f'{a.partition:03d}_of')}")
         return out
     if a.command == "merge-state":
         out = pipelines.merge_checkpoint_files(spark, a.files, a.output, a.kind)

@@ -9,6 +9,7 @@ from placeflow.functions import html, text
 from placeflow.operators import dedup, flatten, joins, partition, sampling, state, stats
 from placeflow.schemas import BUNDLE, ENRICHMENT, ERRORS, FACILITY, FLAT_REVIEW, NOT_FOUND, PATH_KEYS
 from placeflow.sinks import files as sinks
+from placeflow.sinks import single
 from placeflow.sources import files, pages
 
 #: Names that mark a clinic or hospital (fixed values).
@@ -110,7 +111,7 @@ def merge_checkpoints(spark: SparkSession, paths: list[str] | str, kind: str = "
 def merge_checkpoint_files(spark: SparkSession, paths: list[str] | str, out: str, kind: str = "reviews") -> DataFrame:
     """Workers' checkpoint files as one JSON map at out; returns the merged state."""
     whole = merge_checkpoints(spark, paths, kind)
-    sinks.json_map(whole, out)
+    single.json_map(whole, out)
     return whole
 
 
@@ -120,7 +121,7 @@ def merge_tree(spark: SparkSession, root: str, out: str, stamp: str) -> list[str
     if rows.isEmpty():
         return []
     base = f"{out.rstrip('/')}/_merged_all_{stamp}"
-    return [sinks.json_array(rows, f"{base}.json"), sinks.csv_with_mark(rows, f"{base}.csv", sort_columns=False)]
+    return [single.json_array(rows, f"{base}.json"), single.csv_with_mark(rows, f"{base}.csv", sort_columns=False)]
 
 
 def sample_run(places: DataFrame, captured: DataFrame | pages.Store, out: str, count: int = 5, seed: int = 42, now: str | None = None) -> DataFrame:
@@ -135,5 +136,5 @@ def sample_run(places: DataFrame, captured: DataFrame | pages.Store, out: str, c
     for row in named.drop("review_html").collect():  # `count` rows
         sinks.write_text(places.sparkSession, f"{out}/{row['place_id']}.json", [sinks.pretty(row.asDict(True))])
     summary = named.select("place_id", "name", "has_reviews", "review_count", "scrape_error")
-    sinks.csv_with_mark(summary, f"{out}/summary.csv", sort_columns=False)
+    single.csv_with_mark(summary, f"{out}/summary.csv", sort_columns=False)
     return summary

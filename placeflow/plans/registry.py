@@ -18,6 +18,7 @@ from placeflow.operators import dedup, flatten, joins, partition, sampling, stat
 from placeflow.plans import pipelines
 from placeflow.schemas import ENRICHMENT, ERRORS
 from placeflow.sinks import files as sinks
+from placeflow.sinks import single, tree
 from placeflow.sources import files, pages
 from placeflow.streaming import incremental
 
@@ -616,7 +617,7 @@ def json_tree_round_trip(spark, d):
         F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("file_district"), F.when(key % 3 == 0, "a b").otherwise("c+d").alias("file_dong"), F.lit("k%").alias("file_keyword"),
         key.cast("string").alias("place_id"), F.concat("s_name", F.lit(', "x"')).alias("name"), key.cast("int").alias("position"),
     )
-    return files.json_tree(spark, sinks.tree(rows, _folder(spark))).select(*rows.columns)
+    return files.json_tree(spark, tree.tree(rows, _folder(spark))).select(*rows.columns)
 
 
 @query("""SELECT CAST(c_custkey AS VARCHAR) AS place_id, CASE WHEN c_custkey % 2 = 0 THEN 'second' ELSE 'first' END AS enriched_at, c_custkey % 3 = 0 AS has_medical_info FROM customer""")
@@ -625,8 +626,8 @@ def checkpoint_maps_merge(spark, d):
     rows = read(spark, d, "customer", "c_custkey")
     one = lambda df, at: df.select(key.cast("string").alias("place_id"), (key % 3 == 0).alias("has_medical_info"), F.lit(at).alias("enriched_at"))
     names = files.part_names(f"{where}/enrichment_progress_partition_", 2, ".json", 3)
-    sinks.json_map(one(rows, "first"), names[0])
-    sinks.json_map(one(rows.filter(key % 2 == 0), "second"), names[1])
+    single.json_map(one(rows, "first"), names[0])
+    single.json_map(one(rows.filter(key % 2 == 0), "second"), names[1])
     return pipelines.merge_checkpoints(spark, names, "enrichment").select("place_id", "enriched_at", "has_medical_info")
 
 
@@ -656,7 +657,7 @@ def state_log(spark, d):
 def csv_round_trip(spark, d):
     key = F.col("c_custkey")
     rows = read(spark, d, "customer").select("c_name", F.when(key % 2 == 0, F.concat(F.lit('a,"'), key.cast("string"), F.lit("\nb"))).alias("note"), key.cast("string").alias("c_custkey"))
-    return files.csv_table(spark, sinks.csv_with_mark(rows, f"{_folder(spark)}/rows.csv", sort_columns=False)).select("c_name", "note", "c_custkey")
+    return files.csv_table(spark, single.csv_with_mark(rows, f"{_folder(spark)}/rows.csv", sort_columns=False)).select("c_name", "note", "c_custkey")
 
 
 @query("""SELECT s_suppkey, contains(s_name, '0001') AS here, s_suppkey % 2 = 0 AS phone, s_suppkey % 3 = 0 AS open, s_suppkey % 5 = 0 AS ramp, CASE WHEN s_suppkey % 2 = 0 THEN '02' ELSE s_name END AS reach FROM supplier""")

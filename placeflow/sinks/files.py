@@ -1,10 +1,8 @@
-"""Writers. Tables go out distributed; the single-file exports stream rows through the driver, never all at once."""
+"""Writers of tables and of small documents. Single files of many rows are in `single`, trees of files in `tree`."""
 
 from __future__ import annotations
 
 import json
-from urllib.parse import unquote, unquote_plus
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,85 +35,11 @@ def hierarchy(df: DataFrame, path: str) -> str:
     return parquet(df, path, by=["file_district", "file_dong", "file_keyword"])
 
 
-def tree(df: DataFrame, path: str, status: DataFrame | None = None) -> str:
-    """path/district/dong/keyword.json and .csv of df's rows (with the columns file_district, file_dong and file_keyword).
-
-    JSON files hold an array of the rows without the path's columns or nulls;
-    CSV files have a byte order mark and all columns by name. Each keyword that
-    `status` (gu, dong, keyword) has without rows gets a JSON file with an empty
-    array, so that it counts as tried. The files are written by the tasks, one
-    keyword (a few thousand rows) in a row each; the driver only renames them.
-    """
-    spark, keys = df.sparkSession, ["file_district", "file_dong", "file_keyword"]
-    cols = sorted(c for c in df.columns if c not in keys)
-    row = F.struct(*[F.col(f"`{c}`") for c in cols])
-    flat = F.struct(*[(F.to_json(F.col(f"`{c}`")) if df.schema[c].dataType.typeName() in ("array", "struct", "map") else F.col(f"`{c}`")).alias(c) for c in cols])
-    lines = df.select(*keys, F.to_json(row, {"pretty": "true"}).alias("j"), F.to_csv(flat, {"quote": '"', "escape": '"', "quoteAll": "false"}).alias("c"), F.monotonically_increasing_id().alias("_at"))
-    one = lines.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_at", "j", "c"))).alias("r"))
-    array = F.concat(F.lit("[\n"), F.array_join(F.transform("r", lambda x: x["j"]), ",\n"), F.lit("\n]"))
-    table = F.concat(F.lit("\ufeff" + ",".join(map(_cell, cols)) + "\r\n"), F.array_join(F.transform("r", lambda x: x["c"]), "\r\n"))
-    both = one.select(*keys, F.explode(F.array(F.struct(F.lit("json").alias("kind"), array.alias("value")), F.struct(F.lit("csv").alias("kind"), table.alias("value")))).alias("f")).select(*keys, "f.*")
-    if status is not None:
-        tried = status.select(F.col("gu").alias(keys[0]), F.col("dong").alias(keys[1]), F.col("keyword").alias(keys[2])).distinct()
-        both = both.union(tried.join(one.select(*keys), keys, "left_anti").select(*keys, F.lit("json"), F.lit("[]")))
-    named = both.withColumn("_name", F.concat_ws("/", *[F.url_encode(k) for k in keys], "kind"))
-    work = f"{path.rstrip('/')}/_writing"
-    named.select("_name", "value").write.mode("overwrite").partitionBy("_name").text(work)
-    here, fs = storage.located(spark, work)
-    jvm = spark.sparkContext._jvm
-    found, files = fs.listFiles(here, True), []
-    while found.hasNext():
-        files.append(found.next().getPath())
-    for file in files:
-        if file.getName().startswith("part-"):
-            # the folder's name is the file's, escaped once by the writer and once here
-            gu, dong, word, kind = unquote(file.getParent().getName().partition("=")[2]).split("/")
-            to = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{unquote_plus(gu)}/{unquote_plus(dong)}/{unquote_plus(word)}.{kind}")
-            fs.mkdirs(to.getParent())
-            fs.delete(to, False)
-            if not fs.rename(file, to):
-                raise OSError(f"can't write {to}")
-    fs.delete(here, True)
-    return path
-
-
 def pretty(value: object) -> str:
     """JSON indented by 2, other scripts unescaped."""
     return json.dumps(value, ensure_ascii=False, indent=2, default=str)
 
 
-def _inside(value: object) -> str:
-    return "\n".join("  " + x for x in pretty(value).split("\n"))
-
-
-def json_array(df: DataFrame, path: str) -> str:
-    """One file with a JSON array, indented by 2, other scripts unescaped."""
-
-    def pieces():
-        first = True
-        for row in df.toLocalIterator():
-            yield ("[\n" if first else ",\n") + _inside(row.asDict(True))
-            first = False
-        yield "[]" if first else "\n]"
-
-    return write_text(df.sparkSession, path, pieces())
-
-
-def json_map(df: DataFrame, path: str, key: str = "place_id") -> str:
-    """One file with a JSON object: the rows of df by their key, in its order. Written beside path first, so that a crash leaves the old file."""
-
-    def pieces():
-        first = True
-        for row in df.orderBy(key).toLocalIterator():
-            record = row.asDict(True)
-            name = record.pop(key)
-            yield ("{\n" if first else ",\n") + f"  {json.dumps(name, ensure_ascii=False)}: " + _inside(record).lstrip()
-            first = False
-        yield "{}" if first else "\n}"
-
-    return storage.replace(df.sparkSession, path, pieces())
-
-
 def progress_figures(progress: DataFrame) -> dict:
     """The row of `stats.progress` as the progress file has it: completed neighbourhoods, statistics, times and percentage."""
     r = progress.first().asDict(True)
@@ -128,27 +52,6 @@ def progress_document(progress: DataFrame, path: str) -> str:
     return storage.replace(progress.sparkSession, path, [pretty(progress_figures(progress))])
 
 
-def _cell(v: object) -> str:
-    return "" if v is None else '"' + str(v).replace('"', '""') + '"' if any(c in str(v) for c in ',"\n\r') else str(v)
-
-
-def csv_with_mark(df: DataFrame, path: str, sort_columns: bool = True) -> str | None:
-    """One CSV file that begins with a byte order mark, for spreadsheet programs; nothing without rows. Columns by name, or in df's order."""
-    cols = sorted(df.columns) if sort_columns else df.columns
-    rows = df.select(*cols).toLocalIterator()
-    first = next(rows, None)
-    if first is None:
-        return None
-
-    def pieces():
-        yield "\ufeff" + ",".join(map(_cell, cols)) + "\r\n"
-        yield ",".join(map(_cell, first)) + "\r\n"
-        for r in rows:
-            yield ",".join(map(_cell, r)) + "\r\n"
-
-    return write_text(df.sparkSession, path, pieces())
-
-
 def coerce_times(df: DataFrame) -> DataFrame:
     """Text columns named like times become timestamps if all their values can; else they stay as they are."""
     names = [f.name for f in df.schema if f.dataType.typeName() == "string" and ("time" in f.name.lower() or "date" in f.name.lower() or f.name == "scraped_at")]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from placeflow import storage
+from placeflow import arrowfs, storage
 from placeflow.schemas import ENRICHMENT, FACILITY, PATH_KEYS
 from placeflow.sources import json_stream
 from placeflow.storage import exists
@@ -35,11 +35,6 @@ def path_columns(df: DataFrame, root: str, path: str = "_path") -> DataFrame:
     })
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """The path with its file system."""
-    return storage.located(spark, path)[0].toString()
-
-
 def bare_path(spark: SparkSession, path: str) -> str:
     """A path without scheme, host and closing slash, absolute in its file system."""
     return storage.located(spark, path)[0].toUri().getPath().rstrip("/")
@@ -53,7 +48,7 @@ def _elements(spark: SparkSession, paths: list[str] | str, array: bool, **option
     array's end goes unnoticed.
     """
     first = [paths] if isinstance(paths, str) else paths
-    if json_stream.readable(qualified(spark, first[0])):
+    if arrowfs.reachable(storage.qualified(spark, first[0])):
         return json_stream.read(json_stream.listed(spark, paths, **options), array).filter("ok").drop("ok")
     text = spark.read.options(**options).text(paths, wholetext=True)
     kind = "array<variant>" if array else "map<string, variant>"
@@ -143,7 +138,7 @@ def csv_rows(spark: SparkSession, path: str) -> int:
     if not exists(spark, path):
         return 0
     try:
-        if json_stream.readable(qualified(spark, path)) and not json_stream.all_text(json_stream.listed(spark, path)):
+        if arrowfs.reachable(storage.qualified(spark, path)) and not json_stream.all_text(json_stream.listed(spark, path)):
             return 0
         return csv_table(spark, path).count()
     except PySparkException:

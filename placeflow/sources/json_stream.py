@@ -6,14 +6,14 @@ import codecs
 import json
 import re
 from collections.abc import Iterator
-from contextlib import suppress
 from typing import BinaryIO
 
 import pyarrow as pa
-import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from placeflow import arrowfs
+
 #: Bytes that are read at once, and bytes of files that a task should have.
 CHUNK, TASK = 1 << 20, 64 << 20
 #: Characters of a batch that goes on.
@@ -98,39 +98,11 @@ def elements(file: BinaryIO, array: bool) -> Iterator[tuple[str | None, object,
         raise ValueError("text after the end")
 
 
-_URI = re.compile(r"^([A-Za-z][\w+.-]*):(?://([^/]*))?(/.*)$", re.S)
-
-
-def opener(path: str):
-    """Opens paths of the file system that the path names: local or mounted ones, and those that Arrow knows (HDFS, S3, GCS)."""
-    m = _URI.match(path)
-    scheme, host = (m[1], m[2] or "") if m else ("file", "")
-    if scheme == "file":
-        fs, before = pyarrow.fs.LocalFileSystem(), ""
-    else:
-        fs, _ = pyarrow.fs.FileSystem.from_uri(f"{scheme}://{host}/")
-        before = host if scheme in ("s3", "s3a", "gs", "gcs") else ""
-
-    def open_(path: str) -> BinaryIO:
-        m = _URI.match(path)
-        return fs.open_input_stream(before + (m[3] if m else path))
-
-    return open_
-
-
-def readable(path: str) -> bool:
-    """Whether tasks can open files there themselves."""
-    with suppress(pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError, ImportError):
-        opener(path)
-        return True
-    return False
-
-
-def _valid(open_, path: str, array: bool, objects: bool) -> int | None:
+def _valid(store: arrowfs.Store, path: str, array: bool, objects: bool) -> int | None:
     """The number of elements; None if the file can't be read, or if an element that should be an object isn't."""
     try:
         n = 0
-        with open_(path) as f:
+        with store.open(path) as f:
             for _, value, _ in elements(f, array):
                 if objects and not isinstance(value, dict):
                     return None
@@ -142,7 +114,7 @@ def _valid(open_, path: str, array: bool, objects: bool) -> int | None:
 
 def _reading(array: bool, objects: bool, counts: bool):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_ = None
+        store = None
 
         def out(rows: list[tuple]) -> pa.RecordBatch:
             kinds = (pa.string(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.bool_())
@@ -151,13 +123,13 @@ def _reading(array: bool, objects: bool, counts: bool):
 
         for batch in batches:
             for path, file_path, name in zip(*(batch.column(c).to_pylist() for c in ("path", "file_path", "name")), strict=True):
-                open_ = open_ or opener(path)
-                n = _valid(open_, path, array, objects)
+                store = store or arrowfs.Store(path)
+                n = _valid(store, path, array, objects)
                 if counts or n is None:
                     yield out([(file_path, name, n, None, None, n is not None)])
                     continue
                 rows, held = [], 0
-                with open_(path) as f:
+                with store.open(path) as f:
                     for pos, (key, _, text) in enumerate(elements(f, array)):
                         rows.append((file_path, name, pos, key, text, True))
                         held += len(text)
@@ -195,7 +167,7 @@ def _text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path in batch.column("path").to_pylist():
             decoder = codecs.getincrementaldecoder("utf-8")()
             try:
-                with opener(path)(path) as f:
+                with arrowfs.Store(path).open(path) as f:
                     while data := f.read(CHUNK):
                         decoder.decode(data)
                 decoder.decode(b"", True)

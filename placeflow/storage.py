@@ -17,6 +17,11 @@ def located(spark: SparkSession, path: str):
     return fs.makeQualified(where), fs
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system."""
+    return located(spark, path)[0].toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     where, fs = located(spark, path)
     return fs.exists(where)
@@ -98,6 +103,13 @@ def replace(spark: SparkSession, path: str, pieces: Iterable[str]) -> str:
     return path
 
 
+def moved(spark: SparkSession, path: str, to: str) -> None:
+    """Puts a file in the place of another, if there is one, in one step."""
+    (fresh, _), (where, fs) = located(spark, path), located(spark, to)
+    fs.mkdirs(where.getParent())
+    _rename(spark, fresh, where, "OVERWRITE")
+
+
 def put(spark: SparkSession, path: str, pieces: Iterable[str]) -> bool:
     """A new file at path; False, and nothing changed, if there is one already. Of several callers at once one succeeds."""
     where, fs, fresh = _written_beside(spark, path, pieces)

@@ -11,6 +11,8 @@ from placeflow.operators import dedup, flatten, partition, sampling, state, stat
 from placeflow.plans import pipelines
 from placeflow.schemas import BUNDLE, ENRICHMENT, ERRORS, FACILITY_KEYS, FLAT_REVIEW
 from placeflow.sinks import files as sinks
+from placeflow.sinks import single
+from placeflow.sinks import tree as trees
 from placeflow.sources import connector, files, pages
 
 
@@ -194,11 +196,11 @@ def test_files_of_a_tree_and_maps(spark, tree, tmp_path_factory):
     rows = files.json_tree(spark, tree)
     out = str(tmp_path / "again")
     tried = spark.createDataFrame([("Gwanak-gu", "신사동", "의 원+x%", "empty"), ("Gwanak-gu", "신사동", "병원", "done")], "gu string, dong string, keyword string, status string")
-    sinks.tree(rows.drop("file_path", "pos"), out, tried)
+    trees.tree(rows.drop("file_path", "pos"), out, tried)
     back = files.json_tree(spark, out)
     same = [c for c in rows.columns if c not in ("file_path", "pos")]
     assert sorted(map(str, back.select(same).collect())) == sorted(map(str, rows.select(same).collect()))
-    assert json.loads((tmp_path / "again/Gwanak-gu/신사동/의 원+x%.json").read_text()) == [] and not (tmp_path / "again/_writing").exists()
+    assert json.loads((tmp_path / "again/Gwanak-gu/신사동/의 원+x%.json").read_text()) == [] and sorted(p.name for p in (tmp_path / "again").iterdir()) == ["Gangnam-gu", "Gwanak-gu"]
     body = (tmp_path / "again/Gangnam-gu/개포1동/의원.csv").read_bytes()
     assert body.startswith(b"\xef\xbb\xbfaddress,") and files.csv_rows(spark, f"{out}/Gangnam-gu/개포1동/의원.csv") == 2
     put(tmp_path / "deep/a/b/c/d.json", [{"place_id": "1"}])
@@ -209,7 +211,7 @@ def test_files_of_a_tree_and_maps(spark, tree, tmp_path_factory):
     assert open(merged[1], encoding="utf-8-sig").readline().startswith("name,category,")
     state_ = spark.createDataFrame([("2", True), ("1", False)], "place_id string, has_medical_info boolean")
     for _ in range(2):
-        sinks.json_map(state_, str(tmp_path / "s_p1_of_1.json"))
+        single.json_map(state_, str(tmp_path / "s_p1_of_1.json"))
     assert json.loads((tmp_path / "s_p1_of_1.json").read_text()) == {"1": {"has_medical_info": False}, "2": {"has_medical_info": True}}
     assert files.checkpoint_map(spark, str(tmp_path / "s_p1_of_1.json")).count() == 2
     both = pipelines.merge_checkpoint_files(spark, [str(tmp_path / "s_p1_of_1.json")], str(tmp_path / "all.json"), "enrichment")
@@ -277,14 +279,14 @@ def test_sample_quotas(spark):
 
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("가,나", 1, ["x"]), ('q"\n', None, [])], "b string, a int, c array<string>")
-    assert json.loads((tmp_path / "x.json").read_text() if sinks.json_array(df, str(tmp_path / "x.json")) else "")[0] == {"b": "가,나", "a": 1, "c": ["x"]}
-    sinks.csv_with_mark(df.drop("c"), str(tmp_path / "x.csv"))
+    assert json.loads((tmp_path / "x.json").read_text() if single.json_array(df, str(tmp_path / "x.json")) else "")[0] == {"b": "가,나", "a": 1, "c": ["x"]}
+    single.csv_with_mark(df.drop("c"), str(tmp_path / "x.csv"))
     body = (tmp_path / "x.csv").read_bytes()
     assert body.startswith(b"\xef\xbb\xbfa,b\r\n")
     back = files.csv_table(spark, str(tmp_path / "x.csv"))
     assert back.columns == ["a", "b"] and {r.b for r in back.collect()} == {"가,나", 'q"\n'}
     assert files.csv_rows(spark, str(tmp_path / "x.csv")) == 2 and files.csv_rows(spark, str(tmp_path / "none.csv")) == 0
-    assert sinks.csv_with_mark(df.drop("c").limit(0), str(tmp_path / "y.csv")) is None and not (tmp_path / "y.csv").exists()
+    assert single.csv_with_mark(df.drop("c").limit(0), str(tmp_path / "y.csv")) is None and not (tmp_path / "y.csv").exists()
     sinks.csv(df, str(tmp_path / "z"))
     assert files.csv_table(spark, str(tmp_path / "z")).columns == ["a", "b", "c"]
     sinks.json_lines(df, str(tmp_path / "lines"))

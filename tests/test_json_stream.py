@@ -8,6 +8,7 @@ import sys
 
 import pytest
 
+from placeflow import arrowfs
 from placeflow.schemas import BUNDLE, ENRICHMENT
 from placeflow.sources import files, json_stream
 
@@ -33,7 +34,7 @@ def test_elements_are_those_of_the_whole_text(monkeypatch):
         rows = [anything(r) for _ in range(r.randrange(6))]
         whole = rows if i % 2 else {f"{r.choice(['1', '}', chr(34)])}{j}": v for j, v in enumerate(rows)}
         text = json.dumps(whole, ensure_ascii=bool(i % 3), indent=r.choice([None, 2, 4]), separators=r.choice([None, (",", ":")]) if i % 4 else None)
-        text = r.choice(["", " \n", "﻿"]) + text + r.choice(["", "\n", " \t"])
+        text = r.choice(["", " \n", "\ufeff"]) + text + r.choice(["", "\n", " \t"])
         for chunk in (1, 2, 3, 7, 64, 1 << 20):
             got = streamed(text, bool(i % 2), chunk, monkeypatch)
             assert [(k, v) for k, v, _ in got] == ([(None, v) for v in rows] if i % 2 else list(whole.items())), (text, chunk)
@@ -81,7 +82,7 @@ def test_trees_by_pieces_and_at_once(spark, tmp_path, monkeypatch):
     rows = files.json_tree(spark, str(root))
     got = sorted(map(str, rows.select("file_district", "file_dong", "file_keyword", "pos", "place_id", "name", "page_number").collect()))
     assert len(got) == 53 and {(r.file_district, r.file_dong, r.file_keyword) for r in rows.collect()} == {("가 구", "c+d%41", "병 원"), ("g", "d", "k")}
-    monkeypatch.setattr(json_stream, "readable", lambda path: False)
+    monkeypatch.setattr(arrowfs, "reachable", lambda path: False)
     for name in "hi":  # the reader of whole files takes bytes that aren't UTF-8, and text after the end
         put(root / f"bad/d/{name}.json", "{}")
     at_once = files.json_tree(spark, str(root)).select("file_district", "file_dong", "file_keyword", "pos", "place_id", "name", "page_number")
@@ -95,7 +96,7 @@ def test_maps_by_pieces_and_at_once(spark, tmp_path, monkeypatch):
     paths = [str(tmp_path / f"s_p{i}_of_2.json") for i in (1, 2, 3)]
     got = sorted(map(str, files.checkpoint_map(spark, paths).collect()))
     assert len(got) == 3
-    monkeypatch.setattr(json_stream, "readable", lambda path: False)
+    monkeypatch.setattr(arrowfs, "reachable", lambda path: False)
     assert sorted(map(str, files.checkpoint_map(spark, paths).collect())) == got
 
 
