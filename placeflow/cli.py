@@ -1,4 +1,4 @@
-"""Command line: python -m placeflow.cli COMMAND ... (publish, enrich, reviews, merge, merge-state, merge-tree, progress, sample)."""
+"""Command line: python -m placeflow.cli COMMAND ... (store, collect, stats, progress, publish, enrich, reviews, merge, merge-state, merge-tree, sample)."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ from placeflow.plans import pipelines
 from placeflow.schemas import BUNDLE, ENRICHMENT, SUMMARY
 from placeflow.sinks import files as sinks
 from placeflow.sinks import single
-from placeflow.sources import files
+from placeflow.sources import files, pages
 
 
 def parser() -> argparse.ArgumentParser:
@@ -31,10 +31,13 @@ def parser() -> argparse.ArgumentParser:
         return c
 
     command("publish", "--data-dir", "--output", title="Places", repo_name="", private=False, no_upload=False)
-    command("enrich", "--places", "--pages", "--state", partition=0, total=1, export="")
-    command("merge-state", "--files", "--output", kind="enrichment")
+    command("store", "--pages", "--output")
+    command("collect", "--pages", "--output", total=1, max_pages=10, first_page_only=False, min_entries=pipelines.LEAST)
+    command("stats", "--data-dir", total=1, min_entries=pipelines.LEAST)
+    command("enrich", "--places", "--pages", "--state", partition=0, total=1, export="", save_freq=state.EVERY)
+    command("merge-state", "--files", "--output", kind="enrichment", places="", table="")
     command("merge-tree", "--data-dir", "--output")
-    command("reviews", "--places", "--pages", "--state", "--output", partition_x=1, partition_y=1)
+    command("reviews", "--places", "--pages", "--state", "--output", partition_x=1, partition_y=1, save_freq=state.EVERY)
     command("merge", "--data-dir", "--output", partitions=1, stem="reviews_p", suffix=".parquet")
     command("progress", "--summaries", total=1, output="")
     command("sample", "--places", num=5, seed=42, pages="", output="")
@@ -46,6 +49,12 @@ def places(spark, path: str) -> DataFrame:
     return files.required(files.first_readable(spark, [("csv" if path.endswith(".csv") else "parquet", path)]), "place_id", "name")
 
 
+def captured(spark, path: str) -> DataFrame | pages.Store:
+    """A store of pages, or any table of them."""
+    table = spark.read.parquet(path)
+    return pages.Store(spark, path) if table.columns == ["place_id", "url", "html"] else table
+
+
 def main(argv: list[str] | None = None, spark=None, publisher: sinks.Publisher | None = None) -> DataFrame | dict | list | None:
     a = parser().parse_args(argv)
     spark = spark or session.build()
@@ -55,9 +64,19 @@ def main(argv: list[str] | None = None, spark=None, publisher: sinks.Publisher |
         if a.repo_name and not a.no_upload:
             (publisher or sinks.Publisher()).publish(a.repo_name, [f"{a.output}/places.parquet", f"{a.output}/README.md"], a.private)
         return out
+    if a.command == "store":
+        return pages.Store.write(spark.read.parquet(a.pages), a.output).read()
+    if a.command == "collect":
+        out = pipelines.collect(spark, spark.read.parquet(a.pages), a.output, a.total, a.max_pages, a.first_page_only, a.min_entries)
+        print(sinks.pretty(out))
+        return out
+    if a.command == "stats":
+        out = pipelines.tree_stats(spark, a.data_dir, a.total, a.min_entries)
+        print(sinks.pretty(out))
+        return out
     if a.command == "enrich":
         log = state.Log(spark, a.state, ENRICHMENT, error="enrichment_error")
-        out = pipelines.enrich(places(spark, a.places), spark.read.parquet(a.pages), log, a.partition, a.total)
+        out = pipelines.enrich(places(spark, a.places), captured(spark, a.pages), log, a.partition, a.total, every=a.save_freq)
         stats.checkpoint_stats(out).show()
         if a.export:
             name = files.part_names("enrichment_progress_partition_", a.total, ".json", 3)
@@ -66,12 +85,14 @@ def main(argv: list[str] | None = None, spark=None, publisher: sinks.Publisher |
     if a.command == "merge-state":
         out = pipelines.merge_checkpoint_files(spark, a.files, a.output, a.kind)
         (stats.checkpoint_stats if a.kind == "enrichment" else stats.review_stats)(out).show()
+        if a.kind == "enrichment" and a.places and a.table:
+            return pipelines.merge_enriched(spark, places(spark, a.places), a.files, a.table)
         return out
     if a.command == "merge-tree":
         return pipelines.merge_tree(spark, a.data_dir, a.output, f"{datetime.now():%Y%m%d_%H%M%S}")
     if a.command == "reviews":
         log = state.Log(spark, a.state, BUNDLE, error="scrape_error")
-        out = pipelines.reviews(places(spark, a.places), spark.read.parquet(a.pages), log, a.partition_x, a.partition_y)
+        out = pipelines.reviews(places(spark, a.places), captured(spark, a.pages), log, a.partition_x, a.partition_y, every=a.save_freq)
         name = files.part_names("reviews_p", a.partition_y, ".parquet")[a.partition_x - 1]
         sinks.parquet(out, f"{a.output}/{name}")
         stats.merge_stats(out).show()
@@ -89,7 +110,7 @@ def main(argv: list[str] | None = None, spark=None, publisher: sinks.Publisher |
         return out
     rows = places(spark, a.places)
     if a.pages and a.output:
-        out = pipelines.sample_run(rows, spark.read.parquet(a.pages), a.output, a.num, a.seed)
+        out = pipelines.sample_run(rows, captured(spark, a.pages), a.output, a.num, a.seed)
         out.show(truncate=False)
         return out
     has = F.coalesce(F.col("reviews").isNotNull() & (F.col("reviews") != ""), F.lit(False)) if "reviews" in rows.columns else F.lit(False)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def completeness(names: list[str], sentinels: tuple[str, ...] = ()) -> Column:
@@ -30,12 +31,22 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def last_writer(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last row of each key. One partial aggregate per key, so a hot key is combined before the shuffle.
 
-    Rows of equal order are told apart by a hash of their values, so every run picks the same one.
+    Rows of equal order are told apart by their values, so every run picks the
+    same one; values are looked at only where orders are equal.
     """
     rest = [c for c in df.columns if c not in keys]
-    tie = F.xxhash64(*[F.map_entries(c) if df.schema[c].dataType.typeName() == "map" else F.col(c) for c in rest])
-    last = F.max_by(F.struct(*rest), F.struct(*order, tie))
-    return df.groupBy(*keys).agg(last.alias("_r")).select(*keys, "_r.*")
+    if any(_has_map(df.schema[c].dataType) for c in rest):  # maps have no order, their hash has
+        tie = F.xxhash64(*[F.map_entries(c) if df.schema[c].dataType.typeName() == "map" else F.col(c) for c in rest])
+        last = F.max_by(F.struct(*rest), F.struct(*order, tie))
+    else:
+        last = F.max(F.struct(*order, *[c for c in rest if c not in order]))
+    return df.groupBy(*keys).agg(last.alias("_r")).select(*keys, *[F.col("_r")[c].alias(c) for c in rest])
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType) or (isinstance(kind, T.ArrayType) and _has_map(kind.elementType))
 
 
 def duplicates(df: DataFrame, key: str) -> DataFrame:

@@ -7,7 +7,6 @@ import tempfile
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def row_index(df: DataFrame, order: list[str], name: str = "row_index") -> DataFrame:
@@ -16,8 +15,8 @@ def row_index(df: DataFrame, order: list[str], name: str = "row_index") -> DataF
     So two runs number the same table alike, and a key that many rows share is
     split over ranges. Rows equal in every column can change places, so they are
     split as well, by where they are read. Rows are range-partitioned and sorted; each range's
-    count (one row for each partition) gives the next one's offset. No task sees
-    all rows. The ranged rows are kept in the checkpoint folder, so that a
+    count (one row for each partition, joined by broadcast) gives the next one's
+    offset. No task sees all rows, and the plan doesn't grow with the partitions. The ranged rows are kept in the checkpoint folder, so that a
     second pass or a lost executor can't cut other ranges.
     """
     spark = df.sparkSession
@@ -27,13 +26,12 @@ def row_index(df: DataFrame, order: list[str], name: str = "row_index") -> DataF
     place = [*order, "_tie", "_at"]
     cut = df.withColumns({"_tie": tie, "_at": F.monotonically_increasing_id()}).repartitionByRange(parts, *place).sortWithinPartitions(*place)
     placed = cut.drop("_tie", "_at").withColumn("_id", F.monotonically_increasing_id()).checkpoint()
-    counts = placed.groupBy(F.shiftright("_id", 33).alias("p")).count().collect()
-    start, cells = 0, []
-    for p, n in sorted(map(tuple, counts)):
-        cells += [F.lit(p), F.lit(start)]
-        start += n
-    before = F.create_map(*cells)[F.shiftright("_id", 33)] if cells else F.lit(0)
-    return placed.withColumn(name, (before + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).cast(T.LongType())).drop("_id")
+    counts = placed.groupBy(F.shiftright("_id", 33).alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
+    # one row for each partition
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_p", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_first"))
+    numbered = placed.withColumn("_p", F.shiftright("_id", 33)).join(F.broadcast(offsets), "_p")
+    return numbered.withColumn(name, (F.col("_first") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).cast("bigint")).drop("_id", "_p", "_first")
 
 
 def shared_folder(spark) -> None:

@@ -6,15 +6,16 @@ import math
 import time
 import uuid
 from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placeflow import storage
 from placeflow.operators.dedup import last_writer
 from placeflow.operators.joins import pending
-from placeflow.operators.partition import shared_folder
+from placeflow.operators.partition import row_index, shared_folder
 
 #: Records that a resumable run commits at once.
 EVERY = 10_000
@@ -159,8 +160,15 @@ def incomplete_tasks(tasks: DataFrame, completed: DataFrame, hits: DataFrame, le
     return tasks.join(completed.select("gu", "dong").union(enough).distinct(), ["gu", "dong"], "left_anti")
 
 
-def run_tasks(tasks: DataFrame, search: Callable[[str, str, str], int]) -> DataFrame:
-    """A summary for each task (gu, dong, keywords): each keyword is tried, a failure is kept as data."""
+def run_tasks(tasks: DataFrame, search: Callable[[str, str, str], int], weight: Column | None = None) -> DataFrame:
+    """A summary for each task (gu, dong, keywords): each keyword is tried, a failure is kept as data.
+
+    Every row is a Spark task of its own, so a slow one holds no other, and an
+    idle core takes the next. The heaviest come first (by `weight`, else by the
+    number of keywords), so that the last to end is a short one. The rows are
+    numbered in that order and dealt by number; they are narrow, and a task is a
+    search, so a scheduled task costs little beside it.
+    """
     import pandas as pd
 
     from placeflow.schemas import SUMMARY
@@ -169,7 +177,7 @@ def run_tasks(tasks: DataFrame, search: Callable[[str, str, str], int]) -> DataF
         for f in frames:
             out = []
             for t in f.itertuples():
-                row = {"gu": t.gu, "dong": t.dong, "completed_keywords": [], "failed_keywords": [], "total_facilities": 0, "start_time": None, "end_time": None, "error": None}
+                row = {"gu": t.gu, "dong": t.dong, "completed_keywords": [], "failed_keywords": [], "total_facilities": 0, "start_time": _now(), "end_time": None, "error": None}
                 for word in t.keywords:
                     try:
                         row["total_facilities"] += search(t.gu, t.dong, word)
@@ -177,7 +185,14 @@ def run_tasks(tasks: DataFrame, search: Callable[[str, str, str], int]) -> DataF
                     except Exception as e:  # noqa: BLE001  failures are data here
                         row["failed_keywords"].append(word)
                         row["error"] = str(e)
-                out.append(row)
+                out.append(row | {"end_time": _now()})
             yield pd.DataFrame(out, columns=SUMMARY.names)
 
-    return tasks.select("gu", "dong", "keywords").mapInPandas(task, SUMMARY)
+    heavy = F.size("keywords") if weight is None else weight
+    numbered = row_index(tasks.select("gu", "dong", "keywords", (-heavy).alias("_w")), ["_w", "gu", "dong"], "_n")
+    dealt = numbered.repartitionById(max(1, numbered.count()), F.col("_n").cast("int"))
+    return dealt.select("gu", "dong", "keywords").mapInPandas(task, SUMMARY)
+
+
+def _now() -> str:
+    return datetime.now().isoformat()

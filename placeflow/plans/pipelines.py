@@ -5,15 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from placeflow import storage
 from placeflow.functions import html, text
 from placeflow.operators import dedup, flatten, joins, partition, sampling, state, stats
 from placeflow.schemas import BUNDLE, ENRICHMENT, ERRORS, FACILITY, FLAT_REVIEW, NOT_FOUND, PATH_KEYS
 from placeflow.sinks import files as sinks
 from placeflow.sinks import single
+from placeflow.sinks import tree as trees
+from placeflow.sinks.progress import Progress
 from placeflow.sources import files, pages
 
 #: Names that mark a clinic or hospital (fixed values).
 KEYWORDS = ["병원", "의원"]
+#: Rows of the first keyword that make a neighbourhood complete.
+LEAST = 40
 
 
 def published(rows: DataFrame, **options) -> DataFrame:
@@ -68,6 +73,15 @@ def enriched(places: DataFrame, records: DataFrame) -> DataFrame:
     return joins.left_defaults(places, records, "place_id", {"has_medical_info": False, "parsing_success": False})
 
 
+def merge_enriched(spark: SparkSession, places: DataFrame, paths: list[str] | str, out: str) -> DataFrame:
+    """The merged checkpoints joined to all places, written as one table; parsed fields are an empty record where there are none."""
+    table = enriched(places, merge_checkpoints(spark, paths, "enrichment"))
+    parsed = table.schema["medical_info_parsed"].dataType
+    empty = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in parsed])
+    sinks.parquet(table.withColumn("medical_info_parsed", F.coalesce("medical_info_parsed", empty)), out)
+    return spark.read.parquet(out)
+
+
 def bundles(keys: DataFrame, captured: DataFrame | pages.Store, now: str | None = None) -> DataFrame:
     """Review bundles for keys (place_id, ...): the list's HTML and its reviews, or the text of the failure."""
     found = pages.lookup(keys, captured).withColumn("_r", html.read_review_page("html"))
@@ -124,6 +138,51 @@ def merge_tree(spark: SparkSession, root: str, out: str, stamp: str) -> list[str
     return [single.json_array(rows, f"{base}.json"), single.csv_with_mark(rows, f"{base}.csv", sort_columns=False)]
 
 
+def rows_by_neighbourhood(spark: SparkSession, root: str, keyword: str = KEYWORDS[0]) -> DataFrame:
+    """gu, dong and n: rows after the header of the keyword's CSV files of a tree."""
+    rows = files.csv_lines(spark, root, f"{keyword}.csv")
+    return rows.select(F.col("file_district").alias("gu"), F.col("file_dong").alias("dong"), "n")
+
+
+def completed(spark: SparkSession, root: str, document: dict | None, keyword: str = KEYWORDS[0], least: int = LEAST) -> DataFrame:
+    """gu and dong of the neighbourhoods that the progress document names, or whose first keyword has enough rows."""
+    named = spark.createDataFrame([(d,) for d in (document or {}).get("completed_dongs", [])], "name string")
+    split = named.select(F.substring_index("name", "_", 1).alias("gu"), F.expr("substring(name, locate('_', name) + 1)").alias("dong"))
+    enough = rows_by_neighbourhood(spark, root, keyword).filter(F.col("n") >= least) if storage.exists(spark, root) else split.limit(0)
+    return split.union(enough.select("gu", "dong")).distinct()
+
+
+def collect(spark: SparkSession, captured: DataFrame, out: str, total: int, max_pages: int | None = 10, first_page_only: bool = False, least: int = LEAST) -> dict:
+    """Captured search pages (gu, search_location, search_query, page_number, html) as a tree of files and a progress file.
+
+    Neighbourhoods that are complete (by the progress file, or by the rows of
+    their first keyword) are passed over, so running again does only the rest.
+    Each search gets its files; one without hits an empty array. Returns the
+    progress document.
+    """
+    progress = Progress(spark, f"{out.rstrip('/')}/progress.json", total)
+    done = completed(spark, out, progress.read(), least=least)
+    place = [F.col("gu"), F.col("search_location").alias("dong")]
+    todo = captured.join(done.select("gu", F.col("dong").alias("search_location")), ["gu", "search_location"], "left_anti")
+    hits = pages.search_hits(todo, 1 if first_page_only else max_pages, ("gu", "search_location", "search_query")).checkpoint()
+    tried = todo.select(*place, F.col("search_query").alias("keyword")).distinct()
+    rows = hits.withColumns(dict(zip(PATH_KEYS, (F.col("gu"), F.col("search_location"), F.col("search_query")), strict=True))).drop("gu")
+    trees.tree(rows, out, tried)
+    counts = hits.groupBy(*place, F.col("search_query").alias("keyword")).agg(F.count(F.lit(1)).alias("n"))
+    now, none = text.stamp(), F.lit(None).cast("string")
+    summaries = tried.join(counts, ["gu", "dong", "keyword"], "left").groupBy("gu", "dong").agg(
+        F.sort_array(F.collect_list("keyword")).alias("completed_keywords"), F.coalesce(F.sum("n"), F.lit(0)).alias("total_facilities")
+    )
+    return progress.add(summaries.select("gu", "dong", "completed_keywords", F.array().cast("array<string>").alias("failed_keywords"), "total_facilities", now.alias("start_time"), now.alias("end_time"), none.alias("error")))
+
+
+def tree_stats(spark: SparkSession, root: str, total: int, least: int = LEAST) -> dict:
+    """Files by extension, neighbourhoods whose first keyword has enough rows, and their share."""
+    files_ = {r.extension: r.asDict() for r in files.file_counts(spark, root).collect()}
+    enough = rows_by_neighbourhood(spark, root).filter(F.col("n") >= least).count()
+    return {"files": files_, "complete": enough, "total": total, "percent": 100.0 * enough / total if total else None}
+
+
 def sample_run(places: DataFrame, captured: DataFrame | pages.Store, out: str, count: int = 5, seed: int = 42, now: str | None = None) -> DataFrame:
     """A small mixed sample of places through the review readers: a JSON file for each place, and a summary as CSV.
 

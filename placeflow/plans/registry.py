@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from placeflow.functions import html, text
 from placeflow.operators import dedup, flatten, joins, partition, sampling, state, stats
@@ -318,6 +319,16 @@ def sentinel_counts(spark, d):
     return read(spark, d, "customer").select(p.alias("p")).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(joins.not_same(F.col("p"), "N/A")).alias("with_phone"), F.count_if(F.col("p").isNull()).alias("missing"))
 
 
+@query("""SELECT count(DISTINCT concat(user_id, '_', event_type)) AS total_dongs_completed, CAST(count(*) AS BIGINT) AS total_facilities, 100.0 * count(DISTINCT concat(user_id, '_', event_type)) / 1000 AS completion_percentage FROM events""")
+def progress_of_repeated_runs(spark, d):
+    """A summary for each event: most neighbourhoods have several, and count once."""
+    runs = read(spark, d, "events").select(
+        F.col("user_id").cast("string").alias("gu"), F.col("event_type").alias("dong"), F.array("event_type").alias("completed_keywords"), F.lit(1).cast("bigint").alias("total_facilities"),
+        F.lit("s").alias("start_time"), F.lit("e").alias("end_time"), F.lit(None).cast("string").alias("error"),
+    )
+    return stats.progress(runs, 1000).select("total_dongs_completed", "total_facilities", "completion_percentage")
+
+
 @query("SELECT o_orderpriority, count(*) AS n, 100.0 * count(*) / sum(count(*)) OVER () AS percent FROM orders GROUP BY 1")
 def category_breakdown(spark, d):
     return stats.breakdown(read(spark, d, "orders"), "o_orderpriority")
@@ -602,6 +613,63 @@ def search_positions(spark, d):
     return hits.select("search_location", "page_number", "preview_name", F.col("position").cast("int").alias("position"))
 
 
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS place_id, CASE WHEN p_partkey % 7 = 0 THEN concat('d', p_size, ':', p_partkey) END AS by_department, CASE WHEN p_partkey % 7 = 1 THEN concat('m', p_size, ',n') END AS departments,
+  CASE WHEN p_partkey % 7 = 3 THEN concat('e:', p_partkey) END AS equipment, CASE WHEN p_partkey % 7 = 4 THEN concat('s2:', p_size) END AS staff, CASE WHEN p_partkey % 7 = 5 THEN 'p1,p2' END AS parking,
+  CASE WHEN p_partkey % 7 = 6 THEN concat('free ', p_size) END AS parking_text, concat('src', p_partkey) AS copyright_info, '/more' AS more_info_link FROM part""")
+def medical_sections(spark, d):
+    """Every kind of section: tables, lists, a heading by department that is none of them (7k + 2), a kind twice (the later counts), parking as list and text, the foot."""
+    key, size = F.col("p_partkey"), F.col("p_size").cast("string")
+    section = lambda title, body: _tag("div", html.SECTION, _tag("h3", html.HEADING, title), body)
+    table_ = lambda a, b: F.concat(F.lit("<table><tbody><tr><th>"), a, F.lit("</th><td> "), b, F.lit("</td></tr><tr><td>lone</td></tr></tbody></table>"))
+    items = lambda *xs: _tag("ul", html.ITEM_LIST, *[_tag("li", html.ITEM, x) for x in xs], "<li>other</li>")
+    text_ = key.cast("string")
+    kinds = [
+        section(html.TITLES[0], table_(F.concat(F.lit("d"), size), text_)), section(html.TITLES[1], items(F.concat(F.lit("m"), size), "n")), section(html.BY_DEPARTMENT + " x", items("wrong")),
+        section(html.TITLES[2], table_(F.lit("e"), text_)), F.concat(section(html.TITLES[4], table_(F.lit("s1"), size)), section(html.TITLES[4], table_(F.lit("s2"), size))),
+        section(html.TITLES[5], items("p1", "p2")), section(html.TITLES[5], F.concat(F.lit("<p>free "), size, F.lit("</p>"))),
+    ]
+    page = F.get(F.array(*kinds), (key % 7).cast("int"))
+    foot = F.concat(_tag("div", html.COPYRIGHT, "src", text_), _tag("div", html.MORE, F.lit(f'<a class="{html.MORE_LINK}" href="/more">m</a>')))
+    read_ = read(spark, d, "part", "p_partkey", "p_size").select(text_.alias("place_id"), html.read_medical_info(F.concat(page, foot))["value"].alias("v"))
+    pairs = lambda name, a, b: F.nullif(F.array_join(F.transform(f"v.{name}", lambda x: F.concat(x[a], F.lit(":"), x[b])), ","), F.lit(""))
+    return read_.select(
+        "place_id", pairs("specialist_by_department", "department", "specialist_count").alias("by_department"), F.array_join("v.medical_departments", ",").alias("departments"),
+        pairs("special_equipment", "equipment_name", "count").alias("equipment"), pairs("medical_staff_count", "staff_type", "count").alias("staff"),
+        F.array_join("v.parking", ",").alias("parking"), "v.parking_text", "v.copyright_info", "v.more_info_link",
+    )
+
+
+@query("""SELECT CAST(s_suppkey AS VARCHAR) AS place_id, concat('r', s_suppkey, ',p2') AS stats, concat('/u/', s_suppkey) AS profile, CASE WHEN s_suppkey % 3 > 0 THEN concat(s_suppkey % 12 + 1, '.2') END AS visit_date,
+  CASE WHEN s_suppkey % 2 = 0 THEN concat(s_suppkey, '번째 방문') END AS visit_count, CASE WHEN s_suppkey % 5 = 0 THEN '영수증 인증' END AS verified, 'boss' AS owner, '3.4' AS answered FROM supplier""")
+def review_details(spark, d):
+    """Reviewer, visit and answer fields of a review: date by its mark, count and way of verification by their words."""
+    key = F.col("s_suppkey")
+    visit = lambda on, *inside: F.when(on, _tag("span", "pui__gfuUIT", *inside)).otherwise("")
+    box = _tag("div", "pui__GbW8H7", _tag("span", "pui__XE54q7", "boss"), _tag("span", "pui__4APmFd", "<time>3.4</time>"))
+    item = _tag(
+        "li", html.REVIEW_ITEM, _tag("span", "pui__WN-kAf", "r", key), _tag("span", "pui__WN-kAf", "p2"), F.concat(F.lit('<a data-pui-click-code="profile" href="/u/'), key.cast("string"), F.lit('">x</a>')),
+        visit(key % 3 > 0, f"{html.VISIT_DATE} <time>", key % 12 + 1, ".2</time>"), visit(key % 2 == 0, key, "번째 방문"), visit(key % 5 == 0, "영수증 인증"), box,
+    )
+    page = F.concat(F.lit(f'<ul id="{html.REVIEW_LIST}">'), item, F.lit("</ul>"))
+    r = read(spark, d, "supplier", "s_suppkey").select(key.cast("string").alias("place_id"), F.get(html.read_reviews(page)["value"], F.lit(0)).alias("r"))
+    return r.select(
+        "place_id", F.array_join("r.reviewer_info.reviewer_stats", ",").alias("stats"), F.col("r.reviewer_info.profile_url").alias("profile"), "r.visit_info.visit_date", "r.visit_info.visit_count",
+        F.col("r.visit_info.verification_method").alias("verified"), F.col("r.owner_response.owner_name").alias("owner"), F.col("r.owner_response.response_date").alias("answered"),
+    )
+
+
+@query("""SELECT CAST(s_suppkey AS VARCHAR) AS preview_name, CASE s_suppkey % 4 WHEN 0 THEN '/main' WHEN 1 THEN '/blue' WHEN 2 THEN '/any' END AS url FROM supplier""")
+def main_links(spark, d):
+    """The link of a list item: by the first class, by the second, any with an address; hidden ones don't count."""
+    key = F.col("s_suppkey")
+    link = lambda cls, to, more="": f'<a class="{cls}" href="{to}"{more}>x</a>'
+    any_, blue, main_ = link("z", "/any"), link("place_bluelink", "/blue"), link("tzwk0", "/main")
+    links = F.get(F.array(*[F.lit(x) for x in (any_ + blue + main_, any_ + blue + link("tzwk0", "/no", ' style="display: none"'), any_, link("z", "/no", " hidden"))]), (key % 4).cast("int"))
+    page = _tag("li", "x", _tag("span", "TYaxT", key), links)
+    shown = read(spark, d, "supplier", "s_suppkey").select(F.lit("q").alias("search_query"), key.cast("string").alias("search_location"), F.lit(1).alias("page_number"), page.alias("html"))
+    return pages.search_hits(shown).select("preview_name", "url")
+
+
 # files that are written and read again
 
 
@@ -653,6 +721,44 @@ def state_log(spark, d):
     return log.current().select("place_id", "enriched_at")
 
 
+@query("""SELECT 'json' AS extension, count(DISTINCT s_nationkey) + 25 AS files, count(DISTINCT s_nationkey) AS processed, CAST(25 AS BIGINT) AS empty, CAST(0 AS BIGINT) AS unreadable, CAST(count(*) AS BIGINT) AS n_rows FROM supplier
+  UNION ALL SELECT 'csv', count(DISTINCT s_nationkey), 0, 0, 0, 0 FROM supplier""")
+def file_statistics(spark, d):
+    """Files of a tree by extension: a keyword with rows for each nation that has suppliers, one without any for all nations."""
+    rows = read(spark, d, "supplier").select(F.col("s_nationkey").cast("string").alias("file_district"), F.lit("d").alias("file_dong"), F.lit("a").alias("file_keyword"), F.col("s_name").alias("name"))
+    status = read(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("gu"), F.lit("d").alias("dong"), F.lit("b").alias("keyword"))
+    return files.file_counts(spark, tree.tree(rows, _folder(spark), status))
+
+
+@query("""WITH p AS (SELECT r_name AS gu, n_name AS dong, n_nationkey AS k FROM nation JOIN region ON n_regionkey = r_regionkey), h AS (SELECT gu, dong, unnest(range(k % 4)) AS i FROM p)
+  SELECT gu AS file_district, dong AS file_dong, '병원' AS file_keyword, concat('n', i) AS preview_name, CAST(i + 1 AS INT) AS position FROM h""")
+def collected_tree(spark, d):
+    """Captured search pages as a tree, in two runs: the second one passes over the neighbourhoods that the first completed."""
+    both = read(spark, d, "nation").join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    names = F.transform(F.filter(F.sequence(F.lit(0), F.lit(3)), lambda i: i < F.col("n_nationkey") % 4), lambda i: F.concat(F.lit('<li><span class="TYaxT">n'), i.cast("string"), F.lit("</span></li>")))
+    shown = both.select(F.col("r_name").alias("gu"), F.col("n_name").alias("search_location"), F.lit(pipelines.KEYWORDS[0]).alias("search_query"), F.lit(1).alias("page_number"), F.array_join(names, "").alias("html"), "n_nationkey")
+    out = _folder(spark)
+    pipelines.collect(spark, shown.filter("n_nationkey % 2 = 0").drop("n_nationkey"), out, 25)
+    again = shown.withColumn("html", F.when(F.col("n_nationkey") % 2 == 1, F.col("html")).otherwise("<li>wrong</li>")).drop("n_nationkey")
+    pipelines.collect(spark, again, out, 25)
+    kind = T.StructType([T.StructField("preview_name", T.StringType()), T.StructField("position", T.IntegerType())])
+    return files.json_tree(spark, out, kind).drop("file_path", "pos")
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS place_id, c_name AS name, c_custkey % 3 > 0 AS has_medical_info, c_custkey % 3 = 1 AS parsing_success, CASE WHEN c_custkey % 3 = 1 THEN concat('d', c_custkey) END AS departments, true AS has_record FROM customer""")
+def enriched_table(spark, d):
+    """Checkpoint maps of two workers merged and joined to all places; a third of those have no record."""
+    key, where = F.col("c_custkey"), _folder(spark)
+    rows = read(spark, d, "customer", "c_custkey", "c_name").withColumn("place_id", key.cast("string"))
+    parsed = F.when(key % 3 == 1, F.struct(F.array(F.concat(F.lit("d"), key.cast("string"))).alias("medical_departments")))
+    records = rows.filter(key % 3 > 0).select("place_id", F.lit(True).alias("has_medical_info"), (key % 3 == 1).alias("parsing_success"), parsed.alias("medical_info_parsed"))
+    names_ = files.part_names(f"{where}/enrichment_progress_partition_", 2, ".json", 3)
+    for i, name in enumerate(names_):
+        single.json_map(records.filter(key % 2 == i), name)
+    table_ = pipelines.merge_enriched(spark, rows.select("place_id", F.col("c_name").alias("name")), names_, f"{where}/enriched")
+    return table_.select("place_id", "name", "has_medical_info", "parsing_success", F.array_join("medical_info_parsed.medical_departments", ",").alias("departments"), F.col("medical_info_parsed").isNotNull().alias("has_record"))
+
+
 @query("""SELECT c_name, CASE WHEN c_custkey % 2 = 0 THEN concat('a,"', c_custkey, chr(10), 'b') END AS note, CAST(c_custkey AS VARCHAR) AS c_custkey FROM customer""")
 def csv_round_trip(spark, d):
     key = F.col("c_custkey")

@@ -15,7 +15,7 @@ KEPT = 5
 
 
 class Progress:
-    """A document at path, and its numbered versions beside it (path.versions).
+    """A document at path, and its numbered versions in a folder beside it.
 
     A writer adds its summaries to the last version and puts the next one; if
     another took that number first, it adds them to that one instead, so no
@@ -26,7 +26,9 @@ class Progress:
 
     def __init__(self, spark: SparkSession, path: str, total: int):
         self.spark, self.path, self.total = spark, path, total
-        self.versions = storage.Versions(spark, f"{path}.versions")
+        folder, _, name = path.rpartition("/")
+        # a leading underscore, so that readers of the folder pass over it
+        self.versions = storage.Versions(spark, f"{folder or '.'}/_{name}.versions")
 
     def _last(self) -> tuple[int, dict | None]:
         number, document = self.versions.last()

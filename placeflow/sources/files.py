@@ -5,6 +5,7 @@ Paths go through Spark's file systems only, so any store that the cluster reads
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException, PySparkException
@@ -115,18 +116,34 @@ def part_names(stem: str, total: int, suffix: str, width: int = 0) -> list[str]:
 
 
 def parquet_parts(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
-    """The parts that exist, by the declared schema, with part_no (from 1), and file_name and row_no (in the file) in the part; no rows without any."""
-    found = [(i, p) for i, p in enumerate(paths, 1) if exists(spark, p)]
+    """The parts that exist, by the declared schema, with part_no (from 1), and file_name and row_no (in the file) in the part; no rows without any.
+
+    Parts of the same columns and types are one scan, whose files find their
+    part's number in a broadcast table of a row for each part.
+    """
     whole = T.StructType([*schema.fields, T.StructField("part_no", T.IntegerType()), T.StructField("file_name", T.StringType()), T.StructField("row_no", T.LongType())])
+    alike: dict[tuple, list[tuple[str, str, int]]] = {}
+    for i, p in enumerate(paths, 1):
+        where, fs = storage.located(spark, p)
+        if fs.exists(where):
+            kind = (spark.read.parquet(p).schema.json(), fs.getFileStatus(where).isDirectory())
+            alike.setdefault(kind, []).append((p, where.toUri().toString(), i))
     out = spark.createDataFrame([], whole)
-    for i, p in found:
-        part = spark.read.parquet(p)
-        cols = [(F.col(f.name).cast(f.dataType) if f.name in part.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema]
-        typed = part.select(*cols, F.lit(i).alias("part_no"), F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("row_no"))
-        out = out.unionByName(typed)
+    for (_, folder), parts in alike.items():
+        rows = spark.read.parquet(*[p for p, _, _ in parts])
+        cols = [(F.col(f.name).cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema]
+        file = F.col("_metadata.file_path")
+        typed = rows.select(*cols, (F.regexp_replace(file, "/[^/]*$", "") if folder else file).alias("_part"), F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("row_no"))
+        numbers = spark.createDataFrame([(_plain(uri), i) for _, uri, i in parts], "_part string, part_no int")
+        out = out.unionByName(typed.withColumn("_part", F.regexp_replace("_part", "^file:/+", "file:/")).join(F.broadcast(numbers), "_part").drop("_part"))
     return out
 
 
+def _plain(uri: str) -> str:
+    """A URI with one slash after a scheme without host, as some writers have three."""
+    return re.sub(r"^file:/+", "file:/", uri)
+
+
 def csv_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A CSV with header; quoted line ends and a byte order mark are understood."""
     r = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("encoding", "UTF-8")
@@ -145,6 +162,13 @@ def csv_rows(spark: SparkSession, path: str) -> int:
         return 0
 
 
+def csv_lines(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The path's columns and n, the rows after the header, of all CSV files of that name under root; quoted line ends count as one row's."""
+    table = spark.read.schema("_first string").options(header=True, multiLine=True, escape='"', recursiveFileLookup=True, pathGlobFilter=name, enforceSchema=True).csv(root)
+    counts = table.groupBy(F.col("_metadata.file_path").alias("_path")).agg(F.count(F.lit(1)).alias("n"))
+    return path_columns(counts, bare_path(spark, root)).drop("_path")
+
+
 def required(df: DataFrame, *names: str) -> DataFrame:
     """df, or ValueError if a column is missing."""
     missing = [n for n in names if n not in df.columns]

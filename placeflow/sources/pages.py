@@ -76,16 +76,16 @@ def _scanned(keys: DataFrame, pages: DataFrame) -> DataFrame:
     return keys.join(one, "place_id", "left")
 
 
-def search_hits(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+def search_hits(pages: DataFrame, max_pages: int | None = None, by: tuple[str, ...] = ("search_query", "search_location")) -> DataFrame:
     """Rows of search result pages (search_query, search_location, page_number, html): the list items with a name not seen before, and their position.
 
-    A name counts once for each query and location, at its first page and place.
+    A name counts once for each search (the columns `by`), at its first page and place.
     A page whose last paging button is disabled ends its search. Each page is
     parsed once, and only what was read of it goes on.
     """
     if max_pages is not None:
         pages = pages.filter(F.col("page_number") <= max_pages)
-    keys = ["search_query", "search_location"]
+    keys = list(by)
     seen = pages.select(*keys, "page_number", html.read_search_page("html")["value"].alias("_r"))
     ends = F.when(~F.coalesce(F.col("_r.more"), F.lit(True)), F.col("page_number"))
     last = F.min(ends).over(Window.partitionBy(*keys))
