@@ -16,12 +16,13 @@ probability near 1e-5.
    registers, discard hopeless pairs.
 3. The rest is confirmed on the full sets, and confirmed links are contracted
    to components by large-star and small-star steps.
-4. In buckets that still hold several components, members meet further pivots
-   and at last all members, so that every two have met or are connected. A pair of different components goes on only if two bounds allow
-   the similarity: the sets' sizes, and the parities of the sets' hash cells,
-   which never differ in more cells than the sets differ in shingles. So a large
-   group of copies costs a comparison for each of its members, unlike texts
-   around a common passage cost next to none, and no bucket is left unfinished.
+4. Members of buckets that still hold several components are blocked anew, by
+   their rarest shingles: two sets that are similar enough share one of them,
+   whatever their sizes (a prefix filter). In these blocks members meet two
+   pivots, then more, and at last all members of other components; no pair is
+   tried twice. So a large group of copies costs a few comparisons for each of
+   its members, unlike texts around a common passage or of common words don't
+   meet, and no bucket is left unfinished.
 
 A document with fewer words than a shingle has its whole sequence as its only
 shingle; without words (or with a null text) its set is empty and it is linked
@@ -60,9 +61,7 @@ SMALL = 128
 _RNG = np.random.default_rng(91)
 _BORROW = np.argsort(_RNG.random((REGISTERS, REGISTERS)), axis=1).argsort(axis=1).astype(np.int16)  # rank of each bucket in each order
 _BAND = np.stack([_RNG.permutation(REGISTERS)[:ROWS] for _ in range(BANDS)])
-#: Hash cells whose parities bound how much two sets differ.
-CELLS = 1024
-#: Pivots that the members of a bucket have met after each round; in the last one they meet all members.
+#: Pivots that the members of a block have met after each round; in the last one they meet all members.
 PIVOTS = (2, 66)
 
 
@@ -100,11 +99,6 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def parities(hashes: np.ndarray) -> np.ndarray:
-    """Parity of the number of hashes in each of `CELLS` cells, packed."""
-    return np.packbits((np.bincount((hashes & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS) & 1).astype(np.uint8))
-
-
 def band_keys(sketches: np.ndarray, bands: np.ndarray) -> np.ndarray:
     """A 64-bit key for each band (the numbers of its registers) of each sketch."""
     wide = sketches.astype(np.uint64)
@@ -126,7 +120,7 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def features(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, tag (of the text), n_shingles, key (of the set; null if empty) and sketch (registers, then parities)."""
+    """doc_id, tag (of the text), n_shingles, key (of the set; null if empty) and sketch."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, limit=3_000_000):
@@ -134,7 +128,7 @@ def features(docs: DataFrame, k: int) -> DataFrame:
             for s in shingle_sets([t or b"" for t in raw(batch.column("text"))], k):
                 sizes.append(len(s))
                 keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                packed.append(sketch(s).tobytes() + parities(s).tobytes() if len(s) else None)
+                packed.append(sketch(s).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("tag"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(packed, pa.binary())],
                 names=["doc_id", "tag", "n_shingles", "key", "sketch"],
@@ -149,7 +143,7 @@ def tagged(docs: DataFrame) -> DataFrame:
 
 def registers(sketches: list[bytes]) -> np.ndarray:
     """Registers [rows, REGISTERS] of packed sketches."""
-    return np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1)[:, : 2 * REGISTERS].copy().view(np.uint16)
+    return np.frombuffer(b"".join(sketches), np.uint16).reshape(len(sketches), REGISTERS)
 
 
 def banded(classes: DataFrame, bands: np.ndarray) -> DataFrame:
@@ -194,29 +188,17 @@ def similar(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.select("a", "b", "_a", "_b").mapInArrow(task, "a bigint, b bigint")
 
 
-def few(df: DataFrame) -> DataFrame:
-    """df in a sixteenth of the shuffle's partitions, without a shuffle: for confirmed links and their components only, which are few and narrow.
-
-    What is shuffled next then leaves as many fewer files.
-    """
-    return df.coalesce(max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16))
-
-
-def narrow(df: DataFrame) -> DataFrame:
-    return checkpointed(few(df))
-
-
 def components(edges: DataFrame) -> DataFrame:
     """node and component (least node reachable) for the nodes of edges (a, b); rounds of large-star and small-star."""
-    now = narrow(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    now = checkpointed(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = None
     while True:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"))
-        large = few(both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b"))
+        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        near = few(large.join(least, "a"))
-        now = narrow(near.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").filter("a <> b").distinct())
+        near = large.join(least, "a")
+        now = checkpointed(near.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").filter("a <> b").distinct())
         got = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
         if tuple(got) == state:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
@@ -270,38 +252,57 @@ def crowded(members: DataFrame, parts: DataFrame, done: int) -> DataFrame:
     return own.join(split.select("band"), "band", "left_semi")
 
 
-def with_cells(classes: DataFrame, members: DataFrame) -> DataFrame:
-    """members with cells: the parities of their sets as 64-bit numbers."""
+def shingles(known: DataFrame, k: int) -> DataFrame:
+    """h and doc: a row for each shingle of each class."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                packed = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(batch.num_rows, -1)[:, 2 * REGISTERS :]
-                cells = pa.array(np.ascontiguousarray(packed).view(np.int64).ravel())
-                ends = pa.array(np.arange(batch.num_rows + 1) * (CELLS // 64), pa.int32())
-                yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("n_shingles"), pa.ListArray.from_arrays(ends, cells)], names=["doc", "n_shingles", "cells"])
-
-    some = classes.join(members.select("doc").distinct(), "doc", "left_semi").select("doc", "n_shingles", "sketch")
-    return members.join(some.mapInArrow(task, "doc bigint, n_shingles bigint, cells array<bigint>"), ["doc", "n_shingles"])
+        grow = zstandard.ZstdDecompressor()
+        for batch in chunks(batches, "blob", limit=500_000):
+            sets = list(shingle_sets([grow.decompress(x) for x in batch.column("blob").to_pylist()], k))
+            docs = np.repeat(batch.column("doc").to_numpy(), [len(s) for s in sets])
+            whole = pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64)), pa.array(docs)], names=["h", "doc"])
+            for i in range(0, whole.num_rows, 100_000):
+                yield whole.slice(i, 100_000)
+
+    return known.select("doc", "blob").mapInArrow(task, "h bigint, doc bigint")
+
+
+def blocks(known: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """band (a shingle), doc, n_shingles, shared and left of the members: the rare shingles by which they can be linked.
+
+    Two sets of a similarity of S hundredths have S hundredths of the larger
+    one in common at least. So if all shingles are put in one order, each set's
+    first n - ceil(S n / 100) + 1 hold one that is among the first of the other.
+    The order is by the number of members that have a shingle, rarest first: a
+    set's own shingles, which link nothing, take the first places and need no
+    row, and what many unlike texts share comes last. This is exact for sets of
+    any size. `left` counts a set's shingles from the block's on: two sets whose
+    first common shingle it is have no more in common than the smaller number.
+    """
+    some = members.select("doc", "n_shingles", "shared").distinct()
+    rows = shingles(known.join(some.select("doc"), "doc", "left_semi"), k)
+    counts = rows.groupBy("h").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1")
+    met = rows.join(counts, "h").join(some, "doc")
+    own = Window.partitionBy("doc")
+    prefix = F.col("n_shingles") - F.ceil(F.lit(SIMILARITY) * F.col("n_shingles") / 100) + 1
+    ranked = met.withColumn("_alone", F.col("n_shingles") - F.count(F.lit(1)).over(own)).withColumn("_r", F.row_number().over(own.orderBy("_c", "h")))
+    return checkpointed(ranked.filter(F.col("_r") <= prefix - F.col("_alone")).select(F.col("h").alias("band"), "doc", "n_shingles", "shared", (F.col("n_shingles") - F.col("_alone") - F.col("_r") + 1).alias("left")))
 
 
 def meetings(members: DataFrame, done: int, upto: int | None) -> DataFrame:
-    """Pairs (a, b) of members with pivots of their bucket, those ranked over `done` up to `upto` (None: all members), in other components.
+    """Pairs (a, b) of members with pivots of their block, those ranked over `done` up to `upto` (None: all members), in other components, that can have enough in common.
 
-    Only pivots are ranked, and the limit on ranks holds in each task before
-    rows meet. Sets that are similar enough differ in at most (100 - S) /
-    (100 + S) of the sum of their sizes, and so do their parities.
+    Only pivots are ranked, and the limit on ranks holds in each task before rows meet.
     """
     top = members
     if upto is not None:
         order = Window.partitionBy("band").orderBy(F.desc("shared"), "doc")
         top = members.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= upto).filter(F.col("_r") > done)
-    pivots = top.select(F.col("band").alias("_band"), F.col("doc").alias("b"), F.col("shared").alias("_s"), F.col("n_shingles").alias("_n"), F.col("part").alias("_p"), F.col("cells").alias("_c"))
+    pivots = top.select(F.col("band").alias("_band"), F.col("doc").alias("b"), F.col("shared").alias("_s"), F.col("n_shingles").alias("_n"), F.col("part").alias("_p"), F.col("left").alias("_l"))
+    common = (100 + SIMILARITY) * F.least("left", "_l") >= SIMILARITY * (F.col("n_shingles") + F.col("_n"))
     later = (F.col("shared") < F.col("_s")) | ((F.col("shared") == F.col("_s")) & (F.col("doc") > F.col("b")))
-    differ = sum((F.bit_count(F.col("cells")[i].bitwiseXOR(F.col("_c")[i])) for i in range(CELLS // 64)), F.lit(0))
-    near = (100 + SIMILARITY) * differ <= (100 - SIMILARITY) * (F.col("n_shingles") + F.col("_n"))
-    met = members.join(pivots, (F.col("band") == F.col("_band")) & later & (F.col("part") != F.col("_p")) & _sized("n_shingles", "_n") & near)
-    return checkpointed(met.select(F.col("doc").alias("a"), "b").distinct())
+    met = members.join(pivots, (F.col("band") == F.col("_band")) & later & (F.col("part") != F.col("_p")) & _sized("n_shingles", "_n") & common)
+    return met.select(F.col("doc").alias("a"), "b").distinct()
 
 
 def joined(parts: DataFrame, links: DataFrame) -> DataFrame:
@@ -327,15 +328,19 @@ def link(docs: DataFrame, k: int = 5) -> DataFrame:
     met = buckets(classes, _BAND)
     some = classes.join(met.select("doc").distinct(), "doc", "left_semi").drop("key")
     known = checkpointed(some.join(texts_of(docs, some.select("doc", "tag")), ["doc", "tag"]).drop("tag"))
-    # copies join their text at once, by one comparison each; then members meet the pivots of other components
-    parts = components(confirmed(known, stars(met), k).union(namesakes(linked, classes)))
-    rest = checkpointed(with_cells(known, checkpointed(crowded(met, parts, 0))))
-    done = 0
+    # copies join their text at once, by one comparison each
+    tried = stars(met)
+    parts = components(confirmed(known, tried, k).union(namesakes(linked, classes)))
+    # then what shares a bucket in other components meets by its rare shingles
+    rest, done = checkpointed(crowded(met, parts, 0)), 0
+    if not rest.isEmpty():
+        rest = checkpointed(crowded(blocks(known, rest, k), parts, 0))
     for upto in (*PIVOTS, None):
         if rest.isEmpty():
             break
-        parts = joined(parts, confirmed(known, meetings(rest, done, upto), k))
-        done = upto
+        pairs = checkpointed(meetings(rest, done, upto).join(tried, ["a", "b"], "left_anti"))
+        tried = tried.union(pairs)
+        parts, done = joined(parts, confirmed(known, pairs, k)), upto
         rest = checkpointed(crowded(rest, parts, done)) if upto else rest
     named = classes.select("key", "doc").join(parts.withColumnRenamed("node", "doc"), "doc", "left").select(F.col("key").alias("_key"), F.coalesce("component", "doc").alias("_c"))
     out = feats.select("doc_id", "n_shingles", "key").join(named, F.col("key") == F.col("_key"), "left")

@@ -95,13 +95,70 @@ def test_repeated_rows_cost_no_comparison(spark, monkeypatch):
     assert {(r.doc_id, r.component_id) for r in got} == set(want.items()) and set(want.values()) == {1}
 
 
-def test_parities_never_differ_more_than_the_sets():
-    r = np.random.default_rng(8)
-    for n, common in ((50, 45), (400, 350), (5000, 4600)):
-        x = np.unique(r.integers(0, 2**64, 2 * n, dtype=np.uint64))
-        a, b = np.sort(x[:n]), np.sort(x[n - common : 2 * n - common])
-        cells = int(np.unpackbits(near_dedup.parities(a) ^ near_dedup.parities(b)).sum())
-        assert cells <= len(np.setxor1d(a, b)) and (n > 500 or cells >= 0.7 * len(np.setxor1d(a, b)))
+def compared(monkeypatch):
+    """Counts the pairs that are compared on full sets."""
+    met = []
+    plain = near_dedup.similar
+    monkeypatch.setattr(near_dedup, "similar", lambda pairs, k: met.append(pairs.count()) or plain(pairs, k))
+    return met
+
+
+def mixed(seed, n, words, common, scattered):
+    """Texts of which a share of words is common to all: in one stretch, or scattered."""
+    r = np.random.default_rng(seed)
+    base = [f"w{i}" for i in range(words)]
+    out = []
+    for i in range(n):
+        own = r.random(words) >= common if scattered else np.arange(words) >= common * words
+        out.append((i, " ".join(f"x{i}_{j}" if o else w for j, (o, w) in enumerate(zip(own, base, strict=True)))))
+    return out
+
+
+@pytest.mark.parametrize(("n", "words", "scattered"), [(120, 3000, False), (120, 3000, True), (120, 600, False)])
+def test_long_unlike_texts_of_a_bucket_cost_no_comparison(spark, monkeypatch, n, words, scattered):
+    met = compared(monkeypatch)
+    got = near_dedup.link(spark.createDataFrame(mixed(1, n, words, 0.84, scattered), "doc_id bigint, text string"), 4).collect()
+    assert all(x.component_id == x.doc_id for x in got) and len(got) == n
+    assert sum(met) < 1000 and sum(met) <= 2 * n
+
+
+def test_links_between_long_texts_of_a_bucket(spark, monkeypatch):
+    """Pairs of near copies among long texts that share most of their words."""
+    rows = mixed(2, 60, 2500, 0.84, False)
+    r = np.random.default_rng(3)
+    for i, (_, text) in enumerate(rows[:40]):
+        w = text.split()
+        for at in r.choice(len(w), 20 + 5 * (i % 20), replace=False):
+            w[at] = f"y{i}_{at}"
+        rows.append((100 + i, " ".join(w)))
+    met = compared(monkeypatch)
+    want = brute_components(rows, 4)
+    got = {x.doc_id: x.component_id for x in near_dedup.link(spark.createDataFrame(rows, "doc_id bigint, text string"), 4).collect()}
+    assert got == want and 20 < sum(i != c for i, c in want.items()) <= 40
+    assert sum(met) < 1000
+
+
+def test_rare_shingles_block_all_similar_pairs(spark):
+    """Every pair at the similarity or over it shares a block in which it may meet."""
+    import zstandard
+
+    r = np.random.default_rng(6)
+    pool, press, rows = [f"p{i}" for i in range(80)], zstandard.ZstdCompressor(), []
+    for i in range(150):
+        if i % 3 and rows:
+            w = rows[r.integers(len(rows))].split()
+            for at in r.choice(len(w), r.integers(1, 3), replace=False):
+                w[at] = str(r.choice(pool))
+        else:
+            w = [str(x) for x in r.choice(pool, r.integers(20, 90))]
+        rows.append(" ".join(w))
+    sets = [shingles(t, 4) for t in rows]
+    known = spark.createDataFrame([(i, press.compress(t.encode())) for i, t in enumerate(rows)], "doc bigint, blob binary")
+    members = spark.createDataFrame([(i, len(s), 7, i) for i, s in enumerate(sets)], "doc bigint, n_shingles bigint, shared bigint, part bigint")
+    blocked = near_dedup.blocks(known, members, 4).join(members.select("doc", "part"), "doc")
+    met = {(min(p), max(p)) for p in near_dedup.meetings(blocked, 0, None).collect()}
+    want = {(i, j) for i in range(150) for j in range(i + 1, 150) if sets[i] != sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    assert len(want) > 30 and want <= met and len(met) < 1500
 
 
 def test_bands_miss_few_pairs_at_the_threshold():
