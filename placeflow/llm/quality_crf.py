@@ -18,7 +18,9 @@ don't train; without any label, or with one class only, all weights stay 0 and
 every score is 0.5. If a document has several labels the largest counts. Rows
 are judged alone, so repeated rows get the same score; of several texts with
 one doc_id one trains. A score of exactly 0.5 predicts 1. A very long text is
-one row of a batch, with some 300 bytes for each of its lines. An empty table
+one row of a batch, with some 60 bytes for each of its lines (measured: 224 MB for
+four million line ends, which took four and a half minutes on a busy core):
+features and messages are held for some 65,000 lines at a time. An empty table
 gives no rows; extra columns are ignored by `score` and kept by `keep`.
 """
 
@@ -30,11 +32,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placeflow.llm.common import chunks, columns, fold, least, raw, table
+from placeflow.llm.tokens import mix
 
 SAMPLE, RUNS, RUN = 3000, 3, 16
 STEPS, RATE, PENALTY = 250, 0.1, 1e-3
@@ -52,32 +56,59 @@ _TABLES = np.zeros((len(_CLASSES), 256), dtype=np.uint8)
 for _i, _c in enumerate(_CLASSES):
     _TABLES[_i, list(_c)] = 1
 OWN = 14
+#: Lines whose features, and messages, are held at once.
+SLICE = 1 << 16
 WIDTH = 3 * OWN
 
 
-def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features [lines, WIDTH] of all lines, the number of lines of each text, and the lines' lengths."""
-    counts = np.array([t.count(b"\n") + 1 for t in texts], dtype=np.int64)
-    whole = b"\n".join(texts) + b"\n"
-    b = np.frombuffer(whole, np.uint8)
-    ends = np.flatnonzero(b == 10)
-    starts = np.concatenate([[0], ends[:-1] + 1])
+@dataclass
+class Lines:
+    """The lines of some texts: the bytes, where each line starts and ends, how many each text has, and which repeat an earlier one."""
+
+    whole: bytes
+    starts: np.ndarray
+    ends: np.ndarray
+    counts: np.ndarray
+    again: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[bytes]) -> Lines:
+        counts = np.array([t.count(b"\n") + 1 for t in texts], dtype=np.int64)
+        whole = b"\n".join(texts) + b"\n"
+        ends = np.flatnonzero(np.frombuffer(whole, np.uint8) == 10)
+        starts = np.append(0, ends[:-1] + 1)
+        hashes = np.empty(len(ends), np.uint64)
+        for a in range(0, len(ends), SLICE):
+            b = min(len(ends), a + SLICE)
+            hashes[a:b] = [xxhash.xxh3_64_intdigest(line) for line in whole[starts[a] : ends[b - 1]].split(b"\n")]
+        hashes ^= np.repeat(mix(np.arange(len(texts), dtype=np.uint64)), counts)  # equal lines of one text only
+        again = np.ones(len(ends), dtype=bool)
+        again[np.unique(hashes, return_index=True)[1]] = False
+        return cls(whole, starts, ends, counts, again & (ends > starts))
+
+    def features(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Number of the first line and own features [lines, OWN] of SLICE lines at a time."""
+        for a in range(0, len(self.ends), SLICE):
+            b = min(len(self.ends), a + SLICE)
+            yield a, _own(self.whole[self.starts[a] : self.ends[b - 1] + 1], self.starts[a:b] - self.starts[a], self.ends[a:b] - self.starts[a], self.again[a:b])
+
+    def edges(self) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each line is the first, and the last, of its text."""
+        first, last = np.zeros(len(self.ends), dtype=bool), np.zeros(len(self.ends), dtype=bool)
+        upto = np.cumsum(self.counts)
+        first[upto - self.counts], last[upto - 1] = True, True
+        return first, last
+
+
+def _own(part: bytes, starts: np.ndarray, ends: np.ndarray, again: np.ndarray) -> np.ndarray:
+    b = np.frombuffer(part, np.uint8)
     size = (ends - starts).astype(np.float64)
     sums = [np.add.reduceat(t[b], starts, dtype=np.int64) for t in _TABLES]
     blank = (_TABLES[-1][b] == 1) | (b == 10)
     word = ~blank
     word[1:] &= blank[:-1]
     words = np.add.reduceat(word, starts, dtype=np.int64)
-    distinct, again = np.empty(len(ends), dtype=np.int64), np.zeros(len(ends))
-    i = 0
-    for t in texts:
-        seen: set[bytes] = set()
-        for line in t.split(b"\n"):
-            distinct[i] = len(set(line.split()))
-            if line and line in seen:
-                again[i] = 1
-            seen.add(line)
-            i += 1
+    distinct = np.fromiter((len(set(line.split())) for line in part[:-1].split(b"\n")), np.int64, len(ends))
     last = b[np.maximum(ends - 1, 0)]
     symbol, upper, lower, digit, shout, point, _ = (s / np.maximum(size, 1) for s in sums)
     x = np.empty((len(ends), OWN))
@@ -95,12 +126,33 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     x[:, 11] = again
     x[:, 12] = np.isin(last, np.frombuffer(b".!?\"", np.uint8)) & (size > 0)
     x[:, 13] = words < 3
-    np.minimum(x, 10, out=x)
-    first = np.zeros(len(ends), dtype=bool)
-    first[np.cumsum(counts) - counts] = True
-    prior = np.vstack([np.zeros((1, OWN)), x[:-1]]) * ~first[:, None]
-    after = np.vstack([x[1:], np.zeros((1, OWN))]) * ~np.append(first[1:], True)[:, None]
-    return np.hstack([x, prior, after]), counts, size
+    return np.minimum(x, 10, out=x)
+
+
+def line_features(lines: Lines, wanted: np.ndarray) -> np.ndarray:
+    """Features [wanted, WIDTH] of the lines with these numbers (in order): their own, and those of the lines before and after them in the text."""
+    near = np.unique(np.concatenate([wanted, wanted - 1, wanted + 1]).clip(0, len(lines.ends) - 1))
+    own = np.empty((len(near), OWN))
+    for a, x in lines.features():
+        i, j = np.searchsorted(near, (a, a + len(x)))
+        own[i:j] = x[near[i:j] - a]
+    at = np.searchsorted(near, wanted)
+    first, last = (e[wanted] for e in lines.edges())
+    prior = own[np.maximum(at - 1, 0)] * ~first[:, None]
+    after = own[np.minimum(at + 1, len(near) - 1)] * ~last[:, None]
+    return np.hstack([own[at], prior, after])
+
+
+def emissions(lines: Lines, weights: np.ndarray) -> np.ndarray:
+    """Scores of all lines, as `line_features @ weights`: three products of each line's own features, shifted."""
+    own, prior, after = weights.reshape(3, OWN)
+    s, as_prior, as_after = (np.empty(len(lines.ends)) for _ in range(3))
+    for a, x in lines.features():
+        s[a : a + len(x)], as_prior[a : a + len(x)], as_after[a : a + len(x)] = x @ own, x @ prior, x @ after
+    first, last = lines.edges()
+    s[1:] += np.where(first[1:], 0, as_prior[:-1])
+    s[:-1] += np.where(last[:-1], 0, as_after[1:])
+    return s
 
 
 @dataclass
@@ -111,32 +163,45 @@ class Field:
     moves: np.ndarray
 
     def marginals(self, s: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """P(good) [D, T] and the summed pair marginals [D, 2, 2] of padded emission scores s [D, T] of lengths n."""
+        """P(good) [D, T] and the summed pair marginals [D, 2, 2] of padded emission scores s [D, T] of lengths n.
+
+        Goes over SLICE lines at a time: the forward messages at the slices'
+        heads are kept, those within a slice made again on the way back.
+        """
         d, t = s.shape
         m = np.exp(self.moves - self.moves.max())
-        top = np.maximum(s, 0)
-        e = np.stack([np.exp(-top), np.exp(s - top)], axis=2)
-        a, z = np.empty((d, t, 2)), np.ones((d, t))
-        now = e[:, 0]
-        for i in range(t):
-            if i:
-                now = np.where((i < n)[:, None], (now @ m) * e[:, i], now)
-            z[:, i] = now.sum(axis=1)
-            now = now / z[:, i : i + 1]
-            a[:, i] = now
+
+        def forward(a: int, before: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+            """Weights and messages of the slice at a."""
+            part = s[:, a : a + SLICE]
+            top = np.maximum(part, 0)
+            e = np.stack([np.exp(-top), np.exp(part - top)], axis=2)
+            out, now = np.empty(e.shape), before
+            for i in range(e.shape[1]):
+                now = e[:, 0] if now is None else np.where((a + i < n)[:, None], (now @ m) * e[:, i], now)
+                now = now / now.sum(axis=1, keepdims=True)
+                out[:, i] = now
+            return e, out
+
+        heads: list[np.ndarray | None] = [None]
+        for a in range(0, t - SLICE, SLICE):
+            heads.append(forward(a, heads[-1])[1][:, -1])
         p, pairs = np.zeros((d, t)), np.zeros((d, 2, 2))
         back = np.ones((d, 2))
-        for i in range(t - 1, -1, -1):
-            q = a[:, i] * back
-            p[:, i] = q[:, 1] / q.sum(axis=1)
-            if i:
-                live = (i < n)[:, None]
-                right = e[:, i] * back
-                joint = a[:, i - 1][:, :, None] * m * right[:, None, :]
-                joint /= joint.sum(axis=(1, 2), keepdims=True)
-                pairs += np.where(live[:, :, None], joint, 0)
-                fresh = right @ m.T
-                back = np.where(live, fresh / fresh.sum(axis=1, keepdims=True), back)
+        for k in range(len(heads) - 1, -1, -1):
+            a = k * SLICE
+            e, f = forward(a, heads[k])
+            for i in range(e.shape[1] - 1, -1, -1):
+                q = f[:, i] * back
+                p[:, a + i] = q[:, 1] / q.sum(axis=1)
+                if a + i:
+                    live = (a + i < n)[:, None]
+                    right = e[:, i] * back
+                    joint = (f[:, i - 1] if i else heads[k])[:, :, None] * m * right[:, None, :]
+                    joint /= joint.sum(axis=(1, 2), keepdims=True)
+                    pairs += np.where(live[:, :, None], joint, 0)
+                    fresh = right @ m.T
+                    back = np.where(live, fresh / fresh.sum(axis=1, keepdims=True), back)
         return p, pairs
 
 
@@ -188,12 +253,12 @@ def quality(f: Field, texts: list[bytes]) -> np.ndarray:
     """Length-weighted mean of the lines' marginals of each text."""
     if not texts:
         return np.empty(0)
-    x, counts, size = line_features(texts)
-    s, out = x @ f.weights, np.empty(len(texts))
-    for g in _groups(counts):
-        rows, n = _rows(counts, g)
+    lines = Lines.of(texts)
+    s, out = emissions(lines, f.weights), np.empty(len(texts))
+    for g in _groups(lines.counts):
+        rows, n = _rows(lines.counts, g)
         p, _ = f.marginals(s[rows], n)
-        w = (size[rows] + 1) * (np.arange(rows.shape[1]) < n[:, None])
+        w = (lines.ends[rows] - lines.starts[rows] + 1.0) * (np.arange(rows.shape[1]) < n[:, None])
         out[g] = (p * w).sum(axis=1) / w.sum(axis=1)
     return np.clip(out, 0, 1)
 
@@ -210,10 +275,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            x, counts, _ = line_features([t or b"" for t in raw(batch.column("text"))])
-            firsts, rows = (np.cumsum(counts) - counts).tolist(), []
-            for key, quality_, first, n in zip(batch.column("doc_id").to_pylist(), batch.column("quality").to_pylist(), firsts, counts.tolist(), strict=True):
-                rows += [(key, quality_, i, b - a, x[first + a : first + b].astype("<f4").tobytes()) for i, (a, b) in enumerate(stretches(n))]
+            lines = Lines.of([t or b"" for t in raw(batch.column("text"))])
+            cut = [[(first + a, b - a) for a, b in stretches(n)] for first, n in zip((np.cumsum(lines.counts) - lines.counts).tolist(), lines.counts.tolist(), strict=True)]
+            x = line_features(lines, np.concatenate([np.arange(a, a + n) for own in cut for a, n in own])).astype("<f4")
+            rows, at = [], 0
+            for key, quality_, own in zip(batch.column("doc_id").to_pylist(), batch.column("quality").to_pylist(), cut, strict=True):
+                for i, (_, n) in enumerate(own):
+                    rows.append((key, quality_, i, n, x[at : at + n].tobytes()))
+                    at += n
             kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "quality", "run", "n", "x"])
 

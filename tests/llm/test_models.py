@@ -1,3 +1,4 @@
+import os
 import math
 import zlib
 from collections import Counter
@@ -170,19 +171,51 @@ def test_pooling_matches_the_scalar_form():
     f = quality_crf.Field(r.normal(size=quality_crf.WIDTH), r.normal(size=(2, 2)))
     texts = [b"one line", b"", b"A b.\n\n### $$$\nwords and words", b"x\ny\nz\nx"]
     for t, got in zip(texts, quality_crf.quality(f, texts), strict=True):
-        x, _, size = quality_crf.line_features([t])
+        lines = quality_crf.Lines.of([t])
+        x, size = quality_crf.line_features(lines, np.arange(len(lines.ends))), lines.ends - lines.starts
         p = brute_marginals(f, x @ f.weights)
         assert abs(got - sum(p * (size + 1)) / sum(size + 1)) < 1e-9
 
 
 def test_line_features_know_their_neighbours():
-    x, counts, size = quality_crf.line_features([b"a b\n\nC!", b"", b"q"])
-    own = quality_crf.OWN
-    assert counts.tolist() == [3, 1, 1] and size.tolist() == [3, 0, 2, 0, 1]
+    lines = quality_crf.Lines.of([b"a b\n\nC!", b"", b"q"])
+    x, own = quality_crf.line_features(lines, np.arange(5)), quality_crf.OWN
+    assert lines.counts.tolist() == [3, 1, 1] and (lines.ends - lines.starts).tolist() == [3, 0, 2, 0, 1]
     assert (x[1, own : 2 * own] == x[0, :own]).all() and (x[1, 2 * own :] == x[2, :own]).all()
     assert not x[0, own : 2 * own].any() and not x[2, 2 * own :].any() and not x[3, own:].any()
 
 
+def test_slices_of_lines_change_nothing(monkeypatch):
+    """Features, messages and scores are those of whole texts, wherever slices end."""
+    r = np.random.default_rng(4)
+    pool = [b"", b"A good line of words.", b"BUY ### NOW!!!", b"x", b"  ", "é d\u3000e".encode(), b"A good line of words."]
+    texts = [b"\n".join(pool[i] for i in r.integers(0, len(pool), n)) for n in (0, 1, 2, 7, 40, 41, 3)]
+    f = quality_crf.Field(r.normal(size=quality_crf.WIDTH), r.normal(size=(2, 2)))
+    want = quality_crf.quality(f, texts)
+    lines = quality_crf.Lines.of(texts)
+    x = quality_crf.line_features(lines, np.arange(len(lines.ends)))
+    some = np.unique(r.integers(0, len(lines.ends), 20))
+    assert np.allclose(quality_crf.emissions(lines, f.weights), x @ f.weights) and lines.again.sum() > 20
+    p, pairs = f.marginals((x[:40] @ f.weights)[None], np.array([40]))
+    for size in (1, 2, 3, 16):
+        monkeypatch.setattr(quality_crf, "SLICE", size)
+        cut = quality_crf.Lines.of(texts)
+        assert (cut.again == lines.again).all() and (quality_crf.line_features(cut, some) == x[some]).all()
+        assert np.allclose(quality_crf.quality(f, texts), want, atol=1e-12)
+        q, qs = f.marginals((x[:40] @ f.weights)[None], np.array([40]))
+        assert np.allclose(p, q) and np.allclose(pairs, qs)
+
+
+def test_a_text_of_many_line_ends_stays_small():
+    import subprocess
+    import sys
+
+    code = "import resource, numpy as np\nfrom placeflow.llm import quality_crf as q\nf = q.Field(np.linspace(-1, 1, q.WIDTH), np.eye(2))\n"
+    code += "base = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\nprint(len(q.quality(f, [b'\\n' * 400_000])), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - base)"
+    n, kb = map(int, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=os.path.dirname(os.path.dirname(os.path.dirname(__file__))), timeout=300).stdout.split())
+    assert n == 1 and kb * 1024 < 250 * 400_000
+
+
 # class model
 
 
