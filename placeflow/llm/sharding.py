@@ -10,7 +10,8 @@ row number (and undone) without reading the data.
 Nulls: a null text counts as 0 bytes plus 1 and has crc32 0; a null doc_id
 sorts first. Rows equal in all three sort columns are interchangeable, so the
 result is the same multiset in any order. An empty table gives no rows.
-Extra columns are ignored.
+Extra columns are ignored. Of a very long text only its size and checksum go
+on, taken where it is read.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from placeflow.llm.common import checkpointed, columns, table
+from placeflow.llm.common import columns, shared_folder, table
+from placeflow.operators.partition import row_index
 
 ROUNDS = 6
 SEED = 20240607
@@ -68,39 +70,13 @@ def permuted(number: Column, count: int, seed: int = SEED) -> Column:
     return apply(number)
 
 
-def numbered(df: DataFrame, order: list[str], name: str = "row_number") -> DataFrame:
-    """df with gapless row numbers from 0 in the given order, without one task seeing all rows.
-
-    Rows are range-partitioned and sorted, the numbers within partitions are
-    checkpointed (so that a lost executor can't renumber them), and each
-    partition gets the count of those before it: one row per partition is
-    collected. A hash of the row's place breaks ties, so equal rows split too.
-    """
-    spark = df.sparkSession
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    placed = df.withColumn("_tie", F.monotonically_increasing_id())
-    local = checkpointed(
-        placed.repartitionByRange(parts, *order, "_tie").sortWithinPartitions(*order, "_tie")
-        .withColumn("_at", F.monotonically_increasing_id())
-        .select(*df.columns, F.shiftright("_at", 33).alias("_part"), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)).alias("_in"))
-    )
-    counts = local.groupBy("_part").count().collect()  # one row per partition
-    start, starts = 0, []
-    for part, n in sorted((r["_part"], r["count"]) for r in counts):
-        starts += [F.lit(part), F.lit(start)]
-        start += n
-    if not starts:
-        return local.select(*df.columns, F.lit(0).cast("bigint").alias(name))
-    before = F.create_map(*starts)
-    return local.select(*df.columns, (before[F.col("_part")] + F.col("_in")).cast("bigint").alias(name))
-
-
 def shard(docs: DataFrame, shards: int = 16, seed: int = SEED) -> DataFrame:
     """doc_id, size, text_crc32, shard and slot of every row."""
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + F.lit(1)
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     narrow = columns(docs, "doc_id", "text").select("doc_id", size.cast("bigint").alias("size"), crc.cast("bigint").alias("text_crc32"))
-    rows = numbered(narrow, ["doc_id", "text_crc32", "size"])
+    shared_folder(docs.sparkSession)
+    rows = row_index(narrow, ["doc_id", "text_crc32", "size"], "row_number")
     count = rows.count()
     place = rows.withColumn("_p", permuted(F.col("row_number"), count, seed))
     return place.select(
