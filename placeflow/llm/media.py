@@ -27,6 +27,7 @@ empty table gives no rows; extra columns are ignored by the query and kept by
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -55,9 +56,13 @@ def zigzag() -> np.ndarray:
     return np.array([i * 8 + j for _, _, i, j in cells])
 
 
+#: The end of a scan: a marker other than a restart (and than a stuffed zero, which is none).
+_MARKER = re.compile(rb"\xff[^\x00\xd0-\xd7\xff]")
+
+
 @dataclass
 class Jpeg:
-    """Parsed markers of a baseline file."""
+    """Parsed markers of a baseline file, and the scan that holds the first component (alone, or among others)."""
 
     width: int = 0
     height: int = 0
@@ -119,32 +124,44 @@ class Jpeg:
             elif m == COM:
                 out.comment = s
             elif m == SOS:
-                out._scan(s)
-                end = b.rfind(b"\xff\xd9")
-                out.data = b[i : end if end >= i else len(b)]
-                return out
-
-    def _scan(self, s: bytes) -> None:
+                whole = s[:1] == bytes([len(out.parts)])
+                after = None if whole else _MARKER.search(b, i)
+                end = b.rfind(b"\xff\xd9") if whole else after.start() if after else len(b)
+                if out._scan(s):
+                    out.data = b[i : end if end >= i else len(b)]
+                    return out
+                i = end  # other components' scan
+
+    def _scan(self, s: bytes) -> bool:
+        """Takes up the scan, if it has the first component."""
         if not self.parts or not self.width or not self.height:
             raise ValueError("no frame")
-        if s[0] != len(self.parts):
-            raise ValueError("not one interleaved scan")
+        if not s or not 1 <= s[0] <= len(self.parts) or len(s) < 1 + 2 * s[0]:
+            raise ValueError("broken scan")
         if any(not 1 <= p[1] <= 4 or not 1 <= p[2] <= 4 for p in self.parts):
             raise ValueError("sampling factor")
         if any(p[3] not in self.steps for p in self.parts):
             raise ValueError("a quantiser is missing")
         index = {p[0]: k for k, p in enumerate(self.parts)}
-        one = len(self.parts) == 1
-        for k in range(s[0]):
-            c, t = index[s[1 + 2 * k]], s[2 + 2 * k]
+        own = [(index[s[1 + 2 * k]], s[2 + 2 * k]) for k in range(s[0])]
+        if all(c for c, _ in own):
+            return False
+        one = len(own) == 1
+        for c, t in own:
             blocks = 1 if one else self.parts[c][1] * self.parts[c][2]
             self.order += [(c, t >> 4, 16 + (t & 15))] * blocks
         for _, dc, ac in self.order:
             if dc not in self.codes or ac not in self.codes:
                 raise ValueError("a code table is missing")
-        h, v = (1, 1) if one else (max(p[1] for p in self.parts), max(p[2] for p in self.parts))
-        self.across, self.down = -(-self.width // (8 * h)), -(-self.height // (8 * v))
+        h, v = max(p[1] for p in self.parts), max(p[2] for p in self.parts)
+        if one:  # blocks that the image doesn't reach are left out, other than in interleaved scans
+            across, down = -(-self.width * self.parts[0][1] // h), -(-self.height * self.parts[0][2] // v)
+            h, v = 1, 1
+        else:
+            across, down = self.width, self.height
+        self.across, self.down = -(-across // (8 * h)), -(-down // (8 * v))
         self.mcus = self.across * self.down
+        return True
 
     def segments(self) -> list[np.ndarray]:
         """The restart segments' bytes, without stuffed zeros and markers."""
@@ -174,7 +191,7 @@ def lookup(counts: bytes, symbols: bytes) -> np.ndarray:
 
 
 def coefficients(files: list[Jpeg]) -> list[np.ndarray | None]:
-    """Quantised coefficients [blocks, 64] in zigzag order for each file; None where a scan is broken."""
+    """Quantised coefficients [blocks, 64] in zigzag order of each file's scan; None where it is broken."""
     out: list[np.ndarray | None] = [None] * len(files)
     groups: dict[tuple, list[int]] = {}
     for k, f in enumerate(files):
@@ -274,7 +291,7 @@ def luminance(f: Jpeg, blocks: np.ndarray) -> np.ndarray:
     """The DC-only thumbnail of the first component: a byte for each of its blocks."""
     own = [i for i, (c, _, _) in enumerate(f.order) if c == 0]
     dc = blocks[:, 0].reshape(f.mcus, len(f.order))[:, own].astype(np.int64) * int(f.steps[f.parts[0][3]][0])
-    h, v = (1, 1) if len(f.parts) == 1 else f.parts[0][1:3]
+    h, v = (1, 1) if len(f.order) == 1 else f.parts[0][1:3]
     grid = dc.reshape(f.down, f.across, v, h).transpose(0, 2, 1, 3).reshape(f.down * v, f.across * h)
     return np.clip((grid + 4) // 8 + 128, 0, 255).astype(np.uint8)
 

@@ -112,6 +112,34 @@ def test_decoder_on_general_files(restart, parts):
             assert all(thumb[2 * y + i, 2 * x + j] == own[y, x, i, j] for y in range(own.shape[0]) for x in range(own.shape[1]) for i in (0, 1) for j in (0, 1))
 
 
+@pytest.mark.parametrize("first", [0, 1, 2])
+@pytest.mark.parametrize("restart", [0, 2])
+def test_a_scan_for_each_component(first, restart):
+    """Components in scans of their own, the first one at any place; edges that its blocks don't fill."""
+    r = np.random.default_rng(first)
+    steps, (width, height), parts = [8, *[3] * 63], (70, 43), [(1, 2, 2), (2, 1, 1), (3, 1, 1)]
+    whole = encode(np.zeros((0, 64)), [0], width, height, parts, steps, restart)
+    files, want = [], blocks_of(r, 9 * 6)
+    for i, n in ((1, 9 * 6), (2, 5 * 3), (3, 5 * 3)):  # blocks that hold a sample
+        one = encode(want if i == 1 else blocks_of(r, n), [0], width, height, [(i, 1, 1)], steps, restart)
+        files.append(one[one.index(b"\xff\xda") : -2])
+    files.insert(first, files.pop(0))
+    file = media.Jpeg.parse(whole[: whole.index(b"\xff\xda")] + b"".join(files) + b"\xff\xd9")
+    (got,) = media.coefficients([file])
+    assert (got == want).all() and (file.across, file.down) == (9, 6)
+    assert (media.luminance(file, got) == np.clip(want[:, 0] + 128, 0, 255).reshape(6, 9)).all()
+
+
+def test_scans_without_the_first_component_are_refused():
+    whole = encode(blocks_of(np.random.default_rng(1), 15), [0], 70, 43, [(2, 1, 1)], [8, *[3] * 63])
+    head, scan = whole[: whole.index(b"\xff\xc0")], whole[whole.index(b"\xff\xda") :]
+    frame = media._segment(media.SOF0, bytes([8, 0, 43, 0, 70, 2, 1, 0x11, 0, 2, 0x11, 0]))
+    rest = whole[whole.index(b"\xff\xc4") : whole.index(b"\xff\xda")]
+    for tail in (scan, scan[:-2], scan[:2] + b"\0\x05\x05" + scan[5:]):
+        with pytest.raises((ValueError, KeyError)):
+            media.Jpeg.parse(head + frame + rest + tail)
+
+
 def test_zigzag():
     assert Z[:10].tolist() == [0, 1, 8, 16, 9, 2, 3, 10, 17, 24] and sorted(Z.tolist()) == list(range(64)) and Z[-1] == 63
 
