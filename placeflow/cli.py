@@ -12,6 +12,7 @@ from placeflow import session
 from placeflow.operators import sampling, state, stats
 from placeflow.plans import pipelines
 from placeflow.schemas import BUNDLE, ENRICHMENT, SUMMARY
+from placeflow.settings import Settings
 from placeflow.sinks import files as sinks
 from placeflow.sinks import single
 from placeflow.sources import files, pages
@@ -20,6 +21,7 @@ from placeflow.sources import files, pages
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="placeflow", description=__doc__)
     sub = p.add_subparsers(dest="command", required=True)
+    now = Settings.read()
 
     def command(name: str, *flags: str, **options: object) -> argparse.ArgumentParser:
         c = sub.add_parser(name)
@@ -30,17 +32,17 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument(f"--{k.replace('_', '-')}", **kind)
         return c
 
-    command("publish", "--data-dir", "--output", title="Places", repo_name="", private=False, no_upload=False)
+    command("publish", "--data-dir", "--output", title=now.title, repo_name="", private=False, no_upload=False)
     command("store", "--pages", "--output")
-    command("collect", "--pages", "--output", total=1, max_pages=10, first_page_only=False, min_entries=pipelines.LEAST)
-    command("stats", "--data-dir", total=1, min_entries=pipelines.LEAST)
-    command("enrich", "--places", "--pages", "--state", partition=0, total=1, export="", save_freq=state.EVERY)
+    command("collect", "--pages", "--output", total=1, max_pages=now.max_pages, first_page_only=False, min_entries=now.min_entries)
+    command("stats", "--data-dir", total=1, min_entries=now.min_entries)
+    command("enrich", "--places", "--pages", "--state", partition=0, total=1, export="", save_freq=now.save_freq)
     command("merge-state", "--files", "--output", kind="enrichment", places="", table="")
     command("merge-tree", "--data-dir", "--output")
-    command("reviews", "--places", "--pages", "--state", "--output", partition_x=1, partition_y=1, save_freq=state.EVERY)
+    command("reviews", "--places", "--pages", "--state", "--output", partition_x=1, partition_y=1, save_freq=now.save_freq)
     command("merge", "--data-dir", "--output", partitions=1, stem="reviews_p", suffix=".parquet")
     command("progress", "--summaries", total=1, output="")
-    command("sample", "--places", num=5, seed=42, pages="", output="")
+    command("sample", "--places", num=now.sample_count, seed=now.sample_seed, pages="", output="")
     return p
 
 
@@ -62,7 +64,7 @@ def main(argv: list[str] | None = None, spark=None, publisher: sinks.Publisher |
         out = pipelines.publish(spark, a.data_dir, a.output, a.title)
         print(out)
         if a.repo_name and not a.no_upload:
-            (publisher or sinks.Publisher()).publish(a.repo_name, [f"{a.output}/places.parquet", f"{a.output}/README.md"], a.private)
+            (publisher or sinks.Publisher()).publish(a.repo_name, [f"{a.output}/{Settings.read().facilities_file}", f"{a.output}/README.md"], a.private)
         return out
     if a.command == "store":
         return pages.Store.write(spark.read.parquet(a.pages), a.output).read()
@@ -81,6 +83,8 @@ def main(argv: list[str] | None = None, spark=None, publisher: sinks.Publisher |
         if a.export:
             name = files.part_names("enrichment_progress_partition_", a.total, ".json", 3)
             single.json_map(out, f"{a.export}/{name[0].replace('001_of', f'{a.partition:03d}_of')}")
+            failed = out.filter("enrichment_error IS NOT NULL").select("place_id", "enrichment_error", "enriched_at").orderBy("place_id")
+            single.csv_with_mark(failed, f"{a.export}/{a.partition:03d}_{Settings.read().failed_file}", sort_columns=False)
         return out
     if a.command == "merge-state":
         out = pipelines.merge_checkpoint_files(spark, a.files, a.output, a.kind)

@@ -9,6 +9,7 @@ from placeflow import storage
 from placeflow.functions import html, text
 from placeflow.operators import dedup, flatten, joins, partition, sampling, state, stats
 from placeflow.schemas import BUNDLE, ENRICHMENT, ERRORS, FACILITY, FLAT_REVIEW, NOT_FOUND, PATH_KEYS
+from placeflow.settings import Settings
 from placeflow.sinks import files as sinks
 from placeflow.sinks import single
 from placeflow.sinks import tree as trees
@@ -31,8 +32,8 @@ def publish(spark: SparkSession, root: str, out: str, title: str = "Places", **o
     """Reads a JSON tree, writes deduplicated Parquet and a card; returns the card's figures."""
     rows = files.json_tree(spark, root)
     best = published(rows, **options).drop("file_path", "pos")
-    sinks.parquet(sinks.coerce_times(best), f"{out}/places.parquet")
-    kept = spark.read.parquet(f"{out}/places.parquet")
+    sinks.parquet(sinks.coerce_times(best), f"{out}/{Settings.read().facilities_file}")
+    kept = spark.read.parquet(f"{out}/{Settings.read().facilities_file}")
     figures = {
         **stats.profile(kept, "place_id", "file_district", "file_dong", "category").first().asDict(),
         **stats.date_range(kept, "scraped_at").first().asDict(),

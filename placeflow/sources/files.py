@@ -177,9 +177,15 @@ def required(df: DataFrame, *names: str) -> DataFrame:
     return df
 
 
+def mirrored(spark: SparkSession, path: str) -> DataFrame:
+    """The Parquet files of a mirrored dataset repository, wherever they lie under path; its cards and other files aren't read."""
+    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(path)
+
+
 READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv": csv_table,
     "parquet": lambda spark, path: spark.read.parquet(path),
+    "hub": mirrored,
 }
 
 

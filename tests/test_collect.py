@@ -11,6 +11,7 @@ from placeflow import cli
 from placeflow.functions import html
 from placeflow.operators import dedup, partition, state, stats
 from placeflow.plans import pipelines
+from placeflow.settings import Settings
 from placeflow.sources import files
 
 
@@ -61,6 +62,7 @@ def test_store_and_merged_table_commands(spark, tmp_path):
     for i in range(2):
         out = cli.main(["enrich", *common, "--state", str(tmp_path / f"log{i}"), "--partition", str(i)], spark)
         assert out.count() == 20
+    assert files.csv_rows(spark, str(tmp_path / "000_failed.csv")) + files.csv_rows(spark, str(tmp_path / "001_failed.csv")) == 40
     names = f"{tmp_path}/enrichment_progress_partition_*.json"
     table = cli.main(["merge-state", "--files", names, "--output", str(tmp_path / "all.json"), "--places", str(tmp_path / "places"), "--table", str(tmp_path / "table")], spark)
     assert table.count() == 40 and table.filter("medical_info_parsed IS NULL").count() == 0 and len(json.loads((tmp_path / "all.json").read_text())) == 40
@@ -127,3 +129,7 @@ def test_a_heading_by_department_is_not_the_list():
     assert html.medical_info(section.format("진료과목별 안내", ul)) == {}
     assert html.medical_info(section.format("진료과목별 주차", ul)) == {"parking": ["내과"]}
     assert html.medical_info(section.format("진료과목 안내", ul)) == {"medical_departments": ["내과"]}
+
+
+def test_settings_come_from_the_environment():
+    assert Settings.read({"PLACEFLOW_MAX_PAGES": "3", "PLACEFLOW_TITLE": "x"}) == Settings(max_pages=3, title="x") and Settings.read({}).min_entries == pipelines.LEAST

@@ -303,6 +303,9 @@ def test_time_coercion_is_all_or_nothing(spark):
 def test_fallback_chain_and_cache(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "p"))
     assert files.first_readable(spark, [("csv", str(tmp_path / "none.csv")), ("parquet", str(tmp_path / "p"))]).count() == 3
+    put(tmp_path / "hub/README.md", "# card")
+    spark.range(4).coalesce(1).write.parquet(str(tmp_path / "hub/data/train"))
+    assert files.first_readable(spark, [("parquet", str(tmp_path / "none")), ("hub", str(tmp_path / "hub"))]).count() == 4
     for chain in ([("zip", "x")], [("pickle", "x")], [("csv", str(tmp_path / "none.csv"))]):
         with pytest.raises(ValueError):
             files.first_readable(spark, chain)
