@@ -51,7 +51,7 @@ from placeflow.llm.common import chunks, columns, commonest, discarded, raw, tab
 SPACE = "▁"
 NEVER = -1e8
 #: Segments whose encoding is broadcast to the tasks; rarer ones meet theirs in a join.
-KNOWN = 200_000
+KNOWN = 400_000
 #: Distinct segments that a task holds before it hands their counts on.
 HELD = 300_000
 #: Stops of a block of the fold.
@@ -256,11 +256,18 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each row's segments and their ids as one compressed blob: count, sizes, id counts, bytes, ids."""
     press = zstandard.ZstdCompressor(level=1)
     for batch in batches:
+        own = batch.column("_own")
+        ends = np.append(0, np.cumsum(own.value_lengths().to_numpy(zero_copy_only=False))).astype(np.int64)
+        items = own.flatten()
+        names, ids = items.field("segment"), items.field("ids")
+        at = np.frombuffer(names.buffers()[1], np.int32)[names.offset : names.offset + len(names) + 1]
+        data, flat = memoryview(names.buffers()[2] or b""), ids.flatten().to_numpy(zero_copy_only=False).astype("<u4")
+        sizes, counts = np.diff(at).astype("<u4"), ids.value_lengths().to_numpy(zero_copy_only=False).astype("<u4")
+        upto = np.append(0, np.cumsum(counts, dtype=np.int64))
         blobs = []
-        for row in batch.column("_own").to_pylist():
-            names, ids = [x["segment"].encode() for x in row], [x["ids"] for x in row]
-            head = np.array([len(row), *map(len, names), *map(len, ids)], "<u4")
-            blobs.append(press.compress(head.tobytes() + b"".join(names) + np.array([i for x in ids for i in x], "<u4").tobytes()))
+        for a, b in zip(ends.tolist(), ends[1:].tolist(), strict=False):
+            head = np.array([b - a], "<u4").tobytes() + sizes[a:b].tobytes() + counts[a:b].tobytes()
+            blobs.append(press.compress(head + bytes(data[at[a] : at[b]]) + flat[upto[a] : upto[b]].tobytes()))
         yield pa.RecordBatch.from_arrays([batch.column("_k"), pa.array(blobs, pa.binary())], names=["_k", "_own"])
 
 
