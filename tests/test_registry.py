@@ -52,7 +52,7 @@ def test_plans(spark, capsys):
 
     assert "WindowGroupLimit" in plan("completeness_dedup")
     for name in registry.QUERIES:
-        if not name.startswith("html_") and name not in ("explode_outer_links", "enrichment_outcomes", "review_rows", "detail_fields", "search_positions"):
+        if not name.startswith("html_") and name not in ("explode_outer_links", "enrichment_outcomes", "review_rows", "review_details", "medical_sections", "main_links", "detail_fields", "search_positions"):
             assert "ArrowEvalPython" not in plan(name), name
     assert "PushedFilters: [IsNotNull(l_linenumber), LessThanOrEqual(l_linenumber,2)]" in plan("page_cutoff")
     assert "ReadSchema: struct<c_custkey:bigint>" in plan("membership_semi_join")
