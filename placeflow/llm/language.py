@@ -36,8 +36,8 @@ from placeflow.llm.common import chunks, columns, fold, least, raw, table
 HIDDEN, WINDOW, MARGIN = 20, 1024, 64
 SAMPLE, DRAWN, LENGTH = 2000, 8, 96
 STEPS, BATCH, RATE = 320, 192, 0.02
-#: Windows that are read at once.
-LANES = 2048
+#: Windows that are read at once, and steps whose outputs are one product.
+LANES, STRETCH = 1000, 8
 UNKNOWN = "und"
 
 _LETTER = np.zeros(256, dtype=bool)
@@ -71,44 +71,70 @@ class Network:
     def weights(self) -> list[np.ndarray]:
         return [self.inputs, self.hidden, self.output, self.bias]
 
-    def scores(self, x: np.ndarray, live: list[int]) -> np.ndarray:
-        """Scores [T, B, L] before the softmax; 0 beyond a lane."""
+    def blocks(self, x: np.ndarray, live: list[int]) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Scores [.., B, L] before the softmax of positions from .. to, the last ones first; the bias beyond a lane.
+
+        A block's states are kept, so that its outputs are one product, and
+        what is made of a block is still in the cache.
+        """
         t, b = x.shape
         h, n = self.hidden.shape[1], len(self.names)
-        out = np.zeros((t, b, n), np.float32)
-        a, u, o = np.empty((3, b, h), np.float32), np.empty((3, b, h), np.float32), np.empty((b, n), np.float32)
-        half = np.array([0.5, 0.5, 1], np.float32)[:, None, None]  # a sigmoid is a tanh of half its argument
+        out = np.empty((t, b, n), np.float32)
+        a, u, states = np.empty((3, b, h), np.float32), np.empty((3, b, h), np.float32), np.empty((STRETCH + 1, b, h), np.float32)
+        half = np.array([0.5, 0.5, 1], np.float32)[:, None, None]  # a sigmoid is half of one more than the tanh of half its argument
+        firsts = range(0, t, STRETCH)
         for d in (0, 1):
             # gates and candidate apart, so that every step works on stretches of memory
             into = np.ascontiguousarray(self.inputs[d].reshape(256, 3, h).transpose(1, 0, 2)) * half
-            on = np.ascontiguousarray(self.hidden[d].reshape(h, 3, h).transpose(1, 0, 2)) * half
+            on = np.ascontiguousarray(self.hidden[d].reshape(h, 3, h).transpose(1, 0, 2)) * np.float32(0.5)
             final = np.ascontiguousarray(self.output[d * h : (d + 1) * h])
-            state = np.zeros((b, h), np.float32)
-            for i in range(t) if d == 0 else range(t - 1, -1, -1):
-                k = live[i]
-                now, gate, fresh, said = state[:k], a[:2, :k], u[2, :k], o[:k]
-                np.take(into, x[i, :k], axis=1, out=a[:, :k], mode="clip")
-                np.matmul(now, on, out=u[:, :k])
-                gate += u[:2, :k]
-                np.tanh(gate, out=gate)
-                gate *= 0.5
-                gate += 0.5
-                fresh *= gate[1]
-                fresh += a[2, :k]
-                np.tanh(fresh, out=fresh)
-                fresh -= now
-                fresh *= gate[0]
-                now += fresh
-                np.matmul(now, final, out=said)
-                out[i, :k] += said
-        out += self.bias
+            states[:] = 0
+            k = -1
+            for low in firsts if d == 0 else reversed(firsts):
+                high, most = min(low + STRETCH, t), live[low]
+                for j, i in enumerate(range(low, high) if d == 0 else range(high - 1, low - 1, -1)):
+                    if live[i] != k:
+                        k = live[i]
+                        ins, recurrent, gate, fresh, added, cand = a[:, :k], u[:, :k], u[:2, :k], u[2, :k], a[:2, :k], a[2, :k]
+                        update, reset = gate
+                    now = states[j, :k]
+                    np.take(into, x[i, :k], axis=1, out=ins, mode="clip")
+                    np.matmul(now, on, out=recurrent)
+                    gate += added
+                    np.tanh(gate, out=gate)
+                    gate += 1
+                    fresh *= reset
+                    fresh += cand
+                    np.tanh(fresh, out=fresh)
+                    fresh -= now
+                    update *= 0.5
+                    fresh *= update
+                    np.add(now, fresh, out=states[j + 1, :k])
+                    states[j + 1, k:most] = 0
+                said = states[1 : high - low + 1, :most] @ final
+                if d == 0:
+                    out[low:high, :most], out[low:high, most:] = said, 0
+                else:
+                    block = out[low:high]
+                    block[:, :most] += said[::-1]
+                    block += self.bias
+                    yield low, high, block
+                states[0] = states[high - low]
+
+    def scores(self, x: np.ndarray, live: list[int]) -> np.ndarray:
+        """Scores [T, B, L] before the softmax; the bias beyond a lane."""
+        out = np.empty((*x.shape, len(self.names)), np.float32)
+        for low, high, block in self.blocks(x, live):
+            out[low:high] = block
         return out
 
     def sums(self, x: np.ndarray, live: list[int], judged: np.ndarray) -> np.ndarray:
         """Probabilities of the languages [B, L], summed over the judged positions [T, B] of each lane."""
-        e = np.exp(np.clip(self.scores(x, live), -60, 60))
-        share = judged / (e @ np.ones(e.shape[2], np.float32))
-        return np.einsum("tbl,tb->bl", e, share)
+        total, ones = np.zeros((x.shape[1], len(self.names))), np.ones(len(self.names), np.float32)
+        for low, high, block in self.blocks(x, live):
+            e = np.exp(np.clip(block, -60, 60, out=block), out=block)
+            total += np.einsum("tbl,tb->bl", e, judged[low:high] / (e @ ones))
+        return total
 
     def probabilities(self, x: np.ndarray, live: list[int]) -> np.ndarray:
         """Probabilities [T, B, L] of the languages at every position; those beyond a lane mean nothing."""
@@ -172,9 +198,10 @@ def lanes(parts: list[bytes]) -> tuple[np.ndarray, list[int], np.ndarray]:
 
 
 def _lanes(buf: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, list[int]]:
-    t = np.arange(n[0] if len(n) else 0)
-    x = buf[np.minimum(first + t[:, None], len(buf) - 1)] if len(buf) else np.zeros((0, len(n)), np.uint8)
-    return x, np.searchsorted(-n, -t, side="left").tolist()
+    rows = np.zeros((len(n), n[0] if len(n) else 0), np.uint8)
+    for row, a, k in zip(rows, first.tolist(), n.tolist(), strict=True):
+        row[:k] = buf[a : a + k]
+    return np.ascontiguousarray(rows.T), np.searchsorted(-n, -np.arange(rows.shape[1]), side="left").tolist()
 
 
 def train(parts: list[bytes], labels: np.ndarray, names: list[str], steps: int = STEPS, seed: int = 3) -> Network:
@@ -230,8 +257,9 @@ def label(net: Network, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         x, live = _lanes(buf, begin[part], n)
         if not len(x):
             continue
-        at = begin[part] + np.arange(len(x))[:, None]
-        judged = (at >= low[part]) & (at < high[part]) & _LETTER[x]
+        judged = _LETTER[x]
+        for lane, a, b in zip(judged.T, (low - begin)[part].tolist(), (high - begin)[part].tolist(), strict=True):
+            lane[:a] = lane[b:] = False
         np.add.at(sums, text[part], net.sums(x, live, judged))
         np.add.at(count, text[part], judged.sum(axis=0))
     known = np.fromiter(map(_has_letter, texts), bool, len(texts))

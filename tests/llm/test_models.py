@@ -94,6 +94,25 @@ def test_long_texts_are_read_in_windows(monkeypatch):
             assert np.allclose(p, np.mean(want, axis=0), atol=1e-5)
 
 
+def test_reading_holds_few_bytes_for_each_of_its_own():
+    """Scores are used up block by block; lanes of different lengths end and begin within blocks."""
+    import tracemalloc
+
+    net = language.Network.fresh(["a", "b", "c", "d"], seed=2)
+    tracemalloc.start()
+    try:
+        language.label(net, [b"the quick brown fox jumps over the lazy dog " * 55_000])
+        assert tracemalloc.get_traced_memory()[1] < 50e6
+    finally:
+        tracemalloc.stop()
+    net = language.Network.fresh(["a", "b", "c"], h=3, seed=4)
+    texts = [bytes(97 + (i * j) % 26 for j in range(i)) for i in (1, 7, 8, 9, 17, 40, 41)]
+    x, live, order = language.lanes(texts)
+    got = net.probabilities(x, live)
+    for b, i in enumerate(order):
+        assert np.allclose(got[: len(texts[i]), b], list(scalar_probabilities(net, texts[i])), atol=1e-5)
+
+
 def test_languages_of_held_out_documents(docs, rows, none, clashing):
     known = docs.filter("doc_id < 1000")
     net = language.fit(known.filter(language.fold(F.col("doc_id"), 5) != 0), sample=80)
