@@ -38,7 +38,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -83,6 +83,14 @@ def coded_segments(texts: list[bytes], cuts: np.ndarray) -> tuple[pa.LargeBinary
     return coded.dictionary, coded.indices.to_numpy().astype(np.int64), np.diff(upto, prepend=0)
 
 
+def _items(coded: pa.LargeBinaryArray) -> list[bytes]:
+    """The array's values (no nulls), without an Arrow scalar for each."""
+    ends = np.frombuffer(coded.buffers()[1], np.int64)[coded.offset : coded.offset + len(coded) + 1].tolist() if len(coded) else [0]
+    data = (coded.buffers()[2] or b"")[ends[0] : ends[-1]]
+    data = data if isinstance(data, bytes) else data.to_pybytes()
+    return [data[a - ends[0] : b - ends[0]] for a, b in zip(ends, ends[1:], strict=False)]
+
+
 def segments(text: bytes, known: dict) -> list[bytes]:
     """Segments of a text, in order."""
     coded, codes, _ = coded_segments([text], known["cuts"])
@@ -172,6 +180,10 @@ def _stops(words: DataFrame, pieces: DataFrame, known: dict, key: list[str], blo
     char = F.translate("piece", " ", SPACE)
     unknown = -1 - F.conv(F.hex(F.encode(char, "UTF-8")), 16, 10).cast("bigint")
     edge = F.struct(F.coalesce("score", F.lit(known["unknown"])).alias("score"), F.col("_n").alias("n"), F.coalesce(F.col("id").cast("bigint"), unknown).alias("id"))
+    if not blocks:  # one grouping is cheaper than two, and few edges are soon looked through for each stop
+        flat = F.struct((F.col("_s") + F.col("_n")).alias("stop"), edge["score"].alias("score"), edge["n"].alias("n"), edge["id"].alias("id"))
+        ending = lambda s: F.struct(F.filter("_e", lambda e: e["stop"] == s).alias("edges"))
+        return edges.groupBy(*key).agg(F.collect_list(flat).alias("_e")).select(*key, F.transform(F.sequence(F.lit(1), size), ending).alias("stops"))
     stops = edges.groupBy(*key, (F.col("_s") + F.col("_n")).alias("stop")).agg(F.collect_list(edge).alias("edges"))
     return stops.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("stop", "edges"))).alias("stops"))
 
@@ -318,7 +330,7 @@ def encoded(docs: DataFrame, words: DataFrame, known: dict, finish: Callable = _
         listed = set(shared.value[0])
         for batch in chunks(batches, limit=2_000_000):
             coded, codes, counts = coded_segments([t or b"" for t in raw(batch.column("text"))], cuts)
-            names = coded.to_pylist()
+            names = _items(coded)
             strange = np.fromiter((w not in listed for w in names), bool, len(names))
             pairs = np.unique(np.repeat(np.arange(len(counts)), counts)[strange[codes]] * max(1, len(names)) + codes[strange[codes]])
             doc, word = np.divmod(pairs, max(1, len(names)))
@@ -333,11 +345,11 @@ def encoded(docs: DataFrame, words: DataFrame, known: dict, finish: Callable = _
             texts = [grow.decompress(b) if b is not None else b"" for b in batch.column("blob").to_pylist()]
             own = batch.column("_own")
             coded, codes, counts = coded_segments(texts, cuts)
-            names = coded.to_pylist()
+            names = _items(coded)
             # the rows' own segments follow the listed ones
             extra = [_unpacked(x) for x in own.to_pylist() if x is not None]
             here = {w: len(listed) + j for j, w in enumerate(chain.from_iterable(words_ for words_, _, _ in extra))}
-            at = np.fromiter((places.get(w, -1) for w in names), np.int64, len(names))
+            at = np.fromiter(map(places.get, names, repeat(-1)), np.int64, len(names))
             lost = np.flatnonzero(at < 0)
             at[lost] = [here[names[j]] for j in lost.tolist()]
             whole = np.concatenate([flat, *(ids for _, ids, _ in extra)])
@@ -369,9 +381,12 @@ def encoded(docs: DataFrame, words: DataFrame, known: dict, finish: Callable = _
 def decoded(ids: pa.ListArray, known: dict) -> list[bytes]:
     """The texts of rows of ids: pieces and bytes in a row, U+2581 as a space, without the dummy space in front."""
     flat, sizes = known["texts"]
-    at = ids.flatten().to_numpy(zero_copy_only=False)
-    whole = _ragged(flat, sizes, at).tobytes()
-    stops = np.append(0, np.cumsum(sizes[at]))[np.append(0, np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False)))].tolist()
+    at = ids.flatten()
+    names = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(np.append(0, np.cumsum(sizes))), pa.py_buffer(flat)])
+    taken = names.take(at)  # its values lie in a row
+    ends = np.frombuffer(taken.buffers()[1], np.int64)[: len(taken) + 1] if len(taken) else np.zeros(1, np.int64)
+    whole = (taken.buffers()[2] or pa.py_buffer(b"")).to_pybytes() if len(taken) else b""
+    stops = ends[np.append(0, np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False)))].tolist()
     return [whole[a:b].replace(_SPACE, b" ")[1:] for a, b in zip(stops, stops[1:], strict=False)]
 
 

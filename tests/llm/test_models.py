@@ -424,6 +424,25 @@ def test_ids_of_documents_decode_to_their_texts(spark, docs, rows, model_path, m
     assert back == Counter((r[0], (r[1] or "").replace("▁", " ")) for r in rows)
 
 
+def test_edges_are_grouped_once_and_segments_read_without_scalars(spark, model_path, capsys):
+    import pyarrow as pa
+
+    table, known = pieces.piece_table(spark, model_path)
+    texts = ["a", " the", "x\0", "é日本", "abababababababababababab"]
+    lattice = pieces._stops(spark.createDataFrame([(t,) for t in texts], "segment string"), table, known, ["segment"], False)
+    lattice.explain()
+    assert capsys.readouterr().out.count("ObjectHashAggregate(") == 2  # before and after the exchange
+    scores = {r.piece: (r.id, r.score) for r in table.collect()}
+    for r in lattice.collect():
+        want = [{(n, *scores.get(r.segment[e - n : e], (None, None))) for n in range(1, min(e, 16) + 1) if n == 1 or r.segment[e - n : e] in scores} for e in range(1, len(r.segment) + 1)]
+        got = [{(e.n, e.id if e.id >= 0 else None, e.score if e.id >= 0 else None) for e in s.edges} for s in r.stops]
+        assert got == want
+    coded = pa.array([b"a", b"", "é".encode(), b"bc"], pa.large_binary())
+    assert pieces._items(coded) == coded.to_pylist() and pieces._items(coded.slice(1, 2)) == [b"", "é".encode()]
+    assert pieces._items(coded[:0]) == pieces._items(pa.array([], pa.large_binary())) == []
+    assert pieces.decoded(pa.array([[], [], []], pa.list_(pa.int32())), known) == [b""] * 3
+
+
 def test_long_segments_fold_in_proportion(spark, model_path, monkeypatch):
     """Segments over several blocks of the fold equal those folded at once, and a long one takes no more time than its length asks for."""
     import random
