@@ -126,8 +126,8 @@ def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
 
 
 def segment_counts(docs: DataFrame, known: dict) -> DataFrame:
-    """segment and n over all texts, in small partitions by segment (each segment will have a lattice)."""
-    parts, cuts = 16 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), known["cuts"]
+    """segment and n over all texts."""
+    cuts = known["cuts"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met, held = [], 0
@@ -148,7 +148,7 @@ def segment_counts(docs: DataFrame, known: dict) -> DataFrame:
         if met:
             yield out()
 
-    return docs.select("text").mapInArrow(task, "segment string, n bigint").repartition(parts, "segment").groupBy("segment").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(task, "segment string, n bigint").groupBy("segment").agg(F.sum("n").alias("n"))
 
 
 def _by_blocks(items: Column, start: Column, step, finish) -> Column:
@@ -192,8 +192,11 @@ def encode(words: DataFrame, pieces: DataFrame, known: dict, *carried: str) -> D
     """segment, the carried columns and ids (the best path's piece ids) of words, whose segments are distinct.
 
     The rows of a long segment's lattice go by a number instead of the segment.
+    Both filters read words, so they should be kept. Short ones go to small
+    partitions (each will have a lattice).
     """
-    short = words.select("segment", *carried).filter(F.length("segment") <= LONG)
+    parts = 16 * int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    short = words.select("segment", *carried).filter(F.length("segment") <= LONG).repartition(parts, "segment")
     folded = _folded(_stops(short, pieces, known, ["segment", *carried], False), known, False, "segment", *carried)
     long = written(words.select("segment", *carried).filter(F.length("segment") > LONG).withColumn("_id", F.monotonically_increasing_id()))
     if long.isEmpty():
@@ -300,15 +303,18 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def segment_ids(docs: DataFrame, pieces: DataFrame, known: dict) -> DataFrame:
     """segment, n and ids of all distinct segments.
 
-    Lattices are grouped in memory: a partition holds few segments (`segment_counts`).
+    Texts are counted once. Lattices are grouped in memory: a partition holds few segments (`encode`).
     """
     spark, key = docs.sparkSession, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
     before = spark.conf.get(key)
     spark.conf.set(key, str(1 << 20))
     try:
-        return written(encode(segment_counts(docs, known), pieces, known, "n"))
+        counts = written(segment_counts(docs, known))
+        out = written(encode(counts, pieces, known, "n"))
     finally:
         spark.conf.set(key, before)
+    discarded(counts)
+    return out
 
 
 def _finished(batch: pa.RecordBatch) -> pa.RecordBatch:

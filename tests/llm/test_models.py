@@ -443,6 +443,16 @@ def test_edges_are_grouped_once_and_segments_read_without_scalars(spark, model_p
     assert pieces.decoded(pa.array([[], [], []], pa.list_(pa.int32())), known) == [b""] * 3
 
 
+def test_texts_are_cut_once_for_the_counts(spark, docs, model_path, monkeypatch):
+    """Short and long segments are both taken from kept counts."""
+    table, known = pieces.piece_table(spark, model_path)
+    seen = []
+    encode = pieces.encode
+    monkeypatch.setattr(pieces, "encode", lambda words, *a: seen.append(words._jdf.queryExecution().toString()) or encode(words, *a))
+    assert pieces.segment_ids(docs.select("doc_id", "text"), table, known).count() > 0
+    assert len(seen) == 1 and "MapInArrow" not in seen[0]
+
+
 def test_long_segments_fold_in_proportion(spark, model_path, monkeypatch):
     """Segments over several blocks of the fold equal those folded at once, and a long one takes no more time than its length asks for."""
     import random
