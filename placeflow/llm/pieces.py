@@ -5,7 +5,8 @@ U+2581) and cut into segments where no piece reaches across: between two bytes
 that are neighbours in no piece. Distinct segments are counted over all
 documents, and only they are encoded:
 
-1. explode all substrings of at most the longest piece's length,
+1. explode the substrings from each start, up to the longest piece that begins
+   with the same characters,
 2. equi-join them to the piece table (broadcast: its size is the vocabulary's),
 3. group the edges by segment and stop,
 4. fold Viterbi over the segment's stops with the higher-order `aggregate`.
@@ -15,7 +16,9 @@ piece. A character without a piece of its own becomes its UTF-8 bytes, at a
 cost below every score. This is the unigram rule on the pieces' scores: for a
 model made by merging pairs it can differ from the order of merges, and it
 always decodes to the same text. Pieces that the model never chooses (score
--1e9) are left out.
+-1e9) are left out, and so are those that can't be on a best path, as other
+pieces make the same characters with a larger sum (`_may_win`): no result
+depends on them. Segments are cut by all pieces.
 
 Long segments are folded in two levels, an inner fold over the stops of a block
 and an outer one over blocks, so that a segment's time grows with its length,
@@ -38,7 +41,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import chain, repeat
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +57,8 @@ NEVER = -1e8
 KNOWN = 400_000
 #: Distinct segments that a task holds before it hands their counts on.
 HELD = 300_000
+#: Characters by which the pieces that can begin at a place are bounded.
+HEAD = 4
 #: Stops of a block of the fold.
 FOLDED = 256
 #: Characters of a block that is read at once, and of a segment whose lattice goes by a number.
@@ -97,8 +102,25 @@ def segments(text: bytes, known: dict) -> list[bytes]:
     return coded.take(pa.array(codes)).to_pylist()
 
 
+def _may_win(scores: dict[str, float]) -> list[bool]:
+    """Of each piece, whether no row of other pieces makes its characters with a larger sum.
+
+    With such a row, a path through the piece is never best, ties included. Sums
+    of a few 32-bit scores are exact here.
+    """
+
+    def others(piece: str) -> float:
+        top = [0.0] + [-np.inf] * len(piece)
+        for end in range(1, len(piece) + 1):
+            first = 1 if end == len(piece) else 0  # not the piece itself
+            top[end] = max((top[s] + scores.get(piece[s:end], -np.inf) for s in range(first, end)), default=-np.inf)
+        return top[-1]
+
+    return [others(p) <= score for p, score in scores.items()]
+
+
 def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
-    """piece (with a blank for U+2581), id and score of the ordinary pieces; and what the lattice needs to know of the model."""
+    """piece (with a blank for U+2581), id and score of the ordinary pieces that can be on a best path; and what the lattice needs to know of the model."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -121,6 +143,7 @@ def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
         "cuts": cuts,
         "texts": (np.frombuffer(b"".join(names), np.uint8), np.fromiter(map(len, names), np.int64, len(names))),  # of all ids in a row
     }
+    rows = list(compress(rows, _may_win({p: s for p, _, s in rows})))
     frame = pa.table({"piece": [r[0].replace(SPACE, " ") for r in rows], "id": pa.array([r[1] for r in rows], pa.int32()), "score": [r[2] for r in rows]})
     return spark.createDataFrame(frame), known
 
@@ -165,7 +188,10 @@ def _stops(words: DataFrame, pieces: DataFrame, known: dict, key: list[str], blo
     longest, size = known["longest"], F.length("segment")
     if not blocks:
         starts = words.select(*key, *({"segment"} - set(key)), F.explode(F.sequence(F.lit(0), size - 1)).alias("_s"))
-        spans = starts.withColumn("_n", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("_s")))))
+        # few characters begin a long piece
+        heads = pieces.filter(F.length("piece") >= HEAD).groupBy(F.substring("piece", 1, HEAD).alias("_head")).agg(F.max(F.length("piece")).alias("_reach"))
+        starts = starts.join(F.broadcast(heads), F.substring("segment", F.col("_s") + 1, F.lit(HEAD)) == F.col("_head"), "left")
+        spans = starts.withColumn("_n", F.explode(F.sequence(F.lit(1), F.least(F.coalesce("_reach", F.lit(HEAD - 1)), size - F.col("_s")))))
         cut = spans.select(*key, "_s", "_n", F.substring("segment", F.col("_s") + 1, F.col("_n")).alias("piece"))
     else:
         own = words.select(*key, "segment", F.explode(F.sequence(F.lit(0), size - 1, F.lit(BLOCK))).alias("_b"))
@@ -205,6 +231,29 @@ def encode(words: DataFrame, pieces: DataFrame, known: dict, *carried: str) -> D
     return folded.unionByName(met.select("segment", *carried, "ids"))
 
 
+def _path(lattice: DataFrame, *key: str) -> DataFrame:
+    """key and _t: the best path through the stops of short segments.
+
+    The way there keeps only the best sum of each stop; the way back finds the
+    edges that made it, at the few stops on the path.
+    """
+    size, here = F.size("stops"), lambda s: F.element_at("_sums", s + 1)
+
+    def step(sums, stop):
+        return F.array_append(sums, F.array_max(F.transform(stop["edges"], lambda e: F.element_at(sums, -e["n"]) + e["score"])))
+
+    def back(taken, s):
+        """From the end: at a stop where the piece taken before starts, takes the longest of the best."""
+        best = F.filter(F.element_at("stops", s)["edges"], lambda e: here(s - e["n"]) + e["score"] == here(s))
+        way = F.array_min(F.transform(best, lambda e: F.struct((s - e["n"]).alias("start"), e["id"].alias("id"))))
+        return F.when(F.element_at(taken, -1)["start"] != s, taken).otherwise(F.array_append(taken, way))
+
+    summed = lattice.select(*key, "stops", F.aggregate("stops", F.array(F.lit(0.0)), step).alias("_sums"))
+    end = F.array(F.struct(size.alias("start"), F.lit(0).cast("bigint").alias("id")))
+    found = F.aggregate(F.sequence(size, F.lit(1), F.lit(-1)), end, back, lambda taken: F.slice(F.reverse(taken["id"]), F.lit(1), F.size(taken) - 1))
+    return summed.select(*key, found.alias("_t"))
+
+
 def _folded(lattice: DataFrame, known: dict, blocks: bool, *key: str) -> DataFrame:
     """key and ids: the best path through the stops.
 
@@ -241,14 +290,11 @@ def _folded(lattice: DataFrame, known: dict, blocks: bool, *key: str) -> DataFra
 
     if blocks:
         best = _by_blocks(F.col("stops"), F.array(first), block, F.flatten)
-    else:
-        best = F.aggregate("stops", first, step)
-    solved = lattice.select(*key, best.alias("best")).select(*key, F.reverse(F.slice("best", F.lit(2), F.size("best"))).alias("best"))
-    if blocks:
+        solved = lattice.select(*key, best.alias("best")).select(*key, F.reverse(F.slice("best", F.lit(2), F.size("best"))).alias("best"))
         begin = F.struct(F.lit(0).alias("skip"), F.array().cast("array<array<bigint>>").alias("blocks"))
-        taken = _by_blocks(F.col("best"), begin, block_back, lambda s: F.reverse(F.flatten(s["blocks"])))
+        found = solved.select(*key, _by_blocks(F.col("best"), begin, block_back, lambda s: F.reverse(F.flatten(s["blocks"]))).alias("_t"))
     else:
-        taken = F.aggregate("best", taking(F.lit(0)), back, lambda s: F.reverse(s["taken"]))
+        found = _path(lattice, *key)
 
     def spelled(i):
         code = F.hex(-1 - i)
@@ -256,7 +302,6 @@ def _folded(lattice: DataFrame, known: dict, blocks: bool, *key: str) -> DataFra
         bytes_ = F.transform(F.sequence(F.lit(0), (F.length(code) / 2 - 1).cast("int")), lambda k: (F.lit(base) + F.conv(F.substring(code, (2 * k + 1).cast("int"), F.lit(2)), 16, 10).cast("int")).cast("int"))
         return F.when(i >= 0, F.array(i.cast("int"))).otherwise(bytes_)
 
-    found = solved.select(*key, taken.alias("_t"))
     return found.select(*key, F.when(F.array_min("_t") >= 0, F.col("_t").cast("array<int>")).otherwise(F.flatten(F.transform("_t", spelled))).alias("ids"))
 
 

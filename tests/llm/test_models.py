@@ -453,6 +453,32 @@ def test_texts_are_cut_once_for_the_counts(spark, docs, model_path, monkeypatch)
     assert len(seen) == 1 and "MapInArrow" not in seen[0]
 
 
+def test_pieces_that_never_win_are_left_out_and_change_nothing(spark, docs, model_path, monkeypatch):
+    assert pieces._may_win({"a": -9.0, "b": -9.0, "ab": -3.0, "aba": -12.0, "abb": -12.5, "abab": -6.0, "c": -1.0, "cc": -2.5, "zc": -50.0}) == [True, True, True, True, False, True, True, False, True]
+    some, known = pieces.piece_table(spark, model_path)
+    with monkeypatch.context() as m:
+        m.setattr(pieces, "_may_win", lambda scores: [True] * len(scores))
+        every, same = pieces.piece_table(spark, model_path)
+    assert some.count() < every.count() / 2 and some.subtract(every).count() == 0
+    assert known["longest"] == same["longest"] and (known["cuts"] == same["cuts"]).all()
+    counts = pieces.written(pieces.segment_counts(docs, known))
+    got = {r.segment: r.ids for r in pieces.encode(counts, some, known, "n").collect()}
+    assert got == {r.segment: r.ids for r in pieces.encode(counts, every, same, "n").collect()} and len(got) == counts.count()
+    monkeypatch.setattr(pieces, "LONG", 2)  # all but the shortest go by blocks
+    assert got == {r.segment: r.ids for r in pieces.encode(counts, every, same, "n").collect()}
+
+
+def test_ties_go_to_the_longest_last_piece_in_both_folds(spark, monkeypatch):
+    rows = [("a", 300, -2.0), ("aa", 301, -4.0), ("aaa", 302, -6.0), ("b", 303, -1.5)]
+    table = spark.createDataFrame(rows, "piece string, id int, score double")
+    known = {"longest": 3, "unknown": -20.0, "byte": 3}
+    texts = spark.createDataFrame([(w,) for w in ("a", "aaaa", "aabaaaaa", "xé", "aaxaaaa\0b")], "segment string")
+    want = {"a": [300], "aaaa": [300, 302], "aabaaaaa": [301, 303, 301, 302], "xé": [3 + 0x78, 3 + 0xC3, 3 + 0xA9], "aaxaaaa\0b": [301, 3 + 0x78, 300, 302, 3, 303]}
+    assert {r.segment: r.ids for r in pieces.encode(texts, table, known).collect()} == want
+    monkeypatch.setattr(pieces, "LONG", 0)
+    assert {r.segment: r.ids for r in pieces.encode(texts, table, known).collect()} == want
+
+
 def test_long_segments_fold_in_proportion(spark, model_path, monkeypatch):
     """Segments over several blocks of the fold equal those folded at once, and a long one takes no more time than its length asks for."""
     import random
